@@ -1,0 +1,38 @@
+"""Join helpers: broadcast a side only behind a checked size bound.
+
+A dimension is broadcast when it provably has at most ``max_rows`` rows (a
+bounded ``limit(max_rows + 1).count()``, which never scans more than that
+many rows past the plan's last shuffle); otherwise the join is left to the
+planner (sort-merge, with AQE converting or splitting skewed partitions at
+run time).
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+DEFAULT_BROADCAST_ROWS = 1_000_000
+
+
+def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+
+
+def join_dim(
+    fact: DataFrame,
+    dim: DataFrame,
+    on: str | Sequence[str],
+    how: str = "inner",
+    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
+) -> DataFrame:
+    """fact JOIN dim, broadcasting dim only if its size is checked small."""
+    if max_rows is not None:
+        dim = maybe_broadcast(dim, max_rows)
+    return fact.join(dim, on, how)
