@@ -37,23 +37,16 @@ def conform(df: DataFrame, spec: TableSpec) -> DataFrame:
 
     Adds ``_ts`` (parsed UTC change time) and ``_op`` (operation rank); the
     silver ``extract_at`` is ``_ts`` shifted to UTC-3 unless the spec stores
-    change times as landed.
+    change times as landed. One projection (the parse is shared by both uses).
     """
     ts = parse_extract_at("extract_at")
-    stored = shift_local(F.col("_ts")) if spec.shift_ts else F.col("_ts")
-    return (
-        df.select(
-            *[F.expr(e).alias(n) for n, e in spec.columns],
-            ts.alias("_ts"),
-            op_rank("op").alias("_op"),
-        )
-        .select(
-            *spec.column_names,
-            *lineage_constants(spec.name),
-            stored.alias("extract_at"),
-            "_ts",
-            "_op",
-        )
+    stored = shift_local(ts) if spec.shift_ts else ts
+    return df.select(
+        *[F.expr(e).alias(n) for n, e in spec.columns],
+        *lineage_constants(spec.name),
+        stored.alias("extract_at"),
+        ts.alias("_ts"),
+        op_rank("op").alias("_op"),
     )
 
 
@@ -72,10 +65,15 @@ def latest_per_key(
     ts: str = "_ts",
     tiebreak: Sequence[str] = (),
     op_col: str | None = "_op",
+    keep: Sequence[str] | None = None,
 ) -> DataFrame:
-    """One row per key: the newest image under a total, deterministic order."""
+    """One row per key: the newest image under a total, deterministic order.
+
+    ``keep`` selects the output columns (default: all input columns).
+    """
     w = Window.partitionBy(*keys).orderBy(*latest_order(ts, tiebreak, op_col))
-    return df.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    out = list(keep) if keep is not None else df.columns
+    return df.select("*", F.row_number().over(w).alias("_rn")).where(F.col("_rn") == 1).select(*out)
 
 
 def drop_helpers(df: DataFrame) -> DataFrame:

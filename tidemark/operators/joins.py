@@ -1,10 +1,11 @@
 """Join helpers: broadcast a side only behind a checked size bound.
 
-A dimension is broadcast when it provably has at most ``max_rows`` rows (a
-bounded ``limit(max_rows + 1).count()``, which never scans more than that
-many rows past the plan's last shuffle); otherwise the join is left to the
-planner (sort-merge, with AQE converting or splitting skewed partitions at
-run time).
+Default policy is no hint: AQE converts a sort-merge join to a broadcast
+after it has *measured* one side below its threshold, and splits skewed
+partitions otherwise. ``maybe_broadcast`` is for the one case where waiting
+for AQE is too late: probing a huge history with a small batch of keys (the
+history would already be shuffled). It proves the bound with
+``limit(max_rows + 1).count()`` over the small side before planning the join.
 """
 
 from __future__ import annotations

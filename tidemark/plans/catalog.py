@@ -36,7 +36,7 @@ from tidemark.plans.silver import latest_orders, silver, silver_batch, silver_or
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
 from tidemark.sources.schemas import BRONZE_PAYLOAD
-from tidemark.sources.storage import scratch_dir
+from tidemark.sources.storage import materialize, scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,8 +65,11 @@ def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
 
 
 def gold_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
-    return tuple(silver_table(spark, d, t)
-                 for t in ("orderdetails", "orders", "customers", "employees", "offices"))
+    # The mart takes order dates from the orders table: the lines' own
+    # order-date lookup is skipped here.
+    lines = silver_orderdetails(feed(spark, d, "orderdetails"), None)
+    return (lines,) + tuple(silver_table(spark, d, t)
+                            for t in ("orders", "customers", "employees", "offices"))
 
 
 def raw_tiebreak(table: str) -> list[str]:
@@ -247,6 +250,11 @@ def q_table_high_watermark(spark, d):
     return out
 
 
+# Targets of incremental runs are read twice (watermark subquery and merge),
+# so they are written once like a stored table (``materialize``); targets read
+# once stay lazy.
+
+
 def _before(df: DataFrame, cutoff: str) -> DataFrame:
     return df.where(F.col("extract_at") <= cutoff)
 
@@ -345,7 +353,7 @@ def q_silver_employees_nodedup(spark, d):
 @query("silver_orders_incremental")
 def q_silver_orders_incremental(spark, d):
     f = feed(spark, d, "orders")
-    target = silver(ORDERS, _before(f, FEED_CUTOFF))
+    target = materialize(silver(ORDERS, _before(f, FEED_CUTOFF)), "target")
     return silver(ORDERS, f, target)
 
 
@@ -353,7 +361,7 @@ def q_silver_orders_incremental(spark, d):
 def q_silver_orderdetails_incremental(spark, d):
     f = feed(spark, d, "orderdetails")
     orders = feed(spark, d, "orders")
-    target = silver_orderdetails(_before(f, DETAILS_CUTOFF), orders)
+    target = materialize(silver_orderdetails(_before(f, DETAILS_CUTOFF), orders), "target")
     return silver_orderdetails(f, orders, target)
 
 
@@ -368,7 +376,7 @@ def q_gold_sales_dataset(spark, d):
 def q_gold_sales_incremental(spark, d):
     od, o, c, e, off = gold_inputs(spark, d)
     early = o.where(F.col("orderdate") <= F.lit(GOLD_CUTOFF).cast("timestamp_ntz"))
-    target = G.gold_sales(od, early, c, e, off)
+    target = materialize(G.gold_sales(od, early, c, e, off), "target")
     return G.gold_sales(od, o, c, e, off, target=target)
 
 

@@ -13,14 +13,17 @@ Plan of one run (``silver``):
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import ALL_OPS, LOCAL_OFFSET_HOURS, ORDERDETAILS, ORDERS, TableSpec
-from tidemark.operators.cdc import cdc_filter, conform, drop_helpers, latest_per_key
+from tidemark.operators.cdc import cdc_filter, conform, latest_per_key
 from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.merge import upsert
 from tidemark.operators.watermark import above_watermark
+from tidemark.sources.storage import materialize
 
 # Batches whose distinct order numbers fit this bound probe the order history
 # through a broadcast semi join (no shuffle of the history).
@@ -39,8 +42,8 @@ def silver_batch(spec: TableSpec, bronze: DataFrame, target: DataFrame | None =
     """The rows one run merges: conformed, and deduped per key by default."""
     rows = conform(incremental_rows(bronze, spec, target), spec)
     if spec.dedupe if dedupe is None else dedupe:
-        rows = latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak)
-    return drop_helpers(rows).select(*spec.output_columns)
+        return latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
+    return rows.select(*spec.output_columns)
 
 
 def silver(spec: TableSpec, bronze: DataFrame, target: DataFrame | None = None,
@@ -56,32 +59,39 @@ def silver(spec: TableSpec, bronze: DataFrame, target: DataFrame | None = None,
 def latest_orders(orders_bronze: DataFrame) -> DataFrame:
     """Latest image of every order over the whole order history (deletes too)."""
     rows = conform(cdc_filter(orders_bronze, ALL_OPS), ORDERS)
-    return drop_helpers(latest_per_key(rows, ORDERS.keys, tiebreak=ORDERS.tiebreak))
+    return latest_per_key(rows, ORDERS.keys, tiebreak=ORDERS.tiebreak, keep=ORDERS.output_columns)
 
 
-def silver_orderdetails_batch(details_bronze: DataFrame, orders_bronze: DataFrame,
+def silver_orderdetails_batch(details_bronze: DataFrame, orders_bronze: DataFrame | None,
                               target: DataFrame | None = None) -> DataFrame:
     """Order lines of one run, each with the order date of its latest order.
 
     Lines are deduped *before* the join (the order side is unique per order
     number, so the result is the same) and the order history is first reduced
     to the order numbers of the batch. A line whose order is unknown keeps a
-    null order date.
+    null order date. ``orders_bronze=None`` skips the lookup (order date
+    left null) for consumers that take the date from the orders table.
     """
     spec = ORDERDETAILS
-    no_date = TableSpec(**{**spec.__dict__, "columns": tuple(
-        (n, "CAST(NULL AS TIMESTAMP_NTZ)" if n == "orderdate" else e) for n, e in spec.columns)})
+    no_date = replace(spec, columns=tuple(
+        (n, "CAST(NULL AS TIMESTAMP_NTZ)" if n == "orderdate" else e) for n, e in spec.columns))
     lines = conform(incremental_rows(details_bronze, spec, target), no_date)
-    lines = drop_helpers(latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak)).drop("orderdate")
+    if orders_bronze is None:
+        return latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
+    lines = latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak,
+                           keep=[c for c in spec.output_columns if c != "orderdate"])
     orders = orders_bronze
     if target is not None:
+        # Stage the batch once: the key-count check, the history probe and
+        # the join all read the staged rows instead of recomputing them.
+        lines = materialize(lines, "batch")
         batch_orders = maybe_broadcast(lines.select("ordernumber").distinct(), BATCH_KEYS_BROADCAST_ROWS)
         orders = orders.join(batch_orders, "ordernumber", "left_semi")
     dates = latest_orders(orders).select("ordernumber", "orderdate")
     return lines.join(dates, "ordernumber", "left").select(*spec.output_columns)
 
 
-def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame,
+def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame | None,
                         target: DataFrame | None = None, newer_only: bool = False) -> DataFrame:
     batch = silver_orderdetails_batch(details_bronze, orders_bronze, target)
     if target is None:

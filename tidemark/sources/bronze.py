@@ -37,13 +37,26 @@ def with_partition_values(df: DataFrame, ts: Column | None = None) -> DataFrame:
     return df.drop(*PARTITION_COLS).select("*", *partition_values(ts))
 
 
-def land_hourly(df: DataFrame, root: str, table: str, files_per_hour: int = 4) -> None:
-    """Append change rows into hour partitions (Parquet, gzip like the landing job)."""
+def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = None,
+                files_per_hour: int = 2) -> None:
+    """Append change rows into hour partitions (Parquet, gzip like the landing job).
+
+    Default: ``REBALANCE`` on the hour columns. AQE then sizes writer tasks
+    from the real shuffle statistics: an hour holding a third of all rows is
+    split over as many tasks as its size needs, small hours are packed
+    together. ``num_tasks`` instead forces that many writers with each hour
+    salted over ``files_per_hour`` of them (useful to backfill a long history
+    of tiny hours in parallel). ``maxRecordsPerFile`` caps file size.
+    """
     schema = bronze_schema(table)
     rows = with_partition_values(df).select(*[f.name for f in schema.fields])
+    if num_tasks:
+        rows = spread_partitions(rows, PARTITION_COLS, files_per_hour, num_tasks)
+    else:
+        rows = rows.hint("rebalance", *PARTITION_COLS)
     (
-        spread_partitions(rows, PARTITION_COLS, files_per_hour)
-        .write.mode("append")
+        rows.write.mode("append")
+        .option("maxRecordsPerFile", 5_000_000)
         .option("compression", "gzip")
         .partitionBy(*PARTITION_COLS)
         .parquet(table_root(root, table))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import EXTRACT_AT_FORMAT
+from tidemark.config import EXTRACT_AT_FORMAT, PARTITION_COLS
 from tidemark.functions.time import parse_extract_at, partition_values
 from tidemark.sources.schemas import bronze_schema
 
@@ -33,32 +33,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:
-    """One row per change image: n = 0 .. key % 3, with op and extract_at."""
-    k = F.col(key)
-    n = F.col("_n")
-    secs = n * VERSION_STEP + k % KEY_SPREAD
-    return (
-        df.withColumn("_n", F.explode(F.sequence(F.lit(0), (k % 3).cast("int"))))
-        .withColumn(
-            "op",
-            F.when(n == 0, "I").when((k + n) % 11 == 0, "D").otherwise("U"),
-        )
-        .withColumn(
-            "extract_at",
-            F.date_format(
-                F.timestamp_add("SECOND", secs, F.lit(FEED_EPOCH).cast("timestamp_ntz")),
-                EXTRACT_AT_FORMAT,
-            ),
-        )
-    )
+    """One row per change image: n = 0 .. key % 3 (column ``_n``)."""
+    return df.select("*", F.explode(F.sequence(F.lit(0), (F.col(key) % 3).cast("int"))).alias("_n"))
+
+
+def _version_op(key: str) -> Column:
+    k, n = F.col(key), F.col("_n")
+    return F.when(n == 0, "I").when((k + n) % 11 == 0, "D").otherwise("U")
+
 
+def _version_time(key: str) -> Column:
+    secs = F.col("_n") * VERSION_STEP + F.col(key) % KEY_SPREAD
+    return F.date_format(
+        F.timestamp_add("SECOND", secs, F.lit(FEED_EPOCH).cast("timestamp_ntz")), EXTRACT_AT_FORMAT)
 
-def _finish(df: DataFrame, table: str) -> DataFrame:
-    """Add landing partitions (UTC-3 wall clock of the change) and conform."""
-    parsed = parse_extract_at("extract_at")
-    df = df.select("*", *partition_values(parsed))
+
+def _finish(df: DataFrame, table: str, op: Column, extract_at: Column, **cols: Column) -> DataFrame:
+    """One projection: change columns, payload cast to the bronze schema, and
+    the landing partitions (UTC-3 wall clock of the change)."""
     schema = bronze_schema(table)
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    given = {"op": op, "extract_at": extract_at, **cols}
+    parts = dict(zip(PARTITION_COLS, partition_values(parse_extract_at(extract_at))))
+    out = []
+    for f in schema.fields:
+        c = given.get(f.name, parts.get(f.name))
+        out.append(c.cast(f.dataType).alias(f.name))
+    return df.select(*out)
 
 
 def _nstr(c: str) -> Column:
@@ -69,42 +69,36 @@ def offices_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = read_table(spark, sf_dir, "nation")
     region = read_table(spark, sf_dir, "region")
     base = nation.join(region, nation.n_regionkey == region.r_regionkey)
-    v = _versions(base, "n_nationkey")
     k = F.col("n_nationkey")
     return _finish(
-        v.select(
-            "op", "extract_at",
-            _nstr("n_nationkey").alias("officecode"),
-            F.concat(F.col("n_name"), F.lit("_v"), _nstr("_n")).alias("city"),
-            F.concat(F.lit("+1 555 "), _nstr("n_nationkey")).alias("phone"),
-            F.concat(_nstr("n_nationkey"), F.lit(" Main Street")).alias("addressline1"),
-            F.lit(None).cast("string").alias("addressline2"),
-            F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("ST"), _nstr("n_nationkey"))).alias("state"),
-            F.col("r_name").alias("country"),
-            F.concat(F.lit("PC"), _nstr("n_nationkey")).alias("postalcode"),
-            F.col("r_name").alias("territory"),
-        ),
-        "offices",
+        _versions(base, "n_nationkey"), "offices",
+        _version_op("n_nationkey"), _version_time("n_nationkey"),
+        officecode=_nstr("n_nationkey"),
+        city=F.concat(F.col("n_name"), F.lit("_v"), _nstr("_n")),
+        phone=F.concat(F.lit("+1 555 "), _nstr("n_nationkey")),
+        addressline1=F.concat(_nstr("n_nationkey"), F.lit(" Main Street")),
+        addressline2=F.lit(None),
+        state=F.when(k % 5 == 0, F.lit("")).otherwise(F.concat(F.lit("ST"), _nstr("n_nationkey"))),
+        country=F.col("r_name"),
+        postalcode=F.concat(F.lit("PC"), _nstr("n_nationkey")),
+        territory=F.col("r_name"),
     )
 
 
 def employees_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier = read_table(spark, sf_dir, "supplier")
-    v = _versions(supplier, "s_suppkey")
     k = F.col("s_suppkey")
     return _finish(
-        v.select(
-            "op", "extract_at",
-            k.alias("employeenumber"),
-            F.col("s_name").alias("lastname"),
-            F.concat(F.lit("Rep"), _nstr("s_suppkey")).alias("firstname"),
-            F.concat(F.lit("x"), _nstr("_n")).alias("extension"),
-            F.concat(F.lit("rep"), _nstr("s_suppkey"), F.lit("@example.com")).alias("email"),
-            _nstr("s_nationkey").alias("officecode"),
-            F.when(k % 10 == 0, F.lit(None)).otherwise(F.expr("s_suppkey div 10")).alias("reportsto"),
-            F.lit("Sales Rep").alias("jobtitle"),
-        ),
-        "employees",
+        _versions(supplier, "s_suppkey"), "employees",
+        _version_op("s_suppkey"), _version_time("s_suppkey"),
+        employeenumber=k,
+        lastname=F.col("s_name"),
+        firstname=F.concat(F.lit("Rep"), _nstr("s_suppkey")),
+        extension=F.concat(F.lit("x"), _nstr("_n")),
+        email=F.concat(F.lit("rep"), _nstr("s_suppkey"), F.lit("@example.com")),
+        officecode=_nstr("s_nationkey"),
+        reportsto=F.when(k % 10 == 0, F.lit(None)).otherwise(F.expr("s_suppkey div 10")),
+        jobtitle=F.lit("Sales Rep"),
     )
 
 
@@ -112,86 +106,73 @@ def customers_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     # Number of sales reps: a scalar subquery, evaluated once, no join.
     n_reps = read_table(spark, sf_dir, "supplier").select(F.count(F.lit(1))).scalar()
-    v = _versions(customer, "c_custkey")
     k = F.col("c_custkey")
     return _finish(
-        v.select(
-            "op", "extract_at",
-            k.alias("customernumber"),
-            F.col("c_name").alias("customername"),
-            F.concat(F.lit("Last"), _nstr("c_custkey")).alias("contactlastname"),
-            F.concat(F.lit("First"), _nstr("c_custkey")).alias("contactfirstname"),
-            F.concat(F.lit("+1 555 01"), _nstr("_n")).alias("phone"),
-            F.concat(_nstr("c_custkey"), F.lit(" Market Road")).alias("addressline1"),
-            F.lit(None).cast("string").alias("addressline2"),
-            F.concat(F.lit("City"), _nstr("c_nationkey")).alias("city"),
-            F.lit(None).cast("string").alias("state"),
-            F.concat(F.lit("PC"), _nstr("c_custkey")).alias("postalcode"),
-            F.col("c_mktsegment").alias("country"),
-            F.when(k % 17 == 0, F.lit(None)).otherwise(k % n_reps).alias("salesrepemployeenumber"),
-            F.col("c_acctbal").cast("decimal(18,2)").alias("creditlimit"),
-        ),
-        "customers",
+        _versions(customer, "c_custkey"), "customers",
+        _version_op("c_custkey"), _version_time("c_custkey"),
+        customernumber=k,
+        customername=F.col("c_name"),
+        contactlastname=F.concat(F.lit("Last"), _nstr("c_custkey")),
+        contactfirstname=F.concat(F.lit("First"), _nstr("c_custkey")),
+        phone=F.concat(F.lit("+1 555 01"), _nstr("_n")),
+        addressline1=F.concat(_nstr("c_custkey"), F.lit(" Market Road")),
+        addressline2=F.lit(None),
+        city=F.concat(F.lit("City"), _nstr("c_nationkey")),
+        state=F.lit(None),
+        postalcode=F.concat(F.lit("PC"), _nstr("c_custkey")),
+        country=F.col("c_mktsegment"),
+        salesrepemployeenumber=F.when(k % 17 == 0, F.lit(None)).otherwise(k % n_reps),
+        creditlimit=F.col("c_acctbal").cast("decimal(18,2)"),
     )
 
 
 def orders_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = read_table(spark, sf_dir, "orders")
-    v = _versions(orders, "o_orderkey")
     k = F.col("o_orderkey")
     orderdate = F.timestamp_add("SECOND", k % DAY_SECONDS, F.col("o_orderdate"))
     return _finish(
-        v.select(
-            "op", "extract_at",
-            k.alias("ordernumber"),
-            orderdate.alias("orderdate"),
-            F.timestamp_add("DAY", F.lit(7), orderdate).alias("requireddate"),
-            F.when(F.col("_n") > 0, F.timestamp_add("DAY", F.lit(3), orderdate)).alias("shippeddate"),
-            F.col("o_custkey").alias("customernumber"),
-        ),
-        "orders",
+        _versions(orders, "o_orderkey"), "orders",
+        _version_op("o_orderkey"), _version_time("o_orderkey"),
+        ordernumber=k,
+        orderdate=orderdate,
+        requireddate=F.timestamp_add("DAY", F.lit(7), orderdate),
+        shippeddate=F.when(F.col("_n") > 0, F.timestamp_add("DAY", F.lit(3), orderdate)),
+        customernumber=F.col("o_custkey"),
     )
 
 
 def products_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read_table(spark, sf_dir, "part")
-    v = _versions(part, "p_partkey")
     price = F.col("p_retailprice").cast("decimal(18,2)")
     return _finish(
-        v.select(
-            "op", "extract_at",
-            F.col("p_partkey").alias("productcode"),
-            F.col("p_name").alias("productname"),
-            F.col("p_type").alias("productline"),
-            F.col("p_type").alias("productfamily"),
-            F.concat(F.lit("1:"), _nstr("p_size")).alias("productscale"),
-            F.col("p_brand").alias("productvendor"),
-            F.concat(F.col("p_name"), F.lit(" model")).alias("productdescription"),
-            (F.col("p_size") * 10 + F.col("_n")).cast("bigint").alias("quantityinstock"),
-            price.alias("buyprice"),
-            price.alias("msrp"),
-        ),
-        "products",
+        _versions(part, "p_partkey"), "products",
+        _version_op("p_partkey"), _version_time("p_partkey"),
+        productcode=F.col("p_partkey"),
+        productname=F.col("p_name"),
+        productline=F.col("p_type"),
+        productfamily=F.col("p_type"),
+        productscale=F.concat(F.lit("1:"), _nstr("p_size")),
+        productvendor=F.col("p_brand"),
+        productdescription=F.concat(F.col("p_name"), F.lit(" model")),
+        quantityinstock=F.col("p_size") * 10 + F.col("_n"),
+        buyprice=price,
+        msrp=price,
     )
 
 
 def orderdetails_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_table(spark, sf_dir, "lineitem")
     ts = F.timestamp_add("SECOND", F.col("l_partkey") % DAY_SECONDS, F.col("l_shipdate"))
+    flag = F.col("l_returnflag")
     return _finish(
-        li.select(
-            F.when(F.col("l_returnflag") == "N", "I")
-            .when(F.col("l_returnflag") == "A", "U")
-            .when(F.col("l_returnflag") == "R", "D")
-            .alias("op"),
-            F.date_format(ts, EXTRACT_AT_FORMAT).alias("extract_at"),
-            F.col("l_orderkey").alias("ordernumber"),
-            F.col("l_partkey").alias("productcode"),
-            (F.col("l_quantity").cast("bigint") % 3 + 1).alias("quantityordered"),
-            F.col("l_extendedprice").cast("decimal(18,2)").alias("priceeach"),
-            F.col("l_linenumber").cast("bigint").alias("orderlinenumber"),
-        ),
-        "orderdetails",
+        li, "orderdetails",
+        F.when(flag == "N", "I").when(flag == "A", "U").when(flag == "R", "D"),
+        F.date_format(ts, EXTRACT_AT_FORMAT),
+        ordernumber=F.col("l_orderkey"),
+        productcode=F.col("l_partkey"),
+        quantityordered=F.col("l_quantity").cast("bigint") % 3 + 1,
+        priceeach=F.col("l_extendedprice").cast("decimal(18,2)"),
+        orderlinenumber=F.col("l_linenumber"),
     )
 
 
@@ -205,5 +186,19 @@ FEEDS = {
 }
 
 
+_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def feed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return FEEDS[table](spark, sf_dir)
+    """The change feed of ``table`` (plan memoized per session and directory).
+
+    A DataFrame is only a plan: reusing it saves the driver the analysis and
+    footer reads, and identical sub-plans let Spark reuse exchanges.
+    """
+    key = (id(spark), sf_dir.rstrip("/"), table)
+    hit = _PLANS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = FEEDS[table](spark, sf_dir)
+    _PLANS[key] = (spark, df)
+    return df

@@ -76,13 +76,31 @@ class TableStore:
         return path
 
 
-def spread_partitions(df: DataFrame, partition_by: tuple[str, ...], files_per_partition: int) -> DataFrame:
+def spread_partitions(df: DataFrame, partition_by: tuple[str, ...], files_per_partition: int,
+                      num_tasks: int | None = None) -> DataFrame:
     """Cluster rows by output partition, spread over ``files_per_partition`` tasks.
 
     Each task then writes few files, and an hour holding a third of all rows
-    is still written by ``files_per_partition`` tasks, not one.
+    is still written by ``files_per_partition`` tasks, not one. The task count
+    is explicit (default: the cluster's parallelism) because AQE would
+    otherwise coalesce a small shuffle into one task that writes every
+    partition directory alone.
     """
     from pyspark.sql import functions as F
 
+    n = num_tasks or df.sparkSession.sparkContext.defaultParallelism
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-    return df.repartition(*[F.col(c) for c in partition_by], salt)
+    return df.repartition(n, *[F.col(c) for c in partition_by], salt)
+
+
+def materialize(df: DataFrame, label: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared root and read it back.
+
+    Cuts the lineage (a lost executor recomputes from the written files, not
+    from the sources) and lets a table that several plans read, such as the
+    target of an incremental run, be computed once.
+    """
+    spark = df.sparkSession
+    path = scratch_dir(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

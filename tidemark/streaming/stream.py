@@ -72,10 +72,10 @@ def q_stream_silver_orders(spark: SparkSession, d: str) -> DataFrame:
 
     root = scratch_dir(spark, "stream")
     bronze_root = f"{root}/bronze"
-    B.land_hourly(feed(spark, d, "orders"), bronze_root, "orders", files_per_hour=1)
+    B.land_hourly(feed(spark, d, "orders"), bronze_root, "orders")
     store = TableStore(spark, f"{root}/silver")
     q = stream_silver(spark, ORDERS, bronze_root, store, f"{root}/_checkpoint/orders",
-                      files_per_trigger=64)
+                      files_per_trigger=4)
     q.awaitTermination()
     return store.read("orders", silver_schema("orders"))
 
@@ -84,8 +84,9 @@ def q_stream_latest_by_key(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
     events = read_table(spark, d, "events")
     landed = f"{root}/events"
-    # Land the event table as a stream of files, one per day of event time.
-    (events.withColumn("_day", F.to_date("ts")).repartition("_day").drop("_day")
+    # Land the event table as a stream of files, clustered by day of event time.
+    n_files = spark.sparkContext.defaultParallelism
+    (events.withColumn("_day", F.to_date("ts")).repartition(n_files, "_day").drop("_day")
      .write.parquet(landed))
     store = TableStore(spark, f"{root}/state")
     q = stream_latest(spark, landed, events.schema, ["user_id"], ["ts", "event_id"], store,
