@@ -48,10 +48,11 @@ def upsert(
         assert_unique_keys(source, keys)
     if target is None:
         return source
-    source = source.select(*target.columns)
+    cols = target.columns
+    source = source.select(*cols)
     if newer_only:
         skeys = source.select(*keys)
-        kept = target.join(skeys, list(keys), "left_anti")
+        kept = target.join(skeys, list(keys), "left_anti").select(*cols)
         # Only keys present in the source can change: their old and new images
         # compete, the newest wins (a replayed older batch changes nothing).
         contenders = (
@@ -60,6 +61,7 @@ def upsert(
         )
         winners = latest_per_key(contenders, keys, ts=newer_only[0],
                                  tiebreak=list(newer_only[1:]) + ["_side"], op_col=None)
-        return kept.unionByName(winners.drop("_side"))
-    untouched = target.join(source.select(*keys), list(keys), "left_anti")
+        return kept.unionByName(winners.select(*cols))
+    # (a USING join puts the keys first: restore the table's column order)
+    untouched = target.join(source.select(*keys), list(keys), "left_anti").select(*cols)
     return untouched.unionByName(source)

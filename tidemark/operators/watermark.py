@@ -1,11 +1,16 @@
 """High watermarks and incremental filters.
 
-The watermark is a scalar subquery over the target (``DataFrame.scalar``):
-it stays inside the plan, no value travels through Python, and nothing
-depends on the session time zone. Next to the exact filter on the parsed
-change time we add a redundant filter on the raw text column; fixed-width
-ISO text sorts like time, so that one is pushed into the Parquet reader and
-skips row groups whose ``extract_at`` statistics lie below the watermark.
+The watermark is one aggregate over the target. It is fetched once as fixed
+width *text* (one row, one value) and put back into the plan as a literal
+cast to ``TIMESTAMP_NTZ``: a literal is what lets Spark prune hour partitions
+at planning time and push ``extract_at > '<text>'`` into the Parquet reader
+(row groups below the watermark are skipped), and text keeps the value
+independent of the session time zone. The exact filter on the parsed change
+time is always kept; the text filter is a redundant, necessary condition
+(fixed-width ISO text sorts like time).
+
+``watermark_value`` gives the same bound as a scalar subquery for plans that
+must stay lazy (e.g. inside a streaming micro-batch definition).
 """
 
 from __future__ import annotations
@@ -41,6 +46,16 @@ def raw_threshold(target: DataFrame, col: str = "extract_at", offset_hours: int
     return wm
 
 
+def threshold_text(target: DataFrame, col: str = "extract_at", offset_hours: int = 0,
+                   replay_hours: int = 0) -> str | None:
+    """``max(col) + offset - replay`` as fixed-width text; None if the target is empty."""
+    wm = F.max(col)
+    delta = offset_hours - replay_hours
+    if delta:
+        wm = wm + F.make_dt_interval(F.lit(0), F.lit(delta))
+    return target.agg(format_extract_at(wm).alias("t")).first()["t"]
+
+
 def above_watermark(
     bronze: DataFrame,
     target: DataFrame | None,
@@ -56,14 +71,18 @@ def above_watermark(
     """
     if target is None:
         return bronze
-    thr = raw_threshold(target, col, offset_hours, replay_hours)
-    exact = parse_extract_at("extract_at") > thr
-    # Redundant, pushable form on the raw text (a necessary condition).
-    text = F.col("extract_at") > format_extract_at(thr)
-    return bronze.where(thr.isNull() | (text & exact))
+    text = threshold_text(target, col, offset_hours, replay_hours)
+    if text is None:
+        return bronze
+    return bronze.where(
+        (F.col("extract_at") > F.lit(text))  # pushed into the Parquet scan
+        & (parse_extract_at("extract_at") > F.lit(text).cast("timestamp_ntz"))
+    )
 
 
 def above_time(df: DataFrame, ts_col: str, target: DataFrame, target_col: str) -> DataFrame:
     """Rows whose ``ts_col`` is above max(target_col); all rows if the target is empty."""
-    wm = watermark_value(target, target_col)
-    return df.where(wm.isNull() | (F.col(ts_col) > wm))
+    text = target.agg(format_extract_at(F.max(target_col)).alias("t")).first()["t"]
+    if text is None:
+        return df
+    return df.where(F.col(ts_col) > F.lit(text).cast("timestamp_ntz"))

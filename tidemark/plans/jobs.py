@@ -11,9 +11,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import LOCAL_OFFSET_HOURS, SPECS
-from tidemark.operators.watermark import raw_threshold
+from tidemark.operators.watermark import threshold_text
 from tidemark.plans.gold import gold_sales
 from tidemark.plans.silver import silver, silver_orderdetails
 from tidemark.sources import bronze as B
@@ -41,11 +42,14 @@ class Lakehouse:
             B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t)
 
     def bronze(self, table: str, target: DataFrame | None) -> DataFrame:
+        """Landed changes of ``table``, pruned to the hours the next run can need."""
         since = None
         if target is not None:
             spec = SPECS[table]
             offset = LOCAL_OFFSET_HOURS if spec.shift_ts else 0
-            since = raw_threshold(target, "extract_at", offset, spec.replay_hours)
+            text = threshold_text(target, "extract_at", offset, spec.replay_hours)
+            if text is not None:
+                since = F.lit(text).cast("timestamp_ntz")
         return B.scan_bronze(self.spark, self.bronze_root, table, since=since)
 
     # -- silver -------------------------------------------------------------------
