@@ -49,7 +49,9 @@ class TableSpec:
     shift_ts    store ``extract_at`` shifted to UTC-3 (True) or as landed
     replay      hours re-read below the high watermark on incremental runs
     dedupe      keep the latest image per key (False only for parity runs)
-    partition   derived hour/month partition column of the silver table
+    partition   (column, source timestamp): partition value of the stored table,
+                the source's hour (``yyyyMMddHH``) by default, day or month
+                by deployment choice (None: unpartitioned, rewritten whole)
     """
 
     name: str

@@ -65,3 +65,24 @@ def upsert(
     # (a USING join puts the keys first: restore the table's column order)
     untouched = target.join(source.select(*keys), list(keys), "left_anti").select(*cols)
     return untouched.unionByName(source)
+
+
+def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
+                      partition_col: str, newer_only: Sequence[str] | None = None) -> DataFrame:
+    """Merged content of the partitions a merge touches (and only those).
+
+    Touched partitions are those of the source rows plus those where the
+    target holds a key the source replaces (a key may move to another
+    partition). Target partitions are selected with a semi join on the
+    partition value, which Spark turns into partition pruning of the scan.
+    Write the result with ``PartitionedTable.overwrite_partitions``.
+    """
+    if target is None:
+        return source
+    skeys = source.select(*keys)
+    moved = target.join(skeys, list(keys), "left_semi").select(partition_col)
+    touched = source.select(partition_col).unionByName(moved).distinct()
+    p = partition_col
+    affected = target.join(touched.withColumnRenamed(p, "_p"),
+                           target[p].eqNullSafe(F.col("_p")), "left_semi")
+    return upsert(affected, source, keys, newer_only=newer_only)

@@ -101,9 +101,12 @@ def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame | No
                   newer_only=guard)
 
 
-def with_partition(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Add the derived hour partition column (hidden partitioning)."""
+GRAIN_FORMATS = {"hour": "yyyyMMddHH", "day": "yyyyMMdd", "month": "yyyyMM"}
+
+
+def with_partition(df: DataFrame, spec: TableSpec, grain: str = "hour") -> DataFrame:
+    """Add the derived partition value (text of the source column at ``grain``)."""
     if spec.partition is None:
         return df
     col, src = spec.partition
-    return df.withColumn(col, F.date_trunc("HOUR", F.col(src)).cast("timestamp_ntz"))
+    return df.withColumn(col, F.date_format(F.col(src), GRAIN_FORMATS[grain]))

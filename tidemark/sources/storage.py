@@ -104,3 +104,75 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     path = scratch_dir(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+_PUBLISH = T.StructType([
+    T.StructField("staging", T.StringType(), False),
+    T.StructField("state", T.StringType(), False),
+    T.StructField("at", T.LongType(), False),
+])
+
+
+class PartitionedTable:
+    """A Parquet table partitioned by one column, rewritten partition by partition.
+
+    ``overwrite_partitions(rows)`` replaces exactly the partitions present in
+    ``rows`` (Spark's dynamic partition overwrite) and leaves all others
+    untouched, so a merge costs the size of the partitions it touches, not
+    the size of the table. Rows are first staged under ``_staging/`` and a
+    ``staged`` marker is written; publishing copies the staged partitions in
+    and writes a ``published`` marker. A run that died while publishing is
+    finished by ``recover()`` (called by ``read``) before anything reads the
+    table, so its watermark never runs ahead of its data.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_col: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.schema = schema
+        self.partition_col = partition_col
+
+    def _markers(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_PUBLISH).parquet(f"{self.path}/_publish")
+        except Exception:  # no run has staged anything yet
+            return None
+
+    def _mark(self, staging: str, state: str) -> None:
+        import time
+
+        row = [(staging, state, time.time_ns())]
+        self.spark.createDataFrame(row, _PUBLISH).coalesce(1).write.mode("append").parquet(
+            f"{self.path}/_publish")
+
+    def _publish(self, staging: str) -> None:
+        (
+            self.spark.read.schema(self.schema).parquet(staging)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(self.partition_col)
+            .parquet(self.path)
+        )
+        self._mark(staging, "published")
+
+    def recover(self) -> None:
+        from pyspark.sql import functions as F
+
+        marks = self._markers()
+        if marks is None:
+            return
+        last = marks.orderBy(F.col("at").desc()).limit(1).collect()
+        if last and last[0].state == "staged":
+            self._publish(last[0].staging)
+
+    def read(self) -> DataFrame | None:
+        self.recover()
+        if self._markers() is None:
+            return None
+        return self.spark.read.schema(self.schema).parquet(self.path)
+
+    def overwrite_partitions(self, rows: DataFrame) -> None:
+        staging = f"{self.path}/_staging/{uuid.uuid4().hex[:16]}"
+        rows.select(*self.schema.fieldNames()).write.partitionBy(self.partition_col).parquet(staging)
+        self._mark(staging, "staged")
+        self._publish(staging)
