@@ -218,3 +218,38 @@ def test_backfill_lands_once(spark):
     assert len(landed) == 1
     assert (landed[0].year_stream, landed[0].month_stream, landed[0].day_stream, landed[0].hour_stream) == \
         ("2026", "01", "01", "00")
+
+
+def test_results_do_not_depend_on_session_time_zone(spark):
+    from conftest import SF_SMALL
+
+    from tidemark.plans import catalog as C
+    from tidemark.sources import feeds
+
+    names = ("bronze_partition_values", "silver_orders", "gold_sales_dataset", "calendar_attributes")
+    results = {}
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("UTC", "America/New_York", "America/Sao_Paulo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            feeds._PLANS.clear()  # plans resolve time zones when analysed
+            results[zone] = {n: sorted(tuple(r) for r in C.QUERIES[n](spark, SF_SMALL).collect())
+                             for n in names}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+        feeds._PLANS.clear()
+    assert results["UTC"] == results["America/New_York"] == results["America/Sao_Paulo"]
+
+
+def test_dst_gap_wall_clock_is_kept(spark):
+    from tidemark.functions.time import format_extract_at
+
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("2024-03-10 05:30:00.000000",)], "extract_at string")
+        r = df.select(format_extract_at(parse_extract_at()).alias("t"),
+                      *partition_values(parse_extract_at())).collect()[0]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert r.t == "2024-03-10 05:30:00.000000" and r.hour_stream == "02"

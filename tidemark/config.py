@@ -20,7 +20,8 @@ UPSERT_OPS = ("I", "U")
 ALL_OPS = ("I", "U", "D")
 # Landing partitions and stored silver timestamps use a fixed UTC-3 offset.
 LOCAL_OFFSET_HOURS = 3
-# Landed change timestamp text format (microseconds, fixed width).
+# Landed change timestamp text format (microseconds, fixed width; built by
+# functions.time.format_extract_at without the session time zone).
 EXTRACT_AT_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 # Parse pattern: accepts 0, 3 or 6 fraction digits.
 EXTRACT_AT_PARSE = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
@@ -133,7 +134,7 @@ ORDERS = TableSpec(
         ("ordernumber", "cast(ordernumber as bigint)"),
         ("orderdate", "orderdate - INTERVAL 3 HOURS"),
         ("orderyearmonth",
-         "cast(cast(date_format(orderdate - INTERVAL 3 HOURS, 'yyyyMM') as int) as bigint)"),
+         "cast(year(orderdate - INTERVAL 3 HOURS) * 100 + month(orderdate - INTERVAL 3 HOURS) as bigint)"),
         ("customernumber", "customernumber"),
     ),
     partition=("orderdate_hour", "orderdate"),

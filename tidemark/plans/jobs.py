@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import GOLD_KEYS, LOCAL_OFFSET_HOURS, SPECS
+from tidemark.functions.time import time_key
 from tidemark.operators.merge import upsert_partitions
 from tidemark.operators.watermark import threshold_text
 from tidemark.plans.gold import gold_batch
@@ -114,7 +115,7 @@ class Lakehouse:
         stored = self.gold.read()
         target = None if stored is None else stored.drop(MART_PARTITION)
         batch = gold_batch(*inputs, target=target).withColumn(
-            MART_PARTITION, F.date_format("calendar_sales_date", "yyyyMM"))
+            MART_PARTITION, time_key("calendar_sales_date", "month"))
         self.gold.overwrite_partitions(upsert_partitions(stored, batch, GOLD_KEYS, MART_PARTITION))
 
     def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None) -> None:

@@ -22,6 +22,7 @@ from tidemark.config import ALL_OPS, LOCAL_OFFSET_HOURS, ORDERDETAILS, ORDERS, T
 from tidemark.operators.cdc import cdc_filter, conform, latest_per_key
 from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.merge import upsert
+from tidemark.functions.time import time_key
 from tidemark.operators.watermark import above_watermark
 from tidemark.sources.storage import materialize
 
@@ -101,12 +102,9 @@ def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame | No
                   newer_only=guard)
 
 
-GRAIN_FORMATS = {"hour": "yyyyMMddHH", "day": "yyyyMMdd", "month": "yyyyMM"}
-
-
 def with_partition(df: DataFrame, spec: TableSpec, grain: str = "hour") -> DataFrame:
     """Add the derived partition value (text of the source column at ``grain``)."""
     if spec.partition is None:
         return df
     col, src = spec.partition
-    return df.withColumn(col, F.date_format(F.col(src), GRAIN_FORMATS[grain]))
+    return df.withColumn(col, time_key(src, grain))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BACKFILL_PARTITION, LOCAL_OFFSET_HOURS, PARTITION_COLS
-from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values
+from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values, time_key
 from tidemark.sources.schemas import bronze_schema
 from tidemark.sources.storage import spread_partitions
 
@@ -71,7 +71,7 @@ def hour_lower_bound(since: Column) -> Column:
     bounds every later change from below.
     """
     local = since - F.make_dt_interval(F.lit(0), F.lit(LOCAL_OFFSET_HOURS + 1))
-    return F.date_format(local, "yyyyMMddHH")
+    return time_key(local, "hour")
 
 
 def scan_bronze(spark: SparkSession, root: str, table: str, since: Column | None = None,

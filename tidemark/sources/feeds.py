@@ -16,8 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import EXTRACT_AT_FORMAT, PARTITION_COLS
-from tidemark.functions.time import parse_extract_at, partition_values
+from tidemark.config import PARTITION_COLS
+from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values
 from tidemark.sources.schemas import bronze_schema
 
 # Fixed values of the feed mapping: change times start here, versions are
@@ -44,8 +44,7 @@ def _version_op(key: str) -> Column:
 
 def _version_time(key: str) -> Column:
     secs = F.col("_n") * VERSION_STEP + F.col(key) % KEY_SPREAD
-    return F.date_format(
-        F.timestamp_add("SECOND", secs, F.lit(FEED_EPOCH).cast("timestamp_ntz")), EXTRACT_AT_FORMAT)
+    return format_extract_at(F.timestamp_add("SECOND", secs, F.lit(FEED_EPOCH).cast("timestamp_ntz")))
 
 
 def _finish(df: DataFrame, table: str, op: Column, extract_at: Column, **cols: Column) -> DataFrame:
@@ -167,7 +166,7 @@ def orderdetails_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _finish(
         li, "orderdetails",
         F.when(flag == "N", "I").when(flag == "A", "U").when(flag == "R", "D"),
-        F.date_format(ts, EXTRACT_AT_FORMAT),
+        format_extract_at(ts),
         ordernumber=F.col("l_orderkey"),
         productcode=F.col("l_partkey"),
         quantityordered=F.col("l_quantity").cast("bigint") % 3 + 1,
