@@ -118,6 +118,34 @@ class Lakehouse:
             MART_PARTITION, time_key("calendar_sales_date", "month"))
         self.gold.overwrite_partitions(upsert_partitions(stored, batch, GOLD_KEYS, MART_PARTITION))
 
+    # -- catalog ------------------------------------------------------------------
+    def register_catalog(self, raw: str = "raw", ods: str = "ods", dwh: str = "dwh") -> None:
+        """Declare every zone's tables in the session catalog at their current
+        locations: landed hours are recovered, partitioned tables point at
+        their root, versioned tables at their current version."""
+        from tidemark.sources.schemas import create_table_ddl
+
+        for db in (raw, ods, dwh):
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        for t in SILVER_TABLES:
+            B.recover_partitions(self.spark, self.bronze_root, t, raw)
+            part = self._partitioned(t)
+            if part is not None:
+                loc, schema, by = part.path, part.schema, (part.partition_col,)
+            else:
+                loc, schema, by = self.silver.current_path(t), silver_schema(t), ()
+            if loc is None:
+                continue
+            self.spark.sql(f"DROP TABLE IF EXISTS {ods}.{t}")
+            self.spark.sql(create_table_ddl(ods, t, schema, loc, partitioned_by=by))
+            if by:
+                self.spark.sql(f"ALTER TABLE {ods}.{t} RECOVER PARTITIONS")
+        if self.gold.read() is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {dwh}.sales_dataset")
+            self.spark.sql(create_table_ddl(dwh, "sales_dataset", self.gold.schema, self.gold.path,
+                                            partitioned_by=(MART_PARTITION,)))
+            self.spark.sql(f"ALTER TABLE {dwh}.sales_dataset RECOVER PARTITIONS")
+
     def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None) -> None:
         """Run the steps in order; the first failure stops the run."""
         for step in steps:

@@ -13,13 +13,15 @@ which takes the partition values from the file path.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BACKFILL_PARTITION, LOCAL_OFFSET_HOURS, PARTITION_COLS
 from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values, time_key
-from tidemark.sources.schemas import bronze_schema
+from tidemark.sources.schemas import bronze_schema, create_table_ddl
 from tidemark.sources.storage import spread_partitions
 
 KV_GLOB = "/".join(f"{c}=*" for c in PARTITION_COLS)
@@ -115,17 +117,58 @@ def partition_inventory(df: DataFrame, table: str) -> DataFrame:
     )
 
 
-def register_partitions_sql(table: str, root: str, hours: list[tuple[str, str, str, str]]) -> list[str]:
+def register_partitions_sql(table: str, root: str, hours: list[tuple[str, str, str, str]],
+                            database: str = "raw") -> list[str]:
     """``ALTER TABLE ... ADD IF NOT EXISTS PARTITION`` statements for given hours."""
     base = table_root(root, table)
     out = []
     for y, m, d, h in hours:
         spec = ", ".join(f"{c}='{v}'" for c, v in zip(PARTITION_COLS, (y, m, d, h)))
         loc = f"{base}/" + "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, (y, m, d, h)))
-        out.append(f"ALTER TABLE raw.{table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{loc}'")
+        out.append(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{loc}'")
     return out
 
 
+def partition_for_run(run_ts: dt.datetime, overrides: dict | None = None,
+                      offset_hours: int = LOCAL_OFFSET_HOURS) -> tuple[str, str, str, str]:
+    """Landing hour a scheduled run registers: the run time (UTC) minus the
+    offset, unless ``partition_date`` (``YYYY-MM-DD``), ``partition_year`` /
+    ``partition_month`` / ``partition_day`` or ``partition_hour`` are given."""
+    v = overrides or {}
+    local = run_ts - dt.timedelta(hours=offset_hours)
+    if v.get("partition_date"):
+        p = str(v["partition_date"]).strip()
+        y, m, d = p[0:4], p[5:7], p[8:10]
+    else:
+        y = str(v.get("partition_year", local.strftime("%Y")))
+        m = str(v.get("partition_month", local.strftime("%m")))
+        d = str(v.get("partition_day", local.strftime("%d")))
+    h = str(v.get("partition_hour", local.strftime("%H")))
+    return y, m, d, h
+
+
+def register_table(spark: SparkSession, root: str, table: str, database: str = "raw") -> None:
+    """Declare the landed table in the session catalog (schema fixed, nothing inferred)."""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(create_table_ddl(database, table, bronze_schema(table), table_root(root, table),
+                               partitioned_by=PARTITION_COLS))
+
+
+def activate_partition(spark: SparkSession, root: str, table: str, run_ts: dt.datetime,
+                       overrides: dict | None = None, database: str = "raw") -> DataFrame:
+    """Register the run's landing hour (idempotent) and return the marker row."""
+    register_table(spark, root, table, database)
+    for stmt in register_partitions_sql(table, root, [partition_for_run(run_ts, overrides)], database):
+        spark.sql(stmt)
+    return spark.sql("SELECT 1 AS partition_activated")
+
+
+def recover_partitions(spark: SparkSession, root: str, table: str, database: str = "raw") -> None:
+    """Register every landed hour at once (no hour is left unreadable)."""
+    register_table(spark, root, table, database)
+    spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
+
+
 def drop_full_load(df: DataFrame, root: str, table: str) -> None:
     """Write full-load files directly under the table root (as a dump would)."""
     payload = bronze_schema(table, with_partitions=False)
