@@ -148,6 +148,9 @@ class Lakehouse:
 
     def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None) -> None:
         """Run the steps in order; the first failure stops the run."""
+        unknown = [s for s in steps if s not in ("bronze", "silver", "gold")]
+        if unknown:
+            raise ValueError(f"unknown step(s) {unknown}")
         for step in steps:
             if step == "bronze":
                 if sf_dir is None:
