@@ -15,6 +15,8 @@ must stay lazy (e.g. inside a streaming micro-batch definition).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -56,22 +58,36 @@ def threshold_text(target: DataFrame, col: str = "extract_at", offset_hours: int
     return target.agg(format_extract_at(wm).alias("t")).first()["t"]
 
 
+def shift_text(text: str | None, hours: int) -> str | None:
+    """Fixed-width change-time text moved by whole hours (naive arithmetic)."""
+    if text is None or not hours:
+        return text
+    fmt = "%Y-%m-%d %H:%M:%S.%f"
+    return (dt.datetime.strptime(text, fmt) + dt.timedelta(hours=hours)).strftime(fmt)
+
+
 def above_watermark(
     bronze: DataFrame,
     target: DataFrame | None,
     col: str = "extract_at",
     offset_hours: int = 0,
     replay_hours: int = 0,
+    high_watermark: str | None = None,
 ) -> DataFrame:
     """Change rows newer than the target's high watermark (minus replay).
 
     ``target is None``  -> every row (initial build).
     Empty target        -> every row: a null watermark means "load all", not
                            "load nothing".
+    ``high_watermark``  -> the target's max ``col`` as text when already known
+                           (e.g. from the table's publish log): no scan.
     """
     if target is None:
         return bronze
-    text = threshold_text(target, col, offset_hours, replay_hours)
+    if high_watermark is not None:
+        text = shift_text(high_watermark, offset_hours - replay_hours)
+    else:
+        text = threshold_text(target, col, offset_hours, replay_hours)
     if text is None:
         return bronze
     return bronze.where(
@@ -80,9 +96,12 @@ def above_watermark(
     )
 
 
-def above_time(df: DataFrame, ts_col: str, target: DataFrame, target_col: str) -> DataFrame:
+def above_time(df: DataFrame, ts_col: str, target: DataFrame, target_col: str,
+               high_watermark: str | None = None) -> DataFrame:
     """Rows whose ``ts_col`` is above max(target_col); all rows if the target is empty."""
-    text = target.agg(format_extract_at(F.max(target_col)).alias("t")).first()["t"]
+    text = high_watermark
+    if text is None:
+        text = target.agg(format_extract_at(F.max(target_col)).alias("t")).first()["t"]
     if text is None:
         return df
     return df.where(F.col(ts_col) > F.lit(text).cast("timestamp_ntz"))

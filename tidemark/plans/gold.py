@@ -84,19 +84,19 @@ def customer_offices(customers: DataFrame, employees: DataFrame, offices: DataFr
 
 def sales_lines(details: DataFrame, orders: DataFrame, customers: DataFrame,
                 employees: DataFrame, offices: DataFrame,
-                target: DataFrame | None = None) -> DataFrame:
+                target: DataFrame | None = None, high_watermark: str | None = None) -> DataFrame:
     """Per-order totals with order date and office: the input of the mart grain."""
     o = orders.select("ordernumber", "orderdate", "customernumber")
     if target is not None:
-        o = above_time(o, "orderdate", target, "calendar_sales_date")
+        o = above_time(o, "orderdate", target, "calendar_sales_date", high_watermark)
     enriched = o.join(customer_offices(customers, employees, offices), "customernumber")
     return unpivot_buckets(order_line_totals(details).join(enriched, "ordernumber"))
 
 
 def gold_batch(details: DataFrame, orders: DataFrame, customers: DataFrame,
                employees: DataFrame, offices: DataFrame,
-               target: DataFrame | None = None) -> DataFrame:
-    lines = sales_lines(details, orders, customers, employees, offices, target)
+               target: DataFrame | None = None, high_watermark: str | None = None) -> DataFrame:
+    lines = sales_lines(details, orders, customers, employees, offices, target, high_watermark)
     grouped = lines.groupBy(
         "officecode", "city", "state", "country", "territory", "interval_portsales", "orderdate",
     ).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"))

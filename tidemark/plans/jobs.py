@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from tidemark.config import GOLD_KEYS, LOCAL_OFFSET_HOURS, SPECS
 from tidemark.functions.time import time_key
 from tidemark.operators.merge import upsert_partitions
-from tidemark.operators.watermark import threshold_text
+from tidemark.operators.watermark import shift_text, threshold_text
 from tidemark.plans.gold import gold_batch
 from tidemark.plans.silver import silver, silver_batch, silver_orderdetails_batch, with_partition
 from tidemark.sources import bronze as B
@@ -67,13 +67,16 @@ class Lakehouse:
         for t in tables:
             B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t)
 
-    def bronze(self, table: str, target: DataFrame | None) -> DataFrame:
+    def bronze(self, table: str, target: DataFrame | None, high_watermark: str | None = None) -> DataFrame:
         """Landed changes of ``table``, pruned to the hours the next run can need."""
         since = None
         if target is not None:
             spec = SPECS[table]
             offset = LOCAL_OFFSET_HOURS if spec.shift_ts else 0
-            text = threshold_text(target, "extract_at", offset, spec.replay_hours)
+            if high_watermark is not None:
+                text = shift_text(high_watermark, offset - spec.replay_hours)
+            else:
+                text = threshold_text(target, "extract_at", offset, spec.replay_hours)
             if text is not None:
                 since = F.lit(text).cast("timestamp_ntz")
         return B.scan_bronze(self.spark, self.bronze_root, table, since=since)
@@ -90,20 +93,21 @@ class Lakehouse:
         for t in tables:
             spec = SPECS[t]
             target = self.silver_table(t)
-            bronze = self.bronze(t, target)
             part = self._partitioned(t)
             if part is None:
-                self.silver.write(t, silver(spec, bronze, target))
+                self.silver.write(t, silver(spec, self.bronze(t, target), target))
                 continue
+            wm = part.high_watermark()
+            bronze = self.bronze(t, target, wm)
             if t == "orderdetails":
                 # The order history is read whole: a line may belong to any order.
-                batch = silver_orderdetails_batch(bronze, self.bronze("orders", None), target)
+                batch = silver_orderdetails_batch(bronze, self.bronze("orders", None), target, wm)
             else:
-                batch = silver_batch(spec, bronze, target)
+                batch = silver_batch(spec, bronze, target, high_watermark=wm)
             stored = part.read()
             rows = upsert_partitions(stored, with_partition(batch, spec, self.grain), spec.keys,
                                      spec.partition[0])
-            part.overwrite_partitions(rows)
+            part.overwrite_partitions(rows, watermark_col="extract_at")
 
     # -- gold ---------------------------------------------------------------------
     def mart(self) -> DataFrame | None:
@@ -114,9 +118,10 @@ class Lakehouse:
         inputs = [self.silver_table(t) for t in GOLD_INPUTS]
         stored = self.gold.read()
         target = None if stored is None else stored.drop(MART_PARTITION)
-        batch = gold_batch(*inputs, target=target).withColumn(
+        batch = gold_batch(*inputs, target=target, high_watermark=self.gold.high_watermark()).withColumn(
             MART_PARTITION, time_key("calendar_sales_date", "month"))
-        self.gold.overwrite_partitions(upsert_partitions(stored, batch, GOLD_KEYS, MART_PARTITION))
+        self.gold.overwrite_partitions(upsert_partitions(stored, batch, GOLD_KEYS, MART_PARTITION),
+                                       watermark_col="calendar_sales_date")
 
     # -- catalog ------------------------------------------------------------------
     def register_catalog(self, raw: str = "raw", ods: str = "ods", dwh: str = "dwh") -> None:

@@ -31,17 +31,18 @@ from tidemark.sources.storage import materialize
 BATCH_KEYS_BROADCAST_ROWS = 2_000_000
 
 
-def incremental_rows(bronze: DataFrame, spec: TableSpec, target: DataFrame | None) -> DataFrame:
+def incremental_rows(bronze: DataFrame, spec: TableSpec, target: DataFrame | None,
+                     high_watermark: str | None = None) -> DataFrame:
     """Operation filter + watermark with the spec's offset and replay window."""
     rows = cdc_filter(bronze, spec.ops)
     offset = LOCAL_OFFSET_HOURS if spec.shift_ts else 0
-    return above_watermark(rows, target, "extract_at", offset, spec.replay_hours)
+    return above_watermark(rows, target, "extract_at", offset, spec.replay_hours, high_watermark)
 
 
 def silver_batch(spec: TableSpec, bronze: DataFrame, target: DataFrame | None = None,
-                 dedupe: bool | None = None) -> DataFrame:
+                 dedupe: bool | None = None, high_watermark: str | None = None) -> DataFrame:
     """The rows one run merges: conformed, and deduped per key by default."""
-    rows = conform(incremental_rows(bronze, spec, target), spec)
+    rows = conform(incremental_rows(bronze, spec, target, high_watermark), spec)
     if spec.dedupe if dedupe is None else dedupe:
         return latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
     return rows.select(*spec.output_columns)
@@ -64,7 +65,8 @@ def latest_orders(orders_bronze: DataFrame) -> DataFrame:
 
 
 def silver_orderdetails_batch(details_bronze: DataFrame, orders_bronze: DataFrame | None,
-                              target: DataFrame | None = None) -> DataFrame:
+                              target: DataFrame | None = None,
+                              high_watermark: str | None = None) -> DataFrame:
     """Order lines of one run, each with the order date of its latest order.
 
     Lines are deduped *before* the join (the order side is unique per order
@@ -76,7 +78,7 @@ def silver_orderdetails_batch(details_bronze: DataFrame, orders_bronze: DataFram
     spec = ORDERDETAILS
     no_date = replace(spec, columns=tuple(
         (n, "CAST(NULL AS TIMESTAMP_NTZ)" if n == "orderdate" else e) for n, e in spec.columns))
-    lines = conform(incremental_rows(details_bronze, spec, target), no_date)
+    lines = conform(incremental_rows(details_bronze, spec, target, high_watermark), no_date)
     if orders_bronze is None:
         return latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
     lines = latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak,

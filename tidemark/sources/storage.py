@@ -110,6 +110,7 @@ _PUBLISH = T.StructType([
     T.StructField("staging", T.StringType(), False),
     T.StructField("state", T.StringType(), False),
     T.StructField("at", T.LongType(), False),
+    T.StructField("high_watermark", T.StringType(), True),
 ])
 
 
@@ -138,14 +139,14 @@ class PartitionedTable:
         except Exception:  # no run has staged anything yet
             return None
 
-    def _mark(self, staging: str, state: str) -> None:
+    def _mark(self, staging: str, state: str, high_watermark: str | None = None) -> None:
         import time
 
-        row = [(staging, state, time.time_ns())]
+        row = [(staging, state, time.time_ns(), high_watermark)]
         self.spark.createDataFrame(row, _PUBLISH).coalesce(1).write.mode("append").parquet(
             f"{self.path}/_publish")
 
-    def _publish(self, staging: str) -> None:
+    def _publish(self, staging: str, high_watermark: str | None) -> None:
         (
             self.spark.read.schema(self.schema).parquet(staging)
             .write.mode("overwrite")
@@ -153,17 +154,28 @@ class PartitionedTable:
             .partitionBy(self.partition_col)
             .parquet(self.path)
         )
-        self._mark(staging, "published")
+        self._mark(staging, "published", high_watermark)
 
-    def recover(self) -> None:
+    def _last_mark(self):
         from pyspark.sql import functions as F
 
         marks = self._markers()
         if marks is None:
-            return
+            return None
         last = marks.orderBy(F.col("at").desc()).limit(1).collect()
-        if last and last[0].state == "staged":
-            self._publish(last[0].staging)
+        return last[0] if last else None
+
+    def recover(self) -> None:
+        last = self._last_mark()
+        if last is not None and last.state == "staged":
+            self._publish(last.staging, last.high_watermark)
+
+    def high_watermark(self) -> str | None:
+        """Newest ``watermark_col`` value in the table as fixed-width text,
+        kept in the publish log: reading it costs one tiny file, not a scan."""
+        self.recover()
+        last = self._last_mark()
+        return None if last is None else last.high_watermark
 
     def read(self) -> DataFrame | None:
         self.recover()
@@ -171,8 +183,20 @@ class PartitionedTable:
             return None
         return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def overwrite_partitions(self, rows: DataFrame) -> None:
+    def overwrite_partitions(self, rows: DataFrame, watermark_col: str | None = None) -> None:
+        """Replace the partitions present in ``rows``; with ``watermark_col``
+        the running maximum of that column is logged with the publish."""
+        from pyspark.sql import functions as F
+
+        from tidemark.functions.time import format_extract_at
+
         staging = f"{self.path}/_staging/{uuid.uuid4().hex[:16]}"
         rows.select(*self.schema.fieldNames()).write.partitionBy(self.partition_col).parquet(staging)
-        self._mark(staging, "staged")
-        self._publish(staging)
+        wm = None
+        if watermark_col:
+            staged = self.spark.read.schema(self.schema).parquet(staging)
+            batch_max = staged.agg(format_extract_at(F.max(watermark_col)).alias("m")).first()["m"]
+            prev = self.high_watermark()
+            wm = max((w for w in (prev, batch_max) if w is not None), default=None)
+        self._mark(staging, "staged", wm)
+        self._publish(staging, wm)

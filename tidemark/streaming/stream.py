@@ -50,7 +50,8 @@ def stream_silver(spark: SparkSession, spec: TableSpec, bronze_root: str,
             stored = sink.read()
             part = with_partition(rows, spec, grain)
             sink.overwrite_partitions(
-                upsert_partitions(stored, part, spec.keys, spec.partition[0], newer_only=guard))
+                upsert_partitions(stored, part, spec.keys, spec.partition[0], newer_only=guard),
+                watermark_col="extract_at")
         else:
             target = sink.read(spec.name, silver_schema(spec.name))
             sink.write(spec.name, upsert(target, rows, spec.keys, newer_only=guard))
