@@ -67,22 +67,37 @@ def upsert(
     return untouched.unionByName(source)
 
 
+# Touched partitions are listed on the driver (values like '2024011310', one
+# per partition, not per row) so the target scan is pruned at planning time.
+# Beyond this many, the semi join below selects them without pruning.
+MAX_LISTED_PARTITIONS = 100_000
+
+
 def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                       partition_col: str, newer_only: Sequence[str] | None = None) -> DataFrame:
     """Merged content of the partitions a merge touches (and only those).
 
     Touched partitions are those of the source rows plus those where the
     target holds a key the source replaces (a key may move to another
-    partition). Target partitions are selected with a semi join on the
-    partition value, which Spark turns into partition pruning of the scan.
+    partition); finding the latter reads only the key columns of the target.
+    The touched values become a literal ``IN`` filter on the partition
+    column, so only those partitions are read in full.
     Write the result with ``PartitionedTable.overwrite_partitions``.
     """
     if target is None:
         return source
-    skeys = source.select(*keys)
-    moved = target.join(skeys, list(keys), "left_semi").select(partition_col)
-    touched = source.select(partition_col).unionByName(moved).distinct()
     p = partition_col
-    affected = target.join(touched.withColumnRenamed(p, "_p"),
-                           target[p].eqNullSafe(F.col("_p")), "left_semi")
+    skeys = source.select(*keys)
+    moved = target.select(*keys, p).join(skeys, list(keys), "left_semi").select(p)
+    touched = source.select(p).unionByName(moved).distinct()
+    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
+    if len(values) <= MAX_LISTED_PARTITIONS:
+        present = [v for v in values if v is not None]
+        cond = F.col(p).isin(present) if present else F.lit(False)
+        if len(present) < len(values):
+            cond = cond | F.col(p).isNull()
+        affected = target.where(cond)
+    else:
+        affected = target.join(touched.withColumnRenamed(p, "_p"),
+                               target[p].eqNullSafe(F.col("_p")), "left_semi")
     return upsert(affected, source, keys, newer_only=newer_only)
