@@ -36,20 +36,14 @@ def _pad(c: Column, n: int) -> Column:
     return F.lpad(c.cast("string"), n, "0")
 
 
-def _fraction_micros(ts: Column) -> Column:
-    sec = F.date_part(F.lit("SECOND"), ts)  # decimal seconds with 6 digits
-    return ((sec - F.floor(sec)) * 1_000_000).cast("int")
-
-
 def format_extract_at(c: str | Column) -> Column:
-    """TIMESTAMP_NTZ -> ``yyyy-MM-dd HH:mm:ss.SSSSSS`` text, zone-free."""
-    ts = _c(c)
-    return F.concat(
-        _pad(F.year(ts), 4), F.lit("-"), _pad(F.month(ts), 2), F.lit("-"),
-        _pad(F.dayofmonth(ts), 2), F.lit(" "), _pad(F.hour(ts), 2), F.lit(":"),
-        _pad(F.minute(ts), 2), F.lit(":"), _pad(F.second(ts), 2), F.lit("."),
-        _pad(_fraction_micros(ts), 6),
-    )
+    """TIMESTAMP_NTZ -> ``yyyy-MM-dd HH:mm:ss.SSSSSS`` text, zone-free.
+
+    Casting an NTZ value to string involves no time zone; it drops trailing
+    fraction zeros, which are padded back to the fixed six digits.
+    """
+    s = _c(c).cast("string")
+    return F.when(F.length(s) == 19, F.concat(s, F.lit(".000000"))).otherwise(F.rpad(s, 26, "0"))
 
 
 def time_key(c: str | Column, grain: str) -> Column:
