@@ -10,8 +10,6 @@ history would already be shuffled). It proves the bound with
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,16 +22,3 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 def maybe_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if row_count_at_most(df, max_rows) else df
-
-
-def join_dim(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: str | Sequence[str],
-    how: str = "inner",
-    max_rows: int | None = DEFAULT_BROADCAST_ROWS,
-) -> DataFrame:
-    """fact JOIN dim, broadcasting dim only if its size is checked small."""
-    if max_rows is not None:
-        dim = maybe_broadcast(dim, max_rows)
-    return fact.join(dim, on, how)

@@ -9,15 +9,15 @@ independent of the session time zone. The exact filter on the parsed change
 time is always kept; the text filter is a redundant, necessary condition
 (fixed-width ISO text sorts like time).
 
-``watermark_value`` gives the same bound as a scalar subquery for plans that
-must stay lazy (e.g. inside a streaming micro-batch definition).
+When the target's maximum is already known (partitioned tables log it when
+they publish), ``high_watermark`` text is passed in and nothing is scanned.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.time import format_extract_at, parse_extract_at
@@ -28,26 +28,6 @@ def table_high_watermark(target: DataFrame, col: str = "extract_at") -> DataFram
     return target.agg(F.max(col).alias("high_watermark"))
 
 
-def watermark_value(target: DataFrame, col: str = "extract_at") -> Column:
-    """Scalar subquery: the newest stored change time."""
-    return target.select(F.max(col)).scalar()
-
-
-def raw_threshold(target: DataFrame, col: str = "extract_at", offset_hours: int = 0,
-                  replay_hours: int = 0) -> Column:
-    """Lower bound for the *landed* change time (UTC) of rows to re-read.
-
-    The target stores ``landed - offset``; rows whose stored time lies above
-    ``max(stored) - replay`` are selected, i.e. ``landed > max + offset - replay``.
-    Null when the target is empty.
-    """
-    wm = watermark_value(target, col)
-    delta = offset_hours - replay_hours
-    if delta:
-        wm = wm + F.make_dt_interval(F.lit(0), F.lit(delta))
-    return wm
-
-
 def threshold_text(target: DataFrame, col: str = "extract_at", offset_hours: int = 0,
                    replay_hours: int = 0) -> str | None:
     """``max(col) + offset - replay`` as fixed-width text; None if the target is empty."""

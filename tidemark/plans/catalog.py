@@ -18,11 +18,9 @@ from tidemark.config import (
     ALL_OPS,
     CUSTOMERS,
     EMPLOYEES,
-    OFFICES,
     ORDERDETAILS,
     ORDERS,
     PARTITION_COLS,
-    PRODUCTS,
     SPECS,
     UPSERT_OPS,
 )
@@ -399,5 +397,4 @@ def q_bi_amount_by_territory_city(spark, d):
 from tidemark.plans import jobs as _jobs  # noqa: E402,F401
 from tidemark.streaming import stream as _stream  # noqa: E402,F401
 
-__all__ = ["QUERIES", "query", "FEED_CUTOFF", "DETAILS_CUTOFF", "GOLD_CUTOFF",
-           "PRODUCTS", "OFFICES"]
+__all__ = ["QUERIES", "query", "FEED_CUTOFF", "DETAILS_CUTOFF", "GOLD_CUTOFF"]
