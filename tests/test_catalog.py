@@ -51,3 +51,19 @@ def test_pipeline_tables_in_catalog(spark):
     assert spark.table("ods_c.orders").count() == house.silver_table("orders").count()
     assert spark.table("ods_c.customers").count() == house.silver_table("customers").count()
     assert spark.sql("SHOW PARTITIONS raw_c.orderdetails").count() > 0
+
+
+def test_scan_slash_layout_takes_partitions_from_path(spark):
+    from pyspark.sql import functions as F
+
+    root = scratch_dir(spark, "t-slash")
+    f = feed(spark, SF_SMALL, "orders")
+    payload = bronze_schema("orders", with_partitions=False).fieldNames()
+    hours = [tuple(r) for r in f.select(*B.PARTITION_COLS).distinct().orderBy(*B.PARTITION_COLS).limit(2).collect()]
+    for y, m, d, h in hours:  # the landing service's plain YYYY/MM/DD/HH directories
+        cond = (F.col("year_stream") == y) & (F.col("month_stream") == m) & \
+               (F.col("day_stream") == d) & (F.col("hour_stream") == h)
+        f.where(cond).select(*payload).write.parquet(f"{root}/orders/{y}/{m}/{d}/{h}")
+    got = B.scan_bronze(spark, root, "orders", layout="slash")
+    want = f.where(F.struct(*B.PARTITION_COLS).isin([F.struct(*[F.lit(v) for v in hr]) for hr in hours]))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.select(*got.columns).collect()))
