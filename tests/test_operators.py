@@ -233,11 +233,13 @@ def test_results_do_not_depend_on_session_time_zone(spark):
         for zone in ("UTC", "America/New_York", "America/Sao_Paulo"):
             spark.conf.set("spark.sql.session.timeZone", zone)
             feeds._PLANS.clear()  # plans resolve time zones when analysed
+            C._PLANS.clear()
             results[zone] = {n: sorted(tuple(r) for r in C.QUERIES[n](spark, SF_SMALL).collect())
                              for n in names}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
         feeds._PLANS.clear()
+        C._PLANS.clear()
     assert results["UTC"] == results["America/New_York"] == results["America/Sao_Paulo"]
 
 

@@ -56,16 +56,32 @@ def query(name: str):
 
 # --- shared building blocks -------------------------------------------------------
 
+_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
+
+
+def _memo(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Reuse a built plan within one session (a DataFrame is an immutable plan)."""
+    key = (id(spark), d.rstrip("/"), name)
+    hit = _PLANS.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    df = build()
+    _PLANS[key] = (spark, df)
+    return df
+
+
 def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     if name == "orderdetails":
-        return silver_orderdetails(feed(spark, d, "orderdetails"), feed(spark, d, "orders"))
-    return silver(SPECS[name], feed(spark, d, name))
+        return _memo(spark, d, name, lambda: silver_orderdetails(
+            feed(spark, d, "orderdetails"), feed(spark, d, "orders")))
+    return _memo(spark, d, name, lambda: silver(SPECS[name], feed(spark, d, name)))
 
 
 def gold_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
     # The mart takes order dates from the orders table: the lines' own
     # order-date lookup is skipped here.
-    lines = silver_orderdetails(feed(spark, d, "orderdetails"), None)
+    lines = _memo(spark, d, "orderdetails_lines",
+                  lambda: silver_orderdetails(feed(spark, d, "orderdetails"), None))
     return (lines,) + tuple(silver_table(spark, d, t)
                             for t in ("orders", "customers", "employees", "offices"))
 
