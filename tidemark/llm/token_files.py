@@ -1,17 +1,10 @@
 """Token-ID files: one Zstandard frame per document, a document index and a
 trailing seek table with per-frame checksums.
 
-File layout (all integers little-endian)::
-
-    frame 0 .. frame n-1     Zstandard frames, each the ids of one document (uint32)
-    index                    skippable frame 0x184D2A50: n x (has_id u8, doc_id i64)
-    seek table               skippable frame 0x184D2A5E: n x (compressed u32,
-                             decompressed u32, XXH64 low half u32), then
-                             n u32, descriptor u8 (0x80: checksums), 0x8F92EAB1
-
-The seek table is the public seekable-Zstandard layout, so a plain Zstandard
-reader sees one stream of ids. A reader of one document fetches the two tables
-from the end of the file and decompresses that document's frame only.
+Files have the layout of :mod:`tidemark.llm.seekable`; frame i holds the ids of
+document i as little-endian uint32, and the index holds, for every document, a
+byte that says whether it has an id, and the id as i64. A reader of one document
+fetches the tables from the end of the file and decompresses that frame only.
 
 Rows are range-partitioned by ``doc_id`` and sorted, one file per partition, so
 files in number order hold the ids in ascending ``doc_id`` order.
@@ -28,20 +21,16 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-import xxhash
-import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm import tokens
+from tidemark.llm import seekable, tokens
 from tidemark.llm.common import batches, open_uri, partition_id, scratch_path, text_or_empty, write_atomically
 
-INDEX_MAGIC, SEEK_MAGIC, END_MAGIC = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1
-ENTRY, DOCUMENT, FOOTER = "<III", "<Bq", "<IBI"
-ENTRY_BYTES, DOCUMENT_BYTES, FOOTER_BYTES = map(struct.calcsize, (ENTRY, DOCUMENT, FOOTER))
+DOCUMENT = "<Bq"
 
 FILES = "number int, uri string, n_docs long, n_tokens long"
-DOCS = "doc_id long, start_in_file long, n_tokens long, ids_crc32 long, ids binary"
+DOCS = "doc_id long, start long, n_tokens long, ids_crc32 long, ids binary"
 
 
 def write_token_files(docs: DataFrame, folder: str, vocabulary: str = tokens.VOCABULARY, end_id: int = tokens.END_ID, level: int = 1) -> DataFrame:
@@ -49,30 +38,27 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = tokens.VOC
     of files (number, uri, n_docs, n_tokens, first_token), itself stored there."""
 
     def write(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, ids_of, squeeze = partition_id(), tokens.encoder(vocabulary), zstandard.ZstdCompressor(level=level)
+        number, ids_of = partition_id(), tokens.encoder(vocabulary)
         end = tokens.as_bytes([end_id])
         first = next((b for b in parts if b.num_rows), None)
         if first is None:
             return
-        table, index, total = bytearray(), bytearray(), 0
+        index, docs, total = bytearray(), 0, 0
 
         def body(out) -> None:
-            nonlocal total
+            nonlocal docs, total
+            file = seekable.Writer(out, level)
             for batch in (b for source in ([first], parts) for b in source):
                 for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     ids = tokens.encode(text, ids_of) + end
-                    frame = squeeze.compress(ids)
-                    out.write(frame)
-                    table.extend(struct.pack(ENTRY, len(frame), len(ids), xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF))
+                    file.frame(ids)
                     index.extend(struct.pack(DOCUMENT, doc_id is not None, doc_id or 0))
-                    total += len(ids) // 4
-            out.write(struct.pack("<II", INDEX_MAGIC, len(index)) + bytes(index))
-            n = len(table) // ENTRY_BYTES
-            out.write(struct.pack("<II", SEEK_MAGIC, len(table) + FOOTER_BYTES) + bytes(table) + struct.pack(FOOTER, n, 0x80, END_MAGIC))
+                    docs, total = docs + 1, total + len(ids) // 4
+            file.close(bytes(index))
 
         uri = f"{folder}/ids-{number:06d}.zst"
         write_atomically(uri, body)
-        yield from batches([(number, uri, len(table) // ENTRY_BYTES, total)], pa.schema([("number", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
+        yield from batches([(number, uri, docs, total)], pa.schema([("number", pa.int32()), ("uri", pa.string()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
 
     spark = docs.sparkSession
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
@@ -83,31 +69,6 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = tokens.VOC
     return files.withColumn("first_token", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
 
-def seek_table(handle) -> list[tuple[int | None, int, int, int, int]]:
-    """(doc_id, position, compressed, decompressed, checksum) of every frame."""
-    size = handle.size()
-    n, flags, magic = struct.unpack(FOOTER, handle.read_at(FOOTER_BYTES, size - FOOTER_BYTES))
-    if magic != END_MAGIC or flags != 0x80:
-        raise ValueError("no seek table")
-    tail = n * ENTRY_BYTES + FOOTER_BYTES
-    index_at = size - tail - 8 - n * DOCUMENT_BYTES
-    index = handle.read_at(n * DOCUMENT_BYTES, index_at)
-    table = handle.read_at(n * ENTRY_BYTES, size - tail)
-    out, at = [], 0
-    for (has_id, doc_id), (packed, full, check) in zip(struct.iter_unpack(DOCUMENT, index), struct.iter_unpack(ENTRY, table), strict=True):
-        out.append((doc_id if has_id else None, at, packed, full, check))
-        at += packed
-    return out
-
-
-def read_frame(handle, position: int, packed: int, full: int, check: int) -> bytes:
-    """One document's ids; a damaged frame is an error."""
-    ids = zstandard.ZstdDecompressor().decompress(handle.read_at(packed, position), max_output_size=full)
-    if len(ids) != full or xxhash.xxh64_intdigest(ids) & 0xFFFFFFFF != check:
-        raise ValueError(f"checksum of the frame at {position}")
-    return ids
-
-
 def read_token_files(files: DataFrame, wanted: list[int] | None = None, with_ids: bool = True) -> DataFrame:
     """Documents of the files: doc_id, start (ids of all documents before), n_tokens,
     ids_crc32 and, with ``with_ids``, the ids. ``wanted``: only these documents,
@@ -120,17 +81,18 @@ def read_token_files(files: DataFrame, wanted: list[int] | None = None, with_ids
                 for uri, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                     with open_uri(uri) as handle:
                         start = first
-                        for doc_id, *frame in seek_table(handle):
-                            n = frame[2] // 4
+                        frames, index = seekable.read_tables(handle)
+                        for frame, (has_id, number) in zip(frames, struct.iter_unpack(DOCUMENT, index), strict=True):
+                            n, doc_id = frame.full // 4, number if has_id else None
                             if some is None or doc_id in some:
-                                ids = read_frame(handle, *frame)
+                                ids = seekable.read_frame(handle, frame)
                                 yield doc_id, start, n, zlib.crc32(ids), ids if with_ids else None
                             start += n
 
         yield from batches(rows(), pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64()), ("ids", pa.binary())]), 512 if with_ids else 8192)
 
     n_files = max(1, files.count())
-    out = files.select("uri", "first_token").repartition(n_files).mapInArrow(read, DOCS.replace("start_in_file", "start"))
+    out = files.select("uri", "first_token").repartition(n_files).mapInArrow(read, DOCS)
     return out if with_ids else out.drop("ids")
 
 
