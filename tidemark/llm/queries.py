@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.near_dup import OP2_SQL, op2_near_dup
 from tidemark.llm.packing import op4_packing
 from tidemark.llm.token_files import op3_token_files
 from tidemark.llm.topk import OP1_SQL, op1_topk
@@ -14,9 +15,10 @@ from tidemark.llm.url_rules import OP7_SQL, op7_url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
+    "op2_near_dup": op2_near_dup,
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op7_url_rules": op7_url_rules,
 }
-ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
