@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.near_dup import OP2_SQL, op2_near_dup
 from tidemark.llm.packing import op4_packing
+from tidemark.llm.quality import op8_quality
 from tidemark.llm.token_files import op3_token_files
 from tidemark.llm.topk import OP1_SQL, op1_topk
 from tidemark.llm.warc import OP5_SQL, op5_warc
@@ -20,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
     "op7_url_rules": op7_url_rules,
+    "op8_quality": op8_quality,
 }
 ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
