@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.html_text import op9_html_text
 from tidemark.llm.near_dup import OP2_SQL, op2_near_dup
 from tidemark.llm.packing import op4_packing
 from tidemark.llm.quality import op8_quality
@@ -22,5 +23,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_warc": op5_warc,
     "op7_url_rules": op7_url_rules,
     "op8_quality": op8_quality,
+    "op9_html_text": op9_html_text,
 }
 ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
