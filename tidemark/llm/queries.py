@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm.html_text import op9_html_text
+from tidemark.llm.leaks import op6_leaks
 from tidemark.llm.near_dup import OP2_SQL, op2_near_dup
 from tidemark.llm.packing import op4_packing
 from tidemark.llm.quality import op8_quality
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_token_files": op3_token_files,
     "op4_packing": op4_packing,
     "op5_warc": op5_warc,
+    "op6_leaks": op6_leaks,
     "op7_url_rules": op7_url_rules,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
