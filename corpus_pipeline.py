@@ -1,27 +1,64 @@
-"""The corpus pipeline: quality, near-duplicates, benchmark leaks, packing."""
+"""The corpus pipeline: quality, near-duplicates, benchmark leaks, packing.
+
+Every stage takes what its predecessor kept; all but the last return the columns
+that they were given.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tidemark.llm import packing
+from tidemark.llm import leaks, near_dup, packing, quality
 from tidemark.llm.common import materialize
 
+#: Columns that the stages add for a while; no input column has such a name.
+SCORE, ID = "__pipeline_score", "__pipeline_doc_id"
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: documents that score under the threshold go."""
+    model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score(docs, model, SCORE).where(F.col(SCORE) >= quality.THRESHOLD).drop(SCORE)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 2: one document of each group of near-duplicates stays, that with
+    the smallest doc_id."""
+    judged = near_dup.near_duplicates(docs)
+    return without(docs, judged.where("not kept").select("doc_id"))
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 6: documents that hold a benchmark item go."""
+    found = leaks.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return without(docs, found.select("doc_id").distinct())
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` but for the ids of ``gone``; a null doc_id stays."""
+    gone = materialize(gone.withColumnRenamed("doc_id", ID), "pipeline-gone")
+    return docs.join(gone, docs["doc_id"] == gone[ID], "left_anti")
+
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: what is left as sequences of token ids."""
-    return packing.pack(docs, with_ids=True)
+    """Operator 4: what is left, as pieces of sequences with their token ids."""
+    return packing.pack(docs)
 
 
-STAGES = [("packing", pack_sequences)]
-#: Tokenizing and packing cannot be said in SQL.
+STAGES = [
+    ("quality classifier", keep_quality),
+    ("MinHash near-dedup", drop_copies),
+    ("benchmark decontamination", drop_leaks),
+    ("packing", pack_sequences),
+]
+#: Scores, alignments and token ids cannot be said in SQL.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over ``documents``, each on its predecessor's written rows."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = materialize(docs, f"stage-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from tidemark.llm.common import batches, text_or_empty
 
@@ -145,7 +146,7 @@ def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
                 values = scores(np.stack([terms(t.as_py()) for t in some.column(some.num_columns - 1)]), known)
                 yield pa.RecordBatch.from_arrays([*some.columns[:-1], pa.array(values, pa.float64())], [*names, column])
 
-    kept = docs.schema.add(column, "double")
+    kept = StructType([*docs.schema.fields, StructField(column, DoubleType())])
     return docs.withColumn(text, text_or_empty().cast("binary")).mapInArrow(run, kept)
 
 

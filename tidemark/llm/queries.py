@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.edit_counts import op10_edit_counts
 from tidemark.llm.html_text import op9_html_text
 from tidemark.llm.leaks import op6_leaks
 from tidemark.llm.near_dup import OP2_SQL, op2_near_dup
@@ -26,5 +27,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_rules": op7_url_rules,
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
+    "op10_edit_counts": op10_edit_counts,
 }
 ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
