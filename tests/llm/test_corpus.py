@@ -1,0 +1,135 @@
+"""Leaks, quality and the pipeline."""
+
+from __future__ import annotations
+
+import random
+import zlib
+
+import corpus_pipeline
+import duckdb
+from tests.llm.helpers import components, docs, edited, empty, prose
+from tidemark.llm import leaks, packing, quality, tokens
+from tidemark.llm.queries import ORACLE_SQL, QUERIES
+
+SF = "/root/testdata/sf0.001"
+ITEMS = "item_id long, text string, doc_id long, words string"
+
+
+def items(spark, rows):
+    return spark.createDataFrame([(i, t, None, None) for i, t in rows], ITEMS)
+
+
+def plain_alignment(passage, item):
+    best, table = 0, [[0] * (len(passage) + 1) for _ in range(len(item) + 1)]
+    for i, w in enumerate(item, 1):
+        for j, v in enumerate(passage, 1):
+            table[i][j] = max(0, table[i - 1][j - 1] + (leaks.MATCH if v == w else leaks.MISMATCH), table[i - 1][j] + leaks.GAP, table[i][j - 1] + leaks.GAP)
+            best = max(best, table[i][j])
+    return best
+
+
+def test_alignment_equals_the_plain_one():
+    rng = random.Random(1)
+    for _ in range(100):
+        passage, item = ([rng.choice("abcd") for _ in range(rng.randint(1, 30))] for _ in range(2))
+        assert leaks.align(passage, item) == plain_alignment(passage, item)
+
+
+def test_leaks_equal_brute_force(spark):
+    tests = [(i, prose(40, 1000 + i)) for i in range(12)] + [(50, "two words"), (51, None), (52, ""), (None, prose(40, 1)), (53, prose(40, 1003))]
+    rows = []
+    for i in range(60):
+        inside = edited(tests[i % 12][1], (i // 12) * 3, i)
+        rows.append((i, f"{prose(100, i)} {inside.upper() if i % 2 else inside} {prose(2500 if i == 7 else 60, 99 - i)}"))
+    rows += [(200 + i, prose(300, 200 + i)) for i in range(20)] + [(300, None), (301, ""), (302, "so: two, words."), (None, tests[0][1]), (303, tests[4][1]), (303, tests[5][1])]
+    got = {(r.doc_id, r.item_id): r.score for r in leaks.leaks(docs(spark, rows, "item_id long, passage string"), items(spark, tests)).collect()}
+    want = {}
+    for d, text in rows:
+        for i, item in tests:
+            words, item_words = leaks.words_of(text or ""), leaks.words_of(item or "")
+            if d is None or i is None or not item_words:
+                continue
+            score = plain_alignment(words, item_words) if len(words) < 400 else leaks.align(words, item_words)
+            if score >= leaks.MATCH * len(item_words) * (leaks.LEAST if len(item_words) >= leaks.GRAM else 1):
+                want[d, i] = score
+    assert got == want
+    assert {d for d, _ in got if 200 <= d < 300} == set()
+
+
+def test_leaks_with_empty_tables(spark):
+    some, none = docs(spark, [(1, "a b c d e f")]), empty(spark, "item_id long, text string")
+    assert leaks.leaks(some, none).count() == 0
+    assert leaks.leaks(some.limit(0), items(spark, [(1, "a b c d e f")])).count() == 0
+    assert leaks.leaks(some, items(spark, [(1, None)])).count() == 0
+
+
+def test_quality_on_held_out_documents(spark):
+    out = QUERIES["op8_quality"](spark, SF.replace("0.001", "0.1")).toPandas().set_index("doc_id")
+    known = spark.read.parquet(f"{SF.replace('0.001', '0.1')}/labels.parquet").toPandas().set_index("doc_id")
+    assert out.index.is_unique and out.score.between(0, 1).all()
+    assert all(zlib.crc32(str(i).encode()) % 4 == 2 for i in out.index[out.held_out])
+    both = out.join(known, how="inner")
+    both = both[both.held_out]
+    assert (both.predicted == both.quality).mean() > 0.97
+    assert both[both.quality == 1].predicted.mean() > 0.98
+
+
+def test_quality_defined_cases(spark):
+    rows = [(i, prose(60, i) if i % 3 else " ".join(w.upper() + "!!" for w in prose(60, i).split())) for i in range(200)]
+    odd = [(900, None), (901, ""), (902, "x" * 100_000), (None, "no id"), (3, "again")]
+    labels = spark.createDataFrame([(i, int(i % 3 > 0), 5) for i in range(200)] + [(None, 1, 5), (9999, 0, 5), (7, None, 5)], "doc_id long, quality int, score int")
+    table = docs(spark, rows + odd, "score int, quality int, __text string")
+    model = quality.learn(table, labels)
+    assert len(model.vectors) <= 200
+    out = quality.score(table, model, "s").collect()
+    assert len(out) == 205 and all(0 <= r.s <= 1 for r in out)
+    assert all((r.s >= 0.5) == (r.doc_id % 3 > 0) for r in out if r.doc_id is not None and 3 < r.doc_id < 200)
+    none = quality.learn(table, labels.limit(0))
+    assert {r.s for r in quality.score(table, none, "s").collect()} == {1.0}
+    one = quality.learn(table, labels.where("quality = 1"))
+    assert {r.s for r in quality.score(table, one, "s").collect()} == {1.0}
+    assert quality.score(table.limit(0), model, "s").count() == 0
+
+
+def test_quality_learns_nothing_from_held_out_labels(spark):
+    rows = docs(spark, [(i, prose(30, i)) for i in range(80)])
+    labels = spark.createDataFrame([(i, int(zlib.crc32(str(i).encode()) % 4 == 2)) for i in range(80)], "doc_id long, quality int")
+    assert set(quality.learn(rows, labels).labels) == {0.0}
+
+
+def test_pipeline_equals_stage_by_stage_brute_force(spark):
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    scored = quality.score(documents, quality.learn(documents, spark.read.parquet(f"{SF}/labels.parquet")), "s").toPandas()
+    good = scored[scored.s >= quality.THRESHOLD]
+    rows = list(zip(good.doc_id, good.text, strict=True))
+    rows = [(i, t) for (i, t), c in zip(sorted(rows), components(rows).values(), strict=True) if c == i]
+    tests = [leaks.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
+    clean = {i: t for i, t in rows if not any(leaks.align(leaks.words_of(t), w) >= leaks.LEAST * leaks.MATCH * len(w) for w in tests)}
+    packed = corpus_pipeline.run(spark, SF).collect()
+    ids = tokens.encoder()
+    total = {i: len(tokens.encode(t, ids)) // 4 + 1 for i, t in clean.items()}
+    got: dict[int, int] = {}
+    for p in packed:
+        got[p.doc_id] = got.get(p.doc_id, 0) + p.length
+    assert got == total
+
+
+def test_stages_keep_columns_and_take_odd_rows(spark):
+    table = docs(spark, [(1, None), (None, "a b c d e f g"), (3, prose(80, 3)), (4, prose(80, 3)), (4, prose(80, 4))], "score double, kept boolean, item_id long")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, table, SF).columns == table.columns
+        assert stage(spark, table.limit(0), SF).count() == 0
+    kept = corpus_pipeline.STAGES[1][1](spark, table, SF).collect()
+    assert sorted((r.doc_id for r in kept), key=str) == [1, 3, None]
+    assert corpus_pipeline.STAGES[3][1](spark, table.limit(0), SF).columns == packing.PIECES.replace(" long", "").replace(" binary", "").split(", ")
+
+
+def test_registered_sql(spark):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings", "pages"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
+    for name, sql in ORACLE_SQL.items():
+        want = con.sql(sql)
+        names = sorted(want.columns)
+        spark_rows = QUERIES[name](spark, SF).select(*names).collect()
+        assert sorted((tuple(r) for r in spark_rows), key=str) == sorted(want.select(*names).fetchall(), key=str), name

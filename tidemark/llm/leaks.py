@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, materialize, text_or_empty
 
-GRAM, SPAN = 4, 3
+GRAM, SPAN = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
 BLOOM_BITS = 1 << 24
