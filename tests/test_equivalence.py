@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from conftest import SF_SMALL
+import decimal
+
+import pytest
+from conftest import SF_SMALL, ts
 from pyspark.sql import functions as F
 
 from tidemark.config import ORDERS, SPECS
+from tidemark.operators.merge import DuplicateKeyError
 from tidemark.plans import catalog as C
 from tidemark.plans.jobs import Lakehouse
 from tidemark.plans.silver import silver, silver_orderdetails
+from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
+from tidemark.sources.files import Files
+from tidemark.sources.schemas import bronze_schema
 from tidemark.sources.storage import materialize, scratch_dir
 
 CUTS = ("2024-01-04 00:00:00.000000", "2024-01-09 12:00:00.000000")
@@ -70,16 +77,31 @@ def test_stream_equals_batch(spark):
     assert got == rows(silver(ORDERS, feed(spark, SF_SMALL, "orders")))
 
 
-def test_incremental_run_rewrites_only_touched_partitions(spark):
-    import decimal
+def _line(order, extract_at, product=1, number=99):
+    return ("I", extract_at, order, product, 1, decimal.Decimal("1.00"), number)
+
+
+def _lines(spark, *rows):
+    return spark.createDataFrame(list(rows), bronze_schema("orderdetails", with_partitions=False))
+
+
+def _orders(spark, *rows):
+    """(op, extract_at, ordernumber, order date, customer)"""
+    schema = bronze_schema("orders", with_partitions=False)
+    full = [{"op": o, "extract_at": at, "ordernumber": n, "orderdate": None if d is None else ts(d), "customernumber": c}
+            for o, at, n, d, c in rows]
+    return spark.createDataFrame([tuple(r.get(f.name) for f in schema.fields) for r in full], schema)
+
+
+def _keys(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect())
 
-    from tidemark.sources import bronze as B
-    from tidemark.sources.schemas import bronze_schema
 
+def test_incremental_run_rewrites_only_touched_partitions(spark):
     house = Lakehouse(spark, scratch_dir(spark, "t-part"), partition_grain="month")
-    house.land(SF_SMALL, ["orders", "orderdetails"])
-    house.run_silver(["orders", "orderdetails"])
-    table = house._partitioned("orderdetails")
+    for t in ("orders", "orderdetails"):
+        house.merge(t, house.batch(t, feed(spark, SF_SMALL, t)))
+    table = house.stored("orderdetails")
 
     def files():
         return {(r.p, r.f) for r in table.read().select(
@@ -87,10 +109,8 @@ def test_incremental_run_rewrites_only_touched_partitions(spark):
 
     before, n_before = files(), table.read().count()
     some = house.silver_table("orders").orderBy("ordernumber").limit(3).collect()
-    new = spark.createDataFrame(
-        [("I", "2030-01-01 00:00:00.000000", o.ordernumber, 1, 1, decimal.Decimal("1.00"), 99) for o in some],
-        bronze_schema("orderdetails", with_partitions=False))
-    B.land_hourly(new, house.bronze_root, "orderdetails")
+    B.land_hourly(_lines(spark, *(_line(o.ordernumber, "2030-01-01 00:00:00.000000") for o in some)),
+                  house.bronze_root, "orderdetails")
     house.run_silver(["orderdetails"])
 
     touched = {o.orderdate.strftime("%Y%m") for o in some}
@@ -98,26 +118,94 @@ def test_incremental_run_rewrites_only_touched_partitions(spark):
     kept = {pf for pf in before if pf[0] not in touched}
     assert len({p for p, _ in before}) > len(touched)
     assert kept and kept <= after  # untouched partitions keep their files
+    assert len(after) == len({p for p, _ in after})  # one file in each
     assert table.read().count() == n_before + 3
-    # The publish log carries the table's high watermark (no scan needed).
-    from tidemark.functions.time import format_extract_at
-    real = table.read().agg(format_extract_at(F.max("extract_at")).alias("m")).first()["m"]
-    assert table.high_watermark() == real == "2030-01-01 00:00:00.000000"
-
-
-def test_interrupted_publish_is_completed_before_reading(spark):
-    from pyspark.sql import types as T
-
-    from tidemark.sources.storage import PartitionedTable
-
-    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("v", T.StringType()),
-                           T.StructField("p", T.StringType())])
-    table = PartitionedTable(spark, scratch_dir(spark, "t-recover"), schema, "p")
-    table.overwrite_partitions(spark.createDataFrame([(1, "a", "x"), (2, "b", "y")], schema))
-    # A run that staged partition y and died before publishing it:
-    staging = f"{table.path}/_staging/crashed"
-    spark.createDataFrame([(2, "B", "y")], schema).write.partitionBy("p").parquet(staging)
-    table._mark(staging, "staged")
-    assert sorted(map(tuple, table.read().collect())) == [(1, "a", "x"), (2, "B", "y")]
-    # Recovery happens once: the log now ends with "published".
-    assert table._last_mark().state == "published"
+    assert table.high_watermark() == "2030-01-01 00:00:00.000000"
+
+
+def test_keys_that_move_leave_no_row_behind(spark):
+    house = Lakehouse(spark, scratch_dir(spark, "t-move"))  # hour partitions
+    B.land_hourly(_lines(spark, _line(1, "2024-01-01 05:00:00.000000")), house.bronze_root, "orderdetails")
+    house.run_silver(["orderdetails"])
+    assert _keys(house.silver_table("orderdetails"), "ordernumber", "orderdate") == [(1, None)]
+    B.land_hourly(_orders(spark, ("I", "2024-01-01 06:00:00.000000", 1, "2024-01-01 12:00:00", 7)), house.bronze_root, "orders")
+    B.land_hourly(_lines(spark, _line(1, "2024-01-01 07:00:00.000000")), house.bronze_root, "orderdetails")
+    house.run_silver(["orders", "orderdetails"])
+    B.land_hourly(_orders(spark, ("U", "2024-01-02 06:00:00.000000", 1, "2024-01-03 12:00:00", 7)), house.bronze_root, "orders")
+    B.land_hourly(_lines(spark, _line(1, "2024-01-02 07:00:00.000000")), house.bronze_root, "orderdetails")
+    house.run_silver(["orders", "orderdetails"])
+    moved = ts("2024-01-03 09:00:00")
+    assert _keys(house.silver_table("orders"), "ordernumber", "orderdate") == [(1, moved)]
+    assert _keys(house.silver_table("orderdetails"), "ordernumber", "orderdate") == [(1, moved)]
+    assert house.stored("orders").partitions() == house.stored("orderdetails").partitions() == ["2024010309"]
+
+
+def test_stream_breaks_ties_as_batch_does(spark):
+    tie = "2024-01-01 05:00:00.000000"
+    delete, update = ("D", tie, 1, "2024-01-01 12:00:00", 1), ("U", tie, 1, "2024-01-01 12:00:00", 2)
+    want = [r.customernumber for r in silver(ORDERS, _orders(spark, delete, update)).collect()]
+    for order in ([delete, update], [update, delete]):
+        house = Lakehouse(spark, scratch_dir(spark, "t-tie"))
+        for change in order:
+            house.merge("orders", house.batch("orders", _orders(spark, change)), newer_only=True)
+        assert [r.customernumber for r in house.silver_table("orders").collect()] == want == [1]
+
+
+def test_interrupted_run_is_repeated(spark, monkeypatch):
+    """A run that dies after the rows and before the progress changes nothing for good."""
+    house = Lakehouse(spark, scratch_dir(spark, "t-dies"))
+    B.land_hourly(_orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-01 12:00:00", 7)), house.bronze_root, "orders")
+    house.run_silver(["orders"])
+    B.land_hourly(_orders(spark, ("U", "2024-01-05 05:00:00.000000", 1, "2024-02-01 12:00:00", 8),
+                          ("I", "2024-01-05 06:00:00.000000", 2, "2024-02-02 12:00:00", 9)), house.bronze_root, "orders")
+    with monkeypatch.context() as m:
+        m.setattr(Files, "write_text", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            house.run_silver(["orders"])
+    house.run_silver(["orders"])
+    assert _keys(house.silver_table("orders"), "ordernumber", "customernumber") == [(1, 8), (2, 9)]
+    assert house.stored("orders").high_watermark() == "2024-01-05 03:00:00.000000"
+
+
+def test_damaged_progress_fails_the_run(spark):
+    house = Lakehouse(spark, scratch_dir(spark, "t-damaged"))
+    B.land_hourly(_orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-01 12:00:00", 7)), house.bronze_root, "orders")
+    house.run_silver(["orders"])
+    store = house.stored("orders")
+    store.files.write_text(store._progress(), "garbage")
+    with pytest.raises(ValueError, match="damaged"):
+        house.run_silver(["orders"])
+
+
+def test_ambiguous_batch_is_refused(spark):
+    house = Lakehouse(spark, scratch_dir(spark, "t-ambiguous"))
+    batch = house.batch("orders", _orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-01 12:00:00", 7)))
+    with pytest.raises(DuplicateKeyError):
+        house.merge("orders", batch.union(batch))
+
+
+def test_full_refresh_removes_what_a_bad_load_left(spark):
+    house = Lakehouse(spark, scratch_dir(spark, "t-refresh"))
+    B.land_hourly(_orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-01 12:00:00", 7)), house.bronze_root, "orders")
+    house.merge("orders", house.batch("orders", _orders(spark, ("I", "2031-01-01 05:00:00.000000", 5, "2031-01-01 12:00:00", 7))))
+    house.run_silver(["orders"])  # the bad load's watermark hides everything
+    assert _keys(house.silver_table("orders"), "ordernumber") == [(5,)]
+    house.run_silver(["orders"], full_refresh=True)
+    assert _keys(house.silver_table("orders"), "ordernumber") == [(1,)]
+    assert house.stored("orders").partitions() == ["2024010109"]
+    assert house.stored("orders").high_watermark() == "2024-01-01 02:00:00.000000"
+
+
+def test_gold_increment_reads_only_new_orders_lines_and_recompute_takes_late_ones(spark):
+    house = Lakehouse(spark, scratch_dir(spark, "t-gold"), partition_grain="month")
+    for t in ("customers", "employees", "offices", "orders"):
+        house.merge(t, house.batch(t, feed(spark, SF_SMALL, t)))
+    lines = feed(spark, SF_SMALL, "orderdetails")
+    house.merge("orderdetails", house.batch("orderdetails", lines.where(F.col("extract_at") <= LINE_CUTS[1])))
+    house.run_gold()
+    first = rows(house.mart())
+    house.merge("orderdetails", house.batch("orderdetails", lines))
+    house.run_gold()  # late lines of old dates are not read again
+    assert set(first) <= set(rows(house.mart()))
+    house.run_gold(recompute_from="1900-01-01 00:00:00")
+    assert rows(house.mart()) == rows(C.QUERIES["gold_sales_dataset"](spark, SF_SMALL))

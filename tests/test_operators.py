@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.config import CUSTOMERS, EMPLOYEES, OFFICES, ORDERS
 from tidemark.functions.scalar import blank_to_null, sale_bucket
 from tidemark.functions.time import parse_extract_at, partition_values
-from tidemark.operators.merge import DuplicateKeyError, assert_unique_keys, upsert
+from tidemark.operators.merge import DuplicateKeyError, assert_unique_keys, newer_source, upsert
 from tidemark.plans.gold import gold_sales
 from tidemark.plans.silver import silver, silver_batch, silver_orderdetails
 
@@ -162,6 +162,7 @@ def test_newer_only_guard_ignores_replayed_old_images(bronze):
     # ... a replayed micro-batch (no watermark) needs the guard.
     rows = silver_batch(ORDERS, old_batch)
     guard = ["extract_at"] + ORDERS.tiebreak
+    assert newer_source(new, rows, ORDERS.keys, guard).count() == 0
     assert [r.customernumber for r in upsert(new, rows, ORDERS.keys, newer_only=guard).collect()] == [2]
     assert [r.customernumber for r in upsert(new, rows, ORDERS.keys).collect()] == [1]
 
@@ -220,11 +221,62 @@ def test_backfill_lands_once(spark):
         ("2026", "01", "01", "00")
 
 
+def test_landing_the_same_hours_again_changes_nothing(spark, bronze):
+    from tidemark.sources import bronze as B
+    from tidemark.sources.storage import scratch_dir
+
+    root = scratch_dir(spark, "t-land")
+    rows = bronze("orders", [order("I", "2024-01-01 10:00:00.000000", num=n) for n in (1, 2)]
+                  + [order("I", "2026-01-01 03:10:00.000000", num=3)])  # one in the full-load hour
+    for _ in range(2):
+        B.land_hourly(rows, root, "orders", replace=True)
+    assert sorted(r.ordernumber for r in B.scan_bronze(spark, root, "orders").collect()) == [1, 2, 3]
+
+
+def test_backfill_that_died_before_its_manifest_adds_nothing(spark, bronze):
+    from tidemark.sources import bronze as B
+    from tidemark.sources.storage import scratch_dir
+
+    root = scratch_dir(spark, "t-died")
+    rows = bronze("orders", [order("I", "2024-01-01 10:00:00.000000", num=n) for n in (1, 2)])
+    B.drop_full_load(rows, root, "orders")
+    for _ in range(2):  # another manifest each time: the first was lost
+        B.backfill(spark, root, "orders", scratch_dir(spark, "t-manifest"))
+    assert B.scan_bronze(spark, root, "orders").count() == 2
+
+
+def test_scan_since_keeps_full_loads_and_lists_no_older_hour(spark, bronze):
+    from tidemark.sources import bronze as B
+    from tidemark.sources.storage import scratch_dir
+
+    root = scratch_dir(spark, "t-since")
+    times = ["2023-12-31 10", "2024-01-30 10", "2024-02-10 10", "2024-02-10 23", "2024-02-11 01", "2024-03-01 10", "2025-01-01 10", "2026-07-01 10"]
+    B.land_hourly(bronze("orders", [order("I", f"{t}:00:00.000000", num=n) for n, t in enumerate(times)]), root, "orders")
+    B.drop_full_load(bronze("orders", [order("I", "2026-07-02 10:00:00.000000", num=90), order("I", "2020-07-02 10:00:00.000000", num=91)]), root, "orders")
+    B.backfill(spark, root, "orders", scratch_dir(spark, "t-manifest"))
+    got = B.scan_bronze(spark, root, "orders", since="2024-02-10 22:00:00.000000")
+    assert sorted(r.ordernumber for r in got.collect()) == [3, 4, 5, 6, 7, 90]
+    assert not any("month_stream=01/day_stream=30" in f or "year_stream=2023" in f for f in got.inputFiles())
+    late = B.scan_bronze(spark, root, "orders", since="2026-06-01 00:00:00.000000")
+    assert sorted(r.ordernumber for r in late.collect()) == [7, 90]  # a full load is never pruned by its partition
+    assert B.scan_bronze(spark, root, "customers", since="2024-01-01 00:00:00.000000").count() == 0
+
+
+def test_shared_folder_is_needed_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark.sources.storage import shared_root
+
+    none = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                           sparkContext=SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_root(none)
+
+
 def test_results_do_not_depend_on_session_time_zone(spark):
     from conftest import SF_SMALL
 
     from tidemark.plans import catalog as C
-    from tidemark.sources import feeds
 
     names = ("bronze_partition_values", "silver_orders", "gold_sales_dataset", "calendar_attributes")
     results = {}
@@ -232,14 +284,10 @@ def test_results_do_not_depend_on_session_time_zone(spark):
     try:
         for zone in ("UTC", "America/New_York", "America/Sao_Paulo"):
             spark.conf.set("spark.sql.session.timeZone", zone)
-            feeds._PLANS.clear()  # plans resolve time zones when analysed
-            C._PLANS.clear()
             results[zone] = {n: sorted(tuple(r) for r in C.QUERIES[n](spark, SF_SMALL).collect())
                              for n in names}
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
-        feeds._PLANS.clear()
-        C._PLANS.clear()
     assert results["UTC"] == results["America/New_York"] == results["America/Sao_Paulo"]
 
 

@@ -55,12 +55,21 @@ def test_no_python_udf_in_any_plan(spark):
 
 
 def test_incremental_scan_is_pruned_and_pushed(spark):
-    house = Lakehouse(spark, scratch_dir(spark, "t-lh"))
-    house.land(SF_SMALL, ["orders"])
-    house.run_silver(["orders"])
-    p = _explain(house.bronze("orders", house.silver_table("orders")), "formatted")
-    assert re.search(r"PartitionFilters: \[.*>= \d{10}", p)
+    house = Lakehouse(spark, scratch_dir(spark, "t-lh"), partition_grain="month")
+    house.land(SF_SMALL, ["customers"])
+    house.run_silver(["customers"])
+    df = house.bronze("customers", house.stored("customers").high_watermark())
+    p = _explain(df, "formatted")
     assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(extract_at,", p)
+    assert len(df.inputFiles()) < len(house.bronze("customers").inputFiles())
+
+
+def test_gold_increment_cuts_lines_before_the_aggregate(spark):
+    inputs = C.gold_inputs(spark, SF_SMALL)
+    target = G.gold_sales(*inputs).limit(1)
+    p = _explain(G.gold_batch(*inputs, target=target, high_watermark="1998-01-01 00:00:00.000000"), "simple")
+    aggregate = p.index("partial_sum(CASE") if "partial_sum(CASE" in p else p.index("partial_count")
+    assert "LeftSemi" in p[aggregate:]
 
 
 def test_op_filter_pushed_to_landed_scan(spark):

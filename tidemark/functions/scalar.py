@@ -57,12 +57,3 @@ def sale_bucket(amount: str | Column) -> Column:
 def line_amount(quantity: str | Column, price: str | Column) -> Column:
     """quantity * price computed exactly in decimal, stored as double."""
     return (_c(quantity) * _c(price)).cast("double")
-
-
-def exact_money_sum(c: str | Column) -> Column:
-    """Order-independent sum of money held as double.
-
-    Summing doubles depends on the order rows arrive in; the cents are summed
-    as decimals and the total is converted back to double once.
-    """
-    return F.sum(_c(c).cast("decimal(18,2)"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.operators.cdc import latest_per_key
@@ -67,37 +67,47 @@ def upsert(
     return untouched.unionByName(source)
 
 
-# Touched partitions are listed on the driver (values like '2024011310', one
-# per partition, not per row) so the target scan is pruned at planning time.
-# Beyond this many, the semi join below selects them without pruning.
-MAX_LISTED_PARTITIONS = 100_000
+def newer_source(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """The source rows that beat the target's image of their key under ``order``
+    (newest first); on a full tie the source wins. Reads only the source's keys
+    of the target."""
+    cols = source.columns
+    held = target.select(*cols).join(source.select(*keys), list(keys), "left_semi").withColumn("_side", F.lit(0))
+    both = held.select(*cols, "_side").unionByName(source.withColumn("_side", F.lit(1)))
+    winners = latest_per_key(both, keys, ts=order[0], tiebreak=[*order[1:], "_side"], op_col=None)
+    return winners.where(F.col("_side") == 1).select(*cols)
 
 
 def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                      partition_col: str, newer_only: Sequence[str] | None = None) -> DataFrame:
-    """Merged content of the partitions a merge touches (and only those).
-
-    Touched partitions are those of the source rows plus those where the
-    target holds a key the source replaces (a key may move to another
-    partition); finding the latter reads only the key columns of the target.
-    The touched values become a literal ``IN`` filter on the partition
-    column, so only those partitions are read in full.
-    Write the result with ``PartitionedTable.overwrite_partitions``.
+                      partition_col: str, movable: bool = True) -> tuple[DataFrame, list]:
+    """Merged content of the partitions that a merge touches, and the partitions
+    that it leaves without rows.
+
+    Touched are the partitions of the source rows and, where a key may move to
+    another partition (``movable``), those where the target holds a key of the
+    source; finding them reads the target's key columns. They become a literal
+    ``IN`` filter, so only they are read in full; the list is never longer than the
+    table's partition listing. ``source`` is read several times: pass a written
+    table.
     """
     if target is None:
-        return source
+        return source, []
     p = partition_col
     skeys = source.select(*keys)
-    moved = target.select(*keys, p).join(skeys, list(keys), "left_semi").select(p)
-    touched = source.select(p).unionByName(moved).distinct()
-    values = [r[0] for r in touched.limit(MAX_LISTED_PARTITIONS + 1).collect()]
-    if len(values) <= MAX_LISTED_PARTITIONS:
-        present = [v for v in values if v is not None]
-        cond = F.col(p).isin(present) if present else F.lit(False)
-        if len(present) < len(values):
-            cond = cond | F.col(p).isNull()
-        affected = target.where(cond)
-    else:
-        affected = target.join(touched.withColumnRenamed(p, "_p"),
-                               target[p].eqNullSafe(F.col("_p")), "left_semi")
-    return upsert(affected, source, keys, newer_only=newer_only)
+    new = {r[0] for r in source.select(p).distinct().collect()}
+    old = set()
+    if movable:
+        held = target.select(*keys, p)
+        old = {r[0] for r in held.join(skeys, list(keys), "left_semi").select(p).distinct().collect()} - new
+    affected = target.where(partition_in(p, new | old))
+    emptied = []
+    if old:
+        left = target.select(*keys, p).where(partition_in(p, old)).join(skeys, list(keys), "left_anti")
+        emptied = sorted(old - {r[0] for r in left.select(p).distinct().collect()}, key=str)
+    return upsert(affected, source, keys), emptied
+
+
+def partition_in(col: str, values: set) -> Column:
+    present = sorted(v for v in values if v is not None)
+    cond = F.col(col).isin(present) if present else F.lit(False)
+    return cond | F.col(col).isNull() if None in values else cond

@@ -30,7 +30,7 @@ from tidemark.operators.cdc import cdc_filter, latest_per_key, op_rank
 from tidemark.operators.merge import upsert
 from tidemark.operators.watermark import above_watermark, table_high_watermark
 from tidemark.plans import gold as G
-from tidemark.plans.silver import latest_orders, silver, silver_batch, silver_orderdetails
+from tidemark.plans.silver import latest_lines, latest_orders, silver, silver_batch, silver_orderdetails
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
 from tidemark.sources.schemas import BRONZE_PAYLOAD
@@ -56,34 +56,16 @@ def query(name: str):
 
 # --- shared building blocks -------------------------------------------------------
 
-_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
-
-
-def _memo(spark: SparkSession, d: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse a built plan within one session (a DataFrame is an immutable plan)."""
-    key = (id(spark), d.rstrip("/"), name)
-    hit = _PLANS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = build()
-    _PLANS[key] = (spark, df)
-    return df
-
-
 def silver_table(spark: SparkSession, d: str, name: str) -> DataFrame:
     if name == "orderdetails":
-        return _memo(spark, d, name, lambda: silver_orderdetails(
-            feed(spark, d, "orderdetails"), feed(spark, d, "orders")))
-    return _memo(spark, d, name, lambda: silver(SPECS[name], feed(spark, d, name)))
+        return silver_orderdetails(feed(spark, d, "orderdetails"), feed(spark, d, "orders"))
+    return silver(SPECS[name], feed(spark, d, name))
 
 
 def gold_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
-    # The mart takes order dates from the orders table: the lines' own
-    # order-date lookup is skipped here.
-    lines = _memo(spark, d, "orderdetails_lines",
-                  lambda: silver_orderdetails(feed(spark, d, "orderdetails"), None))
-    return (lines,) + tuple(silver_table(spark, d, t)
-                            for t in ("orders", "customers", "employees", "offices"))
+    # The mart takes order dates from the orders table; the lines come without.
+    return (latest_lines(feed(spark, d, "orderdetails")),) + tuple(
+        silver_table(spark, d, t) for t in ("orders", "customers", "employees", "offices"))
 
 
 def raw_tiebreak(table: str) -> list[str]:
@@ -124,9 +106,12 @@ def q_bronze_scan(spark, d):
 
 @query("bronze_partition_inventory")
 def q_bronze_partition_inventory(spark, d):
-    root = scratch_dir(spark, "bronze")
-    B.land_hourly(feed(spark, d, "orders"), root, "orders")
-    return B.partition_inventory(B.scan_bronze(spark, root, "orders"), "orders")
+    root, out = scratch_dir(spark, "bronze"), None
+    for t in SPECS:
+        B.land_hourly(feed(spark, d, t), root, t)
+        one = B.partition_inventory(B.scan_bronze(spark, root, t), t)
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("bronze_backfill_fixed_partition")
@@ -139,6 +124,22 @@ def q_bronze_backfill(spark, d):
     return B.scan_bronze(spark, root, "products")
 
 
+@query("bronze_backfill_to_silver")
+def q_bronze_backfill_to_silver(spark, d):
+    """A full load that arrives when the table's watermark is later than the fixed
+    partition: its rows must reach silver by their own change times."""
+    house = _jobs.Lakehouse(spark, scratch_dir(spark, "late-load"), partition_grain="month")
+    f = feed(spark, d, "products")
+    later = f.withColumn("extract_at", F.regexp_replace("extract_at", "^2024", "2026"))
+    early, rest = later.where("extract_at <= '2026-01-03'"), later.where("extract_at > '2026-01-03'")
+    B.land_hourly(early.drop(*PARTITION_COLS), house.bronze_root, "products", replace=True)
+    house.run_silver(["products"])
+    B.drop_full_load(rest, house.bronze_root, "products")
+    B.backfill(spark, house.bronze_root, "products", f"{house.root}/manifest")
+    house.run_silver(["products"])
+    return house.silver_table("products")
+
+
 @query("partition_transform_hour")
 def q_partition_transform_hour(spark, d):
     o = silver_table(spark, d, "orders")
@@ -157,8 +158,12 @@ def q_partition_transform_month(spark, d):
 
 @query("lineage_constants")
 def q_lineage_constants(spark, d):
-    return feed(spark, d, "orders").select("ordernumber", "extract_at",
-                                          *S.lineage_constants("orders"))
+    out = None
+    for t, spec in SPECS.items():
+        key = F.concat_ws("/", *[F.col(k).cast("string") for k in spec.keys]).alias("key")
+        one = feed(spark, d, t).select(key, "extract_at", *S.lineage_constants(t))
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 @query("null_default_salesrep")
@@ -375,9 +380,42 @@ def q_silver_orders_incremental(spark, d):
 def q_silver_orderdetails_incremental(spark, d):
     f = feed(spark, d, "orderdetails")
     orders = feed(spark, d, "orders")
-    target = materialize(silver_orderdetails(_before(f, DETAILS_CUTOFF), orders), "target")
-    return silver_orderdetails(f, orders, target)
-
+    dates = materialize(silver(ORDERS, orders).select("ordernumber", "orderdate"), "dates")
+    target = materialize(silver_orderdetails(_before(f, DETAILS_CUTOFF), orders, dates=dates), "target")
+    return silver_orderdetails(f, orders, target, dates=dates)
+
+
+@query("merge_moved_partition")
+def q_merge_moved_partition(spark, d):
+    """Stored merges in which keys move to other partitions: lines land before
+    their orders (null dates) and orders change their dates between runs."""
+    house = _jobs.Lakehouse(spark, scratch_dir(spark, "moved"), partition_grain="month")
+    orders, lines = feed(spark, d, "orders"), feed(spark, d, "orderdetails")
+    days = F.expr("INTERVAL 40 DAYS") * (F.col("ordernumber") % 3).cast("int")
+    moved = _before(orders, FEED_CUTOFF).withColumn("orderdate", F.col("orderdate") - days)
+    runs = [
+        ("orderdetails", _before(lines, DETAILS_CUTOFF)),
+        ("orders", moved),
+        # The same changes again, later and with the true dates.
+        ("orders", orders.withColumn("extract_at", F.regexp_replace("extract_at", "^2024-01", "2024-05"))),
+        ("orderdetails", lines.withColumn("extract_at", F.regexp_replace("extract_at", "^1", "2"))),
+    ]
+    for table, changes in runs:
+        house.merge(table, house.batch(table, changes))
+    o = house.silver_table("orders").select(F.lit("orders").alias("dataset"), "ordernumber", F.lit(0).cast("long").alias("productcode"), F.lit(0).cast("long").alias("orderlinenumber"), "orderdate")
+    od = house.silver_table("orderdetails").select(F.lit("orderdetails").alias("dataset"), "ordernumber", F.col("productcode").cast("long").alias("productcode"), F.col("orderlinenumber").cast("long").alias("orderlinenumber"), "orderdate")
+    return o.unionByName(od)
+
+
+@query("silver_orders_full_refresh")
+def q_silver_orders_full_refresh(spark, d):
+    """A table loaded wrongly, then built anew from everything that landed."""
+    house = _jobs.Lakehouse(spark, scratch_dir(spark, "refresh"), partition_grain="month")
+    house.land(d, ["orders"])
+    bad = feed(spark, d, "orders").withColumn("orderdate", F.col("orderdate") + F.expr("INTERVAL 900 DAYS"))
+    house.merge("orders", house.batch("orders", bad.withColumn("extract_at", F.lit("2031-01-01 00:00:00.000000"))))
+    house.run_silver(["orders"], full_refresh=True)
+    return house.silver_table("orders")
 
 # --- gold ---------------------------------------------------------------------------
 
@@ -394,6 +432,15 @@ def q_gold_sales_incremental(spark, d):
     return G.gold_sales(od, o, c, e, off, target=target)
 
 
+@query("gold_recompute_late")
+def q_gold_recompute_late(spark, d):
+    """A mart built before the late lines came, its dates from the cut on anew."""
+    od, o, c, e, off = gold_inputs(spark, d)
+    early = latest_lines(_before(feed(spark, d, "orderdetails"), DETAILS_CUTOFF))
+    target = materialize(G.gold_sales(early, o, c, e, off), "target")
+    return G.gold_recompute(od, o, c, e, off, target, GOLD_CUTOFF)
+
+
 @query("bi_quantity_by_country")
 def q_bi_quantity_by_country(spark, d):
     return G.bi_quantity_by_country(G.gold_sales(*gold_inputs(spark, d)))

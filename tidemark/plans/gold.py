@@ -89,6 +89,8 @@ def sales_lines(details: DataFrame, orders: DataFrame, customers: DataFrame,
     o = orders.select("ordernumber", "orderdate", "customernumber")
     if target is not None:
         o = above_time(o, "orderdate", target, "calendar_sales_date", high_watermark)
+        # Only the lines of the new orders are aggregated.
+        details = details.join(o.select("ordernumber"), "ordernumber", "left_semi")
     enriched = o.join(customer_offices(customers, employees, offices), "customernumber")
     return unpivot_buckets(order_line_totals(details).join(enriched, "ordernumber"))
 
@@ -128,6 +130,17 @@ def gold_sales(details: DataFrame, orders: DataFrame, customers: DataFrame,
     return upsert(target.select(*GOLD_COLUMNS), batch, GOLD_KEYS)
 
 
+def gold_recompute(details: DataFrame, orders: DataFrame, customers: DataFrame,
+                   employees: DataFrame, offices: DataFrame, target: DataFrame, since: str) -> DataFrame:
+    """The mart with every order date from ``since`` on built anew, so that lines
+    and orders that came late or changed count; earlier dates stay as they are."""
+    start = F.lit(since).cast("timestamp_ntz")
+    recent = orders.where(F.col("orderdate") >= start)
+    lines = details.join(recent.select("ordernumber"), "ordernumber", "left_semi")
+    kept = target.select(*GOLD_COLUMNS).where(F.col("calendar_sales_date") < start)
+    return kept.unionByName(gold_batch(lines, recent, customers, employees, offices))
+
+
 # --- dashboard aggregates ------------------------------------------------------
 
 def bi_quantity_by_country(mart: DataFrame) -> DataFrame:

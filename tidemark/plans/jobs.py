@@ -2,13 +2,15 @@
 
 Each step reads back what the previous one wrote (``sources.storage``), so a
 failed step can be rerun alone and a rerun of a finished batch changes
-nothing. Silver scans are pruned to the landing hours at or above each
+nothing. Silver scans list only the landing hours at or above each
 table's watermark (minus its replay window); merges into the hour- and
 month-partitioned tables rewrite only the partitions a batch touches.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,19 +18,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import GOLD_KEYS, LOCAL_OFFSET_HOURS, SPECS
-from tidemark.functions.time import time_key
-from tidemark.operators.merge import upsert_partitions
-from tidemark.operators.watermark import shift_text, threshold_text
-from tidemark.plans.gold import gold_batch
-from tidemark.plans.silver import silver, silver_batch, silver_orderdetails_batch, with_partition
+from tidemark.functions.time import format_extract_at, time_key
+from tidemark.operators.merge import assert_unique_keys, newer_source, upsert_partitions
+from tidemark.operators.watermark import shift_text
+from tidemark.plans.gold import gold_batch, gold_recompute
+from tidemark.plans.silver import silver_batch, silver_orderdetails_batch, with_partition
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
-from tidemark.sources.schemas import GOLD_SCHEMA, silver_schema
-from tidemark.sources.storage import PartitionedTable, TableStore, scratch_dir
+from tidemark.sources.schemas import GOLD_SCHEMA, create_table_ddl, silver_schema
+from tidemark.sources.storage import StoredTable, materialize, scratch_dir
 
 SILVER_TABLES = ("customers", "employees", "offices", "orders", "products", "orderdetails")
 GOLD_INPUTS = ("orderdetails", "orders", "customers", "employees", "offices")
 MART_PARTITION = "sales_month"
+WHOLE = "part"  # constant partition of the dimension tables
 
 
 class Lakehouse:
@@ -36,137 +39,185 @@ class Lakehouse:
 
     Orders and order lines are partitioned by the hour of the order date and
     the mart by month, as in the table DDL; a run rewrites only the
-    partitions its batch touches. The four small dimension tables are
-    rewritten as new versions.
+    partitions its batch touches. The small dimension tables are one partition
+    each.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_grain: str = "hour"):
+    def __init__(self, spark: SparkSession, root: str, partition_grain: str = "hour", layout: str = "kv"):
         """``partition_grain`` of orders and order lines: ``hour`` (the table
         DDL; right when an hour holds enough data and a batch touches few
-        hours), ``day`` or ``month`` for sparse histories."""
+        hours), ``day`` or ``month`` for sparse histories. ``layout`` of the
+        landed hours: see ``scan_bronze``."""
         self.spark = spark
         self.root = root.rstrip("/")
         self.grain = partition_grain
+        self.layout = layout
         self.bronze_root = f"{self.root}/bronze"
-        self.silver = TableStore(spark, f"{self.root}/silver")
-        self.gold = PartitionedTable(
+        self.gold = StoredTable(
             spark, f"{self.root}/gold/sales_dataset",
             T.StructType(GOLD_SCHEMA.fields + [T.StructField(MART_PARTITION, T.StringType())]),
             MART_PARTITION)
 
-    def _partitioned(self, table: str) -> PartitionedTable | None:
+    def stored(self, table: str) -> StoredTable:
+        """The silver table as stored: its columns, the operation rank of each row's
+        image and the partition value."""
         spec = SPECS[table]
-        if spec.partition is None:
-            return None
-        col = spec.partition[0]
-        schema = T.StructType(silver_schema(table).fields + [T.StructField(col, T.StringType())])
-        return PartitionedTable(self.spark, f"{self.root}/silver/{table}", schema, col)
+        col = spec.partition[0] if spec.partition else WHOLE
+        schema = T.StructType(silver_schema(table).fields
+                              + [T.StructField("_op", T.IntegerType()), T.StructField(col, T.StringType())])
+        return StoredTable(self.spark, f"{self.root}/silver/{table}", schema, col)
 
     # -- bronze -------------------------------------------------------------------
     def land(self, sf_dir: str, tables: Sequence[str] = SILVER_TABLES) -> None:
+        """Land the feeds that the test tables stand for (rerun-safe)."""
         for t in tables:
-            B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t)
+            B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t, replace=True)
 
-    def bronze(self, table: str, target: DataFrame | None, high_watermark: str | None = None) -> DataFrame:
-        """Landed changes of ``table``, pruned to the hours the next run can need."""
+    def register_hour(self, run_at: dt.datetime, overrides: dict | None = None, database: str = "raw") -> None:
+        """The scheduled bronze step: register the run's landing hour of every table."""
+        for t in SILVER_TABLES:
+            B.activate_partition(self.spark, self.bronze_root, t, run_at, overrides, database, self.layout)
+
+    def bronze(self, table: str, high_watermark: str | None = None) -> DataFrame:
+        """Landed changes of ``table``; with a watermark, of the hours that the next
+        run can need."""
         since = None
-        if target is not None:
+        if high_watermark is not None:
             spec = SPECS[table]
             offset = LOCAL_OFFSET_HOURS if spec.shift_ts else 0
-            if high_watermark is not None:
-                text = shift_text(high_watermark, offset - spec.replay_hours)
-            else:
-                text = threshold_text(target, "extract_at", offset, spec.replay_hours)
-            if text is not None:
-                since = F.lit(text).cast("timestamp_ntz")
-        return B.scan_bronze(self.spark, self.bronze_root, table, since=since)
+            since = shift_text(high_watermark, offset - spec.replay_hours)
+        return B.scan_bronze(self.spark, self.bronze_root, table, since=since, layout=self.layout)
 
     # -- silver -------------------------------------------------------------------
     def silver_table(self, table: str) -> DataFrame | None:
-        part = self._partitioned(table)
-        if part is None:
-            return self.silver.read(table, silver_schema(table))
-        df = part.read()
+        df = self.stored(table).read()
         return None if df is None else df.select(*SPECS[table].output_columns)
 
-    def run_silver(self, tables: Sequence[str] = SILVER_TABLES) -> None:
+    def run_silver(self, tables: Sequence[str] = SILVER_TABLES, full_refresh: bool = False) -> None:
         for t in tables:
-            spec = SPECS[t]
-            target = self.silver_table(t)
-            part = self._partitioned(t)
-            if part is None:
-                self.silver.write(t, silver(spec, self.bronze(t, target), target))
-                continue
-            wm = part.high_watermark()
-            bronze = self.bronze(t, target, wm)
-            if t == "orderdetails":
-                # The order history is read whole: a line may belong to any order.
-                batch = silver_orderdetails_batch(bronze, self.bronze("orders", None), target, wm)
-            else:
-                batch = silver_batch(spec, bronze, target, high_watermark=wm)
-            stored = part.read()
-            rows = upsert_partitions(stored, with_partition(batch, spec, self.grain), spec.keys,
-                                     spec.partition[0])
-            part.overwrite_partitions(rows, watermark_col="extract_at")
+            store = self.stored(t)
+            wm = None if full_refresh else store.high_watermark()
+            self.merge(t, self.batch(t, self.bronze(t, wm), wm), full_refresh=full_refresh)
+
+    def batch(self, table: str, changes: DataFrame, high_watermark: str | None = None) -> DataFrame:
+        """Latest images among ``changes`` above the watermark, as stored rows."""
+        spec = SPECS[table]
+        target = None if high_watermark is None else changes  # the watermark is known: no table is read for it
+        if table == "orderdetails":
+            dates = self.silver_table("orders")  # refreshed before the lines in every run
+            if dates is None:
+                dates = self.spark.createDataFrame([], silver_schema("orders"))
+            return silver_orderdetails_batch(changes, dates, target, high_watermark, helpers=("_op",))
+        return silver_batch(spec, changes, target, high_watermark=high_watermark, helpers=("_op",))
+
+    def merge(self, table: str, batch: DataFrame, newer_only: bool = False, full_refresh: bool = False) -> None:
+        """Merge a batch into its table. The batch is computed once and written; its
+        keys must be unique. ``newer_only``: an image replaces another only if it is
+        newer by time, operation and payload, in whatever order batches come."""
+        spec, store = SPECS[table], self.stored(table)
+        if full_refresh:
+            store.forget()
+        rows = with_partition(batch, spec, self.grain) if spec.partition else batch.withColumn(WHOLE, F.lit("all"))
+        rows = materialize(rows.select(*store.schema.fieldNames()), f"batch-{table}")
+        last = rows.agg(format_extract_at(F.max("extract_at")).alias("m")).first()["m"]
+        if last is None and not full_refresh:
+            return  # nothing new
+        assert_unique_keys(rows, spec.keys)
+        target = None if full_refresh else store.read()
+        if newer_only and target is not None:
+            rows = materialize(newer_source(target, rows, spec.keys, ["extract_at", "_op", *spec.tiebreak]), f"newer-{table}")
+        if full_refresh:
+            present = {r[0] for r in rows.select(store.partition_col).distinct().collect()}
+            merged, emptied = rows, [v for v in store.partitions() if v not in present]
+        else:
+            merged, emptied = upsert_partitions(target, rows, spec.keys, store.partition_col, movable=spec.partition is not None)
+        store.replace_partitions(merged, emptied, last)
 
     # -- gold ---------------------------------------------------------------------
     def mart(self) -> DataFrame | None:
         df = self.gold.read()
         return None if df is None else df.select(*GOLD_SCHEMA.fieldNames())
 
-    def run_gold(self) -> None:
+    def run_gold(self, full_refresh: bool = False, recompute_from: str | None = None) -> None:
+        """Add the order dates above the mart's newest; or build the mart, or its
+        dates from ``recompute_from`` on, anew (late orders and lines count then)."""
         inputs = [self.silver_table(t) for t in GOLD_INPUTS]
+        wm = None if full_refresh else self.gold.high_watermark()
         stored = self.gold.read()
-        target = None if stored is None else stored.drop(MART_PARTITION)
-        batch = gold_batch(*inputs, target=target, high_watermark=self.gold.high_watermark()).withColumn(
-            MART_PARTITION, time_key("calendar_sales_date", "month"))
-        self.gold.overwrite_partitions(upsert_partitions(stored, batch, GOLD_KEYS, MART_PARTITION),
-                                       watermark_col="calendar_sales_date")
+        month = time_key("calendar_sales_date", "month")
+        if recompute_from is not None and stored is not None:
+            first = recompute_from[:7].replace("-", "")
+            touched = stored.where(F.col(MART_PARTITION) >= first)
+            inputs[1] = self.orders_from(recompute_from)
+            batch = gold_recompute(*inputs, target=touched, since=recompute_from)
+        elif wm is not None:
+            inputs[1] = self.orders_from(wm)
+            batch = gold_batch(*inputs, target=stored, high_watermark=wm)
+        else:
+            batch = gold_batch(*inputs)
+        rows = materialize(batch.withColumn(MART_PARTITION, month), "batch-mart")
+        last = rows.agg(format_extract_at(F.max("calendar_sales_date")).alias("m")).first()["m"]
+        assert_unique_keys(rows, GOLD_KEYS)
+        if wm is None or recompute_from is not None:
+            low = "" if wm is None else first
+            present = {r[0] for r in rows.select(MART_PARTITION).distinct().collect()}
+            gone = [v for v in self.gold.partitions() if (v is None or v >= low) and v not in present]
+            if full_refresh:
+                self.gold.forget()
+            self.gold.replace_partitions(rows, gone, last)
+        elif last is not None:
+            merged, _ = upsert_partitions(stored, rows, GOLD_KEYS, MART_PARTITION, movable=False)
+            self.gold.replace_partitions(merged, (), last)
+
+    def orders_from(self, text: str) -> DataFrame:
+        """Orders of the partitions that can hold order dates from ``text`` on."""
+        digits = re.sub(r"\D", "", text)[: {"hour": 10, "day": 8, "month": 6}[self.grain]]
+        store = self.stored("orders")
+        return store.read().where(F.col(store.partition_col) >= digits).select(*SPECS["orders"].output_columns)
 
     # -- catalog ------------------------------------------------------------------
     def register_catalog(self, raw: str = "raw", ods: str = "ods", dwh: str = "dwh") -> None:
-        """Declare every zone's tables in the session catalog at their current
-        locations: landed hours are recovered, partitioned tables point at
-        their root, versioned tables at their current version."""
-        from tidemark.sources.schemas import create_table_ddl
-
+        """Declare every zone's tables in the session catalog at their roots and
+        register the partitions found there. Tables that exist stay as they are."""
         for db in (raw, ods, dwh):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+        tables = [(f"{dwh}", "sales_dataset", self.gold)]
         for t in SILVER_TABLES:
             B.recover_partitions(self.spark, self.bronze_root, t, raw)
-            part = self._partitioned(t)
-            if part is not None:
-                loc, schema, by = part.path, part.schema, (part.partition_col,)
-            else:
-                loc, schema, by = self.silver.current_path(t), silver_schema(t), ()
-            if loc is None:
+            tables.append((ods, t, self.stored(t)))
+        for db, name, store in tables:
+            if store.read() is None:
                 continue
-            self.spark.sql(f"DROP TABLE IF EXISTS {ods}.{t}")
-            self.spark.sql(create_table_ddl(ods, t, schema, loc, partitioned_by=by))
-            if by:
-                self.spark.sql(f"ALTER TABLE {ods}.{t} RECOVER PARTITIONS")
-        if self.gold.read() is not None:
-            self.spark.sql(f"DROP TABLE IF EXISTS {dwh}.sales_dataset")
-            self.spark.sql(create_table_ddl(dwh, "sales_dataset", self.gold.schema, self.gold.path,
-                                            partitioned_by=(MART_PARTITION,)))
-            self.spark.sql(f"ALTER TABLE {dwh}.sales_dataset RECOVER PARTITIONS")
-
-    def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None) -> None:
-        """Run the steps in order; the first failure stops the run."""
+            self.spark.sql(create_table_ddl(db, name, store.schema, store.path, partitioned_by=(store.partition_col,)))
+            self.spark.sql(f"ALTER TABLE {db}.{name} SET LOCATION '{store.path}'")
+            self.spark.sql(f"MSCK REPAIR TABLE {db}.{name} SYNC PARTITIONS")
+
+    def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None,
+            full_refresh: bool = False, recompute_from: str | None = None,
+            run_at: dt.datetime | None = None, overrides: dict | None = None) -> None:
+        """Run the steps in order; the first failure stops the run.
+
+        bronze  registers the landing hour of ``run_at`` (with ``overrides``); with
+                ``sf_dir`` it first lands the test tables' feeds
+        silver  merges what landed since each table's watermark (``full_refresh``:
+                builds the tables anew)
+        gold    see ``run_gold``
+        """
         unknown = [s for s in steps if s not in ("bronze", "silver", "gold")]
         if unknown:
             raise ValueError(f"unknown step(s) {unknown}")
         for step in steps:
             if step == "bronze":
-                if sf_dir is None:
-                    raise ValueError("the bronze step needs a source directory")
-                self.land(sf_dir)
+                if sf_dir is None and run_at is None:
+                    raise ValueError("the bronze step needs a run time or a source directory")
+                if sf_dir is not None:
+                    self.land(sf_dir)
+                if run_at is not None:
+                    self.register_hour(run_at, overrides)
             elif step == "silver":
-                self.run_silver()
-            elif step == "gold":
-                self.run_gold()
+                self.run_silver(full_refresh=full_refresh)
             else:
-                raise ValueError(f"unknown step {step!r}")
+                self.run_gold(full_refresh, recompute_from)
 
 
 def pipeline_bronze_to_gold(spark: SparkSession, sf_dir: str) -> DataFrame:

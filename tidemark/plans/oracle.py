@@ -232,22 +232,26 @@ def _oracle() -> dict[str, str]:
         "SELECT ordernumber, op, extract_at, year_stream, month_stream, day_stream, hour_stream FROM f_orders")
     q["bronze_land_hourly"] = _q(feeds_cte("orders"), "SELECT * FROM f_orders")
     q["bronze_scan"] = _q(feeds_cte("orderdetails"), "SELECT * FROM f_orderdetails")
-    q["bronze_partition_inventory"] = _q(feeds_cte("orders"),
-        "SELECT 'orders' AS table_name, year_stream, month_stream, day_stream, hour_stream, "
-        "count(*) AS row_count, 1 AS partition_activated FROM f_orders "
-        "GROUP BY year_stream, month_stream, day_stream, hour_stream")
+    q["bronze_partition_inventory"] = _q(feeds_cte(*ALL_FEEDS),
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, year_stream, month_stream, day_stream, hour_stream, "
+            f"count(*) AS row_count, 1 AS partition_activated FROM f_{t} GROUP BY ALL" for t in ALL_FEEDS))
     cols = ", ".join(n for n, _ in BRONZE_PAYLOAD["products"])
     q["bronze_backfill_fixed_partition"] = _q(feeds_cte("products"),
         f"SELECT op, extract_at, {cols}, '2026' AS year_stream, '01' AS month_stream, "
         f"'01' AS day_stream, '00' AS hour_stream FROM f_products")
+    moved = "(SELECT * REPLACE (replace(extract_at, '2024-', '2026-') AS extract_at) FROM f_products)"
+    q["bronze_backfill_to_silver"] = _q(feeds_cte("products"), silver_sql("products", moved))
     q["partition_transform_hour"] = _q(silver_ctes(),
         "SELECT ordernumber, orderdate, date_trunc('hour', orderdate) AS orderdate_hour FROM s_orders")
     q["partition_transform_month"] = _gold_q(
         "SELECT locality_officecode, interval_portsales, calendar_sales_date, "
         "CAST(date_trunc('month', calendar_sales_date) AS TIMESTAMP) AS sales_month FROM gold")
     # scalar
-    q["lineage_constants"] = _q(feeds_cte("orders"),
-        f"SELECT ordernumber, extract_at, {LINEAGE.format(ds='orders')} FROM f_orders")
+    keys = {"offices": "officecode", "employees": "employeenumber", "customers": "customernumber", "orders": "ordernumber",
+            "products": "productcode", "orderdetails": "concat_ws('/', ordernumber, productcode, orderlinenumber)"}
+    q["lineage_constants"] = _q(feeds_cte(*ALL_FEEDS), " UNION ALL ".join(
+        f"SELECT CAST({keys[t]} AS VARCHAR) AS key, extract_at, {LINEAGE.format(ds=t)} FROM f_{t}" for t in ALL_FEEDS))
     q["null_default_salesrep"] = _q(feeds_cte("customers"),
         "SELECT customernumber, extract_at, coalesce(salesrepemployeenumber, 0) AS salesrepemployeenumber "
         "FROM f_customers")
@@ -351,6 +355,13 @@ def _oracle() -> dict[str, str]:
            ("src", details_sql("f_orderdetails", "f_orders",
                                where=f"AND strptime(b.extract_at, '{FMT}') > (SELECT max(extract_at) FROM tgt)"))],
         upsert_sql("tgt", "src", ("ordernumber", "productcode", "orderlinenumber")))
+    # Every order moves back to its own date; lines that came before any order
+    # and came again take the date too.
+    q["merge_moved_partition"] = _q(silver_ctes(),
+        "SELECT 'orders' AS dataset, ordernumber, CAST(0 AS BIGINT) AS productcode, CAST(0 AS BIGINT) AS orderlinenumber, "
+        "orderdate FROM s_orders UNION ALL SELECT 'orderdetails', ordernumber, productcode, "
+        "CAST(orderlinenumber AS BIGINT), orderdate FROM s_orderdetails")
+    q["silver_orders_full_refresh"] = _q(silver_ctes(), "SELECT * FROM s_orders")
     # gold
     q["gold_sales_dataset"] = _gold_q("SELECT * FROM gold")
     early = gold_select("s_orderdetails", f"(SELECT * FROM s_orders WHERE orderdate <= TIMESTAMP '{GOLD_CUTOFF}')",
@@ -362,6 +373,14 @@ def _oracle() -> dict[str, str]:
         "SELECT * FROM gtgt t WHERE NOT EXISTS (SELECT 1 FROM gsrc s WHERE s.locality_officecode = t.locality_officecode "
         "AND s.interval_portsales = t.interval_portsales AND s.calendar_sales_date = t.calendar_sales_date) "
         "UNION ALL SELECT * FROM gsrc")
+    old = gold_select("old_lines", "s_orders", "s_customers", "s_employees", "s_offices",
+                      where=f"AND o.orderdate < TIMESTAMP '{GOLD_CUTOFF}'")
+    anew = gold_select("s_orderdetails", "s_orders", "s_customers", "s_employees", "s_offices",
+                       where=f"AND o.orderdate >= TIMESTAMP '{GOLD_CUTOFF}'")
+    q["gold_recompute_late"] = _q(
+        silver_ctes() + [("old_lines", details_sql(
+            f"(SELECT * FROM f_orderdetails WHERE extract_at <= '{DETAILS_CUTOFF}')", "f_orders"))],
+        f"{old} UNION ALL {anew}")
     q["bi_quantity_by_country"] = _gold_q(
         "SELECT locality_country, CAST(sum(sales_quantityordered) AS BIGINT) AS total_quantity "
         "FROM gold GROUP BY locality_country")
@@ -373,6 +392,7 @@ def _oracle() -> dict[str, str]:
         "FROM gold GROUP BY locality_territory, locality_city")
     q["pipeline_bronze_to_gold"] = _gold_q("SELECT * FROM gold")
     q["stream_silver_orders"] = _q(silver_ctes(), "SELECT * FROM s_orders")
+    q["stream_silver_orderdetails"] = _q(silver_ctes(), "SELECT * FROM s_orderdetails")
     q["stream_latest_by_key"] = (
         "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
         "ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS _rn FROM events) WHERE _rn = 1")

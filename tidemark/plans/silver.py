@@ -3,7 +3,7 @@
 Plan of one run (``silver``):
 
     scan (op filter and text watermark pushed into Parquet)
-      -> exact watermark filter (scalar subquery over the target)
+      -> exact watermark filter (the watermark is a literal)
       -> conform (casts, defaults, UTC-3 shift, lineage)
       -> latest per key (partial WindowGroupLimit, one shuffle on the key)
       -> upsert (anti join on the key + union) when a target exists
@@ -20,15 +20,9 @@ from pyspark.sql import functions as F
 
 from tidemark.config import ALL_OPS, LOCAL_OFFSET_HOURS, ORDERDETAILS, ORDERS, TableSpec
 from tidemark.operators.cdc import cdc_filter, conform, latest_per_key
-from tidemark.operators.joins import maybe_broadcast
 from tidemark.operators.merge import upsert
 from tidemark.functions.time import time_key
 from tidemark.operators.watermark import above_watermark
-from tidemark.sources.storage import materialize
-
-# Batches whose distinct order numbers fit this bound probe the order history
-# through a broadcast semi join (no shuffle of the history).
-BATCH_KEYS_BROADCAST_ROWS = 2_000_000
 
 
 def incremental_rows(bronze: DataFrame, spec: TableSpec, target: DataFrame | None,
@@ -40,22 +34,26 @@ def incremental_rows(bronze: DataFrame, spec: TableSpec, target: DataFrame | Non
 
 
 def silver_batch(spec: TableSpec, bronze: DataFrame, target: DataFrame | None = None,
-                 dedupe: bool | None = None, high_watermark: str | None = None) -> DataFrame:
-    """The rows one run merges: conformed, and deduped per key by default."""
+                 dedupe: bool | None = None, high_watermark: str | None = None,
+                 helpers: tuple[str, ...] = ()) -> DataFrame:
+    """The rows one run merges: conformed, and deduped per key by default.
+
+    ``helpers``: ordering helpers kept for the store (``_op``: the operation rank,
+    with which a later batch breaks ties as this one does)."""
     rows = conform(incremental_rows(bronze, spec, target, high_watermark), spec)
+    keep = [*spec.output_columns, *helpers]
     if spec.dedupe if dedupe is None else dedupe:
-        return latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
-    return rows.select(*spec.output_columns)
+        return latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak, keep=keep)
+    return rows.select(*keep)
 
 
 def silver(spec: TableSpec, bronze: DataFrame, target: DataFrame | None = None,
-           dedupe: bool | None = None, newer_only: bool = False) -> DataFrame:
+           dedupe: bool | None = None) -> DataFrame:
     """Full silver table after one run (initial build when ``target`` is None)."""
     batch = silver_batch(spec, bronze, target, dedupe)
     if target is None:
         return batch
-    guard = ["extract_at"] + spec.tiebreak if newer_only else None
-    return upsert(target.select(*spec.output_columns), batch, spec.keys, newer_only=guard)
+    return upsert(target.select(*spec.output_columns), batch, spec.keys)
 
 
 def latest_orders(orders_bronze: DataFrame) -> DataFrame:
@@ -64,44 +62,42 @@ def latest_orders(orders_bronze: DataFrame) -> DataFrame:
     return latest_per_key(rows, ORDERS.keys, tiebreak=ORDERS.tiebreak, keep=ORDERS.output_columns)
 
 
-def silver_orderdetails_batch(details_bronze: DataFrame, orders_bronze: DataFrame | None,
-                              target: DataFrame | None = None,
-                              high_watermark: str | None = None) -> DataFrame:
-    """Order lines of one run, each with the order date of its latest order.
+def order_dates(orders_bronze: DataFrame) -> DataFrame:
+    """Order number and date of every order's latest image."""
+    return latest_orders(orders_bronze).select("ordernumber", "orderdate")
+
+
+def latest_lines(details_bronze: DataFrame, target: DataFrame | None = None,
+                 high_watermark: str | None = None, helpers: tuple[str, ...] = ()) -> DataFrame:
+    """Latest image of the order lines of one run, without the order's date."""
+    spec = replace(ORDERDETAILS, columns=tuple(c for c in ORDERDETAILS.columns if c[0] != "orderdate"))
+    return silver_batch(spec, details_bronze, target, high_watermark=high_watermark, helpers=helpers)
+
+
+def silver_orderdetails_batch(details_bronze: DataFrame, dates: DataFrame,
+                              target: DataFrame | None = None, high_watermark: str | None = None,
+                              helpers: tuple[str, ...] = ()) -> DataFrame:
+    """Order lines of one run, each with the date of its order from ``dates``
+    (ordernumber, orderdate; one row per order).
 
     Lines are deduped *before* the join (the order side is unique per order
-    number, so the result is the same) and the order history is first reduced
-    to the order numbers of the batch. A line whose order is unknown keeps a
-    null order date. ``orders_bronze=None`` skips the lookup (order date
-    left null) for consumers that take the date from the orders table.
+    number, so the result is the same). A line whose order is unknown keeps a
+    null order date.
     """
-    spec = ORDERDETAILS
-    no_date = replace(spec, columns=tuple(
-        (n, "CAST(NULL AS TIMESTAMP_NTZ)" if n == "orderdate" else e) for n, e in spec.columns))
-    lines = conform(incremental_rows(details_bronze, spec, target, high_watermark), no_date)
-    if orders_bronze is None:
-        return latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak, keep=spec.output_columns)
-    lines = latest_per_key(lines, spec.keys, tiebreak=spec.tiebreak,
-                           keep=[c for c in spec.output_columns if c != "orderdate"])
-    orders = orders_bronze
-    if target is not None:
-        # Stage the batch once: the key-count check, the history probe and
-        # the join all read the staged rows instead of recomputing them.
-        lines = materialize(lines, "batch")
-        batch_orders = maybe_broadcast(lines.select("ordernumber").distinct(), BATCH_KEYS_BROADCAST_ROWS)
-        orders = orders.join(batch_orders, "ordernumber", "left_semi")
-    dates = latest_orders(orders).select("ordernumber", "orderdate")
-    return lines.join(dates, "ordernumber", "left").select(*spec.output_columns)
-
-
-def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame | None,
-                        target: DataFrame | None = None, newer_only: bool = False) -> DataFrame:
-    batch = silver_orderdetails_batch(details_bronze, orders_bronze, target)
+    lines = latest_lines(details_bronze, target, high_watermark, helpers)
+    joined = lines.join(dates.select("ordernumber", "orderdate"), "ordernumber", "left")
+    return joined.select(*ORDERDETAILS.output_columns, *helpers)
+
+
+def silver_orderdetails(details_bronze: DataFrame, orders_bronze: DataFrame,
+                        target: DataFrame | None = None, dates: DataFrame | None = None) -> DataFrame:
+    """Full order-line table after one run. ``dates``: order dates that are stored
+    already (the silver orders), instead of the whole order history."""
+    dates = order_dates(orders_bronze) if dates is None else dates
+    batch = silver_orderdetails_batch(details_bronze, dates, target)
     if target is None:
         return batch
-    guard = ["extract_at"] + ORDERDETAILS.tiebreak if newer_only else None
-    return upsert(target.select(*ORDERDETAILS.output_columns), batch, ORDERDETAILS.keys,
-                  newer_only=guard)
+    return upsert(target.select(*ORDERDETAILS.output_columns), batch, ORDERDETAILS.keys)
 
 
 def with_partition(df: DataFrame, spec: TableSpec, grain: str = "hour") -> DataFrame:

@@ -14,17 +14,20 @@ which takes the partition values from the file path.
 from __future__ import annotations
 
 import datetime as dt
+import re
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BACKFILL_PARTITION, LOCAL_OFFSET_HOURS, PARTITION_COLS
-from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values, time_key
+from tidemark.functions.time import parse_extract_at, partition_values
+from tidemark.sources.files import Files
 from tidemark.sources.schemas import bronze_schema, create_table_ddl
 from tidemark.sources.storage import spread_partitions
 
-KV_GLOB = "/".join(f"{c}=*" for c in PARTITION_COLS)
+LAYOUTS = {"kv": tuple(f"{c}=" for c in PARTITION_COLS), "slash": ("", "", "", "")}
 SLASH_RE = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
 MANIFEST_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), False)])
 
@@ -40,8 +43,13 @@ def with_partition_values(df: DataFrame, ts: Column | None = None) -> DataFrame:
 
 
 def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = None,
-                files_per_hour: int = 2) -> None:
-    """Append change rows into hour partitions (Parquet, gzip like the landing job).
+                files_per_hour: int = 2, replace: bool = False) -> None:
+    """Write change rows into hour partitions (Parquet, gzip like the landing job).
+
+    ``replace=False`` appends. ``replace=True`` takes ``df`` as the complete content
+    of the hours it holds and replaces them, so landing the same hours again
+    changes nothing; the fixed full-load partition, which full loads share, only
+    gains the rows that it does not hold yet.
 
     Default: ``REBALANCE`` on the hour columns. AQE then sizes writer tasks
     from the real shuffle statistics: an hour holding a third of all rows is
@@ -52,12 +60,17 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     """
     schema = bronze_schema(table)
     rows = with_partition_values(df).select(*[f.name for f in schema.fields])
+    if replace:
+        fixed = in_partition(BACKFILL_PARTITION)
+        append_missing(rows.where(fixed), root, table)
+        rows = rows.where(~fixed)
     if num_tasks:
         rows = spread_partitions(rows, PARTITION_COLS, files_per_hour, num_tasks)
     else:
         rows = rows.hint("rebalance", *PARTITION_COLS)
     (
-        rows.write.mode("append")
+        rows.write.mode("overwrite" if replace else "append")
+        .option("partitionOverwriteMode", "dynamic")
         .option("maxRecordsPerFile", 5_000_000)
         .option("compression", "gzip")
         .partitionBy(*PARTITION_COLS)
@@ -65,48 +78,80 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     )
 
 
-def hour_lower_bound(since: Column) -> Column:
-    """Partition-value text of the first hour that can hold a change >= since.
-
-    Landing hours are UTC-3 and derived from the change time, so the hour of
-    ``since - 3 h`` (minus one safety hour for clock skew of the landing job)
-    bounds every later change from below.
-    """
-    local = since - F.make_dt_interval(F.lit(0), F.lit(LOCAL_OFFSET_HOURS + 1))
-    return time_key(local, "hour")
-
-
-def scan_bronze(spark: SparkSession, root: str, table: str, since: Column | None = None,
+def in_partition(partition: tuple[str, str, str, str]) -> Column:
+    cond = F.lit(True)
+    for c, v in zip(PARTITION_COLS, partition):
+        cond = cond & (F.col(c) == v)
+    return cond
+
+
+def append_missing(rows: DataFrame, root: str, table: str,
+                   partition: tuple[str, str, str, str] = BACKFILL_PARTITION) -> None:
+    """Append the rows that their partition does not hold yet (a rerun adds none)."""
+    spark = rows.sparkSession
+    held = scan_bronze(spark, root, table).where(in_partition(partition))
+    fresh = rows.exceptAll(held.select(*rows.columns))
+    # Reliable checkpoint (shared folder): what is missing is fixed before the append.
+    fresh.checkpoint(eager=True).write.mode("append").option("compression", "gzip").partitionBy(
+        *PARTITION_COLS).parquet(table_root(root, table))
+
+
+def first_hour(since: str) -> tuple[str, str, str, str]:
+    """Landing partition of the first hour that can hold a change at or after the
+    change-time text ``since``: landing hours are UTC-3 and derived from the change
+    time; one hour more allows for clock skew of the landing job."""
+    at = dt.datetime.fromisoformat(since) - dt.timedelta(hours=LOCAL_OFFSET_HOURS + 1)
+    return at.strftime("%Y"), at.strftime("%m"), at.strftime("%d"), at.strftime("%H")
+
+
+def hours_glob(spark: SparkSession, base: str, since: str | None, layout: str) -> str:
+    """One glob over the hours at or after ``since`` and the full-load partition,
+    whose rows may be of any time. Older hours are not listed at all."""
+    py, pm, pd, ph = LAYOUTS[layout]
+    hour = lambda y="*", m="*", d="*", h="*": f"{py}{y}/{pm}{m}/{pd}{d}/{ph}{h}"
+    if since is None:
+        return f"{base}/{hour()}"
+    y, m, d, h = first_hour(since)
+    years = [n[len(py):] for n in Files(spark).names(base) if re.fullmatch(re.escape(py) + r"\d{4}", n)]
+    wanted = [hour(*BACKFILL_PARTITION)] + [hour(x) for x in years if x > y]
+    if y in years:
+        wanted += [hour(y, f"{x:02d}") for x in range(int(m) + 1, 13)]
+        wanted += [hour(y, m, f"{x:02d}") for x in range(int(d) + 1, 32)]
+        wanted += [hour(y, m, d, f"{x:02d}") for x in range(int(h), 24)]
+    return f"{base}/{{{','.join(wanted)}}}"
+
+
+def scan_bronze(spark: SparkSession, root: str, table: str, since: str | None = None,
                 layout: str = "kv") -> DataFrame:
-    """Declared-schema scan of a landed table.
+    """Declared-schema scan of a landed table; empty if nothing matches.
 
-    since   optional lower bound on the change time (e.g. a watermark
-            expression); prunes hour partitions and pushes a text filter on
-            ``extract_at`` into the Parquet reader.
+    since   optional lower bound on the change time (text); only the hours from
+            there on and the full-load partition are listed, and a text filter on
+            ``extract_at`` is pushed into the Parquet reader.
     layout  ``kv`` (``year_stream=YYYY/...``) or ``slash`` (``YYYY/MM/DD/HH``).
     """
+    if layout not in LAYOUTS:
+        raise ValueError(f"unknown layout {layout!r}")
     base = table_root(root, table)
     schema = bronze_schema(table)
+    payload = bronze_schema(table, with_partitions=False)
+    glob = hours_glob(spark, base, since, layout)
     if layout == "kv":
-        df = spark.read.schema(schema).option("basePath", base).parquet(f"{base}/{KV_GLOB}")
-    elif layout == "slash":
-        payload = bronze_schema(table, with_partitions=False)
-        raw = (
-            spark.read.schema(payload)
-            .option("recursiveFileLookup", "true")
-            .parquet(f"{base}/*/*/*/*/")
-            .withColumn("_path", F.col("_metadata.file_path"))
-        )
-        df = raw.select(
-            *payload.fieldNames(),
-            *[F.regexp_extract("_path", SLASH_RE, i + 1).alias(c) for i, c in enumerate(PARTITION_COLS)],
-        )
+        reader = spark.read.schema(schema).option("basePath", base)
     else:
-        raise ValueError(f"unknown layout {layout!r}")
-    if since is not None:
-        hour_key = F.concat(*[F.col(c) for c in PARTITION_COLS])
-        df = df.where((hour_key >= hour_lower_bound(since)) & (F.col("extract_at") >= format_extract_at(since)))
-    return df
+        reader = spark.read.schema(payload).option("recursiveFileLookup", "true")
+    try:
+        df = reader.parquet(glob)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+    if layout == "slash":
+        path = F.col("_metadata.file_path")
+        df = df.select(*payload.fieldNames(), path.alias("_path")).select(
+            *payload.fieldNames(),
+            *[F.regexp_extract("_path", SLASH_RE, i + 1).alias(c) for i, c in enumerate(PARTITION_COLS)])
+    return df if since is None else df.where(F.col("extract_at") >= since)
 
 
 def partition_inventory(df: DataFrame, table: str) -> DataFrame:
@@ -118,33 +163,30 @@ def partition_inventory(df: DataFrame, table: str) -> DataFrame:
 
 
 def register_partitions_sql(table: str, root: str, hours: list[tuple[str, str, str, str]],
-                            database: str = "raw") -> list[str]:
+                            database: str = "raw", layout: str = "kv") -> list[str]:
     """``ALTER TABLE ... ADD IF NOT EXISTS PARTITION`` statements for given hours."""
     base = table_root(root, table)
     out = []
     for y, m, d, h in hours:
         spec = ", ".join(f"{c}='{v}'" for c, v in zip(PARTITION_COLS, (y, m, d, h)))
-        loc = f"{base}/" + "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, (y, m, d, h)))
+        loc = f"{base}/" + "/".join(f"{c}{v}" for c, v in zip(LAYOUTS[layout], (y, m, d, h)))
         out.append(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{loc}'")
     return out
 
 
 def partition_for_run(run_ts: dt.datetime, overrides: dict | None = None,
                       offset_hours: int = LOCAL_OFFSET_HOURS) -> tuple[str, str, str, str]:
-    """Landing hour a scheduled run registers: the run time (UTC) minus the
-    offset, unless ``partition_date`` (``YYYY-MM-DD``), ``partition_year`` /
-    ``partition_month`` / ``partition_day`` or ``partition_hour`` are given."""
-    v = overrides or {}
-    local = run_ts - dt.timedelta(hours=offset_hours)
-    if v.get("partition_date"):
-        p = str(v["partition_date"]).strip()
-        y, m, d = p[0:4], p[5:7], p[8:10]
-    else:
-        y = str(v.get("partition_year", local.strftime("%Y")))
-        m = str(v.get("partition_month", local.strftime("%m")))
-        d = str(v.get("partition_day", local.strftime("%d")))
-    h = str(v.get("partition_hour", local.strftime("%H")))
-    return y, m, d, h
+    """Landing hour that a scheduled run registers: its time (UTC) in local time,
+    with parts replaced by ``overrides``: ``partition_date`` (ISO date), or any of
+    ``partition_year``, ``partition_month``, ``partition_day``; ``partition_hour``.
+    Anything that is no date or hour is an error."""
+    moment = run_ts - dt.timedelta(hours=offset_hours)
+    given = {k: str(v).strip() for k, v in (overrides or {}).items() if v not in (None, "")}
+    if "partition_date" in given:
+        moment = dt.datetime.combine(dt.date.fromisoformat(given.pop("partition_date")), moment.time())
+    parts = {k.removeprefix("partition_"): int(v) for k, v in given.items()}
+    moment = moment.replace(**parts, minute=0, second=0, microsecond=0)
+    return tuple(moment.strftime("%Y %m %d %H").split())
 
 
 def register_table(spark: SparkSession, root: str, table: str, database: str = "raw") -> None:
@@ -155,10 +197,11 @@ def register_table(spark: SparkSession, root: str, table: str, database: str = "
 
 
 def activate_partition(spark: SparkSession, root: str, table: str, run_ts: dt.datetime,
-                       overrides: dict | None = None, database: str = "raw") -> DataFrame:
+                       overrides: dict | None = None, database: str = "raw",
+                       layout: str = "kv") -> DataFrame:
     """Register the run's landing hour (idempotent) and return the marker row."""
     register_table(spark, root, table, database)
-    for stmt in register_partitions_sql(table, root, [partition_for_run(run_ts, overrides)], database):
+    for stmt in register_partitions_sql(table, root, [partition_for_run(run_ts, overrides)], database, layout):
         spark.sql(stmt)
     return spark.sql("SELECT 1 AS partition_activated")
 
@@ -179,33 +222,28 @@ def backfill(spark: SparkSession, root: str, table: str, manifest_root: str,
              partition: tuple[str, str, str, str] = BACKFILL_PARTITION) -> DataFrame:
     """File root-level full-load files into the fixed partition, once per file name.
 
-    Files already listed in the manifest are skipped (left anti join on the
-    file name), so running it twice lands nothing twice. Returns the names
-    landed by this run.
+    Files already listed in the manifest are skipped. Only rows that the partition
+    does not hold are appended, so a run that died between rows and manifest adds
+    nothing when it is repeated. Returns the names landed by this run.
     """
     base = table_root(root, table)
     payload = bronze_schema(table, with_partitions=False)
-    try:
-        dropped = (
-            spark.read.schema(payload).parquet(f"{base}/*.parquet")
-            .withColumn("file_name", F.col("_metadata.file_name"))
-        )
-    except Exception:  # no root-level file: nothing to do
+    files = Files(spark)
+    if not any(n.endswith(".parquet") for n in files.names(base)):
         return spark.createDataFrame([], MANIFEST_SCHEMA)
+    dropped = (
+        spark.read.schema(payload).parquet(f"{base}/*.parquet")
+        .withColumn("file_name", F.col("_metadata.file_name"))
+    )
     manifest_path = f"{manifest_root.rstrip('/')}/{table}"
-    try:
-        seen = spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path)
-    except Exception:  # first run: empty manifest
-        seen = spark.createDataFrame([], MANIFEST_SCHEMA)
-    fresh = dropped.join(seen, "file_name", "left_anti")
-    # Reliable checkpoint (shared checkpoint dir): the rows to land are fixed
-    # before anything is appended under the same root.
-    staged = fresh.select(
-        *payload.fieldNames(), "file_name",
-        *[F.lit(v).alias(c) for c, v in zip(PARTITION_COLS, partition)],
-    ).checkpoint(eager=True)
-    staged.drop("file_name").write.mode("append").option("compression", "gzip").partitionBy(
-        *PARTITION_COLS).parquet(base)
-    names = staged.select("file_name").distinct()
+    seen = (spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path) if files.exists(manifest_path)
+            else spark.createDataFrame([], MANIFEST_SCHEMA))
+    # Reliable checkpoint (shared folder): the rows to land are fixed before
+    # anything is written under the same root.
+    fresh = dropped.join(seen, "file_name", "left_anti").checkpoint(eager=True)
+    rows = fresh.select(*payload.fieldNames(),
+                        *[F.lit(v).alias(c) for c, v in zip(PARTITION_COLS, partition)])
+    append_missing(rows, root, table, partition)
+    names = fresh.select("file_name").distinct()
     names.write.mode("append").parquet(manifest_path)
     return names

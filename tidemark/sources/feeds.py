@@ -185,19 +185,6 @@ FEEDS = {
 }
 
 
-_PLANS: dict[tuple[int, str, str], tuple[SparkSession, DataFrame]] = {}
-
-
 def feed(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The change feed of ``table`` (plan memoized per session and directory).
-
-    A DataFrame is only a plan: reusing it saves the driver the analysis and
-    footer reads, and identical sub-plans let Spark reuse exchanges.
-    """
-    key = (id(spark), sf_dir.rstrip("/"), table)
-    hit = _PLANS.get(key)
-    if hit is not None and hit[0] is spark:
-        return hit[1]
-    df = FEEDS[table](spark, sf_dir)
-    _PLANS[key] = (spark, df)
-    return df
+    """The change feed of ``table``."""
+    return FEEDS[table](spark, sf_dir)

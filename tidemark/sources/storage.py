@@ -1,27 +1,32 @@
-"""Shared scratch space and versioned Parquet tables.
+"""Shared scratch space and stored tables.
 
 Paths live under the cluster's shared ``spark.checkpoint.dir``, read from the
-session. Only when it is unset (local tests) is a fresh temporary folder
-chosen and registered. A table is a directory of immutable version
-directories plus a one-row pointer; a job never overwrites the path it reads.
+session; only a one-process local session may run without it. A stored table is
+a partitioned Parquet directory written with Spark's dynamic partition overwrite,
+plus one small progress file.
 """
 
 from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_POINTER = T.StructType([T.StructField("version", T.StringType(), False)])
+from tidemark.sources.files import Files
+
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
 
 def shared_root(spark: SparkSession) -> str:
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.checkpoint.dir", root)
     spark.sparkContext.setCheckpointDir(root)
@@ -33,61 +38,14 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
     return f"{shared_root(spark)}/tidemark/{label}-{uuid.uuid4().hex[:12]}"
 
 
-class TableStore:
-    """Versioned tables under one root: ``<root>/<name>/<version>/`` + pointer."""
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _pointer_path(self, name: str) -> str:
-        return f"{self.root}/{name}/_pointer"
-
-    def current_path(self, name: str) -> str | None:
-        try:
-            rows = self.spark.read.schema(_POINTER).parquet(self._pointer_path(name)).limit(1).collect()
-        except Exception:  # no pointer yet: the table does not exist
-            return None
-        return f"{self.root}/{name}/{rows[0].version}" if rows else None
-
-    def read(self, name: str, schema: T.StructType | None = None) -> DataFrame | None:
-        path = self.current_path(name)
-        if path is None:
-            return None
-        reader = self.spark.read
-        if schema is not None:
-            reader = reader.schema(schema)
-        return reader.parquet(path)
-
-    def write(self, name: str, df: DataFrame, partition_by: tuple[str, ...] = (),
-              files_per_partition: int = 0) -> str:
-        """Write a new version, then switch the pointer to it."""
-        version = f"v-{uuid.uuid4().hex[:16]}"
-        path = f"{self.root}/{name}/{version}"
-        writer_df = df
-        if partition_by and files_per_partition:
-            writer_df = spread_partitions(df, partition_by, files_per_partition)
-        w = writer_df.write.mode("error")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        w.parquet(path)
-        self.spark.createDataFrame([(version,)], _POINTER).coalesce(1).write.mode(
-            "overwrite").parquet(self._pointer_path(name))
-        return path
-
-
 def spread_partitions(df: DataFrame, partition_by: tuple[str, ...], files_per_partition: int,
                       num_tasks: int | None = None) -> DataFrame:
     """Cluster rows by output partition, spread over ``files_per_partition`` tasks.
 
-    Each task then writes few files, and an hour holding a third of all rows
-    is still written by ``files_per_partition`` tasks, not one. The task count
-    is explicit (default: the cluster's parallelism) because AQE would
-    otherwise coalesce a small shuffle into one task that writes every
+    The task count is explicit (default: the cluster's parallelism) because AQE
+    would otherwise coalesce a small shuffle into one task that writes every
     partition directory alone.
     """
-    from pyspark.sql import functions as F
-
     n = num_tasks or df.sparkSession.sparkContext.defaultParallelism
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
     return df.repartition(n, *[F.col(c) for c in partition_by], salt)
@@ -106,97 +64,75 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_PUBLISH = T.StructType([
-    T.StructField("staging", T.StringType(), False),
-    T.StructField("state", T.StringType(), False),
-    T.StructField("at", T.LongType(), False),
-    T.StructField("high_watermark", T.StringType(), True),
-])
-
-
-class PartitionedTable:
+class StoredTable:
     """A Parquet table partitioned by one column, rewritten partition by partition.
 
-    ``overwrite_partitions(rows)`` replaces exactly the partitions present in
-    ``rows`` (Spark's dynamic partition overwrite) and leaves all others
-    untouched, so a merge costs the size of the partitions it touches, not
-    the size of the table. Rows are first staged under ``_staging/`` and a
-    ``staged`` marker is written; publishing copies the staged partitions in
-    and writes a ``published`` marker. A run that died while publishing is
-    finished by ``recover()`` (called by ``read``) before anything reads the
-    table, so its watermark never runs ahead of its data.
+    ``replace_partitions`` writes the partitions that its rows hold with dynamic
+    partition overwrite (Spark stages them and swaps them in when the job
+    commits, so the rows may come from the table itself), removes the partitions
+    that a merge has emptied, and only then records the progress: the high
+    watermark of the change times that the table holds. A run that dies in between
+    leaves the old watermark, so the next run reads the same changes again and
+    its merge, which replaces by key, ends in the same table.
+
+    The progress is one small file, replaced by a rename. A missing file means
+    that no run has finished; a file that cannot be read or parsed is an error.
+    Tables without a natural partition use one constant partition.
     """
 
+    MARK = "high_watermark="
+
     def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_col: str):
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_col = partition_col
+        self.files = Files(spark)
+
+    def _progress(self) -> str:
+        head, _, name = self.path.rpartition("/")
+        return f"{head}/_progress/{name}"
 
-    def _markers(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema(_PUBLISH).parquet(f"{self.path}/_publish")
-        except Exception:  # no run has staged anything yet
+    def high_watermark(self) -> str | None:
+        """Newest change time of the table as text, without a scan."""
+        text = self.files.read_text(self._progress())
+        if text is None:
+            return None
+        if not text.startswith(self.MARK):
+            raise ValueError(f"damaged progress file {self._progress()}")
+        return text[len(self.MARK):].strip() or None
+
+    def read(self) -> DataFrame | None:
+        """The table, or None before its first rows."""
+        if not any(n.startswith(f"{self.partition_col}=") for n in self.files.names(self.path)):
             return None
+        return self.spark.read.schema(self.schema).parquet(self.path)
 
-    def _mark(self, staging: str, state: str, high_watermark: str | None = None) -> None:
-        import time
+    def partitions(self) -> list[str | None]:
+        mark = f"{self.partition_col}="
+        found = [n[len(mark):] for n in self.files.names(self.path) if n.startswith(mark)]
+        return [None if v == NULL_PARTITION else v for v in found]
 
-        row = [(staging, state, time.time_ns(), high_watermark)]
-        self.spark.createDataFrame(row, _PUBLISH).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/_publish")
+    def replace_partitions(self, rows: DataFrame, emptied: Sequence[str | None] = (),
+                           high_watermark: str | None = None) -> None:
+        """Replace the partitions of ``rows``, remove ``emptied``, record progress.
 
-    def _publish(self, staging: str, high_watermark: str | None) -> None:
+        ``rebalance`` clusters the rows by partition before they are written, so
+        a partition gets about one file per advisory size, however many tasks
+        held its rows, and a partition with a third of all rows is split.
+        """
         (
-            self.spark.read.schema(self.schema).parquet(staging)
+            rows.select(*self.schema.fieldNames()).hint("rebalance", self.partition_col)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.partition_col)
             .parquet(self.path)
         )
-        self._mark(staging, "published", high_watermark)
-
-    def _last_mark(self):
-        from pyspark.sql import functions as F
-
-        marks = self._markers()
-        if marks is None:
-            return None
-        last = marks.orderBy(F.col("at").desc()).limit(1).collect()
-        return last[0] if last else None
-
-    def recover(self) -> None:
-        last = self._last_mark()
-        if last is not None and last.state == "staged":
-            self._publish(last.staging, last.high_watermark)
-
-    def high_watermark(self) -> str | None:
-        """Newest ``watermark_col`` value in the table as fixed-width text,
-        kept in the publish log: reading it costs one tiny file, not a scan."""
-        self.recover()
-        last = self._last_mark()
-        return None if last is None else last.high_watermark
-
-    def read(self) -> DataFrame | None:
-        self.recover()
-        if self._markers() is None:
-            return None
-        return self.spark.read.schema(self.schema).parquet(self.path)
-
-    def overwrite_partitions(self, rows: DataFrame, watermark_col: str | None = None) -> None:
-        """Replace the partitions present in ``rows``; with ``watermark_col``
-        the running maximum of that column is logged with the publish."""
-        from pyspark.sql import functions as F
-
-        from tidemark.functions.time import format_extract_at
-
-        staging = f"{self.path}/_staging/{uuid.uuid4().hex[:16]}"
-        rows.select(*self.schema.fieldNames()).write.partitionBy(self.partition_col).parquet(staging)
-        wm = None
-        if watermark_col:
-            staged = self.spark.read.schema(self.schema).parquet(staging)
-            batch_max = staged.agg(format_extract_at(F.max(watermark_col)).alias("m")).first()["m"]
-            prev = self.high_watermark()
-            wm = max((w for w in (prev, batch_max) if w is not None), default=None)
-        self._mark(staging, "staged", wm)
-        self._publish(staging, wm)
+        for value in emptied:
+            self.files.delete(f"{self.path}/{self.partition_col}={NULL_PARTITION if value is None else value}")
+        known = [w for w in (self.high_watermark(), high_watermark) if w is not None]
+        self.files.write_text(self._progress(), self.MARK + max(known, default=""))
+
+    def forget(self) -> None:
+        """Drop the progress, so that the next run loads everything."""
+        self.files.delete(self._progress())

@@ -1,9 +1,10 @@
 """Structured Streaming: micro-batch silver loads with state kept in the table.
 
 A file stream over the landed bronze hours feeds ``foreachBatch``; each batch
-is deduped per key and merged into the versioned silver table with the
-"only if newer" guard, so a batch replayed after a failure (the checkpoint
-commits after the sink) cannot move a key back to an older image. No
+is deduped per key and merged into the silver table with the "only if newer"
+guard over time, operation and payload, the order in which batch runs choose
+too, so a batch replayed after a failure (the checkpoint commits after the sink)
+cannot move a key back to an older image. No
 streaming state store is used: the table itself is the state, and it grows
 with the number of keys, not with the stream.
 
@@ -18,43 +19,32 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from tidemark.config import TableSpec
 from tidemark.operators.cdc import latest_per_key
-from tidemark.operators.merge import upsert, upsert_partitions
-from tidemark.plans.silver import silver_batch, with_partition
+from tidemark.operators.merge import newer_source, upsert_partitions
+from tidemark.plans.jobs import Lakehouse
 from tidemark.sources import bronze as B
-from tidemark.sources.feeds import feed, read_table
-from tidemark.sources.schemas import bronze_schema, silver_schema
-from tidemark.sources.storage import PartitionedTable, TableStore, scratch_dir
+from tidemark.sources.feeds import read_table
+from tidemark.sources.schemas import bronze_schema
+from tidemark.sources.storage import StoredTable, materialize, scratch_dir
 
+KEY_BUCKETS = 16
 
-def stream_silver(spark: SparkSession, spec: TableSpec, bronze_root: str,
-                  sink: TableStore | PartitionedTable, checkpoint: str,
-                  files_per_trigger: int | None = None, available_now: bool = True,
-                  grain: str = "hour") -> StreamingQuery:
-    """Stream landed changes of ``spec`` into its silver table.
 
-    ``sink`` is a ``PartitionedTable`` for the partitioned tables (a batch
-    rewrites only the partitions it touches) or a ``TableStore`` (a batch
-    writes a new version of the whole, small, table).
+def stream_silver(house: Lakehouse, table: str, checkpoint: str,
+                  files_per_trigger: int | None = None, available_now: bool = True) -> StreamingQuery:
+    """Stream landed changes of ``table`` into its silver table.
+
+    A batch rewrites only the partitions it touches. Order lines take the order
+    dates that the silver orders hold when the batch runs.
     """
-    reader = spark.readStream.schema(bronze_schema(spec.name))
+    spark = house.spark
+    reader = spark.readStream.schema(bronze_schema(table))
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    source = reader.parquet(B.table_root(bronze_root, spec.name))
-    guard = ["extract_at"] + spec.tiebreak
+    source = reader.parquet(B.table_root(house.bronze_root, table))
 
-    def merge_batch(batch: DataFrame, epoch_id: int) -> None:
-        rows = silver_batch(spec, batch)
-        if isinstance(sink, PartitionedTable):
-            stored = sink.read()
-            part = with_partition(rows, spec, grain)
-            sink.overwrite_partitions(
-                upsert_partitions(stored, part, spec.keys, spec.partition[0], newer_only=guard),
-                watermark_col="extract_at")
-        else:
-            target = sink.read(spec.name, silver_schema(spec.name))
-            sink.write(spec.name, upsert(target, rows, spec.keys, newer_only=guard))
+    def merge_batch(changes: DataFrame, epoch_id: int) -> None:
+        house.merge(table, house.batch(table, changes), newer_only=True)
 
     w = source.writeStream.foreachBatch(merge_batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="15 minutes")
@@ -62,9 +52,10 @@ def stream_silver(spark: SparkSession, spec: TableSpec, bronze_root: str,
 
 
 def stream_latest(spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
-                  order: list[str], store: TableStore, name: str, checkpoint: str,
+                  order: list[str], store: StoredTable, checkpoint: str,
                   files_per_trigger: int | None = None) -> StreamingQuery:
-    """Latest row per key over an append-only file stream (newest by ``order``)."""
+    """Latest row per key over an append-only file stream (newest by ``order``).
+    The table is partitioned by a hash of the key, so a key never moves."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -72,8 +63,15 @@ def stream_latest(spark: SparkSession, path: str, schema: T.StructType, keys: li
 
     def merge_batch(batch: DataFrame, epoch_id: int) -> None:
         rows = latest_per_key(batch, keys, ts=order[0], tiebreak=order[1:], op_col=None)
-        target = store.read(name, schema)
-        store.write(name, upsert(target, rows, keys, newer_only=order))
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(KEY_BUCKETS)).cast("string")
+        rows = materialize(rows.withColumn(store.partition_col, bucket), "stream-batch")
+        target = store.read()
+        if target is not None:
+            rows = materialize(newer_source(target, rows, keys, order), "stream-newer")
+        if rows.isEmpty():
+            return
+        merged, _ = upsert_partitions(target, rows, keys, store.partition_col, movable=False)
+        store.replace_partitions(merged)
 
     return (source.writeStream.foreachBatch(merge_batch)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -81,40 +79,45 @@ def stream_latest(spark: SparkSession, path: str, schema: T.StructType, keys: li
 
 # --- catalogue entries -----------------------------------------------------------
 
+def _streamed(spark: SparkSession, d: str, tables: tuple[str, ...]) -> Lakehouse:
+    # Month partitions: the driver's orders are a few per hour over seven years.
+    house = Lakehouse(spark, scratch_dir(spark, "stream"), partition_grain="month")
+    house.land(d, tables)
+    for t in tables:
+        # Thousands of tiny hour files: a batch takes a third of them.
+        n = sum(1 for _ in B.scan_bronze(spark, house.bronze_root, t).inputFiles())
+        stream_silver(house, t, f"{house.root}/_checkpoint/{t}", files_per_trigger=n // 3 + 1).awaitTermination()
+    return house
+
+
 def q_stream_silver_orders(spark: SparkSession, d: str) -> DataFrame:
-    from tidemark.config import ORDERS
+    return _streamed(spark, d, ("orders",)).silver_table("orders")
 
-    root = scratch_dir(spark, "stream")
-    bronze_root = f"{root}/bronze"
-    B.land_hourly(feed(spark, d, "orders"), bronze_root, "orders")
-    col = ORDERS.partition[0]
-    schema = T.StructType(silver_schema("orders").fields + [T.StructField(col, T.StringType())])
-    sink = PartitionedTable(spark, f"{root}/silver/orders", schema, col)
-    # Month partitions: the driver's orders are a few per hour over seven years.
-    q = stream_silver(spark, ORDERS, bronze_root, sink, f"{root}/_checkpoint/orders",
-                      files_per_trigger=8, grain="month")
-    q.awaitTermination()
-    return sink.read().select(*ORDERS.output_columns)
+
+def q_stream_silver_orderdetails(spark: SparkSession, d: str) -> DataFrame:
+    return _streamed(spark, d, ("orders", "orderdetails")).silver_table("orderdetails")
 
 
 def q_stream_latest_by_key(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_dir(spark, "stream")
     events = read_table(spark, d, "events")
     landed = f"{root}/events"
-    # Land the event table as a stream of files, clustered by day of event time.
-    n_files = spark.sparkContext.defaultParallelism
-    (events.withColumn("_day", F.to_date("ts")).repartition(n_files, "_day").drop("_day")
-     .write.parquet(landed))
-    store = TableStore(spark, f"{root}/state")
+    # Land the event table as a stream of files: hours of event time, rebalanced,
+    # so that a busy hour is several files.
+    (events.withColumn("_hour", F.date_trunc("hour", "ts")).hint("rebalance", "_hour").drop("_hour")
+     .write.option("maxRecordsPerFile", 200_000).parquet(landed))
+    schema = T.StructType([*events.schema.fields, T.StructField("bucket", T.StringType())])
+    store = StoredTable(spark, f"{root}/state", schema, "bucket")
     q = stream_latest(spark, landed, events.schema, ["user_id"], ["ts", "event_id"], store,
-                      "latest_events", f"{root}/_checkpoint/events", files_per_trigger=4)
+                      f"{root}/_checkpoint/events", files_per_trigger=4)
     q.awaitTermination()
-    return store.read("latest_events", events.schema)
+    return store.read().drop("bucket")
 
 
 def _register() -> None:
     from tidemark.plans.catalog import QUERIES
     QUERIES["stream_silver_orders"] = q_stream_silver_orders
+    QUERIES["stream_silver_orderdetails"] = q_stream_silver_orderdetails
     QUERIES["stream_latest_by_key"] = q_stream_latest_by_key
 
 
