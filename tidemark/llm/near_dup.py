@@ -8,11 +8,13 @@ each next coordinate, so two permutations give all coordinates. ``BANDS`` bands
 
 Verification. Equal sets are one node from the start. In each bucket the member
 that meets the most others is the centre, and every member is compared with it on
-full sets. Members that this leaves in another component than the centre are
-then compared with all members of other components in their buckets, except where
-the overlap cannot suffice: shingles that no other set in such buckets holds
-count for nothing, and a link needs 185 * overlap >= 85 * (sum of sizes). So a group
-of n copies costs about n comparisons, and no link between components is lost.
+full sets. Members that this leaves in another component than their centre are
+then compared with the members of other components around it, as far as an exact
+prefix filter lets a link be: shingles are put in an order that begins with those
+that the centre does not hold; linked sets share a shingle among the first
+n - ceil(0.85 n) + 1 of both, and from its places on enough must be left. So a
+group of n copies costs about n comparisons, and no link between components is
+lost.
 
 At the threshold of 0.85 a pair meets in some band with probability 1 - 3e-6
 (``(1 - .85 ** ROWS) ** BANDS`` is the miss); every link is then decided exactly.
@@ -46,7 +48,8 @@ CACHED_WORDS = 300_000
 WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
 SIGNATURES = "doc_id long, n_shingles long, node binary, bands array<long>"
-SETS = "node binary, n long, shingles binary"
+SETS = "id long, n long, shingles binary"
+STAR = "id long, centre long, n long, linked boolean, prefix array<long>"
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -127,103 +130,114 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The full sets of ``wanted`` (doc_id, node), from the texts."""
+    """The full sets of ``wanted`` (id, node, doc_id), from the texts."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            last = None
             for batch in parts:
-                for node, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for id_, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     s = shingles(text)
-                    if xxhash.xxh3_128_digest(s.tobytes()) == node:  # a repeated doc_id may have another text
-                        yield node, len(s), s.tobytes()
+                    if id_ != last and xxhash.xxh3_128_digest(s.tobytes()) == node:  # a repeated doc_id may have another text
+                        last = id_
+                        yield id_, len(s), s.tobytes()
 
-        yield from batches(rows(), pa.schema([("node", pa.binary()), ("n", pa.int64()), ("shingles", pa.binary())]), 256)
+        yield from batches(rows(), pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())]), 256)
 
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
-    found = texts.join(wanted, "doc_id").select("node", "text").mapInArrow(run, SETS)
-    return found
+    # The same plan at every size: the candidates grow with the documents.
+    return texts.join(wanted.hint("merge"), "doc_id").select("id", "node", "text").mapInArrow(run, SETS)
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are at least ``percent`` similar."""
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
+    """Whether two sets are at least ``percent`` similar; which of x are in y."""
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    common = y[at] == x
+    both = int(common.sum())
+    return 100 * both >= percent * (len(x) + len(y) - both), common
+
+
+def with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
+    left = sets.select(F.col("id").alias(a), F.col("shingles").alias("x"))
+    right = sets.select(F.col("id").alias(b), F.col("shingles").alias("y"))
+    return pairs.join(left, a).join(right, b).select(a, b, "x", "y")
+
+
+def compared_with_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """For pairs (id, centre): whether they are linked, and the set's prefix in the
+    order that puts shingles outside the centre first."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("a", pa.binary()), ("b", pa.binary())])
+        schema = pa.schema([("id", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("prefix", pa.list_(pa.int64()))])
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for id_, centre, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                     x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                    at = np.searchsorted(y, x)
-                    at[at == len(y)] = 0
-                    both = int((y[at] == x).sum())
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        yield a, b
+                    linked, common = similar(x, y, percent)
+                    first = len(x) + percent * len(x) // -100 + 1
+                    yield id_, centre, len(x), linked, np.concatenate([x[~common], x[common]])[:first].view(np.int64)
 
-        yield from batches(rows(), schema)
+        yield from batches(rows(), schema, 1024)
 
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("x"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return with_sets(pairs, sets, "id", "centre").mapInArrow(run, STAR)
 
 
-def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """(node, component) of the distinct sets that are linked with another."""
-    members = materialize(nodes.select("node", F.col("n_shingles").alias("n"), "doc_id", F.explode("bands").alias("band")), "dup-members")
-    shared = materialize(members.groupBy("band").agg(F.count("*").alias("size"), F.min("n").alias("least"), F.max("n").alias("most")).where("size > 1"), "dup-buckets")
-    met = materialize(members.join(shared.select("band", "size"), "band"), "dup-met")
-    each = materialize(met.groupBy("node").agg(F.sum("size").alias("meets"), F.first("doc_id").alias("doc_id")), "dup-nodes")
-    sets = materialize(sets_of(docs, each.select("doc_id", "node")).dropDuplicates(["node"]), "dup-sets")
-
-    ranked = met.join(each.select("node", "meets"), "node")
-    centres = materialize(ranked.groupBy("band").agg(F.max_by(F.struct("node", "n"), F.struct("meets", "node")).alias("centre")), "dup-centres")
-    to_centre = met.join(centres, "band").where("node <> centre.node and 100 * least(n, centre.n) >= %d * greatest(n, centre.n)" % percent)
-    pairs = materialize(to_centre.select(F.col("node").alias("a"), F.col("centre.node").alias("b")).distinct(), "dup-star")
-    star = materialize(verified(pairs, sets, percent), "dup-star-links")
-    first = connected_components(star)
-
-    # Buckets that still hold several components: their members against each other.
-    labelled = materialize(met.join(first, "node", "left").withColumn("component", F.coalesce("component", "node")), "dup-labelled")
-    mixed = labelled.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("band")
-    labelled = materialize(labelled.join(materialize(mixed, "dup-mixed"), "band"), "dup-mixed-members")
-    useful = materialize(useful_counts(sets, labelled.select("node").distinct()), "dup-useful")
-    live = materialize(labelled.join(useful, "node"), "dup-live")  # useful: shingles that other sets hold too
-    main = labelled.join(centres, "band").where("node = centre.node").select("band", F.col("component").alias("main"))
-    main = materialize(main, "dup-main")
-    enough = "(100 + {p}) * least({a}useful, {b}useful) >= {p} * ({a}n + {b}n) and 100 * least({a}n, {b}n) >= {p} * greatest({a}n, {b}n)"
-    # A set below what its own size asks for of the smallest possible partner is out for good.
-    able = live.where(f"100 * useful >= {percent} * n")
-    apart = able.join(main, "band").where("component <> main").drop("main", "size", "doc_id")
-    others = able.select("band", *(F.col(c).alias(f"o_{c}") for c in ("node", "n", "useful", "component")))
-    rest = materialize(apart, "dup-apart").join(materialize(others, "dup-able"), "band")
-    rest = rest.where("component <> o_component").where(enough.format(p=percent, a="", b="o_"))
-    low, high = F.least("node", "o_node"), F.greatest("node", "o_node")
-    pairs = materialize(rest.select(low.alias("a"), high.alias("b")).distinct(), "dup-rest")
-    more = materialize(verified(pairs, sets, percent), "dup-rest-links")
-    return first if more.isEmpty() else connected_components(star.union(more))
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are at least ``percent`` similar."""
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in parts:
+                for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if similar(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent)[0]:
+                        yield a, b
 
+        yield from batches(rows(), pa.schema([("a", pa.int64()), ("b", pa.int64())]))
 
-def useful_counts(sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """How many shingles of each node at least one other of ``nodes`` holds."""
+    return with_sets(pairs, sets, "a", "b").mapInArrow(run, "a long, b long")
 
-    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in parts:
-            for node, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                s = np.frombuffer(blob, dtype=np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array([node] * len(s), pa.binary()), pa.array(s)], ["node", "shingle"])
 
-    held = materialize(sets.join(nodes, "node").select("node", "shingles").mapInArrow(run, "node binary, shingle long"), "dup-shingles")
-    common = materialize(held.groupBy("shingle").agg(F.count("*").alias("sets")).where("sets > 1").select("shingle"), "dup-common")
-    return held.join(common, "shingle").groupBy("node").agg(F.count("*").alias("useful"))
+def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
+    """(node, component), by id, of the distinct sets that are linked with another."""
+    members = nodes.select("id", F.explode("bands").alias("band"))
+    shared = materialize(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "dup-buckets")
+    met = materialize(members.join(shared, "band"), "dup-met")
+    each = materialize(met.groupBy("id").agg(F.sum("size").alias("meets")), "dup-meets")
+    wanted = materialize(each.join(nodes.select("id", "node", "doc_id"), "id").select("id", "node", "doc_id"), "dup-wanted")
+    sets = materialize(sets_of(docs, wanted), "dup-sets")
+
+    centres = met.join(each, "id").groupBy("band").agg(F.max_by("id", F.struct("meets", "id")).alias("centre"))
+    around = met.join(materialize(centres, "dup-centres"), "band").select("id", "centre").distinct()
+    star = materialize(compared_with_centres(materialize(around, "dup-around"), sets, percent), "dup-star")
+    edges = star.where("linked and id <> centre").select(F.col("id").alias("a"), F.col("centre").alias("b"))
+    first = connected_components(edges)
+
+    # Centres that members of other components stand around.
+    label = F.coalesce("component", "id")
+    own = materialize(star.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", label), "dup-own")
+    main = own.where("id = centre").select("centre", F.col("component").alias("main")).distinct()
+    own = materialize(own.join(materialize(main, "dup-main"), "centre"), "dup-labelled")
+    mixed = materialize(own.where("component <> main").select("centre").distinct(), "dup-mixed")
+    placed = materialize(own.join(mixed, "centre").select("centre", "id", "n", "component", "main", F.posexplode("prefix").alias("at", "shingle")), "dup-prefixes")
+    apart = placed.where("component <> main").drop("main")
+    others = placed.select("centre", "shingle", *(F.col(c).alias(f"o_{c}") for c in ("id", "n", "component", "at")))
+    enough = f"{100 + percent} * least(n - at, o_n - o_at) >= {percent} * (n + o_n) and 100 * least(n, o_n) >= {percent} * greatest(n, o_n)"
+    rest = apart.join(others, ["centre", "shingle"]).where("component <> o_component").where(enough)
+    pairs = materialize(rest.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "dup-rest")
+    more = materialize(verified(pairs, sets, percent), "dup-rest-links")
+    return first if more.isEmpty() else connected_components(edges.union(more))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
     rows = materialize(signatures(docs), "dup-signatures")
     named = rows.where("doc_id is not null and node is not null")
-    nodes = materialize(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")), "dup-nodes")
+    nodes = materialize(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "dup-nodes")
     component = links(docs, nodes, percent)
-    of_node = nodes.select("node", "doc_id").join(component, "node", "left").select("node", "doc_id", F.coalesce("component", "node").alias("component"))
+    of_node = nodes.select("id", "node", "doc_id").join(component.withColumnRenamed("node", "id"), "id", "left")
+    of_node = of_node.select("node", "doc_id", F.coalesce("component", "id").alias("component"))
     of_node = materialize(of_node, "dup-components")
     smallest = materialize(of_node.groupBy("component").agg(F.min("doc_id").alias("component_id")), "dup-smallest")
     final = materialize(of_node.select("node", "component").join(smallest, "component").select("node", "component_id"), "dup-final")
