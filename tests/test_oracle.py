@@ -7,9 +7,10 @@ from conftest import SF_SMALL
 from oracle_check import compare, duck
 
 import __spark_entry__ as entry
+from tidemark.plans import catalog, oracle
 
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+QUERIES = catalog.QUERIES
+ORACLE = oracle.ORACLE_SQL
 
 
 @pytest.fixture(scope="module")
