@@ -69,9 +69,11 @@ class Lakehouse:
 
     # -- bronze -------------------------------------------------------------------
     def land(self, sf_dir: str, tables: Sequence[str] = SILVER_TABLES) -> None:
-        """Land the feeds that the test tables stand for (rerun-safe)."""
+        """Land the feeds that the test tables stand for (rerun-safe). Their histories
+        are thousands of tiny hours, which all cores write side by side."""
+        tasks = self.spark.sparkContext.defaultParallelism
         for t in tables:
-            B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t, replace=True)
+            B.land_hourly(feed(self.spark, sf_dir, t), self.bronze_root, t, num_tasks=tasks, files_per_hour=1, replace=True)
 
     def register_hour(self, run_at: dt.datetime, overrides: dict | None = None, database: str = "raw") -> None:
         """The scheduled bronze step: register the run's landing hour of every table."""
