@@ -1,16 +1,13 @@
 """DuckDB oracle SQL for every catalogue query.
 
-Written straight from the model semantics (window after join, CASE in the
-GROUP BY, NOT EXISTS + UNION ALL for MERGE), not from the Spark plans, so the
-two implementations check each other. The driver's tables are views named
+Written from the model's semantics, with keys, operations and tie orders of its
+own, not from the Spark plans or specs, so the two check each other. The driver's tables are views named
 after the files (``orders``, ``lineitem``, ...).
 """
 
 from __future__ import annotations
 
-from tidemark.config import SPECS
 from tidemark.plans.catalog import DETAILS_CUTOFF, FEED_CUTOFF, GOLD_CUTOFF
-from tidemark.sources.schemas import BRONZE_PAYLOAD
 
 FMT = "%Y-%m-%d %H:%M:%S.%f"
 TS = f"strptime(extract_at, '{FMT}')"
@@ -106,6 +103,20 @@ SILVER_COLS = {
                                   "quantityinstock")]
     + [("buyprice", "CAST(buyprice AS DOUBLE)"), ("msrp", "CAST(msrp AS DOUBLE)")],
 }
+# Keys and admitted operations of each table, and the landed payload columns in the
+# order that breaks ties: stated here, not taken from the code under test.
+KEYS = {"customers": ("customernumber",), "employees": ("employeenumber",), "offices": ("officecode",),
+        "orders": ("ordernumber",), "products": ("productcode",),
+        "orderdetails": ("ordernumber", "productcode", "orderlinenumber")}
+OPS = {"customers": "IU", "employees": "IU", "offices": "IU", "orders": "IUD", "products": "IU", "orderdetails": "IU"}
+PAYLOAD = {
+    "customers": [n for n, _ in SILVER_COLS["customers"]],
+    "employees": [n for n, _ in SILVER_COLS["employees"]],
+    "offices": [n for n, _ in SILVER_COLS["offices"]],
+    "orders": ["ordernumber", "orderdate", "requireddate", "shippeddate", "customernumber"],
+    "products": [n for n, _ in SILVER_COLS["products"]],
+    "orderdetails": ["ordernumber", "productcode", "quantityordered", "priceeach", "orderlinenumber"],
+}
 LINEAGE = ("'silver' AS zone_area, 'commercial' AS business_area, 'erp' AS source_system, "
            "'{ds}' AS dataset")
 
@@ -124,36 +135,29 @@ def _ops(ops) -> str:
 
 def silver_sql(table: str, src: str, where: str = "", dedupe: bool = True) -> str:
     """Silver rows of ``table`` from the bronze relation ``src`` (not details)."""
-    spec = SPECS[table]
     cols = ", ".join(f"{e} AS {n}" for n, e in SILVER_COLS[table])
-    stored = f"{TS} - INTERVAL 3 HOUR" if spec.shift_ts else TS
-    inner = (f"SELECT {cols}, {LINEAGE.format(ds=table)}, {stored} AS extract_at, "
-             f"{TS} AS _ts, {OPRANK} AS _op FROM {src} WHERE op IN ({_ops(spec.ops)}) {where}")
+    inner = (f"SELECT {cols}, {LINEAGE.format(ds=table)}, {TS} - INTERVAL 3 HOUR AS extract_at, "
+             f"{TS} AS _ts, {OPRANK} AS _op FROM {src} WHERE op IN ({_ops(OPS[table])}) {where}")
     if not dedupe:
         return f"SELECT * EXCLUDE (_ts, _op) FROM ({inner})"
-    order = _order(["_ts", "_op"] + spec.tiebreak)
-    return (f"SELECT * EXCLUDE (_ts, _op, _rn) FROM (SELECT *, row_number() OVER ("
-            f"PARTITION BY {', '.join(spec.keys)} ORDER BY {order}) AS _rn FROM ({inner})) WHERE _rn = 1")
+    order = _order(["_ts", "_op"] + [n for n, _ in SILVER_COLS[table] if n not in KEYS[table]])
+    return (f"SELECT * EXCLUDE (_ts, _op) FROM ({inner}) "
+            f"QUALIFY row_number() OVER (PARTITION BY {', '.join(KEYS[table])} ORDER BY {order}) = 1")
 
 
 def details_sql(src: str, orders_src: str, where: str = "") -> str:
-    """Silver order lines: lines LEFT JOIN latest orders, then row_number (as modelled)."""
-    latest_o = (f"SELECT ordernumber, orderdate FROM (SELECT ordernumber, orderdate, row_number() OVER ("
-                f"PARTITION BY ordernumber ORDER BY {_order(['_ts', '_op', 'od', 'oym', 'customernumber'])}) AS rn "
-                f"FROM (SELECT ordernumber, orderdate - INTERVAL 3 HOUR AS orderdate, orderdate AS od, "
-                f"CAST(strftime(orderdate - INTERVAL 3 HOUR, '%Y%m') AS INTEGER) AS oym, customernumber, "
-                f"{TS} AS _ts, {OPRANK} AS _op FROM {orders_src} WHERE op IN ('I','U','D'))) WHERE rn = 1")
-    inner = (f"SELECT b.ordernumber, o.orderdate, b.productcode, b.quantityordered, "
-             f"CAST(b.priceeach AS DOUBLE) AS priceeach, b.orderlinenumber, "
-             f"CAST(b.quantityordered * b.priceeach AS DOUBLE) AS amount, {LINEAGE.format(ds='orderdetails')}, "
-             f"strptime(b.extract_at, '{FMT}') AS extract_at, row_number() OVER ("
-             f"PARTITION BY b.ordernumber, b.productcode, b.orderlinenumber ORDER BY "
-             f"strptime(b.extract_at, '{FMT}') DESC NULLS LAST, "
-             f"CASE b.op WHEN 'I' THEN 0 WHEN 'U' THEN 1 WHEN 'D' THEN 2 ELSE -1 END DESC NULLS LAST, "
-             f"b.quantityordered DESC NULLS LAST, b.priceeach DESC NULLS LAST) AS rn "
-             f"FROM {src} b LEFT JOIN ({latest_o}) o ON b.ordernumber = o.ordernumber "
-             f"WHERE b.op IN ('I','U') {where}")
-    return f"SELECT * EXCLUDE (rn) FROM ({inner}) WHERE rn = 1"
+    """Silver order lines: the newest image of each line with the date of the newest
+    image of its order."""
+    newest_order = (f"SELECT ordernumber, orderdate - INTERVAL 3 HOUR AS orderdate FROM {orders_src} "
+                    f"WHERE op IN ({_ops(OPS['orders'])}) QUALIFY row_number() OVER (PARTITION BY ordernumber "
+                    f"ORDER BY {_order([TS, OPRANK, 'orderdate', 'customernumber'])}) = 1")
+    newest_line = (f"SELECT * FROM {src} WHERE op IN ({_ops(OPS['orderdetails'])}) {where} "
+                   f"QUALIFY row_number() OVER (PARTITION BY {', '.join(KEYS['orderdetails'])} "
+                   f"ORDER BY {_order([TS, OPRANK, 'quantityordered', 'priceeach'])}) = 1")
+    return (f"SELECT ordernumber, dated.orderdate, productcode, quantityordered, "
+            f"CAST(priceeach AS DOUBLE) AS priceeach, orderlinenumber, "
+            f"CAST(quantityordered * priceeach AS DOUBLE) AS amount, {LINEAGE.format(ds='orderdetails')}, "
+            f"{TS} AS extract_at FROM ({newest_line}) line LEFT JOIN ({newest_order}) dated USING (ordernumber)")
 
 
 def feeds_cte(*names: str) -> list[tuple[str, str]]:
@@ -175,26 +179,25 @@ BUCKET = ("CASE WHEN {a} <= 50000 THEN 'Small' WHEN {a} BETWEEN 50000 AND 75000
           "ELSE 'Big' END")
 
 
-def gold_select(od: str, o: str, c: str, e: str, f: str, where: str = "") -> str:
-    """The mart, joined and grouped exactly as modelled."""
-    so = (f"SELECT o.ordernumber, o.orderdate, od.amount, e.officecode, od.quantityordered "
-          f"FROM {od} od JOIN {o} o ON od.ordernumber = o.ordernumber "
-          f"JOIN {c} c ON o.customernumber = c.customernumber "
-          f"JOIN {e} e ON c.salesrepemployeenumber = e.employeenumber WHERE 1=1 {where}")
-    b = BUCKET.format(a="so.amount")
-    return (f"SELECT sf.officecode AS locality_officecode, sf.city AS locality_city, "
-            f"CASE WHEN sf.state = '' THEN NULL ELSE sf.state END AS locality_state, "
-            f"sf.country AS locality_country, sf.territory AS locality_territory, "
-            f"{b} AS interval_portsales, so.orderdate AS calendar_sales_date, "
-            f"CAST(month(so.orderdate) AS BIGINT) AS calendar_month_number, "
-            f"strftime(so.orderdate, '%B') AS calendar_monthname_full, "
-            f"strftime(so.orderdate, '%m') AS calendar_monthname_short, "
-            f"CAST(quarter(so.orderdate) AS BIGINT) AS calendar_quarter, "
-            f"CAST(year(so.orderdate) AS BIGINT) AS calendar_year, "
-            f"CAST(sum(so.quantityordered) AS BIGINT) AS sales_quantityordered, "
-            f"CAST(sum(CAST(so.amount AS DECIMAL(38,2))) AS DOUBLE) AS sales_amount "
-            f"FROM ({so}) so JOIN {f} sf ON so.officecode = sf.officecode "
-            f"GROUP BY sf.officecode, sf.city, sf.state, sf.country, sf.territory, {b}, so.orderdate")
+def gold_select(lines: str, orders: str, customers: str, employees: str, offices: str, where: str = "") -> str:
+    """The mart in one grouped join; ``where`` is over ``sale`` (the orders)."""
+    bucket = BUCKET.format(a="line.amount")
+    return (f"SELECT office.officecode AS locality_officecode, office.city AS locality_city, "
+            f"nullif(office.state, '') AS locality_state, office.country AS locality_country, "
+            f"office.territory AS locality_territory, {bucket} AS interval_portsales, "
+            f"sale.orderdate AS calendar_sales_date, "
+            f"CAST(month(sale.orderdate) AS BIGINT) AS calendar_month_number, "
+            f"strftime(sale.orderdate, '%B') AS calendar_monthname_full, "
+            f"strftime(sale.orderdate, '%m') AS calendar_monthname_short, "
+            f"CAST(quarter(sale.orderdate) AS BIGINT) AS calendar_quarter, "
+            f"CAST(year(sale.orderdate) AS BIGINT) AS calendar_year, "
+            f"CAST(sum(line.quantityordered) AS BIGINT) AS sales_quantityordered, "
+            f"CAST(sum(CAST(line.amount AS DECIMAL(38,2))) AS DOUBLE) AS sales_amount "
+            f"FROM {orders} sale JOIN {lines} line ON line.ordernumber = sale.ordernumber "
+            f"JOIN {customers} buyer ON buyer.customernumber = sale.customernumber "
+            f"JOIN {employees} rep ON rep.employeenumber = buyer.salesrepemployeenumber "
+            f"JOIN {offices} office ON office.officecode = rep.officecode "
+            f"{where and 'WHERE ' + where} GROUP BY ALL")
 
 
 GOLD_FULL = gold_select("s_orderdetails", "s_orders", "s_customers", "s_employees", "s_offices")
@@ -209,13 +212,12 @@ def _gold_q(final: str) -> str:
 
 
 def raw_latest_sql(table: str) -> str:
-    spec = SPECS[table]
-    tb = [n for n, _ in BRONZE_PAYLOAD[table] if n not in spec.keys]
+    tb = [n for n in PAYLOAD[table] if n not in KEYS[table]]
     order = _order([TS, OPRANK] + tb)
     return _q(feeds_cte(table),
               f"SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY "
-              f"{', '.join(spec.keys)} ORDER BY {order}) AS _rn FROM f_{table} "
-              f"WHERE op IN ({_ops(spec.ops)})) WHERE _rn = 1")
+              f"{', '.join(KEYS[table])} ORDER BY {order}) AS _rn FROM f_{table} "
+              f"WHERE op IN ({_ops(OPS[table])})) WHERE _rn = 1")
 
 
 def upsert_sql(target: str, source: str, keys: tuple[str, ...]) -> str:
@@ -236,7 +238,7 @@ def _oracle() -> dict[str, str]:
         " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, year_stream, month_stream, day_stream, hour_stream, "
             f"count(*) AS row_count, 1 AS partition_activated FROM f_{t} GROUP BY ALL" for t in ALL_FEEDS))
-    cols = ", ".join(n for n, _ in BRONZE_PAYLOAD["products"])
+    cols = ", ".join(PAYLOAD["products"])
     q["bronze_backfill_fixed_partition"] = _q(feeds_cte("products"),
         f"SELECT op, extract_at, {cols}, '2026' AS year_stream, '01' AS month_stream, "
         f"'01' AS day_stream, '00' AS hour_stream FROM f_products")
@@ -353,7 +355,7 @@ def _oracle() -> dict[str, str]:
         feeds_cte("orders", "orderdetails")
         + [("tgt", details_sql(f"(SELECT * FROM f_orderdetails WHERE extract_at <= '{DETAILS_CUTOFF}')", "f_orders")),
            ("src", details_sql("f_orderdetails", "f_orders",
-                               where=f"AND strptime(b.extract_at, '{FMT}') > (SELECT max(extract_at) FROM tgt)"))],
+                               where=f"AND {TS} > (SELECT max(extract_at) FROM tgt)"))],
         upsert_sql("tgt", "src", ("ordernumber", "productcode", "orderlinenumber")))
     # Every order moves back to its own date; lines that came before any order
     # and came again take the date too.
@@ -367,16 +369,16 @@ def _oracle() -> dict[str, str]:
     early = gold_select("s_orderdetails", f"(SELECT * FROM s_orders WHERE orderdate <= TIMESTAMP '{GOLD_CUTOFF}')",
                         "s_customers", "s_employees", "s_offices")
     late = gold_select("s_orderdetails", "s_orders", "s_customers", "s_employees", "s_offices",
-                       where="AND o.orderdate > (SELECT max(calendar_sales_date) FROM gtgt)")
+                       where="sale.orderdate > (SELECT max(calendar_sales_date) FROM gtgt)")
     q["gold_sales_incremental"] = _q(
         silver_ctes() + [("gtgt", early), ("gsrc", late)],
         "SELECT * FROM gtgt t WHERE NOT EXISTS (SELECT 1 FROM gsrc s WHERE s.locality_officecode = t.locality_officecode "
         "AND s.interval_portsales = t.interval_portsales AND s.calendar_sales_date = t.calendar_sales_date) "
         "UNION ALL SELECT * FROM gsrc")
     old = gold_select("old_lines", "s_orders", "s_customers", "s_employees", "s_offices",
-                      where=f"AND o.orderdate < TIMESTAMP '{GOLD_CUTOFF}'")
+                      where=f"sale.orderdate < TIMESTAMP '{GOLD_CUTOFF}'")
     anew = gold_select("s_orderdetails", "s_orders", "s_customers", "s_employees", "s_offices",
-                       where=f"AND o.orderdate >= TIMESTAMP '{GOLD_CUTOFF}'")
+                       where=f"sale.orderdate >= TIMESTAMP '{GOLD_CUTOFF}'")
     q["gold_recompute_late"] = _q(
         silver_ctes() + [("old_lines", details_sql(
             f"(SELECT * FROM f_orderdetails WHERE extract_at <= '{DETAILS_CUTOFF}')", "f_orders"))],
