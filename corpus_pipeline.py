@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import leaks, near_dup, packing, quality
-from tidemark.llm.common import materialize
+from tidemark.llm.common import bound_batches, materialize
 
 #: Columns that the stages add for a while; no input column has such a name.
 SCORE, ID = "__pipeline_score", "__pipeline_doc_id"
@@ -18,6 +18,7 @@ SCORE, ID = "__pipeline_score", "__pipeline_doc_id"
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 8: documents that score under the threshold go."""
+    bound_batches(spark)
     model = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality.score(docs, model, SCORE).where(F.col(SCORE) >= quality.THRESHOLD).drop(SCORE)
 
@@ -25,12 +26,14 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each group of near-duplicates stays, that with
     the smallest doc_id."""
+    bound_batches(spark)
     judged = near_dup.near_duplicates(docs)
     return without(docs, judged.where("not kept").select("doc_id"))
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 6: documents that hold a benchmark item go."""
+    bound_batches(spark)
     found = leaks.leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return without(docs, found.select("doc_id").distinct())
 
@@ -43,6 +46,7 @@ def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: what is left, as pieces of sequences with their token ids."""
+    bound_batches(spark)
     return packing.pack(docs)
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+BATCH_ROWS = 1000
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
@@ -31,6 +34,16 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> SparkSession:
+    """Texts are long: let a Python worker get at most ``BATCH_ROWS`` of them at a time
+    (a smaller setting of the session stays)."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+    return spark
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark)}/llm-{name}-{uuid.uuid4().hex}"
@@ -77,6 +90,12 @@ def open_uri(uri: str):
     return store.open_input_file(path)
 
 
+def rows_of(batch: pa.RecordBatch, size: int = 256) -> Iterator[tuple]:
+    """A batch's rows as tuples, of which only ``size`` are Python objects at a time."""
+    for at in range(0, batch.num_rows, size):
+        yield from zip(*(c.to_pylist() for c in batch.slice(at, size).columns), strict=True)
+
+
 def batches(rows: Iterator[dict] | Iterator[tuple], schema: pa.Schema, size: int = 4096) -> Iterator[pa.RecordBatch]:
     """Row tuples to record batches of at most ``size`` rows."""
     buffer: list = []

@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import batches, text_or_empty
+from tidemark.llm.common import batches, rows_of, text_or_empty
 
 SEGMENT = 256
 EDITS = "array<struct<position: long, deleted: long, inserted: string>>"
@@ -141,7 +141,7 @@ def edited_counts(trees: DataFrame, vocabulary: str = tokens.VOCABULARY) -> Data
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for doc_id, text, chars, counts, edits in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for doc_id, text, chars, counts, edits in rows_of(batch):
                     segments, at = [], 0
                     for n in chars:
                         segments.append(text[at : at + n])

@@ -35,13 +35,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, materialize, text_or_empty
+from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
 
 GRAM, SPAN = 3, 2
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
 BLOOM_BITS = 1 << 24
-CACHED_WORDS = 300_000
+CACHED_WORDS = 200_000
 WORD = re.compile(r"[^\W_]+")
 
 GRAMS = "item_id long, place int, gram long, n_words int, words string"
@@ -85,7 +85,7 @@ def item_grams(items: DataFrame) -> DataFrame:
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for item_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for item_id, text in rows_of(batch):
                     words = words_of(text)
                     for place, gram in enumerate(gram_hashes(words, min(GRAM, len(words))) if words else []):
                         yield item_id, place, int(gram), len(words), " ".join(words)
@@ -126,7 +126,7 @@ def passages(docs: DataFrame, bits: np.ndarray, lengths: list[int], reach: int)
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for doc_id, text in rows_of(batch):
                     words = words_of(text)
                     places, grams = [], []
                     for length in lengths:
@@ -190,7 +190,7 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for doc_id, item_id, words, item in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for doc_id, item_id, words, item in rows_of(batch):
                     passage, item = words.split(" "), item.split(" ")
                     score = align(passage, item)
                     ratio = score / (MATCH * len(item))

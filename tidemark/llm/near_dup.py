@@ -36,14 +36,14 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import batches, materialize, text_or_empty
+from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
 from tidemark.llm.components import connected_components
 
 WORDS = 5
 BANDS, ROWS = 26, 5
 CIRCLE = 1 << 20
 SEED = 20240229
-CACHED_WORDS = 300_000
+CACHED_WORDS = 150_000
 #: multipliers of the shingle hash, one per word, and of the band hash, one per coordinate
 WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
@@ -120,7 +120,7 @@ def signatures(docs: DataFrame) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc_id, text in rows_of(batch):
                     s = shingles(text)
                     yield (doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(s)) if len(s) else (doc_id, 0, None, None)
 
@@ -136,7 +136,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
         def rows() -> Iterator[tuple]:
             last = None
             for batch in parts:
-                for id_, node, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for id_, node, text in rows_of(batch):
                     s = shingles(text)
                     if id_ != last and xxhash.xxh3_128_digest(s.tobytes()) == node:  # a repeated doc_id may have another text
                         last = id_
@@ -173,7 +173,7 @@ def compared_with_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> Da
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for id_, centre, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for id_, centre, x, y in rows_of(batch):
                     x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                     linked, common = similar(x, y, percent)
                     first = len(x) + percent * len(x) // -100 + 1
@@ -190,7 +190,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for a, b, x, y in rows_of(batch):
                     if similar(np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64), percent)[0]:
                         yield a, b
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import tokens
-from tidemark.llm.common import batches, partition_id, text_or_empty
+from tidemark.llm.common import batches, partition_id, rows_of, text_or_empty
 
 WINDOW = 4096
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -126,7 +126,7 @@ def pack(docs: DataFrame, window: int = WINDOW, vocabulary: str = tokens.VOCABUL
 
         def sequences() -> Iterator[list[Piece]]:
             for batch in parts:
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc_id, text in rows_of(batch):
                     ids = tokens.encode(text, ids_of) + end
                     total, start = len(ids) // 4, 0
                     while total - start >= window:

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tidemark.llm.common import batches, text_or_empty
+from tidemark.llm.common import batches, rows_of, text_or_empty
 
 SAMPLE = 4000
 DIMENSIONS = 48
@@ -121,7 +121,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((i, y, terms(t).tobytes()) for b in parts for i, y, t in zip(*(c.to_pylist() for c in b.columns), strict=True))
+        rows = ((i, y, terms(t).tobytes()) for b in parts for i, y, t in rows_of(b))
         yield from batches(rows, pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("terms", pa.binary())]), 256)
 
     found = texts.join(F.broadcast(few), "doc_id").select("doc_id", "quality", "text")  # few: at most sample rows

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.llm.common import bound_batches
 from tidemark.llm.edit_counts import op10_edit_counts
 from tidemark.llm.html_text import op9_html_text
 from tidemark.llm.leaks import op6_leaks
@@ -17,7 +18,7 @@ from tidemark.llm.topk import OP1_SQL, op1_topk
 from tidemark.llm.warc import OP5_SQL, op5_warc
 from tidemark.llm.url_rules import OP7_SQL, op7_url_rules
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
     "op2_near_dup": op2_near_dup,
     "op3_token_files": op3_token_files,
@@ -29,4 +30,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_html_text": op9_html_text,
     "op10_edit_counts": op10_edit_counts,
 }
+
+
+def bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, sf_dir: query(bound_batches(spark), sf_dir)
+
+
+QUERIES = {name: bounded(query) for name, query in OPERATORS.items()}
 ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import seekable, tokens
-from tidemark.llm.common import batches, open_uri, partition_id, scratch_path, text_or_empty, write_atomically
+from tidemark.llm.common import batches, open_uri, partition_id, rows_of, scratch_path, text_or_empty, write_atomically
 
 DOCUMENT = "<Bq"
 
@@ -49,7 +49,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = tokens.VOC
             nonlocal docs, total
             file = seekable.Writer(out, level)
             for batch in (b for source in ([first], parts) for b in source):
-                for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for doc_id, text in rows_of(batch):
                     ids = tokens.encode(text, ids_of) + end
                     file.frame(ids)
                     index.extend(struct.pack(DOCUMENT, doc_id is not None, doc_id or 0))
@@ -78,7 +78,7 @@ def read_token_files(files: DataFrame, wanted: list[int] | None = None, with_ids
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in parts:
-                for uri, first in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for uri, first in rows_of(batch):
                     with open_uri(uri) as handle:
                         start = first
                         frames, index = seekable.read_tables(handle)

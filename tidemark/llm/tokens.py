@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
-CACHE_CHUNKS = 800_000
+CACHE_CHUNKS = 300_000
 LONGEST_CACHED = 64
 
 #: White space of the tokenizer's pattern; str.split() also splits at four

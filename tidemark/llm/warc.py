@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import seekable
-from tidemark.llm.common import batches, materialize, open_uri, partition_id, scratch_path, text_or_empty, write_atomically
+from tidemark.llm.common import batches, materialize, open_uri, partition_id, rows_of, scratch_path, text_or_empty, write_atomically
 
 SMALLEST_REVISIT = 100
 FRAME_BYTES = 256 * 1024
@@ -109,7 +109,7 @@ def write_bundles(pages: DataFrame, folder: str, level: int = 3) -> DataFrame:
             file, index, held = seekable.Writer(out, level), bytearray(), bytearray()
             frame = 0
             for batch in (b for source in ([head], parts) for b in source):
-                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                for row in rows_of(batch):
                     data = record(*row)
                     index.extend(struct.pack(RECORD, row[0] is not None, row[0] or 0, frame, len(held), len(data)))
                     held.extend(data)
