@@ -90,7 +90,8 @@ def judge(urls: DataFrame, rules: list[Rule]) -> DataFrame:
     matched = tokens.join(index, "token").where("key rlike pattern")
     longest = F.struct(F.col("name").isNotNull(), F.length("name"), -F.col("id"))  # listed first, then the longest, then the first given
     judged = matched.groupBy("key").agg(F.max_by(F.struct("name", "pattern", "verdict"), longest).alias("by"))
-    out = rows.join(materialize(judged, "url-verdicts"), "key", "left")
+    verdicts = materialize(judged, "url-verdicts").hint("merge")  # they grow with the URLs: never broadcast
+    out = rows.join(verdicts, "key", "left")
     listed = F.col("by.name").isNotNull()
     return out.select("page_id", "host", "path", F.col("by.name").alias("rule"), F.coalesce("by.verdict", F.lit("allow")).alias("verdict"), F.when(~listed, F.col("by.pattern")).alias("pattern"))
 
