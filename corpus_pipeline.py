@@ -25,7 +25,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each group of near-duplicates stays, that with
-    the smallest doc_id."""
+    the smallest doc_id. Rows that repeat a doc_id stay or go together."""
     bound_batches(spark)
     judged = near_dup.near_duplicates(docs)
     return without(docs, judged.where("not kept").select("doc_id"))
