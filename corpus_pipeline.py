@@ -14,6 +14,8 @@ from tidemark.llm.common import bound_batches, materialize
 
 #: Columns that the stages add for a while; no input column has such a name.
 SCORE, ID = "__pipeline_score", "__pipeline_doc_id"
+#: Similarity of five-word shingles from which on the pipeline drops a copy (the query op2 has 85).
+COPY_PERCENT = 80
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,7 +29,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 2: one document of each group of near-duplicates stays, that with
     the smallest doc_id. Rows that repeat a doc_id stay or go together."""
     bound_batches(spark)
-    judged = near_dup.near_duplicates(docs)
+    judged = near_dup.near_duplicates(docs, COPY_PERCENT)
     return without(docs, judged.where("not kept").select("doc_id"))
 
 

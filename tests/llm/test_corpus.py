@@ -7,7 +7,7 @@ import zlib
 
 import corpus_pipeline
 import duckdb
-from tests.llm.helpers import components, docs, edited, empty, prose
+from tests.llm.helpers import components, docs, edited, empty, prose, shingle_set
 from tidemark.llm import leaks, packing, quality, tokens
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
@@ -133,3 +133,14 @@ def test_registered_sql(spark):
         names = sorted(want.columns)
         spark_rows = QUERIES[name](spark, SF).select(*names).collect()
         assert sorted((tuple(r) for r in spark_rows), key=str) == sorted(want.select(*names).fetchall(), key=str), name
+
+
+def test_pipeline_drops_copies_from_080_on(spark):
+    """Near copies between 0.80 and 0.85 go, those below 0.80 stay."""
+    words = prose(105, 5).split()  # 101 shingles
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:93], *prose(12, 6).split()])), (3, " ".join([*words[:95], *prose(10, 7).split()])), (4, prose(105, 8))]
+    sets = [shingle_set(t) for _, t in rows]
+    similar = [len(sets[0] & s) / len(sets[0] | s) for s in sets]
+    assert similar[1] < 0.8 <= similar[2] < 0.85
+    kept = corpus_pipeline.drop_copies(spark, docs(spark, rows), SF).collect()
+    assert {r.doc_id for r in kept} == {i for i, c in components(rows, 80).items() if c == i} == {1, 2, 4}
