@@ -144,3 +144,23 @@ def test_pipeline_drops_copies_from_080_on(spark):
     assert similar[1] < 0.8 <= similar[2] < 0.85
     kept = corpus_pipeline.drop_copies(spark, docs(spark, rows), SF).collect()
     assert {r.doc_id for r in kept} == {i for i, c in components(rows, 80).items() if c == i} == {1, 2, 4}
+
+
+def test_edited_copies_are_found_beside_exact_ones(spark):
+    """Exact copies make an item's runs common; every third or fourth word replaced, or
+    a word put in after each, still scores half and is found as without them."""
+    tests = [(i, prose(40, 2000 + i)) for i in range(4)]
+    rows = []
+    for i, item in tests:
+        words = item.split()
+        for k, step in enumerate((3, 4)):
+            changed = [f"new{i}x{j}" if j % step == step - 1 else w for j, w in enumerate(words)]
+            rows.append((10 * i + k, f"{prose(50, i)} {' '.join(changed)} {prose(50, 70 + i)}"))
+        rows.append((10 * i + 2, " ".join(f"{w} put{i}x{j}" for j, w in enumerate(words))))
+    want = {(d, i) for d, text in rows for i, item in tests if plain_alignment(leaks.words_of(text), item.split()) >= leaks.LEAST * leaks.MATCH * 40}
+    assert want >= {(d, d // 10) for d, _ in rows}
+    copies = [(100 + 10 * i + k, f"{prose(30, 90 + i)} {item} {prose(30, 95 + k)}") for i, item in tests for k in range(3)]
+    for table in (rows, rows + copies):
+        got = {(r.doc_id, r.item_id) for r in leaks.leaks(docs(spark, table), items(spark, tests)).collect()}
+        assert {(d, i) for d, i in got if d < 100} == want
+        assert {(d, i) for d, i in got if d >= 100} == {(d, (d - 100) // 10) for d, _ in table if d >= 100}

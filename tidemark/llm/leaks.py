@@ -1,13 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds and Smith-Waterman alignment.
-
-Words are runs of letters and digits, lower-cased. Every ``GRAM``-word run of a
-test item is looked for in all documents through a Bloom filter of fixed size, and
-what passes is joined with the items' runs, so the document frequency of each run
-is known over the whole corpus. Of every ``SPAN`` consecutive runs of an item the
-rarest is a seed: a copy that keeps ``GRAM + SPAN - 1`` words in a row anywhere
-holds a seed, however common the rest of the item is. Seeds join passages to items,
-and Smith-Waterman over words scores each passage against the item, which allows
-for replaced, dropped and added words.
+"""Benchmark decontamination: counted word-pair seeds and Smith-Waterman alignment.
+
+Words are runs of letters and digits, lower-cased. Smith-Waterman over words scores
+a passage against a test item, which allows for replaced, dropped and added words.
+The seeds lose no passage that reaches the score asked for: of two words that an
+alignment matches one after the other, those with at most one word replaced,
+dropped or added between them are one or two places apart on either side. Each step
+that is wider costs a match at least, so an alignment of score T holds
+``T / 2 - 1`` such pairs or more, each from another place of the item.
+
+Every pair of words one or two places apart in an item is looked for in all
+documents through a Bloom filter of fixed size, and what passes is joined with the
+items' pairs, so the document frequency of each is known over the whole corpus. As
+many of an item's rarest places are seeds as are sure to hold half of the pairs
+that the score guarantees, whatever the frequencies are; passages that hold that
+many of them are aligned.
 
 A passage reaches as far around the document's hits as the longest item is long.
 A document leaks an item if the score is at least ``LEAST`` of the item's score
@@ -15,37 +21,41 @@ against itself.
 
 Nothing of the corpus is collected or broadcast; the Bloom filter is a bit map of
 ``BLOOM_BITS`` bits whatever the number of items, and more items only let more
-runs pass it to the join.
+pairs pass it to the join.
 
 Defined results: null and empty texts have no words and leak nothing; an item of
-fewer words than ``GRAM`` is one run of all its words and leaks where it stands
-word for word; a null doc_id or item_id takes no part; repeated rows are judged
+fewer words than ``GRAM`` leaks where it stands word for word; a null doc_id or item_id takes no part; repeated rows are judged
 one by one and the best score of the pair is returned; an empty table on either
 side gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
 
-GRAM, SPAN = 3, 2
+GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST = 0.5
 BLOOM_BITS = 1 << 24
 CACHED_WORDS = 200_000
 WORD = re.compile(r"[^\W_]+")
 
+#: places of the words of a seed, from its first one on
+ONE, PAIRS = (0,), ((0, 1), (0, 2))
+
 GRAMS = "item_id long, place int, gram long, n_words int, words string"
-HITS = "doc_id long, passage int, words string, places array<int>, grams array<long>"
+HITS = "doc_id long, passage int, words string, grams array<long>"
+SEEDS = "item_id long, place int, least int"
 
 
 class WordHashes(dict):
@@ -65,20 +75,37 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def gram_hashes(words: list[str], length: int) -> np.ndarray:
-    """A hash of the ``length`` words from each place."""
+def word_hashes(words: list[str]) -> np.ndarray:
     lookup = _hashes
-    ids = np.array([lookup[w] for w in words], dtype=np.uint64)
-    n = len(ids) - length + 1
-    h = np.full(max(n, 0), length, dtype=np.uint64)
-    for j in range(length if n > 0 else 0):
+    return np.array([lookup[w] for w in words], dtype=np.uint64)
+
+
+def gram_hashes(ids: np.ndarray, at: tuple[int, ...]) -> np.ndarray:
+    """A hash of the words ``at`` each place; how far apart they stand is not in it."""
+    n = max(len(ids) - at[-1], 0)
+    h = np.full(n, len(at), dtype=np.uint64)
+    for j in at:
         h = (h ^ ids[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
         h ^= h >> np.uint64(29)
     return h.view(np.int64)
 
 
+def needed_score(n_words: int, least: float) -> float:
+    """The score from which on a passage leaks an item of so many words."""
+    return MATCH * n_words * (least if n_words >= GRAM else 1)
+
+
+def seed_counts(n_words: int, least: float) -> tuple[int, int]:
+    """How many of an item's rarest places are seeds, and how many of them every
+    passage that reaches the score holds."""
+    places = max(n_words - 1, 1)
+    sure = max(1, math.ceil(math.ceil(needed_score(n_words, least)) / MATCH - 1))
+    asked = (sure + 1) // 2
+    return min(places, places - sure + asked), asked
+
+
 def item_grams(items: DataFrame) -> DataFrame:
-    """Every run of every item: item_id, place, gram, n_words, words."""
+    """Every pair of every item: item_id, place, gram, n_words, and words on one row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("item_id", pa.int64()), ("place", pa.int32()), ("gram", pa.int64()), ("n_words", pa.int32()), ("words", pa.string())])
@@ -87,8 +114,10 @@ def item_grams(items: DataFrame) -> DataFrame:
             for batch in parts:
                 for item_id, text in rows_of(batch):
                     words = words_of(text)
-                    for place, gram in enumerate(gram_hashes(words, min(GRAM, len(words))) if words else []):
-                        yield item_id, place, int(gram), len(words), " ".join(words)
+                    ids, whole = word_hashes(words), " ".join(words)
+                    for at in PAIRS if len(words) > 1 else [ONE]:
+                        for place, gram in enumerate(gram_hashes(ids, at)):
+                            yield item_id, place, int(gram), len(words), whole if place == 0 and at in (ONE, PAIRS[0]) else None
 
         yield from batches(rows(), schema)
 
@@ -97,7 +126,7 @@ def item_grams(items: DataFrame) -> DataFrame:
 
 
 def bloom(grams: DataFrame) -> np.ndarray:
-    """A bit map of the runs' hashes: BLOOM_BITS bits, so at most BLOOM_BITS / 64
+    """A bit map of the pairs' hashes: BLOOM_BITS bits, so at most BLOOM_BITS / 64
     numbers reach the driver."""
     bits = grams.select(F.explode(F.array(*(F.pmod(F.shiftright("gram", s), F.lit(BLOOM_BITS)) for s in (0, 24)))).alias("bit")).distinct()
     words = bits.groupBy(F.shiftright("bit", 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(bit % 64 as int))")).alias("bits"))
@@ -115,22 +144,24 @@ def passes(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     return ok
 
 
-def passages(docs: DataFrame, bits: np.ndarray, lengths: list[int], reach: int) -> DataFrame:
-    """Runs of the documents that pass the filter, grouped into passages that reach
-    ``reach`` words around them; places count from the start of the passage."""
+def passages(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, ...]], reach: int) -> DataFrame:
+    """Pairs of the documents that pass the filter, each once for every passage; a
+    passage reaches ``reach`` words around them. No best alignment spans ``3 * reach``
+    words without a pair: that costs more than the lesser side of it scores."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("passage", pa.int32()), ("words", pa.string()), ("places", pa.list_(pa.int32())), ("grams", pa.list_(pa.int64()))])
+        schema = pa.schema([("doc_id", pa.int64()), ("passage", pa.int32()), ("words", pa.string()), ("grams", pa.list_(pa.int64()))])
         known = shared.value
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
                 for doc_id, text in rows_of(batch):
                     words = words_of(text)
+                    ids = word_hashes(words)
                     places, grams = [], []
-                    for length in lengths:
-                        h = gram_hashes(words, length)
+                    for kind in kinds:
+                        h = gram_hashes(ids, kind)
                         at = np.flatnonzero(passes(known, h))
                         places.append(at)
                         grams.append(h[at])
@@ -139,10 +170,9 @@ def passages(docs: DataFrame, bits: np.ndarray, lengths: list[int], reach: int)
                         continue
                     order = np.argsort(places, kind="stable")
                     places, grams = places[order], grams[order]
-                    cuts = np.flatnonzero(np.diff(places) > 2 * reach) + 1
+                    cuts = np.flatnonzero(np.diff(places) > 3 * reach + 2) + 1
                     for number, (p, g) in enumerate(zip(np.split(places, cuts), np.split(grams, cuts), strict=True)):
-                        start = max(0, int(p[0]) - reach)
-                        yield doc_id, number, " ".join(words[start : int(p[-1]) + reach]), (p - start).astype(np.int32), g
+                        yield doc_id, number, " ".join(words[max(0, int(p[0]) - reach) : int(p[-1]) + reach + 2]), np.unique(g)
 
         yield from batches(rows(), schema, 256)
 
@@ -150,6 +180,29 @@ def passages(docs: DataFrame, bits: np.ndarray, lengths: list[int], reach: int)
     return materialize(rows.mapInArrow(run, HITS), "leak-passages")
 
 
+def chosen_seeds(grams: DataFrame, frequency: DataFrame, least: float) -> DataFrame:
+    """item_id, gram, place, least (places that a passage must hold) of the seeds."""
+    counted = grams.select("item_id", "place", "gram", "n_words").join(frequency, "gram", "left")
+    counted = materialize(counted, "leak-counted")
+    places = counted.groupBy("item_id", "place").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.max("n_words").alias("n_words"))
+    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("n", "place"))
+    places = places.withColumn("rank", rank)  # places that no document holds count among the rarest
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def rows() -> Iterator[tuple]:
+            for batch in parts:
+                for item_id, place, n_words, at in rows_of(batch):
+                    taken, asked = seed_counts(n_words, least)
+                    if at <= taken:
+                        yield item_id, place, asked
+
+        yield from batches(rows(), pa.schema([("item_id", pa.int64()), ("place", pa.int32()), ("least", pa.int32())]))
+
+    taken = materialize(places.select("item_id", "place", "n_words", "rank").mapInArrow(run, SEEDS), "leak-places")
+    found = counted.where("n is not null").select("item_id", "place", "gram").distinct()
+    return materialize(found.join(taken, ["item_id", "place"]), "leak-seeds")
+
+
 def align(passage: list[str], item: list[str]) -> int:
     """Smith-Waterman score of the best local alignment of two word lists."""
     number = {w: i for i, w in enumerate(dict.fromkeys(item))}
@@ -169,22 +222,20 @@ def align(passage: list[str], item: list[str]) -> int:
 def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, score, ratio (to the item's own score) of every leak."""
     grams = item_grams(items)
-    size = grams.agg(F.max("n_words").alias("longest"), F.collect_set(F.least("n_words", F.lit(GRAM))).alias("lengths")).first()
+    size = grams.agg(F.max("n_words").alias("longest"), F.min("n_words").alias("shortest")).first()
     if size.longest is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, score int, ratio double")
-    found = passages(docs, bloom(grams), sorted(size.lengths), int(size.longest))
+    kinds = [*([ONE] if size.shortest == 1 else []), *PAIRS]
+    found = passages(docs, bloom(grams), kinds, int(size.longest))
 
-    hits = found.select("doc_id", "passage", F.explode(F.arrays_zip("places", "grams")).alias("h"))
-    hits = hits.select("doc_id", "passage", F.col("h.places").alias("at"), F.col("h.grams").alias("gram"))
+    hits = found.select("doc_id", "passage", F.explode("grams").alias("gram"))
     frequency = materialize(hits.groupBy("gram").agg(F.count("*").alias("n")), "leak-frequencies")
-    ranked = grams.select("item_id", "place", "gram").join(frequency, "gram")  # runs that no document holds need no seed
-    spans = ranked.select("item_id", "gram", "n", F.explode(F.sequence(F.greatest(F.col("place") - SPAN + 1, F.lit(0)), "place")).alias("span"))
-    seeds = spans.groupBy("item_id", "span").agg(F.min_by("gram", F.struct("n", "gram")).alias("gram")).select("item_id", "gram").distinct()
-    seeds = materialize(seeds, "leak-seeds")
-
-    pairs = materialize(hits.select("doc_id", "passage", "gram").distinct(), "leak-hits").join(seeds, "gram").select("doc_id", "passage", "item_id").distinct()
-    texts = grams.where("place = 0").select("item_id", F.col("words").alias("item"))
-    pairs = materialize(pairs, "leak-pairs").join(materialize(texts, "leak-items"), "item_id")
+    seeds = chosen_seeds(grams, frequency, least)
+
+    met = hits.join(seeds, "gram").groupBy("doc_id", "passage", "item_id")
+    pairs = met.agg(F.size(F.collect_set("place")).alias("held"), F.min("least").alias("least")).where("held >= least")
+    texts = grams.where("words is not null").select("item_id", F.col("words").alias("item"))
+    pairs = materialize(pairs.select("doc_id", "passage", "item_id"), "leak-pairs").join(materialize(texts, "leak-items"), "item_id")
     pairs = pairs.join(found.select("doc_id", "passage", "words"), ["doc_id", "passage"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -193,9 +244,8 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
                 for doc_id, item_id, words, item in rows_of(batch):
                     passage, item = words.split(" "), item.split(" ")
                     score = align(passage, item)
-                    ratio = score / (MATCH * len(item))
-                    if ratio >= (least if len(item) >= GRAM else 1):
-                        yield doc_id, item_id, score, ratio
+                    if score >= needed_score(len(item), least):
+                        yield doc_id, item_id, score, score / (MATCH * len(item))
 
         yield from batches(rows(), pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int32()), ("ratio", pa.float64())]))
 
