@@ -164,3 +164,20 @@ def test_edited_copies_are_found_beside_exact_ones(spark):
         got = {(r.doc_id, r.item_id) for r in leaks.leaks(docs(spark, table), items(spark, tests)).collect()}
         assert {(d, i) for d, i in got if d < 100} == want
         assert {(d, i) for d, i in got if d >= 100} == {(d, (d - 100) // 10) for d, _ in table if d >= 100}
+
+
+def test_long_and_short_items(spark):
+    """140 words of a 300-word item leak it; three words of a six-word item do not."""
+    long, short = prose(300, 31), prose(6, 32)
+    rows = [
+        (1, f"{prose(200, 33)} {' '.join(long.split()[80:220])} {prose(200, 34)}"), (2, f"{prose(90, 35)} {' '.join(long.split()[5:18])} {prose(90, 36)}"), (3, f"{prose(90, 37)} {' '.join(long.split()[50:60])} {prose(90, 38)}"),
+        (4, f"{prose(50, 39)} {' '.join(short.split()[:3])} {prose(50, 40)}"), (5, f"{prose(50, 41)} {' '.join(short.split()[:5])} {prose(50, 42)}"), (6, short.upper()),
+    ]
+    got = {(r.doc_id, r.item_id) for r in leaks.leaks(docs(spark, rows), items(spark, [(1, long), (2, short)])).collect()}
+    assert got == {(1, 1), (2, 1), (5, 2), (6, 2)}
+
+
+def test_asked_scores_grow_with_the_item():
+    asked = [leaks.needed_score(n, leaks.LEAST) for n in range(1, 400)]
+    assert asked == sorted(asked) and asked[9] == 10 and asked[-1] == 26
+    assert all(a > 0.5 * leaks.MATCH * n for n, a in enumerate(asked[:9], 1))

@@ -17,7 +17,9 @@ many of them are aligned.
 
 A passage reaches as far around the document's hits as the longest item is long.
 A document leaks an item if the score is at least ``LEAST`` of the item's score
-against itself.
+against itself, or, however long the item is, that of ``PASSAGE`` matched words. Of
+items of less than ``2 * FEW`` words ``FEW`` matched words are asked, or ``SHORT_LEAST``
+of the score where that is less: three common words in a row are no leak.
 
 Nothing of the corpus is collected or broadcast; the Bloom filter is a bit map of
 ``BLOOM_BITS`` bits whatever the number of items, and more items only let more
@@ -45,7 +47,8 @@ from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
 
 GRAM = 3
 MATCH, MISMATCH, GAP = 2, -1, -1
-LEAST = 0.5
+LEAST, SHORT_LEAST = 0.5, 0.8
+PASSAGE, FEW = 13, 5
 BLOOM_BITS = 1 << 24
 CACHED_WORDS = 200_000
 WORD = re.compile(r"[^\W_]+")
@@ -92,7 +95,10 @@ def gram_hashes(ids: np.ndarray, at: tuple[int, ...]) -> np.ndarray:
 
 def needed_score(n_words: int, least: float) -> float:
     """The score from which on a passage leaks an item of so many words."""
-    return MATCH * n_words * (least if n_words >= GRAM else 1)
+    if n_words < GRAM:
+        return MATCH * n_words
+    short = MATCH * min(n_words * max(SHORT_LEAST, least), FEW)
+    return min(max(MATCH * n_words * least, short), MATCH * PASSAGE)
 
 
 def seed_counts(n_words: int, least: float) -> tuple[int, int]:
