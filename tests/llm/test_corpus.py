@@ -181,3 +181,12 @@ def test_asked_scores_grow_with_the_item():
     asked = [leaks.needed_score(n, leaks.LEAST) for n in range(1, 400)]
     assert asked == sorted(asked) and asked[9] == 10 and asked[-1] == 26
     assert all(a > 0.5 * leaks.MATCH * n for n, a in enumerate(asked[:9], 1))
+
+
+def test_texts_under_one_item_id_do_not_share_seeds(spark):
+    """A text that leaks often is found beside a rare, longer one of the same id, and with its places."""
+    common, rare = prose(20, 51), prose(200, 52)
+    rows = [(i, f"{prose(60, 300 + i)} {common} {prose(60, 400 + i)}") for i in range(9)] + [(20, f"{prose(30, 53)} {' '.join(rare.split()[60:100])} {prose(30, 54)}")]
+    alone = [{(r.doc_id, r.item_id, r.score) for r in leaks.leaks(docs(spark, rows), items(spark, [(0, t)])).collect()} for t in (common, rare)]
+    both = {(r.doc_id, r.item_id, r.score) for r in leaks.leaks(docs(spark, rows), items(spark, [(0, common), (0, rare)])).collect()}
+    assert both == alone[0] | alone[1] and {d for d, _, _ in both} == {*range(9), 20}

@@ -26,8 +26,9 @@ Nothing of the corpus is collected or broadcast; the Bloom filter is a bit map o
 pairs pass it to the join.
 
 Defined results: null and empty texts have no words and leak nothing; an item of
-fewer words than ``GRAM`` leaks where it stands word for word; a null doc_id or item_id takes no part; repeated rows are judged
-one by one and the best score of the pair is returned; an empty table on either
+fewer words than ``GRAM`` leaks where it stands word for word; a null doc_id or
+item_id takes no part; repeated rows, also those that repeat an id with another
+text, are judged one by one and the best score of the pair is returned; an empty table on either
 side gives no rows; other columns are ignored.
 """
 
@@ -53,12 +54,14 @@ BLOOM_BITS = 1 << 24
 CACHED_WORDS = 200_000
 WORD = re.compile(r"[^\W_]+")
 
+#: an item row: its id and a hash of its words
+ITEM = ["item_id", "item_key"]
 #: places of the words of a seed, from its first one on
 ONE, PAIRS = (0,), ((0, 1), (0, 2))
 
-GRAMS = "item_id long, place int, gram long, n_words int, words string"
+GRAMS = "item_id long, item_key long, place int, gram long, n_words int, words string"
 HITS = "doc_id long, passage int, words string, grams array<long>"
-SEEDS = "item_id long, place int, least int"
+SEEDS = "item_id long, item_key long, place int, least int"
 
 
 class WordHashes(dict):
@@ -111,19 +114,21 @@ def seed_counts(n_words: int, least: float) -> tuple[int, int]:
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """Every pair of every item: item_id, place, gram, n_words, and words on one row."""
+    """Every pair of every item: item_id, item_key (of its words), place, gram,
+    n_words, and words on one row."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("item_id", pa.int64()), ("place", pa.int32()), ("gram", pa.int64()), ("n_words", pa.int32()), ("words", pa.string())])
+        schema = pa.schema([("item_id", pa.int64()), ("item_key", pa.int64()), ("place", pa.int32()), ("gram", pa.int64()), ("n_words", pa.int32()), ("words", pa.string())])
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
                 for item_id, text in rows_of(batch):
                     words = words_of(text)
                     ids, whole = word_hashes(words), " ".join(words)
+                    key = xxhash.xxh64_intdigest(whole) >> 1
                     for at in PAIRS if len(words) > 1 else [ONE]:
                         for place, gram in enumerate(gram_hashes(ids, at)):
-                            yield item_id, place, int(gram), len(words), whole if place == 0 and at in (ONE, PAIRS[0]) else None
+                            yield item_id, key, place, int(gram), len(words), whole if place == 0 and at in (ONE, PAIRS[0]) else None
 
         yield from batches(rows(), schema)
 
@@ -187,26 +192,26 @@ def passages(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, ...]], re
 
 
 def chosen_seeds(grams: DataFrame, frequency: DataFrame, least: float) -> DataFrame:
-    """item_id, gram, place, least (places that a passage must hold) of the seeds."""
-    counted = grams.select("item_id", "place", "gram", "n_words").join(frequency, "gram", "left")
+    """item_id, item_key, gram, place, least (places that a passage must hold) of the seeds."""
+    counted = grams.select(*ITEM, "place", "gram", "n_words").join(frequency, "gram", "left")
     counted = materialize(counted, "leak-counted")
-    places = counted.groupBy("item_id", "place").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.max("n_words").alias("n_words"))
-    rank = F.row_number().over(Window.partitionBy("item_id").orderBy("n", "place"))
+    places = counted.groupBy(*ITEM, "place").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"), F.max("n_words").alias("n_words"))
+    rank = F.row_number().over(Window.partitionBy(*ITEM).orderBy("n", "place"))
     places = places.withColumn("rank", rank)  # places that no document holds count among the rarest
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for item_id, place, n_words, at in rows_of(batch):
+                for item_id, key, place, n_words, at in rows_of(batch):
                     taken, asked = seed_counts(n_words, least)
                     if at <= taken:
-                        yield item_id, place, asked
+                        yield item_id, key, place, asked
 
-        yield from batches(rows(), pa.schema([("item_id", pa.int64()), ("place", pa.int32()), ("least", pa.int32())]))
+        yield from batches(rows(), pa.schema([("item_id", pa.int64()), ("item_key", pa.int64()), ("place", pa.int32()), ("least", pa.int32())]))
 
-    taken = materialize(places.select("item_id", "place", "n_words", "rank").mapInArrow(run, SEEDS), "leak-places")
-    found = counted.where("n is not null").select("item_id", "place", "gram").distinct()
-    return materialize(found.join(taken, ["item_id", "place"]), "leak-seeds")
+    taken = materialize(places.select(*ITEM, "place", "n_words", "rank").mapInArrow(run, SEEDS), "leak-places")
+    found = counted.where("n is not null").select(*ITEM, "place", "gram").distinct()
+    return materialize(found.join(taken, [*ITEM, "place"]), "leak-seeds")
 
 
 def align(passage: list[str], item: list[str]) -> int:
@@ -238,10 +243,10 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     frequency = materialize(hits.groupBy("gram").agg(F.count("*").alias("n")), "leak-frequencies")
     seeds = chosen_seeds(grams, frequency, least)
 
-    met = hits.join(seeds, "gram").groupBy("doc_id", "passage", "item_id")
+    met = hits.join(seeds, "gram").groupBy("doc_id", "passage", *ITEM)
     pairs = met.agg(F.size(F.collect_set("place")).alias("held"), F.min("least").alias("least")).where("held >= least")
-    texts = grams.where("words is not null").select("item_id", F.col("words").alias("item"))
-    pairs = materialize(pairs.select("doc_id", "passage", "item_id"), "leak-pairs").join(materialize(texts, "leak-items"), "item_id")
+    texts = grams.where("words is not null").select(*ITEM, F.col("words").alias("item")).distinct()
+    pairs = materialize(pairs.select("doc_id", "passage", *ITEM), "leak-pairs").join(materialize(texts, "leak-items"), ITEM)
     pairs = pairs.join(found.select("doc_id", "passage", "words"), ["doc_id", "passage"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
