@@ -190,3 +190,12 @@ def test_texts_under_one_item_id_do_not_share_seeds(spark):
     alone = [{(r.doc_id, r.item_id, r.score) for r in leaks.leaks(docs(spark, rows), items(spark, [(0, t)])).collect()} for t in (common, rare)]
     both = {(r.doc_id, r.item_id, r.score) for r in leaks.leaks(docs(spark, rows), items(spark, [(0, common), (0, rare)])).collect()}
     assert both == alone[0] | alone[1] and {d for d, _, _ in both} == {*range(9), 20}
+
+
+def test_bound_before_alignment_loses_no_score():
+    rng = random.Random(2)
+    for n in range(400):
+        item = [rng.choice("abcdefghij"[: rng.randint(2, 10)]) for _ in range(rng.randint(1, 14))]
+        passage = [rng.choice("abcdefghijxyz") for _ in range(rng.randint(1, 60))] + (item if n % 3 else []) + ["z"] * (n % 50)
+        held = leaks.pairs_of(leaks.word_hashes(item))
+        assert leaks.may_score(leaks.word_hashes(passage), held, len(item), plain_alignment(passage, item) or leaks.MATCH)

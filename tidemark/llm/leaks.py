@@ -13,7 +13,7 @@ documents through a Bloom filter of fixed size, and what passes is joined with t
 items' pairs, so the document frequency of each is known over the whole corpus. As
 many of an item's rarest places are seeds as are sure to hold half of the pairs
 that the score guarantees, whatever the frequencies are; passages that hold that
-many of them are aligned.
+many of them are aligned, unless all their pairs with the item are too few for it.
 
 A passage reaches as far around the document's hits as the longest item is long.
 A document leaks an item if the score is at least ``LEAST`` of the item's score
@@ -37,6 +37,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -51,7 +52,7 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST, SHORT_LEAST = 0.5, 0.8
 PASSAGE, FEW = 13, 5
 BLOOM_BITS = 1 << 24
-CACHED_WORDS = 200_000
+CACHED_WORDS, CACHED_ITEMS = 200_000, 1_000
 WORD = re.compile(r"[^\W_]+")
 
 #: an item row: its id and a hash of its words
@@ -230,6 +231,45 @@ def align(passage: list[str], item: list[str]) -> int:
     return best
 
 
+class Pairs(NamedTuple):
+    words: np.ndarray  # sorted distinct hashes of the item's words
+    near: np.ndarray  # sorted numbers of its pairs of neighbours
+    wide: np.ndarray  # and of its words two places apart
+
+
+def pairs_of(item: np.ndarray) -> Pairs:
+    words, at = np.unique(item, return_inverse=True)
+    return Pairs(words, np.unique(at[:-1] * len(words) + at[1:]), np.unique(at[:-2] * len(words) + at[2:]))
+
+
+def within(values: np.ndarray, among: np.ndarray) -> np.ndarray:
+    """Which values a sorted array holds."""
+    if not len(among):
+        return np.zeros(len(values), dtype=bool)
+    return among[np.minimum(np.searchsorted(among, values), len(among) - 1)] == values
+
+
+def may_score(passage: np.ndarray, item: Pairs, n_words: int, needed: float) -> bool:
+    """Whether some alignment may reach the score: after its first match it gains two
+    points by a pair of neighbours on both sides, one by another pair and none by a
+    wider step, all within ``3 * n_words`` words."""
+    at = np.searchsorted(item.words, passage)
+    at[at == len(item.words)] = 0
+    held = np.flatnonzero(item.words[at] == passage)
+    known = np.zeros(len(passage) + 2, dtype=bool)
+    known[held] = True
+    gains = np.zeros(len(passage) + 1, dtype=np.int64)
+    starts = held[known[held + 2]]
+    pair = at[starts] * len(item.words) + at[starts + 2]
+    gains[starts] = within(pair, item.near) | within(pair, item.wide)
+    starts = held[known[held + 1]]
+    pair = at[starts] * len(item.words) + at[starts + 1]
+    gains[starts] = np.maximum(gains[starts], np.where(within(pair, item.near), 2, within(pair, item.wide)))
+    total = np.concatenate([[0], np.cumsum(gains)])
+    span = min(3 * n_words, len(total) - 1)
+    return int((total[span:] - total[: len(total) - span]).max()) >= needed - MATCH
+
+
 def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     """doc_id, item_id, score, ratio (to the item's own score) of every leak."""
     grams = item_grams(items)
@@ -251,11 +291,23 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            seen, passage, ids = None, [], None
+            tables: dict[str, tuple[list[str], Pairs]] = {}
             for batch in parts:
-                for doc_id, item_id, words, item in rows_of(batch):
-                    passage, item = words.split(" "), item.split(" ")
+                for doc_id, item_id, words, text in rows_of(batch, 64):
+                    if words != seen:  # rows of a passage often follow each other
+                        seen, passage = words, words.split(" ")
+                        ids = word_hashes(passage)
+                    if text not in tables:
+                        if len(tables) >= CACHED_ITEMS:
+                            tables.clear()
+                        tables[text] = text.split(" "), pairs_of(word_hashes(text.split(" ")))
+                    item, pairs_held = tables[text]
+                    needed = needed_score(len(item), least)
+                    if not may_score(ids, pairs_held, len(item), needed):
+                        continue
                     score = align(passage, item)
-                    if score >= needed_score(len(item), least):
+                    if score >= needed:
                         yield doc_id, item_id, score, score / (MATCH * len(item))
 
         yield from batches(rows(), pa.schema([("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.int32()), ("ratio", pa.float64())]))
