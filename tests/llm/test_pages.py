@@ -144,3 +144,16 @@ def test_shared_runs_equal_brute_force():
 
 def test_page_texts_empty(spark):
     assert html_text.extract(empty(spark, PAGES)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        '<body class="post has-sidebar"><p>text</p></body>', '<body class="no-sidebar"><p>text</p></body>', '<article class="post comments-open"><p>text</p></article>', '<main class="with-sidebar"><p>text</p></main>',
+        '<article class="entry header-fixed"><p>text</p></article>', '<body class="sidebar"><article id="comments"><p>text</p></article></body>', '<div class="has-sidebar unrelated"><p>text</p></div>', '<div data-id="ad" data-role="banner"><p>text</p></div>', '<div title="see class=ad"><p>text</p></div>',
+        '<article><p class="notice">gone<p>text</article>', '<article><ul><li class="share">gone<li>text</ul></article>', '<article><p class="ad">gone<div>text</div></article>', '<article><table><tr class="ad"><td>gone<tr><td>text</table></article>', '<article><dl><dt class="ad">gone<dd>text</dl></article>',
+        '<article><ul><li class="ad">gone<ul><li>gone</ul>gone<li>text</ul></article>', '<article><div class="top-banner">gone</div><div class="share-bar">gone</div><div class="x AD">gone</div><div id="comments-list">gone</div><nav>gone</nav><p>text</article>',
+    ],
+)
+def test_names_and_open_elements(html):
+    assert [t for k, t in html_text.blocks(html) if k != html_text.REJECTED] == ["text"]
