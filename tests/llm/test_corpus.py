@@ -199,3 +199,18 @@ def test_bound_before_alignment_loses_no_score():
         passage = [rng.choice("abcdefghijxyz") for _ in range(rng.randint(1, 60))] + (item if n % 3 else []) + ["z"] * (n % 50)
         held = leaks.pairs_of(leaks.word_hashes(item))
         assert leaks.may_score(leaks.word_hashes(passage), held, len(item), plain_alignment(passage, item) or leaks.MATCH)
+
+
+def test_quality_sees_words(spark):
+    """Junk in ordinary letters and punctuation: advertising and keyword lists with commas."""
+    rng = random.Random(5)
+    plain, advert = prose(4000, 61).split(), [f"{a}{b}" for a in ("buy", "free", "deal", "win", "cash", "shop") for b in ("er", "ing", "now", "s", "day", "it")]
+
+    def text(i):
+        words = [rng.choice(advert) if i % 2 == 0 and rng.random() < 0.5 else rng.choice(plain) for _ in range(rng.randint(60, 120))]
+        return " ".join(w + (", " if j % 9 == 4 else ". " if j % 14 == 13 else "") for j, w in enumerate(words)).replace("  ", " ")
+
+    table = docs(spark, [(i, text(i)) for i in range(400)])
+    model = quality.learn(table, spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int"))
+    out = [r for r in quality.score(table.where(quality.held_out(table.doc_id)), model, "s").collect()]
+    assert len(out) > 50 and sum((r.s >= quality.THRESHOLD) == (r.doc_id % 2 == 1) for r in out) > 0.95 * len(out)
