@@ -157,3 +157,28 @@ def test_page_texts_empty(spark):
 )
 def test_names_and_open_elements(html):
     assert [t for k, t in html_text.blocks(html) if k != html_text.REJECTED] == ["text"]
+
+
+@pytest.mark.parametrize("group", [4, 1000])
+def test_copies_and_rare_quotes_stay(spark, monkeypatch, group):
+    """Copied pages without an article keep their texts, as does a paragraph that two
+    of many pages quote; what every page holds goes, in articles as whole blocks."""
+    monkeypatch.setattr(html_text, "GROUP_PAGES", group)
+    menu, quote, notice = prose(20, 7), prose(30, 8), prose(12, 9)
+    rows = [(i, f"http://copy/{i}", f"<body><p>{prose(40, 70)}</p><p>{prose(30, 71)}</p></body>") for i in range(3)]
+    rows += [(10 + i, f"http://h/{i}", f"<body><p>{menu}</p><div>{prose(30, 100 + i)}</div>{f'<p>{quote}</p>' if i < 2 else ''}</body>") for i in range(30)]
+    rows += [(50 + i, f"http://news/{i}", article(f"<p>{prose(20, 200 + i)}</p><p>{notice}</p>" + (f"<p>{quote}</p>" if i < 2 else "") + f"<p>{notice} last{i}</p>")) for i in range(8)]
+    rows += [(60 + i, f"http://two/{i}", article(f"<p>{prose(20, 300 + i)}</p><p>{notice}</p>")) for i in range(2)]
+    rows += [(70 + i, "http://mixed/", f"<body><article><p>{prose(20, 400 + i)}</p><p>{notice}</p></article><p>{prose(9, 500 + i)}</p></body>") for i in range(6)]
+    got = texts(html_text.extract(pages(spark, rows)))
+    assert len(got) == len(rows)
+    for i in range(3):
+        assert got[i] == f"{prose(40, 70)}\n{prose(30, 71)}"
+    for i in range(30):
+        assert got[10 + i] == prose(30, 100 + i) + (f"\n{quote}" if i < 2 else "")
+    for i in range(8):
+        assert got[50 + i] == prose(20, 200 + i) + (f"\n{quote}" if i < 2 else "") + f"\n{notice} last{i}"
+    for i in range(2):
+        assert got[60 + i] == f"{prose(20, 300 + i)}\n{notice}"
+    for i in range(6):
+        assert got[70 + i] == f"{prose(20, 400 + i)}\n{prose(9, 500 + i)}"
