@@ -102,9 +102,9 @@ def test_pipeline_equals_stage_by_stage_brute_force(spark):
     scored = quality.score(documents, quality.learn(documents, spark.read.parquet(f"{SF}/labels.parquet")), "s").toPandas()
     good = scored[scored.s >= quality.THRESHOLD]
     rows = list(zip(good.doc_id, good.text, strict=True))
-    rows = [(i, t) for (i, t), c in zip(sorted(rows), components(rows).values(), strict=True) if c == i]
+    rows = [(i, t) for (i, t), c in zip(sorted(rows), components(rows, corpus_pipeline.COPY_PERCENT).values(), strict=True) if c == i]
     tests = [leaks.words_of(r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
-    clean = {i: t for i, t in rows if not any(leaks.align(leaks.words_of(t), w) >= leaks.LEAST * leaks.MATCH * len(w) for w in tests)}
+    clean = {i: t for i, t in rows if not any(leaks.align(leaks.words_of(t), w) >= leaks.needed_score(len(w), leaks.LEAST) for w in tests)}
     packed = corpus_pipeline.run(spark, SF).collect()
     ids = tokens.encoder()
     total = {i: len(tokens.encode(t, ids)) // 4 + 1 for i, t in clean.items()}
@@ -120,10 +120,32 @@ def test_stages_keep_columns_and_take_odd_rows(spark):
         assert stage(spark, table, SF).columns == table.columns
         assert stage(spark, table.limit(0), SF).count() == 0
     kept = corpus_pipeline.STAGES[1][1](spark, table, SF).collect()
-    assert sorted((r.doc_id for r in kept), key=str) == [1, 3, None]
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([(1, None), (None, "a b c d e f g"), (3, prose(80, 3)), (4, prose(80, 4))], key=str)
     assert corpus_pipeline.STAGES[3][1](spark, table.limit(0), SF).columns == packing.PIECES.replace(" long", "").replace(" binary", "").split(", ")
 
 
+def test_rows_are_judged_by_their_own_text(spark):
+    """Rows that share a doc_id or have none: copies go, unique texts stay, one of repeated rows stays."""
+    base, other, third, item = prose(120, 81), prose(120, 82), prose(120, 83), spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first().text
+    rows = [(5, base), (7, edited(base, 1, 1)), (7, other), (None, edited(base, 1, 2)), (None, third), (None, edited(third, 1, 3)), (9, prose(90, 84)), (9, prose(90, 84)), (None, f"{prose(30, 85)} {item} {prose(30, 86)}"), (5, f"{item} {prose(40, 87)}")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.drop_copies(spark, docs(spark, rows), SF).collect()]
+    assert len(kept) == len(set(kept))
+    assert {(5, base), (7, other), (9, prose(90, 84))} <= set(kept) and not {rows[1], rows[3]} & set(kept)
+    assert len({rows[4], rows[5]} & set(kept)) == 1 and {rows[8], rows[9]} <= set(kept)
+    clean = [(r.doc_id, r.text) for r in corpus_pipeline.drop_leaks(spark, docs(spark, rows), SF).collect()]
+    assert sorted(clean, key=str) == sorted(rows[:8], key=str)
+
+
+def test_pipeline_without_labels_and_items(spark, tmp_path):
+    """Empty labels and benchmark together: only copies go."""
+    rows = [(1, prose(80, 91)), (2, prose(80, 91)), (2, prose(80, 92)), (None, prose(80, 93)), (3, None)]
+    docs(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    for t in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{t}.parquet").limit(0).write.parquet(f"{tmp_path}/{t}.parquet")
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted((p.doc_id for p in packed), key=str) == [1, 2, 3, None]
+
+
 def test_registered_sql(spark):
     con = duckdb.connect()
     for t in ("documents", "embeddings", "pages"):

@@ -54,3 +54,55 @@ def test_signature_is_circular():
     coordinates = near_dup.signature(s)
     for k in (0, 1, 57, near_dup.BANDS * near_dup.ROWS - 1):
         assert coordinates[k] == min(order[(p + k) % near_dup.CIRCLE] for p in place)
+
+
+def family(base: str, n: int, seed: int) -> list[str]:
+    """Copies about 0.8 similar to ``base`` with edits of their own: hardly any two are linked."""
+    return [edited(base, 4, seed + i) for i in range(n)]
+
+
+def test_families_around_one_text_equal_brute_force(spark):
+    """Copies that fall apart around their centre, and families of copies of its copies."""
+    base = prose(160, 77)
+    rows = [base, *family(base, 60, 1000)]
+    for g in range(3):
+        rows += [edited(edited(base, 4, 50 + g), 1, 2000 + 100 * g + i) for i in range(30)]
+    rows = list(enumerate(rows))
+    random.Random(4).shuffle(rows)
+    assert judged(docs(spark, rows)) == expected(rows)
+
+
+def test_rows_around_a_centre_grow_with_the_input(spark, monkeypatch):
+    """Pairs to be decided one by one, and the joins' rows, for 5 times the copies."""
+    made = []
+    monkeypatch.setattr(near_dup, "across", lambda shared, percent, f=near_dup.across: made.append((shared.count(), f(shared, percent).count())) or f(shared, percent))
+    for n in (60, 300):
+        near_dup.near_duplicates(docs(spark, list(enumerate(family(prose(160, 78), n, 10_000))))).count()
+    assert len(made) == 2
+    (shared, pairs), (shared_5, pairs_5) = made
+    # Differences are shared by chance more often as the group grows, until all are.
+    assert shared_5 <= 8 * shared and pairs_5 <= max(6 * pairs, n)
+
+
+def test_kept_differences_lose_no_link():
+    """Every linked pair around a centre, one side not linked with it, shares a kept difference."""
+    rng = random.Random(8)
+    for _ in range(3000):
+        percent = rng.choice([80, 85, 90])
+        centre = set(range(rng.randint(5, 40)))
+
+        def some(start, size):
+            s = {e for e in start if rng.random() > 0.15} | {rng.randint(100, 130) for _ in range(rng.randint(0, size))}
+            return s or {1}
+
+        x = some(centre, 8)
+        y = some(x, 3) if rng.random() < 0.7 else some(centre, 8)
+        link = lambda a, b: 100 * len(a & b) >= percent * len(a | b)
+        if not link(x, y) or link(x, centre):
+            continue
+        kept = []
+        for s, partner in ((x, y), (y, x)):
+            order = sorted(s - centre) + sorted(centre - s)
+            first, strict = near_dup.kept_differences(len(s), len(centre), len(order), link(s, centre), percent)
+            kept.append(order[: strict if not link(s, centre) and not link(partner, centre) else first])
+        assert set(kept[0]) & set(kept[1]), (x, y, centre)

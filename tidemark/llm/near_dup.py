@@ -8,19 +8,30 @@ each next coordinate, so two permutations give all coordinates. ``BANDS`` bands
 
 Verification. Equal sets are one node from the start. In each bucket the member
 that meets the most others is the centre, and every member is compared with it on
-full sets. Members that this leaves in another component than their centre are
-then compared with the members of other components around it, as far as an exact
-prefix filter lets a link be: shingles are put in an order that begins with those
-that the centre does not hold; linked sets share a shingle among the first
-n - ceil(0.85 n) + 1 of both, and from its places on enough must be left. So a
-group of n copies costs about n comparisons, and no link between components is
-lost.
+full sets. What this leaves in another component than its centre (a member not
+linked with the centre) is compared with the other components around it by their
+*differences* from the centre: D(x) holds the shingles of x outside the centre and
+those of the centre that x lacks. D(x) and D(y) differ in as many shingles as x and
+y do, so linked sets, which differ in at most k = (1 - s) / (1 + s) of |x| + |y|,
+share at least t = (|D(x)| + |D(y)| - k (|x| + |y|)) / 2 differences. x is not linked
+with the centre, that is |D(x)| > k (|x| + |centre|), so t is positive whatever y is
+(``kept_differences`` has the bounds), and the two share a difference among the first
+|D| - t + 1 of both, in an order that begins with the shingles outside the centre,
+with t - 1 more after it. Copies of one text share its shingles but hardly their edits,
+so where a group of n copies falls apart, about n differences are compared, not n * n
+pairs.
+
+Members that share a difference, as two families of copies around one centre do, are
+first compared with one of them for each difference, round by round, until a round
+finds no link; only then are the components that are left compared with each other.
+No link between components is lost.
 
 At the threshold of 0.85 a pair meets in some band with probability 1 - 3e-6
 (``(1 - .85 ** ROWS) ** BANDS`` is the miss); every link is then decided exactly.
 
 Defined results: a text that is null or without words has the empty set and is
-linked with nothing; fewer words than five are one shingle; a null doc_id keeps a
+linked with nothing; fewer words than five are one shingle; very long texts count
+whole (a task holds one set of 8 bytes a word); a null doc_id keeps a
 null component and stays (``kept``); rows that repeat a doc_id are judged by their
 own texts, and of rows with the smallest doc_id all stay; an empty table gives no
 rows; other columns are ignored.
@@ -33,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
@@ -47,9 +58,11 @@ CACHED_WORDS = 150_000
 #: multipliers of the shingle hash, one per word, and of the band hash, one per coordinate
 WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 
-SIGNATURES = "doc_id long, n_shingles long, node binary, bands array<long>"
+SIGNATURES = "doc_id long, row_key long, n_shingles long, node binary, bands array<long>"
+#: the order in which rows stand for their component: smallest doc_id, rows without one last
+FIRST = "struct(doc_id is null as nameless, doc_id, row_key)"
 SETS = "id long, n long, shingles binary"
-STAR = "id long, centre long, n long, linked boolean, prefix array<long>"
+STAR = "id long, centre long, n long, d long, linked boolean, strict long, prefix array<long>"
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -114,23 +127,36 @@ def bands(hashes: np.ndarray) -> np.ndarray:
     return mix(h + np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
 
 
+def row_key() -> Column:
+    """A hash of the text: what tells rows of one doc_id, or of none, apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
+def keyed_texts(docs: DataFrame) -> DataFrame:
+    """doc_id, row_key, place (where a text is found: its doc_id, or its hash), text."""
+    doc_id = F.col("doc_id").cast("long")
+    return docs.select(doc_id.alias("doc_id"), row_key().alias("row_key"), F.coalesce(doc_id, row_key()).alias("place"), text_or_empty().cast("binary").alias("text"))
+
+
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, node (128-bit hash of the set, null if empty), bands."""
+    """doc_id, row_key, n_shingles, node (128-bit hash of the set, null if empty), bands."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", pa.int64()), ("row_key", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))])
+
         def rows() -> Iterator[tuple]:
             for batch in parts:
-                for doc_id, text in rows_of(batch):
+                for doc_id, key, text in rows_of(batch):
                     s = shingles(text)
-                    yield (doc_id, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(s)) if len(s) else (doc_id, 0, None, None)
+                    yield (doc_id, key, len(s), xxhash.xxh3_128_digest(s.tobytes()), bands(s)) if len(s) else (doc_id, key, 0, None, None)
 
-        yield from batches(rows(), pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.binary()), ("bands", pa.list_(pa.int64()))]), 2048)
+        yield from batches(rows(), schema, 2048)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text")).mapInArrow(run, SIGNATURES)
+    return keyed_texts(docs).select("doc_id", "row_key", "text").mapInArrow(run, SIGNATURES)
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The full sets of ``wanted`` (id, node, doc_id), from the texts."""
+    """The full sets of ``wanted`` (id, node, place), from the texts."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -138,15 +164,15 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             for batch in parts:
                 for id_, node, text in rows_of(batch):
                     s = shingles(text)
-                    if id_ != last and xxhash.xxh3_128_digest(s.tobytes()) == node:  # a repeated doc_id may have another text
+                    if id_ != last and xxhash.xxh3_128_digest(s.tobytes()) == node:  # a repeated place may have another text
                         last = id_
                         yield id_, len(s), s.tobytes()
 
         yield from batches(rows(), pa.schema([("id", pa.int64()), ("n", pa.int64()), ("shingles", pa.binary())]), 256)
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text"))
     # The same plan at every size: the candidates grow with the documents.
-    return texts.join(wanted.hint("merge"), "doc_id").select("id", "node", "text").mapInArrow(run, SETS)
+    texts = keyed_texts(docs).select("place", "text")
+    return texts.join(wanted.hint("merge"), "place").select("id", "node", "text").mapInArrow(run, SETS)
 
 
 def similar(x: np.ndarray, y: np.ndarray, percent: int) -> tuple[bool, np.ndarray]:
@@ -164,20 +190,40 @@ def with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.join(left, a).join(right, b).select(a, b, "x", "y")
 
 
+def kept_differences(n: int, centre: int, d: int, linked: bool, percent: int) -> tuple[int, int]:
+    """How many of a set's ``d`` differences from its centre are to be looked at: for
+    partners of any kind, and for partners that are not linked with the centre.
+
+    With k = (100 - percent) / (100 + percent), a partner y and t as above:
+    * a set linked with the centre meets only sets that are not: t > (1 - k) d / 2;
+    * any other shares at most all |D(y)|, and |y| <= |centre| + |D(y)|, so
+      t >= (d - k (n + centre)) / (1 + k);
+    * if y is not linked with the centre either, t > (d - k (n - centre)) / 2.
+    """
+    up, down = 100 + percent, 100 - percent
+    if linked:
+        least = max(1, -(-percent * d // up))
+        return max(0, d - least + 1), 0
+    least = max(1, -(-(up * d - down * (n + centre)) // 200))
+    strict = max(least, -(-(up * d - down * (n - centre)) // (2 * up)))
+    return max(0, d - least + 1), max(0, d - strict + 1)
+
+
 def compared_with_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For pairs (id, centre): whether they are linked, and the set's prefix in the
-    order that puts shingles outside the centre first."""
+    """For pairs (id, centre): whether they are linked, the number ``d`` of differences
+    and those to be looked at, of which ``strict`` for partners not linked either."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("linked", pa.bool_()), ("prefix", pa.list_(pa.int64()))])
+        schema = pa.schema([("id", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("linked", pa.bool_()), ("strict", pa.int64()), ("prefix", pa.list_(pa.int64()))])
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
                 for id_, centre, x, y in rows_of(batch):
                     x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                     linked, common = similar(x, y, percent)
-                    first = len(x) + percent * len(x) // -100 + 1
-                    yield id_, centre, len(x), linked, np.concatenate([x[~common], x[common]])[:first].view(np.int64)
+                    differences = np.concatenate([x[~common], np.setdiff1d(y, x, assume_unique=True)])
+                    first, strict = kept_differences(len(x), len(y), len(differences), linked, percent)
+                    yield id_, centre, len(x), len(differences), linked, strict, differences[:first].view(np.int64)
 
         yield from batches(rows(), schema, 1024)
 
@@ -205,7 +251,7 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     shared = materialize(members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1"), "dup-buckets")
     met = materialize(members.join(shared, "band"), "dup-met")
     each = materialize(met.groupBy("id").agg(F.sum("size").alias("meets")), "dup-meets")
-    wanted = materialize(each.join(nodes.select("id", "node", "doc_id"), "id").select("id", "node", "doc_id"), "dup-wanted")
+    wanted = materialize(each.join(nodes.select("id", "node", "place"), "id").select("id", "node", "place"), "dup-wanted")
     sets = materialize(sets_of(docs, wanted), "dup-sets")
 
     centres = met.join(each, "id").groupBy("band").agg(F.max_by("id", F.struct("meets", "id")).alias("centre"))
@@ -215,36 +261,96 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     first = connected_components(edges)
 
     # Centres that members of other components stand around.
-    label = F.coalesce("component", "id")
-    own = materialize(star.join(first.withColumnRenamed("node", "id"), "id", "left").withColumn("component", label), "dup-own")
+    own = materialize(labelled(star, first), "dup-own")
     main = own.where("id = centre").select("centre", F.col("component").alias("main")).distinct()
-    own = materialize(own.join(materialize(main, "dup-main"), "centre"), "dup-labelled")
-    mixed = materialize(own.where("component <> main").select("centre").distinct(), "dup-mixed")
-    placed = materialize(own.join(mixed, "centre").select("centre", "id", "n", "component", "main", F.posexplode("prefix").alias("at", "shingle")), "dup-prefixes")
-    apart = placed.where("component <> main").drop("main")
-    others = placed.select("centre", "shingle", *(F.col(c).alias(f"o_{c}") for c in ("id", "n", "component", "at")))
-    enough = f"{100 + percent} * least(n - at, o_n - o_at) >= {percent} * (n + o_n) and 100 * least(n, o_n) >= {percent} * greatest(n, o_n)"
-    rest = apart.join(others, ["centre", "shingle"]).where("component <> o_component").where(enough)
-    pairs = materialize(rest.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct(), "dup-rest")
+    mixed = materialize(own.join(main, "centre").where("component <> main").select("centre").distinct(), "dup-mixed")
+    placed = own.join(mixed, "centre").select("centre", "id", "n", "d", "linked", "strict", F.posexplode("prefix").alias("at", "shingle"), "component")
+    shared_ = materialize(shared_differences(materialize(placed, "dup-differences")), "dup-shared")
+    while True:
+        more = materialize(verified(materialize(one_for_each(shared_, percent), "dup-round"), sets, percent), "dup-round-links")
+        if more.isEmpty():
+            break
+        edges = edges.union(more)
+        first = connected_components(edges)
+        shared_ = materialize(shared_differences(labelled(shared_.drop("component"), first)), "dup-shared")
+    pairs = materialize(across(shared_, percent), "dup-rest")
     more = materialize(verified(pairs, sets, percent), "dup-rest-links")
     return first if more.isEmpty() else connected_components(edges.union(more))
 
 
-def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+def labelled(rows: DataFrame, component: DataFrame) -> DataFrame:
+    """Rows with the component of ``id``; sets without a link are their own."""
+    return rows.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
+
+
+def shared_differences(placed: DataFrame) -> DataFrame:
+    """The differences that more than one component around a centre holds."""
+    held = placed.groupBy("centre", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    return placed.join(held.where("low < high").select("centre", "shingle"), ["centre", "shingle"])
+
+
+def may_link(percent: int) -> str:
+    """Sizes fit, and from the shared difference on both hold as many as a link needs."""
+    up, down = 100 + percent, 100 - percent
+    return (
+        f"100 * least(n, o_n) >= {percent} * greatest(n, o_n)"
+        f" and {2 * up} * least(d - at, o_d - o_at) >= {up} * (d + o_d) - {down} * (n + o_n)"
+    )
+
+
+SIDE = ("id", "n", "d", "at", "component")
+
+
+def pairs_of(met: DataFrame, percent: int) -> DataFrame:
+    met = met.where("component <> o_component").where(may_link(percent))
+    return met.select(F.least("id", "o_id").alias("a"), F.greatest("id", "o_id").alias("b")).distinct()
+
+
+def one_for_each(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of each set and one holder of each of its differences: the holder that
+    shares the most differences. At most one pair for a row."""
+    weight = shared.groupBy("centre", "id").agg(F.count("*").alias("weight"))
+    weighted = shared.join(weight, ["centre", "id"])
+    chosen = weighted.groupBy("centre", "shingle").agg(F.max_by(F.struct(*SIDE), F.struct("weight", "id")).alias("o"))
+    chosen = chosen.select("centre", "shingle", *(F.col(f"o.{c}").alias(f"o_{c}") for c in SIDE))
+    return pairs_of(shared.join(chosen, ["centre", "shingle"]), percent)
+
+
+def across(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that may be linked. One side is not linked with the
+    centre; partners that are not either meet on their ``strict`` differences alone."""
+    free = shared.where("not linked")
+    strict = free.where("at < strict")
+    others = lambda rows: rows.select("centre", "shingle", *(F.col(c).alias(f"o_{c}") for c in SIDE))
+    both = strict.join(others(strict), ["centre", "shingle"]).where("component < o_component")
+    one = free.join(others(shared.where("linked")), ["centre", "shingle"])
+    return pairs_of(both, percent).union(pairs_of(one, percent)).distinct()
+
+
+def judged(docs: DataFrame, percent: int, nameless: bool = False) -> DataFrame:
+    """Every row's doc_id, row_key and n_shingles, and ``best``: doc_id and row_key of the
+    row that stands for its component (``FIRST``), null for empty sets and, unless
+    ``nameless`` rows take part, for rows without a doc_id."""
     rows = materialize(signatures(docs), "dup-signatures")
-    named = rows.where("doc_id is not null and node is not null")
-    nodes = materialize(named.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands")).withColumn("id", F.monotonically_increasing_id()), "dup-nodes")
+    judged_ = rows.where("node is not null") if nameless else rows.where("doc_id is not null and node is not null")
+    of_set = judged_.groupBy("node").agg(F.min(F.expr(FIRST)).alias("best"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"))
+    of_set = of_set.withColumn("place", F.coalesce("best.doc_id", "best.row_key")).withColumn("id", F.monotonically_increasing_id())
+    nodes = materialize(of_set, "dup-nodes")
     component = links(docs, nodes, percent)
-    of_node = nodes.select("id", "node", "doc_id").join(component.withColumnRenamed("node", "id"), "id", "left")
-    of_node = of_node.select("node", "doc_id", F.coalesce("component", "id").alias("component"))
-    of_node = materialize(of_node, "dup-components")
-    smallest = materialize(of_node.groupBy("component").agg(F.min("doc_id").alias("component_id")), "dup-smallest")
-    final = materialize(of_node.select("node", "component").join(smallest, "component").select("node", "component_id"), "dup-final")
-    out = rows.select("doc_id", "n_shingles", "node").withColumn("node", F.coalesce("node", F.unhex(F.hex(F.xxhash64("doc_id")))))
-    out = out.join(final, "node", "left")  # an empty set has a key of its own, which matches nothing
-    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
-    out = out.select("doc_id", "n_shingles", own.alias("component_id"))
+    of_node = nodes.select("id", "node", "best").join(component.withColumnRenamed("node", "id"), "id", "left")
+    of_node = materialize(of_node.select("node", "best", F.coalesce("component", "id").alias("component")), "dup-components")
+    smallest = materialize(of_node.groupBy("component").agg(F.min("best").alias("best")), "dup-smallest")
+    final = materialize(of_node.select("node", "component").join(smallest, "component").select("node", "best"), "dup-final")
+    # An empty set has a key of its own, which matches nothing.
+    out = rows.select("doc_id", "row_key", "n_shingles", "node").withColumn("node", F.coalesce("node", F.unhex(F.hex(F.xxhash64("doc_id", "row_key")))))
+    out = out.join(final, "node", "left").drop("node")
+    return out if nameless else out.withColumn("best", F.when(F.col("doc_id").isNotNull(), F.col("best")))
+
+
+def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept for every row of ``docs`` (doc_id, text)."""
+    own = F.when(F.col("doc_id").isNotNull(), F.coalesce("best.doc_id", "doc_id"))
+    out = judged(docs, percent).select("doc_id", "n_shingles", own.alias("component_id"))
     return out.withColumn("kept", F.col("component_id").eqNullSafe(F.col("doc_id")))
 
 
