@@ -24,7 +24,9 @@ pairs.
 Members that share a difference, as two families of copies around one centre do, are
 first compared with one of them for each difference, round by round, until a round
 finds no link; only then are the components that are left compared with each other.
-No link between components is lost.
+No link between components is lost. Where a centre is itself an edited copy, its own
+edits are differences of all the others; pairs that share too little besides are then
+decided one by one.
 
 At the threshold of 0.85 a pair meets in some band with probability 1 - 3e-6
 (``(1 - .85 ** ROWS) ** BANDS`` is the miss); every link is then decided exactly.
