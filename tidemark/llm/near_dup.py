@@ -16,17 +16,16 @@ y do, so linked sets, which differ in at most k = (1 - s) / (1 + s) of |x| + |y|
 share at least t = (|D(x)| + |D(y)| - k (|x| + |y|)) / 2 differences. x is not linked
 with the centre, that is |D(x)| > k (|x| + |centre|), so t is positive whatever y is
 (``kept_differences`` has the bounds), and the two share a difference among the first
-|D| - t + 1 of both, in an order that begins with the shingles outside the centre,
-with t - 1 more after it. Copies of one text share its shingles but hardly their edits,
-so where a group of n copies falls apart, about n differences are compared, not n * n
-pairs.
+|D| - t + 1 of both, in an order that begins with the differences that fewest sets
+around the centre have, with t - 1 more after it. Copies of one text share its shingles
+but hardly their edits, so where a group of n copies falls apart, about n differences
+are compared, not n * n pairs.
 
 Members that share a difference, as two families of copies around one centre do, are
 first compared with one of them for each difference, round by round, until a round
 finds no link; only then are the components that are left compared with each other.
-No link between components is lost. Where a centre is itself an edited copy, its own
-edits are differences of all the others; pairs that share too little besides are then
-decided one by one.
+No link between components is lost. Pairs that share rare differences enough for a link
+and still have none are decided one by one.
 
 At the threshold of 0.85 a pair meets in some band with probability 1 - 3e-6
 (``(1 - .85 ** ROWS) ** BANDS`` is the miss); every link is then decided exactly.
@@ -45,8 +44,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import batches, materialize, rows_of, text_or_empty
@@ -64,7 +64,7 @@ SIGNATURES = "doc_id long, row_key long, n_shingles long, node binary, bands arr
 #: the order in which rows stand for their component: smallest doc_id, rows without one last
 FIRST = "struct(doc_id is null as nameless, doc_id, row_key)"
 SETS = "id long, n long, shingles binary"
-STAR = "id long, centre long, n long, d long, linked boolean, strict long, prefix array<long>"
+STAR = "id long, centre long, n long, d long, linked boolean, m long, differences array<long>"
 
 _tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -192,31 +192,35 @@ def with_sets(pairs: DataFrame, sets: DataFrame, a: str, b: str) -> DataFrame:
     return pairs.join(left, a).join(right, b).select(a, b, "x", "y")
 
 
-def kept_differences(n: int, centre: int, d: int, linked: bool, percent: int) -> tuple[int, int]:
-    """How many of a set's ``d`` differences from its centre are to be looked at: for
-    partners of any kind, and for partners that are not linked with the centre.
+def kept_differences(n: int, m: int, d: int, linked: bool, least_d: int, most_n: int, percent: int) -> tuple[int, int]:
+    """How many of a set's ``d`` differences from its centre (of size ``m``) are to be
+    looked at: for partners of any kind, and for partners that are not linked with the
+    centre. Those have at least ``least_d`` differences; no set around has more than
+    ``most_n`` shingles.
 
     With k = (100 - percent) / (100 + percent), a partner y and t as above:
     * a set linked with the centre meets only sets that are not: t > (1 - k) d / 2;
-    * any other shares at most all |D(y)|, and |y| <= |centre| + |D(y)|, so
-      t >= (d - k (n + centre)) / (1 + k);
-    * if y is not linked with the centre either, t > (d - k (n - centre)) / 2.
+    * any other shares at most all |D(y)|, and |y| <= m + |D(y)|, so
+      t >= (d - k (n + m)) / (1 + k);
+    * if y is not linked with the centre, t > (d - k (n - m)) / 2, and
+      t >= (d + least_d - k (n + most_n)) / 2.
     """
     up, down = 100 + percent, 100 - percent
+    near = -(-(up * (d + least_d) - down * (n + min(most_n, 100 * n // percent))) // (2 * up))
     if linked:
-        least = max(1, -(-percent * d // up))
+        least = max(1, -(-percent * d // up), near)
         return max(0, d - least + 1), 0
-    least = max(1, -(-(up * d - down * (n + centre)) // 200))
-    strict = max(least, -(-(up * d - down * (n - centre)) // (2 * up)))
+    least = max(1, -(-(up * d - down * (n + m)) // 200))
+    strict = max(least, -(-(up * d - down * (n - m)) // (2 * up)), near)
     return max(0, d - least + 1), max(0, d - strict + 1)
 
 
 def compared_with_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """For pairs (id, centre): whether they are linked, the number ``d`` of differences
-    and those to be looked at, of which ``strict`` for partners not linked either."""
+    """For pairs (id, centre): the sizes n and m, whether they are linked, and the
+    differences, of which there are d."""
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("id", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("linked", pa.bool_()), ("strict", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+        schema = pa.schema([("id", pa.int64()), ("centre", pa.int64()), ("n", pa.int64()), ("d", pa.int64()), ("linked", pa.bool_()), ("m", pa.int64()), ("differences", pa.list_(pa.int64()))])
 
         def rows() -> Iterator[tuple]:
             for batch in parts:
@@ -224,10 +228,9 @@ def compared_with_centres(pairs: DataFrame, sets: DataFrame, percent: int) -> Da
                     x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                     linked, common = similar(x, y, percent)
                     differences = np.concatenate([x[~common], np.setdiff1d(y, x, assume_unique=True)])
-                    first, strict = kept_differences(len(x), len(y), len(differences), linked, percent)
-                    yield id_, centre, len(x), len(differences), linked, strict, differences[:first].view(np.int64)
+                    yield id_, centre, len(x), len(differences), linked, len(y), differences.view(np.int64)
 
-        yield from batches(rows(), schema, 1024)
+        yield from batches(rows(), schema, 256)
 
     return with_sets(pairs, sets, "id", "centre").mapInArrow(run, STAR)
 
@@ -266,8 +269,9 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     own = materialize(labelled(star, first), "dup-own")
     main = own.where("id = centre").select("centre", F.col("component").alias("main")).distinct()
     mixed = materialize(own.join(main, "centre").where("component <> main").select("centre").distinct(), "dup-mixed")
-    placed = own.join(mixed, "centre").select("centre", "id", "n", "d", "linked", "strict", F.posexplode("prefix").alias("at", "shingle"), "component")
-    shared_ = materialize(shared_differences(materialize(placed, "dup-differences")), "dup-shared")
+    around = own.join(mixed, "centre").select("centre", "id", "n", "d", "linked", "m", F.explode("differences").alias("shingle"), "component")
+    placed = materialize(in_order(materialize(around, "dup-differences"), percent), "dup-placed")
+    shared_ = materialize(shared_differences(placed), "dup-shared")
     while True:
         more = materialize(verified(materialize(one_for_each(shared_, percent), "dup-round"), sets, percent), "dup-round-links")
         if more.isEmpty():
@@ -285,8 +289,32 @@ def labelled(rows: DataFrame, component: DataFrame) -> DataFrame:
     return rows.join(component.withColumnRenamed("node", "id"), "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
+def in_order(around: DataFrame, percent: int) -> DataFrame:
+    """The differences that more than one component around a centre holds, each with its
+    place ``at`` among its set's, rarest first, as far as they are to be looked at:
+    ``strict`` of them for partners that are not linked with the centre."""
+    held = around.groupBy("centre", "shingle").agg(F.count("*").alias("holders"), F.min("component").alias("low"), F.max("component").alias("high"))
+    shared = around.join(held.where("low < high").select("centre", "shingle", "holders"), ["centre", "shingle"])
+    own = Window.partitionBy("centre", "id")  # the differences of one set
+    at = F.col("d") - F.count("*").over(own) + F.row_number().over(own.orderBy("holders", "shingle")) - 1
+    sizes = around.groupBy("centre").agg(F.min(F.expr("if(linked, null, d)")).alias("least_d"), F.max("n").alias("most_n"))
+
+    def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            bounds = [kept_differences(*row, percent) for row in zip(*(batch.column(c).to_pylist() for c in ("n", "m", "d", "linked", "least_d", "most_n")), strict=True)]
+            first, strict = (pa.array([b[i] for b in bounds], pa.int64()) for i in (0, 1))
+            out = batch.select(PLACED[:-1]).append_column("strict", strict)
+            yield out.filter(pc.less(batch.column("at"), first))
+
+    placed = shared.withColumn("at", at.cast("long")).join(sizes, "centre")
+    return placed.mapInArrow(run, "centre long, shingle long, id long, n long, d long, linked boolean, component long, at long, strict long")
+
+
+PLACED = ["centre", "shingle", "id", "n", "d", "linked", "component", "at", "strict"]
+
+
 def shared_differences(placed: DataFrame) -> DataFrame:
-    """The differences that more than one component around a centre holds."""
+    """The rows whose difference more than one component around the centre holds."""
     held = placed.groupBy("centre", "shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     return placed.join(held.where("low < high").select("centre", "shingle"), ["centre", "shingle"])
 
