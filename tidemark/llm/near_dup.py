@@ -21,9 +21,9 @@ around the centre have, with t - 1 more after it. Copies of one text share its s
 but hardly their edits, so where a group of n copies falls apart, about n differences
 are compared, not n * n pairs.
 
-Members that share a difference, as two families of copies around one centre do, are
-first compared with one of them for each difference, round by round, until a round
-finds no link; only then are the components that are left compared with each other.
+Where many members share a difference, as families of copies around one centre do, they
+are first compared with one of them for each difference, in at most ``ROUNDS`` rounds
+while these find links; then the components that are left are compared with each other.
 No link between components is lost. Pairs that share rare differences enough for a link
 and still have none are decided one by one.
 
@@ -56,6 +56,7 @@ WORDS = 5
 BANDS, ROWS = 26, 5
 CIRCLE = 1 << 20
 SEED = 20240229
+CROWD, ROUNDS = 16, 3
 CACHED_WORDS = 150_000
 #: multipliers of the shingle hash, one per word, and of the band hash, one per coordinate
 WORD_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -272,7 +273,9 @@ def links(docs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     around = own.join(mixed, "centre").select("centre", "id", "n", "d", "linked", "m", F.explode("differences").alias("shingle"), "component")
     placed = materialize(in_order(materialize(around, "dup-differences"), percent), "dup-placed")
     shared_ = materialize(shared_differences(placed), "dup-shared")
-    while True:
+    for _ in range(ROUNDS):
+        if not crowded(shared_):
+            break
         more = materialize(verified(materialize(one_for_each(shared_, percent), "dup-round"), sets, percent), "dup-round-links")
         if more.isEmpty():
             break
@@ -319,6 +322,13 @@ def shared_differences(placed: DataFrame) -> DataFrame:
     return placed.join(held.where("low < high").select("centre", "shingle"), ["centre", "shingle"])
 
 
+def crowded(shared: DataFrame) -> bool:
+    """Whether pairs of rows with one difference are many times as many as the rows."""
+    groups = shared.groupBy("centre", "shingle").count()
+    total = groups.agg(F.sum("count").alias("rows"), F.sum(F.expr("double(count) * (count - 1) / 2")).alias("pairs")).first()
+    return (total.pairs or 0) > CROWD * (total.rows or 0)
+
+
 def may_link(percent: int) -> str:
     """Sizes fit, and from the shared difference on both hold as many as a link needs."""
     up, down = 100 + percent, 100 - percent
