@@ -15,8 +15,11 @@ from tidemark.llm.packing import op4_packing
 from tidemark.llm.quality import op8_quality
 from tidemark.llm.token_files import op3_token_files
 from tidemark.llm.topk import OP1_SQL, op1_topk
+from tidemark.llm.toxicity import op12_toxicity
 from tidemark.llm.warc import OP5_SQL, op5_warc
 from tidemark.llm.url_rules import OP7_SQL, op7_url_rules
+from tidemark.llm.vector_codes import OP13_SQL, op13_vector_codes
+from tidemark.llm.whitening import op11_whitening
 
 OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_topk": op1_topk,
@@ -29,6 +32,9 @@ OPERATORS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_html_text": op9_html_text,
     "op10_edit_counts": op10_edit_counts,
+    "op11_whitening": op11_whitening,
+    "op12_toxicity": op12_toxicity,
+    "op13_vector_codes": op13_vector_codes,
 }
 
 
@@ -37,4 +43,4 @@ def bounded(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 
 QUERIES = {name: bounded(query) for name, query in OPERATORS.items()}
-ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op1_topk": OP1_SQL, "op2_near_dup": OP2_SQL, "op5_warc": OP5_SQL, "op7_url_rules": OP7_SQL, "op13_vector_codes": OP13_SQL}
