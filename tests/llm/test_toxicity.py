@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+from pyspark.sql import functions as F
 from tests.llm.helpers import docs, prose
 from tidemark.llm import toxicity
 from tidemark.llm.queries import QUERIES
@@ -44,7 +45,8 @@ def test_one_insult_in_a_very_long_text(spark):
     rows = labelled(600, wrong=0.03)
     model = toxicity.learn(docs(spark, [r[:2] for r in rows]), label_table(spark, [(i, y) for i, _, y in rows]))
     assert 0 < len(model.places) < 2000
-    long = " ".join([prose(60_000, 5), INSULTS[0], prose(60_000, 6)])
+    other = [f"q{w}" for w in prose(60_000, 5).split()]  # a vocabulary of its own
+    long = " ".join([*other, INSULTS[0], *other])
     tests = [(1, f"{prose(40, 9)} {INSULTS[1]} {prose(50, 10)}"), (2, prose(90, 11)), (3, long), (4, long.replace(INSULTS[0], "")), (5, None), (6, ""), (None, INSULTS[2]), (1, prose(30, 12))]
     out = toxicity.score(docs(spark, tests, "score double, toxic int, __text string"), model, "s").collect()
     assert [r.s >= 0.3 for r in out] == [True, False, True, False, False, False, True, False]
@@ -97,5 +99,5 @@ def test_learns_nothing_from_held_out_labels(spark):
     rows = docs(spark, [(i, INSULTS[0] if zlib.crc32(str(i).encode()) % 4 == 2 else "calm") for i in range(120)])
     labels = label_table(spark, [(i, int(zlib.crc32(str(i).encode()) % 4 == 2)) for i in range(120)])
     model = toxicity.learn(rows, labels)
-    out = toxicity.score(rows, model, "s").where(held_out(rows.doc_id)).collect()
+    out = toxicity.score(rows, model, "s").where(held_out(F.col("doc_id"))).collect()
     assert out and all(r.s < 0.3 for r in out)

@@ -160,7 +160,7 @@ def directions(diagonal: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np
     """All eigenvalues of B'B, falling, and their directions as columns."""
     n, top = len(diagonal), float(max(np.abs(diagonal).max(initial=0), np.abs(beside).max(initial=0)))
     b = np.where(np.abs(diagonal) > EPS * EPS * top, diagonal, EPS * EPS * top)  # pivots are divided by
-    cuts = [0, *(k + 1 for k in range(n - 1) if abs(beside[k]) <= EPS * EPS * top), n]
+    cuts = [0, *(k + 1 for k in range(n - 1) if abs(beside[k]) <= EPS * top), n]
     values, vectors = np.zeros(n), np.zeros((n, n))
     for low, high in zip(cuts[:-1], cuts[1:], strict=True):
         q, e = b[low:high], beside[low : high - 1]
@@ -178,22 +178,22 @@ def directions(diagonal: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np
 def apart(z: np.ndarray, near: list[np.ndarray], q: np.ndarray, e: np.ndarray, value: float) -> np.ndarray:
     """``z`` made orthogonal to the directions near it. If nothing of it is left (values
     equal to rounding), inverse iteration from what is orthogonal to them."""
-    rng = np.random.default_rng(len(near))
+    rng, b = np.random.default_rng(len(near)), np.diag(q) + np.diag(e, 1)
+    t = b.T @ b
     for attempt in range(6):
         for _ in range(2):
             for other in near:
                 z = z - (other @ z) * other
         size = np.linalg.norm(z)
-        if size > 0.5**attempt * 0.1:
+        if size > 0.5:
             return z / size
         z = rng.standard_normal(len(q))
-        for other in near:
-            z = z - (other @ z) * other
-        b = np.diag(q) + np.diag(e, 1)
-        t = b.T @ b - value * np.eye(len(q))
-        z = np.linalg.lstsq(t + EPS * np.abs(t).max() * np.eye(len(q)), z, rcond=None)[0]
-        z /= max(np.linalg.norm(z), 1e-300)
-    return z / max(np.linalg.norm(z), 1e-300)
+        for _ in range(3):
+            for other in near:
+                z = z - (other @ z) * other
+            z = np.linalg.solve(t - (value + (8 << attempt) * EPS * np.abs(t).max()) * np.eye(len(q)), z)
+            z /= np.linalg.norm(z)
+    raise ArithmeticError("no direction orthogonal to those of equal values")
 
 
 def triangle(blocks: Iterator[np.ndarray]) -> np.ndarray | None:
