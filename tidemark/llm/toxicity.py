@@ -41,7 +41,7 @@ from tidemark.llm.quality import held_out
 
 SAMPLE = 8000
 LEAST_TEXTS = 3
-BUCKETS = 1 << 20
+BUCKETS = 1 << 22
 SKIPS = (1, 2, 3)  # places from a pair's first word to its second
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.01
 PASSES = 3
@@ -72,7 +72,7 @@ class Model(NamedTuple):
 
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return ((h ^ (h >> np.uint64(29))) >> np.uint64(44)).astype(np.int32)
+    return ((h ^ (h >> np.uint64(29))) >> np.uint64(42)).astype(np.int32)
 
 
 def features(text: bytes) -> np.ndarray:
@@ -137,12 +137,12 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     hashed = materialize(found.mapInArrow(run, "doc_id long, toxic int, features binary").dropDuplicates(["doc_id"]), "toxic-features")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = np.zeros(BUCKETS, dtype=np.int64)
+        held = np.zeros(BUCKETS, dtype=np.int32)
         for batch in parts:
             for (row,) in rows_of(batch):
                 held[np.frombuffer(row, dtype=np.int32)] += 1
         at = np.flatnonzero(held)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at])], ["place", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at], pa.int64())], ["place", "n"])
 
     often = hashed.select("features").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
     kept = np.zeros(BUCKETS, dtype=bool)

@@ -168,7 +168,7 @@ def directions(diagonal: np.ndarray, beside: np.ndarray) -> tuple[np.ndarray, np
         held: list[np.ndarray] = []
         for i, value in enumerate(own):
             z = twisted(q**2, e / q[:-1], value) if high - low > 1 else np.ones(1)
-            near = [held[j] for j in range(i) if own[j] - value <= CLOSE * own[j]]
+            near = [held[j] for j in range(i) if own[j] - value <= CLOSE * own[j] or own[j] <= (4 * n * EPS * top) ** 2]
             held.append(apart(z, near, q, e, value))
         vectors[low:high, low:high] = np.stack(held, axis=1)
     order = np.argsort(-values, kind="stable")
