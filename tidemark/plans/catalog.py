@@ -417,6 +417,59 @@ def q_silver_orders_full_refresh(spark, d):
     house.run_silver(["orders"], full_refresh=True)
     return house.silver_table("orders")
 
+
+# --- maintenance by what changed --------------------------------------------------------
+
+# Orders that come after this change time are late: their lines, or later orders, are there.
+LATE_CUTOFF = "2024-01-03 00:00:00.000000"
+
+
+def late_house(spark: SparkSession, d: str):
+    """A mart built from part of the orders and lines; then the other lines come, before
+    their orders, and last the other orders."""
+    house = _jobs.Lakehouse(spark, scratch_dir(spark, "late"), partition_grain="month", maintain=True)
+    orders, lines = feed(spark, d, "orders"), feed(spark, d, "orderdetails")
+    for t in ("customers", "employees", "offices"):
+        house.merge(t, house.batch(t, feed(spark, d, t)))
+    house.merge("orders", house.batch("orders", orders.where(F.col("extract_at") <= LATE_CUTOFF)))
+    house.merge("orderdetails", house.batch("orderdetails", _before(lines, DETAILS_CUTOFF)))
+    house.run_gold()
+    rest = [("orderdetails", lines.where(F.col("extract_at") > DETAILS_CUTOFF)), ("orders", orders.where(F.col("extract_at") > LATE_CUTOFF))]
+    for table, changes in rest:
+        house.merge(table, house.batch(table, changes), newer_only=True)
+    return house
+
+
+@query("gold_late_groups")
+def q_gold_late_groups(spark, d):
+    """The mart after late lines and orders of dates that it holds already."""
+    house = late_house(spark, d)
+    house.run_gold()
+    return house.mart()
+
+
+@query("lines_date_repair")
+def q_lines_date_repair(spark, d):
+    """Lines whose orders came after them, without a change of the lines."""
+    house = late_house(spark, d)
+    house.run_silver(())
+    return house.silver_table("orderdetails")
+
+
+def _with_deletes(spark: SparkSession, d: str, table: str) -> DataFrame:
+    """Deletes applied; images come out of order and again."""
+    house = _jobs.Lakehouse(spark, scratch_dir(spark, "deletes"), partition_grain="month", apply_deletes=True)
+    f = feed(spark, d, table)
+    late, middle = f.where(F.col("extract_at") > FEED_CUTOFF), _before(f, FEED_CUTOFF)
+    for changes in (late, middle, f.where("op = 'D'"), middle):
+        house.merge(table, house.batch(table, changes))
+    return house.silver_table(table)
+
+
+for _t in ("customers", "orders"):
+    QUERIES[f"silver_{_t}_deletes"] = (lambda t: lambda spark, d: _with_deletes(spark, d, t))(_t)
+
+
 # --- gold ---------------------------------------------------------------------------
 
 @query("gold_sales_dataset")

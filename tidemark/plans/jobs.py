@@ -12,19 +12,22 @@ from __future__ import annotations
 import datetime as dt
 import re
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import GOLD_KEYS, LOCAL_OFFSET_HOURS, SPECS
+from tidemark.config import ALL_OPS, GOLD_KEYS, LOCAL_OFFSET_HOURS, OP_DELETE, OP_RANK, SPECS
 from tidemark.functions.time import format_extract_at, time_key
 from tidemark.operators.merge import assert_unique_keys, newer_source, upsert_partitions
 from tidemark.operators.watermark import shift_text
 from tidemark.plans.gold import gold_batch, gold_recompute
+from tidemark.plans.maintain import record, recompute_groups, repair_lines, touched_log
 from tidemark.plans.silver import silver_batch, silver_orderdetails_batch, with_partition
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
+from tidemark.sources.files import Files
 from tidemark.sources.schemas import GOLD_SCHEMA, create_table_ddl, silver_schema
 from tidemark.sources.storage import StoredTable, materialize, scratch_dir
 
@@ -43,12 +46,23 @@ class Lakehouse:
     each.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_grain: str = "hour", layout: str = "kv"):
+    def __init__(self, spark: SparkSession, root: str, partition_grain: str = "hour", layout: str = "kv",
+                 maintain: bool = False, apply_deletes: bool = False):
         """``partition_grain`` of orders and order lines: ``hour`` (the table
         DDL; right when an hour holds enough data and a batch touches few
         hours), ``day`` or ``month`` for sparse histories. ``layout`` of the
-        landed hours: see ``scan_bronze``."""
+        landed hours: see ``scan_bronze``.
+
+        ``maintain``: line dates and mart groups follow late and changed orders and
+        lines (``plans.maintain``), instead of staying as they were first loaded.
+
+        ``apply_deletes``: a key whose newest image is a delete is no row of its table.
+        The image stays stored as a tombstone, so that an older image that comes late, or
+        again, does not bring the key back; a newer insert does. All merges then go by
+        the newest image. To be used from a table's first run on."""
         self.spark = spark
+        self.maintain = maintain
+        self.apply_deletes = apply_deletes
         self.root = root.rstrip("/")
         self.grain = partition_grain
         self.layout = layout
@@ -91,8 +105,13 @@ class Lakehouse:
         return B.scan_bronze(self.spark, self.bronze_root, table, since=since, layout=self.layout)
 
     # -- silver -------------------------------------------------------------------
-    def silver_table(self, table: str) -> DataFrame | None:
+    def live(self, table: str) -> DataFrame | None:
+        """The stored rows of a table with their helpers, without tombstones."""
         df = self.stored(table).read()
+        return df.where(F.col("_op") != OP_RANK[OP_DELETE]) if df is not None and self.apply_deletes else df
+
+    def silver_table(self, table: str) -> DataFrame | None:
+        df = self.live(table)
         return None if df is None else df.select(*SPECS[table].output_columns)
 
     def run_silver(self, tables: Sequence[str] = SILVER_TABLES, full_refresh: bool = False) -> None:
@@ -100,6 +119,8 @@ class Lakehouse:
             store = self.stored(t)
             wm = None if full_refresh else store.high_watermark()
             self.merge(t, self.batch(t, self.bronze(t, wm), wm), full_refresh=full_refresh)
+        if self.maintain:
+            repair_lines(self)
 
     def batch(self, table: str, changes: DataFrame, high_watermark: str | None = None) -> DataFrame:
         """Latest images among ``changes`` above the watermark, as stored rows."""
@@ -109,7 +130,10 @@ class Lakehouse:
             dates = self.silver_table("orders")  # refreshed before the lines in every run
             if dates is None:
                 dates = self.spark.createDataFrame([], silver_schema("orders"))
-            return silver_orderdetails_batch(changes, dates, target, high_watermark, helpers=("_op",))
+            return silver_orderdetails_batch(changes, dates, target, high_watermark, helpers=("_op",),
+                                             ops=ALL_OPS if self.apply_deletes else spec.ops)
+        if self.apply_deletes:
+            spec = replace(spec, ops=ALL_OPS)
         return silver_batch(spec, changes, target, high_watermark=high_watermark, helpers=("_op",))
 
     def merge(self, table: str, batch: DataFrame, newer_only: bool = False, full_refresh: bool = False) -> None:
@@ -126,8 +150,10 @@ class Lakehouse:
             return  # nothing new
         assert_unique_keys(rows, spec.keys)
         target = None if full_refresh else store.read()
-        if newer_only and target is not None:
+        if (newer_only or self.apply_deletes) and target is not None:
             rows = materialize(newer_source(target, rows, spec.keys, ["extract_at", "_op", *spec.tiebreak]), f"newer-{table}")
+        if self.maintain:
+            record(self, table, target, rows)
         if full_refresh:
             present = {r[0] for r in rows.select(store.partition_col).distinct().collect()}
             merged, emptied = rows, [v for v in store.partitions() if v not in present]
@@ -142,31 +168,40 @@ class Lakehouse:
 
     def run_gold(self, full_refresh: bool = False, recompute_from: str | None = None) -> None:
         """Add the order dates above the mart's newest; or build the mart, or its
-        dates from ``recompute_from`` on, anew (late orders and lines count then)."""
-        inputs = [self.silver_table(t) for t in GOLD_INPUTS]
-        wm = None if full_refresh else self.gold.high_watermark()
+        dates from ``recompute_from`` on, anew (late orders and lines count then).
+        A mart that has no finished run is built whole, whatever date is given. With
+        ``maintain`` the groups of all dates that changed since the last run are built
+        anew, those of new dates included."""
         stored = self.gold.read()
+        wm = None if full_refresh or stored is None else self.gold.high_watermark()
+        if self.maintain:
+            if wm is not None and recompute_from is None:
+                recompute_groups(self, MART_PARTITION)
+                return
+            repair_lines(self)
+        logged = touched_log(self).entries() if self.maintain and wm is None else []
+        inputs = [self.silver_table(t) for t in GOLD_INPUTS]
         month = time_key("calendar_sales_date", "month")
-        if recompute_from is not None and stored is not None:
-            first = recompute_from[:7].replace("-", "")
-            touched = stored.where(F.col(MART_PARTITION) >= first)
+        low = ""  # first month that is built anew
+        if wm is None:
+            batch = gold_batch(*inputs)
+        elif recompute_from is not None:
+            low = recompute_from[:7].replace("-", "")
             inputs[1] = self.orders_from(recompute_from)
-            batch = gold_recompute(*inputs, target=touched, since=recompute_from)
-        elif wm is not None:
+            batch = gold_recompute(*inputs, target=stored.where(F.col(MART_PARTITION) >= low), since=recompute_from)
+        else:
             inputs[1] = self.orders_from(wm)
             batch = gold_batch(*inputs, target=stored, high_watermark=wm)
-        else:
-            batch = gold_batch(*inputs)
         rows = materialize(batch.withColumn(MART_PARTITION, month), "batch-mart")
         last = rows.agg(format_extract_at(F.max("calendar_sales_date")).alias("m")).first()["m"]
         assert_unique_keys(rows, GOLD_KEYS)
         if wm is None or recompute_from is not None:
-            low = "" if wm is None else first
             present = {r[0] for r in rows.select(MART_PARTITION).distinct().collect()}
-            gone = [v for v in self.gold.partitions() if (v is None or v >= low) and v not in present]
+            gone = [v for v in self.gold.partitions() if (low if v is None else v) >= low and v not in present]
             if full_refresh:
                 self.gold.forget()
             self.gold.replace_partitions(rows, gone, last)
+            touched_log(self).clear(logged)
         elif last is not None:
             merged, _ = upsert_partitions(stored, rows, GOLD_KEYS, MART_PARTITION, movable=False)
             self.gold.replace_partitions(merged, (), last)
@@ -174,24 +209,27 @@ class Lakehouse:
     def orders_from(self, text: str) -> DataFrame:
         """Orders of the partitions that can hold order dates from ``text`` on."""
         digits = re.sub(r"\D", "", text)[: {"hour": 10, "day": 8, "month": 6}[self.grain]]
-        store = self.stored("orders")
-        return store.read().where(F.col(store.partition_col) >= digits).select(*SPECS["orders"].output_columns)
+        col = self.stored("orders").partition_col
+        return self.live("orders").where(F.col(col) >= digits).select(*SPECS["orders"].output_columns)
 
     # -- catalog ------------------------------------------------------------------
     def register_catalog(self, raw: str = "raw", ods: str = "ods", dwh: str = "dwh") -> None:
         """Declare every zone's tables in the session catalog at their roots and
-        register the partitions found there. Tables that exist stay as they are."""
+        register the partitions found there. Tables that have not landed yet are left
+        out. A table of the same name that lies elsewhere is an error, before anything
+        is declared, and stays as it is."""
+        files = Files(self.spark)
+        stores = [(dwh, "sales_dataset", self.gold)] + [(ods, t, self.stored(t)) for t in SILVER_TABLES]
+        landed = [t for t in SILVER_TABLES if files.exists(B.table_root(self.bronze_root, t))]
+        stores = [(db, name, store) for db, name, store in stores if store.read() is not None]
         for db in (raw, ods, dwh):
             self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
-        tables = [(f"{dwh}", "sales_dataset", self.gold)]
-        for t in SILVER_TABLES:
+        for db, name, path in [(db, name, store.path) for db, name, store in stores] + [(raw, t, B.table_root(self.bronze_root, t)) for t in landed]:
+            B.refuse_foreign_table(self.spark, db, name, path)
+        for t in landed:
             B.recover_partitions(self.spark, self.bronze_root, t, raw)
-            tables.append((ods, t, self.stored(t)))
-        for db, name, store in tables:
-            if store.read() is None:
-                continue
+        for db, name, store in stores:
             self.spark.sql(create_table_ddl(db, name, store.schema, store.path, partitioned_by=(store.partition_col,)))
-            self.spark.sql(f"ALTER TABLE {db}.{name} SET LOCATION '{store.path}'")
             self.spark.sql(f"MSCK REPAIR TABLE {db}.{name} SYNC PARTITIONS")
 
     def run(self, steps: Sequence[str] = ("bronze", "silver", "gold"), sf_dir: str | None = None,

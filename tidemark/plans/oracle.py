@@ -133,11 +133,16 @@ def _ops(ops) -> str:
     return ", ".join(f"'{o}'" for o in ops)
 
 
-def silver_sql(table: str, src: str, where: str = "", dedupe: bool = True) -> str:
-    """Silver rows of ``table`` from the bronze relation ``src`` (not details)."""
+def silver_sql(table: str, src: str, where: str = "", dedupe: bool = True, live: bool = False) -> str:
+    """Silver rows of ``table`` from the bronze relation ``src`` (not details); ``live``:
+    without the keys whose newest image of any operation is a delete."""
     cols = ", ".join(f"{e} AS {n}" for n, e in SILVER_COLS[table])
     inner = (f"SELECT {cols}, {LINEAGE.format(ds=table)}, {TS} - INTERVAL 3 HOUR AS extract_at, "
-             f"{TS} AS _ts, {OPRANK} AS _op FROM {src} WHERE op IN ({_ops(OPS[table])}) {where}")
+             f"{TS} AS _ts, {OPRANK} AS _op FROM {src} WHERE op IN ({_ops('IUD' if live else OPS[table])}) {where}")
+    if live:
+        order = _order(["_ts", "_op"] + [n for n, _ in SILVER_COLS[table] if n not in KEYS[table]])
+        return (f"SELECT * EXCLUDE (_ts, _op, _nth) FROM (SELECT *, row_number() OVER (PARTITION BY "
+                f"{', '.join(KEYS[table])} ORDER BY {order}) AS _nth FROM ({inner})) WHERE _nth = 1 AND _op <> 2")
     if not dedupe:
         return f"SELECT * EXCLUDE (_ts, _op) FROM ({inner})"
     order = _order(["_ts", "_op"] + [n for n, _ in SILVER_COLS[table] if n not in KEYS[table]])
@@ -364,6 +369,11 @@ def _oracle() -> dict[str, str]:
         "orderdate FROM s_orders UNION ALL SELECT 'orderdetails', ordernumber, productcode, "
         "CAST(orderlinenumber AS BIGINT), orderdate FROM s_orderdetails")
     q["silver_orders_full_refresh"] = _q(silver_ctes(), "SELECT * FROM s_orders")
+    # Whatever came late or in which order, the tables end as if all had come at once.
+    q["gold_late_groups"] = _gold_q("SELECT * FROM gold")
+    q["lines_date_repair"] = _q(silver_ctes(), "SELECT * FROM s_orderdetails")
+    for t in ("customers", "orders"):
+        q[f"silver_{t}_deletes"] = _q(feeds_cte(t), silver_sql(t, f"f_{t}", live=True))
     # gold
     q["gold_sales_dataset"] = _gold_q("SELECT * FROM gold")
     early = gold_select("s_orderdetails", f"(SELECT * FROM s_orders WHERE orderdate <= TIMESTAMP '{GOLD_CUTOFF}')",

@@ -68,15 +68,16 @@ def order_dates(orders_bronze: DataFrame) -> DataFrame:
 
 
 def latest_lines(details_bronze: DataFrame, target: DataFrame | None = None,
-                 high_watermark: str | None = None, helpers: tuple[str, ...] = ()) -> DataFrame:
+                 high_watermark: str | None = None, helpers: tuple[str, ...] = (),
+                 ops: tuple[str, ...] = ORDERDETAILS.ops) -> DataFrame:
     """Latest image of the order lines of one run, without the order's date."""
-    spec = replace(ORDERDETAILS, columns=tuple(c for c in ORDERDETAILS.columns if c[0] != "orderdate"))
+    spec = replace(ORDERDETAILS, ops=ops, columns=tuple(c for c in ORDERDETAILS.columns if c[0] != "orderdate"))
     return silver_batch(spec, details_bronze, target, high_watermark=high_watermark, helpers=helpers)
 
 
 def silver_orderdetails_batch(details_bronze: DataFrame, dates: DataFrame,
                               target: DataFrame | None = None, high_watermark: str | None = None,
-                              helpers: tuple[str, ...] = ()) -> DataFrame:
+                              helpers: tuple[str, ...] = (), ops: tuple[str, ...] = ORDERDETAILS.ops) -> DataFrame:
     """Order lines of one run, each with the date of its order from ``dates``
     (ordernumber, orderdate; one row per order).
 
@@ -84,7 +85,7 @@ def silver_orderdetails_batch(details_bronze: DataFrame, dates: DataFrame,
     number, so the result is the same). A line whose order is unknown keeps a
     null order date.
     """
-    lines = latest_lines(details_bronze, target, high_watermark, helpers)
+    lines = latest_lines(details_bronze, target, high_watermark, helpers, ops)
     joined = lines.join(dates.select("ordernumber", "orderdate"), "ordernumber", "left")
     return joined.select(*ORDERDETAILS.output_columns, *helpers)
 

@@ -87,13 +87,18 @@ def in_partition(partition: tuple[str, str, str, str]) -> Column:
 
 def append_missing(rows: DataFrame, root: str, table: str,
                    partition: tuple[str, str, str, str] = BACKFILL_PARTITION) -> None:
-    """Append the rows that their partition does not hold yet (a rerun adds none)."""
+    """Append the rows that their partition does not hold yet (a rerun adds none).
+    Only that partition's own directory is listed and read."""
     spark = rows.sparkSession
-    held = scan_bronze(spark, root, table).where(in_partition(partition))
-    fresh = rows.exceptAll(held.select(*rows.columns))
+    base = table_root(root, table)
+    path = f"{base}/" + "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, partition))
+    fresh = rows
+    if Files(spark).exists(path):
+        held = spark.read.schema(bronze_schema(table)).option("basePath", base).parquet(path)
+        fresh = rows.exceptAll(held.select(*rows.columns))
     # Reliable checkpoint (shared folder): what is missing is fixed before the append.
     fresh.checkpoint(eager=True).write.mode("append").option("compression", "gzip").partitionBy(
-        *PARTITION_COLS).parquet(table_root(root, table))
+        *PARTITION_COLS).parquet(base)
 
 
 def first_hour(since: str) -> tuple[str, str, str, str]:
@@ -189,9 +194,20 @@ def partition_for_run(run_ts: dt.datetime, overrides: dict | None = None,
     return tuple(moment.strftime("%Y %m %d %H").split())
 
 
+def refuse_foreign_table(spark: SparkSession, database: str, table: str, path: str) -> None:
+    """Fail if the catalog has a table of that name at another place."""
+    if not spark.catalog.tableExists(f"{database}.{table}"):
+        return
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {database}.{table}").where("col_name = 'Location'").collect()
+    files = Files(spark)
+    if not rows or files.qualified(rows[0]["data_type"]) != files.qualified(path):
+        raise ValueError(f"{database}.{table} exists and is not the table at {path}")
+
+
 def register_table(spark: SparkSession, root: str, table: str, database: str = "raw") -> None:
     """Declare the landed table in the session catalog (schema fixed, nothing inferred)."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    refuse_foreign_table(spark, database, table, table_root(root, table))
     spark.sql(create_table_ddl(database, table, bronze_schema(table), table_root(root, table),
                                partitioned_by=PARTITION_COLS))
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import PARTITION_COLS
 from tidemark.functions.time import format_extract_at, parse_extract_at, partition_values
-from tidemark.sources.schemas import bronze_schema
+from tidemark.sources.schemas import BASE_TABLES, bronze_schema
 
 # Fixed values of the feed mapping: change times start here, versions are
 # VERSION_STEP seconds apart and keys are spread over KEY_SPREAD seconds.
@@ -29,7 +29,7 @@ DAY_SECONDS = 86400
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(BASE_TABLES[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _versions(df: DataFrame, key: str) -> DataFrame:

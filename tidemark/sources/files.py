@@ -21,6 +21,11 @@ class Files:
         p = self.jvm.org.apache.hadoop.fs.Path(path)
         return p.getFileSystem(self.conf), p
 
+    def qualified(self, path: str) -> str:
+        """The path with its file system's scheme and authority."""
+        fs, p = self._at(path)
+        return fs.makeQualified(p).toString()
+
     def exists(self, path: str) -> bool:
         fs, p = self._at(path)
         return fs.exists(p)
