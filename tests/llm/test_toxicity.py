@@ -42,7 +42,7 @@ def test_finds_toxic_documents(spark):
 
 
 def test_one_insult_in_a_very_long_text(spark):
-    rows = labelled(600, wrong=0.03)
+    rows = labelled(600)
     model = toxicity.learn(docs(spark, [r[:2] for r in rows]), label_table(spark, [(i, y) for i, _, y in rows]))
     assert 0 < len(model.places) < 2000
     other = [f"q{w}" for w in prose(10_000, 5).split()]  # a vocabulary of its own
