@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import functions as F
 from test_equivalence import _keys, _line, _lines, _orders, rows
+from test_plans import _explain
 
 from tidemark.plans import catalog as C
 from tidemark.plans import maintain as M
@@ -74,8 +77,8 @@ def test_other_dates_are_not_read(spark):
     load(house, "orderdetails", _lines(spark, _line(2, "2024-01-02 06:00:00.000000", product=2)))
     log = M.touched_log(house)
     batch = M.touched_groups(house, log.read(log.entries()).distinct())
-    read = [f for f in batch.inputFiles() if "/silver/orders/" in f or "/silver/orderdetails/" in f]
-    assert read and all("orderdate_hour=202403" in f for f in read)
+    scans = [s for s in _explain(batch, "formatted").split("Scan parquet")[1:] if "orderdate_hour" in s]
+    assert scans and all(re.search(r"PartitionFilters: \[[^\n]*orderdate_hour#\d+ (= 202403|IN \(202403\))", s) for s in scans)
     house.run_gold()
     assert len(before - files()) == 1 and groups(house)[2] == ("2024-03-10", 2)
 
@@ -170,3 +173,47 @@ def test_planning_a_query_starts_no_job(spark):
         assert not tracker.getJobIdsForGroup("t-plan")
     finally:
         spark.sparkContext._jsc.clearJobGroup()
+
+
+def test_merge_finds_keys_without_a_key_scan(spark, monkeypatch):
+    """The locator's buckets of the batch are read, and its partitions of the table."""
+    from tidemark.sources import locator as L
+
+    house = house_of(spark)
+    dates = [f"2024-{m:02d}-10 12:00:00" for m in range(1, 13)]
+    load(house, "orders", _orders(spark, *(("I", "2024-01-01 05:00:00.000000", i, d, 7) for i, d in enumerate(dates))))
+    held = house.locator("orders")
+    batch = house.stored("orders").read().where("ordernumber = 4")
+    assert held.places(batch) == {"202405"}
+    plan = _explain(held.near(batch), "formatted")
+    assert re.search(r"PartitionFilters: \[[^\n]*_bucket#\d+ = \d+", plan)
+    looked = []
+    plain = house.stored("orders").__class__.read
+    monkeypatch.setattr(L, "GENERATIONS", 3)
+
+    def read(store):
+        looked.append(store.path)
+        return plain(store)
+
+    monkeypatch.setattr(house.stored("orders").__class__, "read", read)
+    for day in (11, 12, 13, 14):  # the key moves on; generations are written anew as one
+        load(house, "orders", _orders(spark, ("U", f"2024-02-{day} 05:00:00.000000", 4, f"2024-{day - 2:02d}-20 12:00:00", 8)))
+        assert _keys(house.silver_table("orders").where("ordernumber = 4"), "ordernumber", "customernumber") == [(4, 8)]
+    assert house.silver_table("orders").count() == 12 and looked
+    assert len(held._generations()) < 3 and "202412" in held.places(batch)
+
+
+def test_locator_that_knows_too_much_does_no_harm(spark, monkeypatch):
+    """A run that died after the locator was told and before the table was written."""
+    house = house_of(spark)
+    load(house, "orders", _orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-10 12:00:00", 7)))
+    with monkeypatch.context() as m:
+        m.setattr(type(house.stored("orders")), "replace_partitions", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            load(house, "orders", _orders(spark, ("U", "2024-01-02 05:00:00.000000", 1, "2024-02-10 12:00:00", 8)))
+    load(house, "orders", _orders(spark, ("U", "2024-01-03 05:00:00.000000", 1, "2024-03-10 12:00:00", 9)))
+    assert _keys(house.silver_table("orders"), "ordernumber", "customernumber") == [(1, 9)]
+    assert house.stored("orders").partitions() == ["202403"]
+    house.locator("orders").forget()  # as in a table of an earlier version
+    load(house, "orders", _orders(spark, ("U", "2024-01-04 05:00:00.000000", 1, "2024-04-10 12:00:00", 9)))
+    assert house.stored("orders").partitions() == ["202404"]

@@ -79,14 +79,14 @@ def newer_source(target: DataFrame, source: DataFrame, keys: Sequence[str], orde
 
 
 def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
-                      partition_col: str, movable: bool = True) -> tuple[DataFrame, list]:
+                      partition_col: str, movable: bool = True, places: set | None = None) -> tuple[DataFrame, list]:
     """Merged content of the partitions that a merge touches, and the partitions
     that it leaves without rows.
 
     Touched are the partitions of the source rows and, where a key may move to
     another partition (``movable``), those where the target holds a key of the
-    source; finding them reads the target's key columns. They become a literal
-    ``IN`` filter, so only they are read in full; the list is never longer than the
+    source: ``places``, if a key locator knows them (too many do no harm), else the
+    target's key columns are read for them. They become a literal ``IN`` filter, so only they are read in full; the list is never longer than the
     table's partition listing. ``source`` is read several times: pass a written
     table.
     """
@@ -96,14 +96,17 @@ def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequenc
     skeys = source.select(*keys)
     new = {r[0] for r in source.select(p).distinct().collect()}
     old = set()
-    if movable:
+    if movable and places is not None:
+        old = places - new
+    elif movable:
         held = target.select(*keys, p)
         old = {r[0] for r in held.join(skeys, list(keys), "left_semi").select(p).distinct().collect()} - new
     affected = target.where(partition_in(p, new | old))
     emptied = []
     if old:
-        left = target.select(*keys, p).where(partition_in(p, old)).join(skeys, list(keys), "left_anti")
-        emptied = sorted(old - {r[0] for r in left.select(p).distinct().collect()}, key=str)
+        within = target.select(*keys, p).where(partition_in(p, old))
+        left = {r[0] for r in within.join(skeys, list(keys), "left_anti").select(p).distinct().collect()}
+        emptied = sorted(old - left, key=str)
     return upsert(affected, source, keys), emptied
 
 

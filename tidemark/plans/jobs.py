@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 
 from tidemark.config import ALL_OPS, GOLD_KEYS, LOCAL_OFFSET_HOURS, OP_DELETE, OP_RANK, SPECS
 from tidemark.functions.time import format_extract_at, time_key
-from tidemark.operators.merge import assert_unique_keys, newer_source, upsert_partitions
+from tidemark.operators.merge import assert_unique_keys, newer_source, partition_in, upsert_partitions
 from tidemark.operators.watermark import shift_text
 from tidemark.plans.gold import gold_batch, gold_recompute
 from tidemark.plans.maintain import record, recompute_groups, repair_lines, touched_log
@@ -28,6 +28,7 @@ from tidemark.plans.silver import silver_batch, silver_orderdetails_batch, with_
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
 from tidemark.sources.files import Files
+from tidemark.sources.locator import KeyLocator
 from tidemark.sources.schemas import GOLD_SCHEMA, create_table_ddl, silver_schema
 from tidemark.sources.storage import StoredTable, materialize, scratch_dir
 
@@ -81,6 +82,11 @@ class Lakehouse:
                               + [T.StructField("_op", T.IntegerType()), T.StructField(col, T.StringType())])
         return StoredTable(self.spark, f"{self.root}/silver/{table}", schema, col)
 
+    def locator(self, table: str) -> KeyLocator:
+        """Where the keys of a table that is partitioned by a date are."""
+        store = self.stored(table)
+        return KeyLocator(self.spark, f"{self.root}/silver/_keys/{table}", store.schema, SPECS[table].keys, store.partition_col)
+
     # -- bronze -------------------------------------------------------------------
     def land(self, sf_dir: str, tables: Sequence[str] = SILVER_TABLES) -> None:
         """Land the feeds that the test tables stand for (rerun-safe). Their histories
@@ -149,16 +155,28 @@ class Lakehouse:
         if last is None and not full_refresh:
             return  # nothing new
         assert_unique_keys(rows, spec.keys)
-        target = None if full_refresh else store.read()
+        target, places, near = None if full_refresh else store.read(), None, None
+        locator = self.locator(table) if spec.partition else None
+        if locator and target is None:
+            locator.forget()
+        if target is not None:
+            near = target  # the rows that may have a key of the batch
+            if locator:
+                if not locator.exists():
+                    locator.add(target)
+                places = locator.places(rows)
+                near = target.where(partition_in(store.partition_col, places))
         if (newer_only or self.apply_deletes) and target is not None:
-            rows = materialize(newer_source(target, rows, spec.keys, ["extract_at", "_op", *spec.tiebreak]), f"newer-{table}")
+            rows = materialize(newer_source(near, rows, spec.keys, ["extract_at", "_op", *spec.tiebreak]), f"newer-{table}")
         if self.maintain:
-            record(self, table, target, rows)
+            record(self, table, near, rows)
+        if locator:
+            locator.add(rows)
         if full_refresh:
             present = {r[0] for r in rows.select(store.partition_col).distinct().collect()}
             merged, emptied = rows, [v for v in store.partitions() if v not in present]
         else:
-            merged, emptied = upsert_partitions(target, rows, spec.keys, store.partition_col, movable=spec.partition is not None)
+            merged, emptied = upsert_partitions(target, rows, spec.keys, store.partition_col, spec.partition is not None, places)
         store.replace_partitions(merged, emptied, last)
 
     # -- gold ---------------------------------------------------------------------

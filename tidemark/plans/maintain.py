@@ -122,6 +122,7 @@ def repair_lines(house: Lakehouse) -> None:
     fixed = materialize(fixed, "repaired-lines")
     if not fixed.isEmpty():
         touched_log(house).append(fixed.select("orderdate").distinct())
+        house.locator("orderdetails").add(fixed)
         into = {r[0] for r in fixed.select(p).distinct().collect()}
         merged = materialize(upsert(lines.where(partition_in(p, held_in | into)), fixed, spec.keys), "repaired-partitions")
         left = {r[0] for r in merged.select(p).distinct().collect()}
