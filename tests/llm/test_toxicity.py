@@ -71,7 +71,7 @@ def test_weights_are_those_of_plain_ftrl():
             new = {k: (state(z, k) + g - ((state(n, k) + g * g) ** 0.5 - state(n, k) ** 0.5) / toxicity.ALPHA * weight(k), state(n, k) + g * g) for k in keys}
             for k, (a, b) in new.items():
                 z[k], n[k] = a, b
-    model = toxicity.learnt(rows, labels, share)
+    model = toxicity.learnt([np.append(r, 30).astype(np.int32) for r in rows], labels, share, np.arange(30, dtype=np.int32))
     want = {k: weight(k) for k in range(30) if weight(k)}
     assert dict(zip(model.places.tolist(), model.weights.tolist(), strict=True)).keys() == want.keys()
     assert all(abs(w - want[k]) < 1e-6 for k, w in zip(model.places.tolist(), model.weights.tolist(), strict=True))

@@ -87,13 +87,11 @@ def logistic(x: float) -> float:
     return 1 / (1 + np.exp(-min(max(x, -40.0), 40.0)))
 
 
-def learnt(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> Model:
-    """FTRL-proximal over the rows (distinct buckets each) in their order."""
+def learnt(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray, places: np.ndarray) -> Model:
+    """FTRL-proximal over the rows in their order; each holds distinct indices into
+    ``places`` (ascending buckets) and, last, that of the intercept: ``len(places)``."""
     if not len(rows):
         return Model(np.zeros(0, np.int32), np.zeros(0, np.float32), -np.inf)
-    places, at = np.unique(np.concatenate([np.zeros(0, np.int32), *rows]), return_inverse=True)
-    ends = np.cumsum([len(r) for r in rows])
-    split = [np.append(part, len(places)) for part in np.split(at, ends[:-1])]  # the last coordinate is the intercept
     z, n = np.zeros(len(places) + 1), np.zeros(len(places) + 1)
     l1 = np.full(len(places) + 1, L1)
     l1[-1] = 0
@@ -103,7 +101,7 @@ def learnt(rows: list[np.ndarray], labels: np.ndarray, weights: np.ndarray) -> M
         return -np.sign(z[i]) * beyond / ((BETA + np.sqrt(n[i])) / ALPHA + L2)
 
     for _ in range(PASSES):
-        for i, y, share in zip(split, labels, weights, strict=True):
+        for i, y, share in zip(rows, labels, weights, strict=True):
             w = weight(i)
             g = (logistic(float(w.sum())) - y) * share
             z[i] += g - (np.sqrt(n[i] + g * g) - np.sqrt(n[i])) / ALPHA * w
@@ -120,7 +118,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     known = materialize(known, "toxic-known")
     shares = {int(r[0]): int(r[1]) for r in known.groupBy("toxic").count().collect()}  # two rows
     if not shares:
-        return learnt([], np.zeros(0), np.zeros(0))
+        return learnt([], np.zeros(0), np.zeros(0), np.zeros(0, np.int32))
     few = None
     for y, count in sorted(shares.items()):
         room = sample - min(sample // 2, sum(shares.values()) - count)  # what the other class leaves
@@ -149,17 +147,20 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     kept[often.select("place").toPandas()["place"].to_numpy(dtype=np.int64)] = True  # at most BUCKETS numbers
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(kept))
 
-    def common(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def indexed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(shared.value).astype(bool)
+        index = np.cumsum(bits, dtype=np.int32) - 1
         for batch in parts:
             for i, y, row in rows_of(batch):
                 row = np.frombuffer(row, dtype=np.int32)
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([y], pa.int32()), pa.array([row[bits[row]].tobytes()], pa.binary())], ["doc_id", "toxic", "features"])
+                row = np.append(index[row[bits[row]]], index[-1] + 1).astype(np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([y], pa.int32()), pa.array([row.tobytes()], pa.binary())], ["doc_id", "toxic", "features"])
 
-    rows = hashed.mapInArrow(common, "doc_id long, toxic int, features binary").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").collect()
+    rows = hashed.mapInArrow(indexed, "doc_id long, toxic int, features binary").orderBy(F.xxhash64("doc_id", F.lit(1)), "doc_id").collect()
     y = np.array([r.toxic for r in rows])
     stands_for = np.array([shares[t] / np.count_nonzero(y == t) for t in y])
-    return learnt([np.frombuffer(r.features, dtype=np.int32) for r in rows], y, stands_for / stands_for.mean() if len(y) else stands_for)
+    places = np.flatnonzero(kept).astype(np.int32)
+    return learnt([np.frombuffer(r.features, dtype=np.int32) for r in rows], y, stands_for / stands_for.mean() if len(y) else stands_for, places)
 
 
 def score(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
