@@ -42,6 +42,7 @@ from tidemark.llm.quality import held_out
 SAMPLE = 8000
 LEAST_TEXTS = 3
 BUCKETS = 1 << 22
+BLOCK = 4096  # places that travel as one row of bits
 SKIPS = (1, 2, 3)  # places from a pair's first word to its second
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 6.0, 0.01
 PASSES = 3
@@ -142,9 +143,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
         at = np.flatnonzero(held)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(held[at], pa.int64())], ["place", "n"])
 
+    def as_bits(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts:
+            for block, places in rows_of(batch):
+                held = np.zeros(BLOCK, dtype=bool)
+                held[np.array(places) % BLOCK] = True
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int64()), pa.array([np.packbits(held).tobytes()], pa.binary())], ["block", "bits"])
+
     often = hashed.select("features").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_TEXTS)
+    blocks = often.groupBy(F.expr(f"place div {BLOCK}").alias("block")).agg(F.collect_list("place").alias("places"))  # at most BLOCK each
     kept = np.zeros(BUCKETS, dtype=bool)
-    kept[often.select("place").toPandas()["place"].to_numpy(dtype=np.int64)] = True  # at most BUCKETS numbers
+    for block, bits in blocks.mapInArrow(as_bits, "block long, bits binary").collect():  # one bit a place
+        kept[block * BLOCK : (block + 1) * BLOCK] = np.unpackbits(np.frombuffer(bits, dtype=np.uint8)).astype(bool)
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(kept))
 
     def indexed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
