@@ -29,6 +29,10 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--recompute-from", help="build the mart's order dates from here on anew")
     ap.add_argument("--grain", default="hour", choices=("hour", "day", "month"),
                     help="partition grain of orders and order lines")
+    ap.add_argument("--maintain", action="store_true", help="line dates and mart groups follow late "
+                    "and changed orders and lines")
+    ap.add_argument("--apply-deletes", action="store_true", help="keys whose newest image is a delete "
+                    "are no rows (from the first run on)")
     ap.add_argument("--register", action="store_true", help="declare tables in the catalog")
     ap.add_argument("--log-level", default="ERROR", help="Spark log level (first runs probe "
                     "tables that do not exist yet, which Spark logs as warnings)")
@@ -40,7 +44,8 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("tidemark").getOrCreate()
     spark.sparkContext.setLogLevel(args.log_level)
-    house = Lakehouse(spark, args.root, partition_grain=args.grain, layout=args.layout)
+    house = Lakehouse(spark, args.root, partition_grain=args.grain, layout=args.layout,
+                      maintain=args.maintain, apply_deletes=args.apply_deletes)
     overrides = {k: v for k, v in vars(args).items() if k.startswith("partition_") and v}
     steps = [s.strip() for s in args.steps.split(",") if s.strip()]
     try:
