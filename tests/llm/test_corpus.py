@@ -7,6 +7,7 @@ import zlib
 
 import corpus_pipeline
 import duckdb
+import numpy as np
 from tests.llm.helpers import components, docs, edited, empty, prose, shingle_set
 from tidemark.llm import leaks, packing, quality, tokens
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
@@ -91,6 +92,34 @@ def test_quality_defined_cases(spark):
     assert quality.score(table.limit(0), model, "s").count() == 0
 
 
+def test_quality_ties_and_brute_force():
+    """All that tie with the last neighbour vote; scores equal a plain count over all neighbours."""
+    rng = np.random.default_rng(3)
+    rarity = np.ones(2 * quality.BUCKETS)
+    texts = [prose(30, i).encode() for i in range(60)] + [b"the same text"] * 40
+    labels = np.array([i % 2 for i in range(100)])
+    shares = {0: 300.0, 1: 100.0}
+    asked = [quality.row(t, rarity) for t in texts[40:80] + [b"", b"other words entirely"]]
+    first = None
+    for _ in range(3):
+        order = rng.permutation(100)
+        model = quality.fit([quality.row(texts[i], rarity) for i in order], labels[order], shares, rarity)
+        # The random start differs with the order of rows; the space is held fixed for the rest.
+        axes = model.axes if first is None else first
+        first = axes
+        vectors = quality.unit(quality.project([quality.row(texts[i], rarity) for i in order], axes))
+        model = quality.Model(axes, vectors, labels[order].astype(float), model.weights, rarity)
+        got = quality.scores(asked, model)
+        places = quality.unit(quality.project(asked, axes))
+        for row, value in zip(places, got, strict=True):
+            near = [(round(float(np.float32(row @ v)), 5), y, w) for v, y, w in zip(vectors, model.labels, model.weights, strict=True)]
+            least = sorted((c for c, _, _ in near), reverse=True)[quality.NEIGHBOURS - 1]
+            votes = [(max(c, 1e-6) ** quality.SHARPNESS * w, y) for c, y, w in near if c >= least - 2e-5]
+            assert abs(value - sum(v for v, y in votes if y) / sum(v for v, _ in votes)) < 0.02
+        tied = got[30]
+        assert abs(tied - 0.25) < 1e-6  # 20 votes of either label, three rows to one
+
+
 def test_quality_learns_nothing_from_held_out_labels(spark):
     rows = docs(spark, [(i, prose(30, i)) for i in range(80)])
     labels = spark.createDataFrame([(i, int(zlib.crc32(str(i).encode()) % 4 == 2)) for i in range(80)], "doc_id long, quality int")

@@ -18,8 +18,9 @@ it stands for, so the score keeps to the classes' true shares.
 Defined results: a null or empty text has a term of its own and is scored like any
 other; a null doc_id is not held out and not learnt from; labels of unknown
 documents and null labels are not learnt; repeated rows are scored one by one; of
-repeated labels any one counts; with no labels at all the score is 1; an empty
-table gives no rows; other columns are ignored.
+repeated labels any one counts; with no labels at all the score is 1; of equally near
+neighbours all vote, so the order of rows does not matter; very long texts are read
+whole; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -175,14 +176,16 @@ def unit(x: np.ndarray) -> np.ndarray:
 
 
 def scores(rows: list[Row], model: Model) -> np.ndarray:
-    """Share of label 1 among the nearest neighbours' weighted votes."""
+    """Share of label 1 among the nearest neighbours' weighted votes; all that tie with the
+    last neighbour vote."""
     if not len(model.vectors):
         return np.ones(len(rows))
     cosine = unit(project(rows, model.axes)) @ model.vectors.T
     k = min(NEIGHBOURS, cosine.shape[1])
-    near = np.argpartition(-cosine, k - 1, axis=1)[:, :k]
-    votes = np.maximum(np.take_along_axis(cosine, near, axis=1), 1e-6).astype(np.float64) ** SHARPNESS * model.weights[near]
-    return (votes * model.labels[near]).sum(axis=1) / votes.sum(axis=1)
+    cosine = np.round(cosine, 5)  # equal vectors tie, whatever the product's last bits
+    row, near = np.nonzero(cosine >= np.partition(cosine, -k, axis=1)[:, [-k]])
+    votes = np.maximum(cosine[row, near], 1e-6).astype(np.float64) ** SHARPNESS * model.weights[near]
+    return np.bincount(row, votes * model.labels[near], len(rows)) / np.bincount(row, votes, len(rows))
 
 
 def held_out(doc_id: Column) -> Column:
