@@ -35,6 +35,25 @@ class Files:
         fs, p = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
+    def walk(self, path: str, suffix: str = "") -> list[str]:
+        """Paths, relative to a directory, of all files below it with that ending, in order."""
+        fs, p = self._at(path)
+        if not fs.exists(p):
+            return []
+        base, found, out = len(fs.makeQualified(p).toString()) + 1, fs.listFiles(p, True), []
+        while found.hasNext():
+            name = found.next().getPath().toString()[base:]
+            if name.endswith(suffix):
+                out.append(name)
+        return sorted(out)
+
+    def move(self, source: str, target: str) -> None:
+        """Rename a file to a path that does not exist; its folders are made."""
+        fs, p = self._at(target)
+        fs.mkdirs(p.getParent())
+        if not fs.rename(self._at(source)[1], p):
+            raise OSError(f"cannot move {source} to {target}")
+
     def delete(self, path: str) -> None:
         fs, p = self._at(path)
         if fs.exists(p) and not fs.delete(p, True):
