@@ -228,6 +228,41 @@ def recover_partitions(spark: SparkSession, root: str, table: str, database: str
     spark.sql(f"ALTER TABLE {database}.{table} RECOVER PARTITIONS")
 
 
+def hours_status(spark: SparkSession, root: str, table: str, database: str = "raw",
+                 layout: str = "kv") -> DataFrame:
+    """One row per hour that has landed or that the catalog has registered: its row count
+    and ``registered``, ``unregistered`` (landed, but no query of the catalog's table sees
+    it) or ``empty`` (registered, but nothing has landed). Reads row counts only, no
+    columns. A table that the catalog does not have has no registered hours."""
+    landed = partition_inventory(scan_bronze(spark, root, table, layout=layout), table)
+    name = f"{database}.{table}"
+    if spark.catalog.tableExists(name):
+        refuse_foreign_table(spark, database, table, table_root(root, table))
+        known = spark.sql(f"SHOW PARTITIONS {name}").select(
+            *[F.regexp_extract("partition", f"{c}=([^/]*)", 1).alias(c) for c in PARTITION_COLS])
+    else:
+        known = spark.createDataFrame([], ", ".join(f"{c} string" for c in PARTITION_COLS))
+    both = landed.select(*PARTITION_COLS, "row_count").join(
+        known.withColumn("_known", F.lit(True)), list(PARTITION_COLS), "full_outer")
+    status = (F.when(F.col("row_count").isNull(), "empty")
+              .when(F.col("_known").isNull(), "unregistered").otherwise("registered"))
+    return both.select(F.lit(table).alias("table_name"), *PARTITION_COLS,
+                       F.coalesce("row_count", F.lit(0)).cast("long").alias("row_count"), status.alias("status"))
+
+
+def register_missing(spark: SparkSession, root: str, table: str, database: str = "raw",
+                     layout: str = "kv") -> DataFrame:
+    """Register the hours that landed without it; returns them as reported before. Only
+    hour names reach the driver, as they do for every registration. Repeatable."""
+    gap = hours_status(spark, root, table, database, layout).where("status = 'unregistered'")
+    gap = gap.checkpoint(eager=True)
+    register_table(spark, root, table, database)
+    hours = [tuple(r) for r in gap.select(*PARTITION_COLS).orderBy(*PARTITION_COLS).collect()]
+    for stmt in register_partitions_sql(table, root, hours, database, layout):
+        spark.sql(stmt)
+    return gap
+
+
 def drop_full_load(df: DataFrame, root: str, table: str) -> None:
     """Write full-load files directly under the table root (as a dump would)."""
     payload = bronze_schema(table, with_partitions=False)

@@ -17,8 +17,9 @@ folder is written anew. Only the newest manifest is kept. File names hold the ba
 number and the stream's own id, so streams with different checkpoints can feed one table.
 
 The driver handles one name per file of the batch in hand, never rows. While a batch is
-being moved, readers may see part of its files, as with any writer of plain folders; the
-silver load takes the rest with its replay window.
+being moved, readers may see part of its files, as with any writer of plain folders. Batch
+silver loads of order lines have no replay window, so run them when no batch is being
+landed; the silver stream goes by files and misses none.
 """
 
 from __future__ import annotations
