@@ -114,6 +114,28 @@ def q_bronze_partition_inventory(spark, d):
     return out
 
 
+# The only scheduled hour whose registrations took place, in the reconciliation query.
+REGISTERED_HOUR = "03"
+
+
+@query("bronze_unregistered_hours")
+def q_bronze_unregistered_hours(spark, d):
+    """All landed hours of all feeds against a catalog that knows those of one schedule."""
+    root, out = scratch_dir(spark, "bronze"), None
+    db = "raw_" + root.rsplit("-", 1)[1]
+    for t in SPECS:
+        f = feed(spark, d, t)
+        B.land_hourly(f, root, t, num_tasks=spark.sparkContext.defaultParallelism, files_per_hour=1)
+        B.register_table(spark, root, t, db)
+        known = f.where(F.col("hour_stream") == REGISTERED_HOUR).select(*PARTITION_COLS).distinct().collect()
+        for stmt in B.register_partitions_sql(t, root, [tuple(r) for r in known], db):
+            spark.sql(stmt)
+        one = B.hours_status(spark, root, t, db)
+        out = one if out is None else out.unionByName(one)
+    spark.sql(f"DROP DATABASE {db} CASCADE")  # the tables are external; the landed files stay
+    return out
+
+
 @query("bronze_backfill_fixed_partition")
 def q_bronze_backfill(spark, d):
     root = scratch_dir(spark, "bronze")

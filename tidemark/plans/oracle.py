@@ -7,7 +7,7 @@ after the files (``orders``, ``lineitem``, ...).
 
 from __future__ import annotations
 
-from tidemark.plans.catalog import DETAILS_CUTOFF, FEED_CUTOFF, GOLD_CUTOFF
+from tidemark.plans.catalog import DETAILS_CUTOFF, FEED_CUTOFF, GOLD_CUTOFF, REGISTERED_HOUR
 
 FMT = "%Y-%m-%d %H:%M:%S.%f"
 TS = f"strptime(extract_at, '{FMT}')"
@@ -243,6 +243,11 @@ def _oracle() -> dict[str, str]:
         " UNION ALL ".join(
             f"SELECT '{t}' AS table_name, year_stream, month_stream, day_stream, hour_stream, "
             f"count(*) AS row_count, 1 AS partition_activated FROM f_{t} GROUP BY ALL" for t in ALL_FEEDS))
+    q["bronze_unregistered_hours"] = _q(feeds_cte(*ALL_FEEDS),
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, year_stream, month_stream, day_stream, hour_stream, count(*) AS row_count, "
+            f"CASE WHEN hour_stream = '{REGISTERED_HOUR}' THEN 'registered' ELSE 'unregistered' END AS status "
+            f"FROM f_{t} GROUP BY ALL" for t in ALL_FEEDS))
     cols = ", ".join(PAYLOAD["products"])
     q["bronze_backfill_fixed_partition"] = _q(feeds_cte("products"),
         f"SELECT op, extract_at, {cols}, '2026' AS year_stream, '01' AS month_stream, "
