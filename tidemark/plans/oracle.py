@@ -413,6 +413,9 @@ def _oracle() -> dict[str, str]:
     q["stream_latest_by_key"] = (
         "SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (PARTITION BY user_id "
         "ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) AS _rn FROM events) WHERE _rn = 1")
+    q["stream_latest_stateful"] = (
+        "SELECT e.* FROM events AS e JOIN (SELECT user_id, max((ts, event_id)) AS newest FROM events GROUP BY user_id) AS m "
+        "ON e.user_id = m.user_id AND (e.ts, e.event_id) = m.newest")
     return q
 
 

@@ -4,10 +4,14 @@ A file stream over the landed bronze hours feeds ``foreachBatch``; each batch
 is deduped per key and merged into the silver table with the "only if newer"
 guard over time, operation and payload, the order in which batch runs choose
 too, so a batch replayed after a failure (the checkpoint commits after the sink)
-cannot move a key back to an older image. No
-streaming state store is used: the table itself is the state, and it grows
+cannot move a key back to an older image. These loads need no
+streaming state store: the table itself is the state, and it grows
 with the number of keys, not with the stream.
 
+``stream_latest_stateful`` is the form for many keys that are spread over all partitions:
+the newest row per key is kept in Spark's state store and only keys that have changed reach
+the sink, so a batch costs what it changes, not what the table holds.
+
 ``trigger(availableNow=True)`` drains what has landed and stops, which is the
 15-minute scheduled run; ``processingTime="15 minutes"`` keeps it running.
 """
@@ -24,6 +28,7 @@ from tidemark.operators.merge import newer_source, upsert_partitions
 from tidemark.plans.jobs import Lakehouse
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import read_table
+from tidemark.sources.runs import RunTable
 from tidemark.sources.schemas import bronze_schema
 from tidemark.sources.storage import StoredTable, materialize, scratch_dir
 
@@ -77,6 +82,54 @@ def stream_latest(spark: SparkSession, path: str, schema: T.StructType, keys: li
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def latest_table(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], order: list[str]) -> RunTable:
+    """A table of changed keys per batch, read as the newest row per key."""
+    return RunTable(spark, path, schema, lambda rows: latest_per_key(rows, keys, ts=order[0], tiebreak=order[1:], op_col=None))
+
+
+def changed_latest(source: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """Streaming: per batch, the new latest row of every key that has a newer one by then.
+
+    The state is the newest row per key (``max_by``, combined before the shuffle) and the
+    time of the batch that brought it. A key whose newest row is not of this batch has not
+    changed: an older row, or the same row again, sends nothing on. ``order`` must tell any
+    two different rows of a key apart; nulls are the oldest. Null keys are one key.
+    """
+    cols = source.columns
+    seen = source.withColumn("_seen", F.current_timestamp())  # one value a batch, the same when it is repeated
+    newest = F.struct(*order, -F.unix_micros("_seen"))  # of equal rows the one that came first
+    best = seen.groupBy(*keys).agg(F.max_by(F.struct(*cols, "_seen"), newest).alias("_row"))
+    return best.where(F.col("_row._seen") == F.current_timestamp()).select(*(F.col("_row")[c].alias(c) for c in cols))
+
+
+def stream_latest_stateful(spark: SparkSession, path: str, schema: T.StructType, keys: list[str],
+                           order: list[str], table: RunTable, checkpoint: str,
+                           files_per_trigger: int | None = None) -> StreamingQuery:
+    """Latest row per key over an append-only file stream, state in the state store.
+
+    The state holds one row per key for good (a latest row does not expire), spread over the
+    shuffle partitions that the session has when the stream starts first; a session
+    without a choice of its own gets the store that keeps it on disk (RocksDB).
+    """
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass").endswith("HDFSBackedStateStoreProvider"):
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    reader = spark.readStream.schema(schema)
+    if files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    changed = changed_latest(reader.parquet(path), keys, order)
+
+    def sink(batch: DataFrame, epoch_id: int) -> None:
+        if not table.append(batch, checkpoint, epoch_id):
+            # Written by the attempt before; the state of this batch still has to be built.
+            batch.write.format("noop").mode("overwrite").save()
+
+    return (changed.writeStream.outputMode("update").foreachBatch(sink)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
 # --- catalogue entries -----------------------------------------------------------
 
 def _streamed(spark: SparkSession, d: str, tables: tuple[str, ...]) -> Lakehouse:
@@ -98,27 +151,42 @@ def q_stream_silver_orderdetails(spark: SparkSession, d: str) -> DataFrame:
     return _streamed(spark, d, ("orders", "orderdetails")).silver_table("orderdetails")
 
 
-def q_stream_latest_by_key(spark: SparkSession, d: str) -> DataFrame:
-    root = scratch_dir(spark, "stream")
+def _landed_events(spark: SparkSession, d: str, root: str) -> tuple[str, T.StructType]:
+    """The event table as a stream of files: hours of event time, rebalanced, so that a
+    busy hour is several files."""
     events = read_table(spark, d, "events")
     landed = f"{root}/events"
-    # Land the event table as a stream of files: hours of event time, rebalanced,
-    # so that a busy hour is several files.
     (events.withColumn("_hour", F.date_trunc("hour", "ts")).hint("rebalance", "_hour").drop("_hour")
      .write.option("maxRecordsPerFile", 200_000).parquet(landed))
-    schema = T.StructType([*events.schema.fields, T.StructField("bucket", T.StringType())])
+    return landed, events.schema
+
+
+def q_stream_latest_by_key(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_dir(spark, "stream")
+    landed, fields = _landed_events(spark, d, root)
+    schema = T.StructType([*fields, T.StructField("bucket", T.StringType())])
     store = StoredTable(spark, f"{root}/state", schema, "bucket")
-    q = stream_latest(spark, landed, events.schema, ["user_id"], ["ts", "event_id"], store,
+    q = stream_latest(spark, landed, fields, ["user_id"], ["ts", "event_id"], store,
                       f"{root}/_checkpoint/events", files_per_trigger=4)
     q.awaitTermination()
     return store.read().drop("bucket")
 
 
+def q_stream_latest_stateful(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_dir(spark, "stream")
+    landed, fields = _landed_events(spark, d, root)
+    table = latest_table(spark, f"{root}/latest", fields, ["user_id"], ["ts", "event_id"])
+    stream_latest_stateful(spark, landed, fields, ["user_id"], ["ts", "event_id"], table,
+                           f"{root}/_checkpoint/latest", files_per_trigger=4).awaitTermination()
+    return table.read()
+
+
 def _register() -> None:
     from tidemark.plans.catalog import QUERIES
     QUERIES["stream_silver_orders"] = q_stream_silver_orders
     QUERIES["stream_silver_orderdetails"] = q_stream_silver_orderdetails
     QUERIES["stream_latest_by_key"] = q_stream_latest_by_key
+    QUERIES["stream_latest_stateful"] = q_stream_latest_stateful
 
 
 _register()
