@@ -533,6 +533,7 @@ def q_bi_amount_by_territory_city(spark, d):
 
 # Pipeline and streaming queries register themselves on import.
 from tidemark.plans import jobs as _jobs  # noqa: E402,F401
+from tidemark.streaming import mart as _mart  # noqa: E402,F401
 from tidemark.streaming import stream as _stream  # noqa: E402,F401
 
 __all__ = ["QUERIES", "query", "FEED_CUTOFF", "DETAILS_CUTOFF", "GOLD_CUTOFF"]

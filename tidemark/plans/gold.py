@@ -102,6 +102,11 @@ def gold_batch(details: DataFrame, orders: DataFrame, customers: DataFrame,
     grouped = lines.groupBy(
         "officecode", "city", "state", "country", "territory", "interval_portsales", "orderdate",
     ).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"))
+    return mart_rows(grouped)
+
+
+def mart_rows(grouped: DataFrame) -> DataFrame:
+    """Sums per office, bucket and order date as rows of the mart."""
     return grouped.select(
         F.col("officecode").alias("locality_officecode"),
         F.col("city").alias("locality_city"),

@@ -408,6 +408,7 @@ def _oracle() -> dict[str, str]:
         "CAST(sum(CAST(sales_amount AS DECIMAL(38,2))) AS DOUBLE) AS total_amount "
         "FROM gold GROUP BY locality_territory, locality_city")
     q["pipeline_bronze_to_gold"] = _gold_q("SELECT * FROM gold")
+    q["stream_gold_sales"] = _gold_q("SELECT * FROM gold")
     q["stream_silver_orders"] = _q(silver_ctes(), "SELECT * FROM s_orders")
     q["stream_silver_orderdetails"] = _q(silver_ctes(), "SELECT * FROM s_orderdetails")
     q["stream_latest_by_key"] = (
