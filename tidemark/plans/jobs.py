@@ -22,6 +22,7 @@ from tidemark.config import ALL_OPS, GOLD_KEYS, LOCAL_OFFSET_HOURS, OP_DELETE, O
 from tidemark.functions.time import format_extract_at, time_key
 from tidemark.operators.merge import assert_unique_keys, newer_source, partition_in, upsert_partitions
 from tidemark.operators.watermark import shift_text
+from tidemark.plans.dashboards import Dashboards
 from tidemark.plans.gold import gold_batch, gold_recompute
 from tidemark.plans.maintain import record, recompute_groups, repair_lines, touched_log
 from tidemark.plans.silver import silver_batch, silver_orderdetails_batch, with_partition
@@ -48,7 +49,7 @@ class Lakehouse:
     """
 
     def __init__(self, spark: SparkSession, root: str, partition_grain: str = "hour", layout: str = "kv",
-                 maintain: bool = False, apply_deletes: bool = False):
+                 maintain: bool = False, apply_deletes: bool = False, dashboards: bool = False):
         """``partition_grain`` of orders and order lines: ``hour`` (the table
         DDL; right when an hour holds enough data and a batch touches few
         hours), ``day`` or ``month`` for sparse histories. ``layout`` of the
@@ -60,7 +61,10 @@ class Lakehouse:
         ``apply_deletes``: a key whose newest image is a delete is no row of its table.
         The image stays stored as a tombstone, so that an older image that comes late, or
         again, does not bring the key back; a newer insert does. All merges then go by
-        the newest image. To be used from a table's first run on."""
+        the newest image. To be used from a table's first run on.
+
+        ``dashboards``: keep the dashboard sums of the mart's months (``plans.dashboards``)
+        with every change of the mart."""
         self.spark = spark
         self.maintain = maintain
         self.apply_deletes = apply_deletes
@@ -72,6 +76,7 @@ class Lakehouse:
             spark, f"{self.root}/gold/sales_dataset",
             T.StructType(GOLD_SCHEMA.fields + [T.StructField(MART_PARTITION, T.StringType())]),
             MART_PARTITION)
+        self.dashboards = Dashboards(self) if dashboards else None
 
     def stored(self, table: str) -> StoredTable:
         """The silver table as stored: its columns, the operation rank of each row's
@@ -184,7 +189,19 @@ class Lakehouse:
         df = self.gold.read()
         return None if df is None else df.select(*GOLD_SCHEMA.fieldNames())
 
+    def replace_mart(self, rows: DataFrame, emptied: Sequence[str | None], high_watermark: str | None) -> None:
+        """Replace the mart's partitions of ``rows``, a written table, and remove ``emptied``."""
+        if self.dashboards:
+            self.dashboards.announce({r[0] for r in rows.select(MART_PARTITION).distinct().collect()} | set(emptied))
+        self.gold.replace_partitions(rows, emptied, high_watermark)
+
     def run_gold(self, full_refresh: bool = False, recompute_from: str | None = None) -> None:
+        """See ``build_gold``; the dashboard sums follow, if they are kept."""
+        self.build_gold(full_refresh, recompute_from)
+        if self.dashboards:
+            self.dashboards.refresh()
+
+    def build_gold(self, full_refresh: bool = False, recompute_from: str | None = None) -> None:
         """Add the order dates above the mart's newest; or build the mart, or its
         dates from ``recompute_from`` on, anew (late orders and lines count then).
         A mart that has no finished run is built whole, whatever date is given. With
@@ -218,11 +235,11 @@ class Lakehouse:
             gone = [v for v in self.gold.partitions() if (low if v is None else v) >= low and v not in present]
             if full_refresh:
                 self.gold.forget()
-            self.gold.replace_partitions(rows, gone, last)
+            self.replace_mart(rows, gone, last)
             touched_log(self).clear(logged)
         elif last is not None:
             merged, _ = upsert_partitions(stored, rows, GOLD_KEYS, MART_PARTITION, movable=False)
-            self.gold.replace_partitions(merged, (), last)
+            self.replace_mart(merged, (), last)
 
     def orders_from(self, text: str) -> DataFrame:
         """Orders of the partitions that can hold order dates from ``text`` on."""

@@ -157,5 +157,5 @@ def recompute_groups(house: Lakehouse, month_col: str) -> None:
     assert_unique_keys(rows, GOLD_KEYS)
     last = rows.agg(format_extract_at(F.max("calendar_sales_date")).alias("m")).first()["m"]
     left = {r[0] for r in rows.select(month_col).distinct().collect()}
-    house.gold.replace_partitions(rows, [v for v in house.gold.partitions() if v in months and v not in left], last)
+    house.replace_mart(rows, [v for v in house.gold.partitions() if v in months and v not in left], last)
     log.clear(entries)

@@ -394,10 +394,17 @@ def _oracle() -> dict[str, str]:
                       where=f"sale.orderdate < TIMESTAMP '{GOLD_CUTOFF}'")
     anew = gold_select("s_orderdetails", "s_orders", "s_customers", "s_employees", "s_offices",
                        where=f"sale.orderdate >= TIMESTAMP '{GOLD_CUTOFF}'")
-    q["gold_recompute_late"] = _q(
-        silver_ctes() + [("old_lines", details_sql(
-            f"(SELECT * FROM f_orderdetails WHERE extract_at <= '{DETAILS_CUTOFF}')", "f_orders"))],
-        f"{old} UNION ALL {anew}")
+    with_old_lines = silver_ctes() + [("old_lines", details_sql(
+        f"(SELECT * FROM f_orderdetails WHERE extract_at <= '{DETAILS_CUTOFF}')", "f_orders"))]
+    q["gold_recompute_late"] = _q(with_old_lines, f"{old} UNION ALL {anew}")
+    recomputed = with_old_lines + [("recomputed", f"{old} UNION ALL {anew}")]
+    q["bi_quantity_by_country_maintained"] = _q(
+        recomputed, "SELECT locality_country, CAST(sum(sales_quantityordered) AS BIGINT) AS total_quantity FROM recomputed GROUP BY locality_country")
+    q["bi_quantity_total_maintained"] = _q(
+        recomputed, "SELECT CAST(sum(sales_quantityordered) AS BIGINT) AS total_quantity FROM recomputed")
+    q["bi_amount_by_territory_city_maintained"] = _q(
+        recomputed, "SELECT locality_territory, locality_city, CAST(sum(CAST(sales_amount AS DECIMAL(38,2))) AS DOUBLE) AS total_amount "
+        "FROM recomputed GROUP BY locality_territory, locality_city")
     q["bi_quantity_by_country"] = _gold_q(
         "SELECT locality_country, CAST(sum(sales_quantityordered) AS BIGINT) AS total_quantity "
         "FROM gold GROUP BY locality_country")

@@ -129,10 +129,14 @@ class StoredTable:
             .parquet(self.path)
         )
         for value in emptied:
-            self.files.delete(f"{self.path}/{self.partition_col}={NULL_PARTITION if value is None else value}")
+            self.remove(value)
         known = [w for w in (self.high_watermark(), high_watermark) if w is not None]
         self.files.write_text(self._progress(), self.MARK + max(known, default=""))
 
+    def remove(self, value: str | None) -> None:
+        """Remove one partition."""
+        self.files.delete(f"{self.path}/{self.partition_col}={NULL_PARTITION if value is None else value}")
+
     def forget(self) -> None:
         """Drop the progress, so that the next run loads everything."""
         self.files.delete(self._progress())
