@@ -32,6 +32,7 @@ from tidemark.operators.watermark import above_watermark, table_high_watermark
 from tidemark.plans import gold as G
 from tidemark.plans.silver import latest_lines, latest_orders, silver, silver_batch, silver_orderdetails
 from tidemark.sources import bronze as B
+from tidemark.sources.drift import schema_drift
 from tidemark.sources.feeds import feed
 from tidemark.sources.schemas import BRONZE_PAYLOAD
 from tidemark.sources.storage import materialize, scratch_dir
@@ -531,6 +532,25 @@ def q_bi_amount_by_territory_city(spark, d):
     return G.bi_amount_by_territory_city(G.gold_sales(*gold_inputs(spark, d)))
 
 
+@query("bronze_schema_drift")
+def q_bronze_schema_drift(spark, d):
+    """Landed hours of all six feeds; an hour of orders misspells a column, one holds
+    a column as text and one of its own."""
+    root = scratch_dir(spark, "drift")
+
+    def land(table: str, df: DataFrame, day: str) -> None:
+        hour = "/".join(f"{c}={v}" for c, v in zip(PARTITION_COLS, ("2024", "01", day, "00"), strict=True))
+        df.drop(*PARTITION_COLS).write.parquet(f"{B.table_root(root, table)}/{hour}")
+
+    for t in BRONZE_PAYLOAD:
+        land(t, feed(spark, d, t).where("op = 'I'"), "01")
+    orders = feed(spark, d, "orders")
+    land("orders", orders.where("op = 'U'").withColumnRenamed("requireddate", "requirededate"), "02")
+    land("orders", orders.where("op = 'D'").withColumn("customernumber", F.col("customernumber").cast("string")).withColumn("channel", F.lit(1)), "03")
+    report = schema_drift(spark, root, list(BRONZE_PAYLOAD))
+    return report.select(F.col("table").alias("dataset"), F.col("column").alias("column_name"), "declared", "found", "fault", F.col("rows").alias("n_rows"))
+
+
 def dashboard_house(spark: SparkSession, d: str):
     """A mart after two runs and a recompute of its newer dates, for lines that came late."""
     house = _jobs.Lakehouse(spark, scratch_dir(spark, "dashboards"), partition_grain="month", dashboards=True)

@@ -248,6 +248,12 @@ def _oracle() -> dict[str, str]:
             f"SELECT '{t}' AS table_name, year_stream, month_stream, day_stream, hour_stream, count(*) AS row_count, "
             f"CASE WHEN hour_stream = '{REGISTERED_HOUR}' THEN 'registered' ELSE 'unregistered' END AS status "
             f"FROM f_{t} GROUP BY ALL" for t in ALL_FEEDS))
+    drift = (("requireddate", "timestamp_ntz", None, "missing", "U"), ("requirededate", None, "timestamp_ntz", "unknown", "U"),
+             ("customernumber", "bigint", "string", "type", "D"), ("channel", None, "int", "unknown", "D"))
+    text = lambda v: "CAST(NULL AS VARCHAR)" if v is None else f"'{v}'"
+    q["bronze_schema_drift"] = _q(feeds_cte("orders"), " UNION ALL ".join(
+        f"SELECT 'orders' AS dataset, '{c}' AS column_name, {text(want)} AS declared, {text(found)} AS found, "
+        f"'{fault}' AS fault, count(*) AS n_rows FROM f_orders WHERE op = '{op}'" for c, want, found, fault, op in drift))
     cols = ", ".join(PAYLOAD["products"])
     q["bronze_backfill_fixed_partition"] = _q(feeds_cte("products"),
         f"SELECT op, extract_at, {cols}, '2026' AS year_stream, '01' AS month_stream, "
