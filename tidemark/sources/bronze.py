@@ -96,9 +96,12 @@ def append_missing(rows: DataFrame, root: str, table: str,
     if Files(spark).exists(path):
         held = spark.read.schema(bronze_schema(table)).option("basePath", base).parquet(path)
         fresh = rows.exceptAll(held.select(*rows.columns))
-    # Reliable checkpoint (shared folder): what is missing is fixed before the append.
-    fresh.checkpoint(eager=True).write.mode("append").option("compression", "gzip").partitionBy(
-        *PARTITION_COLS).parquet(base)
+    # Reliable checkpoint (shared folder): what is missing is fixed before the append. All
+    # rows are of one partition, so they go straight into its directory: a write that finds
+    # the partitions itself would sort every task's rows by them first.
+    fresh = fresh.checkpoint(eager=True)
+    if not fresh.isEmpty():
+        fresh.drop(*PARTITION_COLS).write.mode("append").option("compression", "gzip").parquet(path)
 
 
 def first_hour(since: str) -> tuple[str, str, str, str]:
@@ -289,12 +292,14 @@ def backfill(spark: SparkSession, root: str, table: str, manifest_root: str,
     manifest_path = f"{manifest_root.rstrip('/')}/{table}"
     seen = (spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path) if files.exists(manifest_path)
             else spark.createDataFrame([], MANIFEST_SCHEMA))
-    # Reliable checkpoint (shared folder): the rows to land are fixed before
-    # anything is written under the same root.
-    fresh = dropped.join(seen, "file_name", "left_anti").checkpoint(eager=True)
-    rows = fresh.select(*payload.fieldNames(),
-                        *[F.lit(v).alias(c) for c, v in zip(PARTITION_COLS, partition)])
+    # Only names meet the manifest: joined on the file name, all rows of a file would be
+    # one task's. The names fix the rows to land before anything is written.
+    fresh = [r[0] for r in dropped.select("file_name").distinct().join(seen, "file_name", "left_anti").collect()]
+    names = spark.createDataFrame([(n,) for n in fresh], MANIFEST_SCHEMA)
+    if not fresh:
+        return names
+    rows = dropped.where(F.col("file_name").isin(fresh)).select(
+        *payload.fieldNames(), *[F.lit(v).alias(c) for c, v in zip(PARTITION_COLS, partition)])
     append_missing(rows, root, table, partition)
-    names = fresh.select("file_name").distinct()
-    names.write.mode("append").parquet(manifest_path)
+    names.coalesce(1).write.mode("append").parquet(manifest_path)
     return names
