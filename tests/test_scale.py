@@ -55,3 +55,13 @@ def test_backfill_neither_sorts_nor_joins_its_rows(spark, bronze, monkeypatch):
     landed = B.scan_bronze(spark, root, "products")
     assert sorted(r.productcode for r in landed.collect()) == [1, 1, 2]
     assert {tuple(r[c] for c in PARTITION_COLS) for r in landed.collect()} == {("2026", "01", "01", "00")}
+
+
+@pytest.mark.parametrize("table", ["customers", "products"])
+def test_wide_images_are_spread_before_they_are_sorted(spark, table):
+    from test_plans import _explain
+
+    plan = _explain(C.QUERIES[f"latest_{table}"](spark, SF_SMALL), "simple")
+    below = plan[plan.index(", Partial"):]
+    assert below.index("REBALANCE") < below.index("Scan parquet" if "Scan parquet" in below else "FileScan")
+    assert below.index("Sort") < below.index("REBALANCE")

@@ -46,6 +46,9 @@ QUERIES: dict[str, Query] = {}
 FEED_CUTOFF = "2024-01-08 00:00:00.000000"
 DETAILS_CUTOFF = "1999-01-01 00:00:00.000000"
 GOLD_CUTOFF = "1998-01-01 00:00:00"
+# Partitions of a spreading shuffle before AQE packs or splits them; up to 200, Spark's
+# shuffle writers stream rows to files instead of keeping them.
+SPREAD = 200
 
 
 def query(name: str):
@@ -79,6 +82,9 @@ def latest_raw(spark: SparkSession, d: str, table: str) -> DataFrame:
     spec = SPECS[table]
     rows = cdc_filter(feed(spark, d, table), spec.ops).select(
         "*", T.parse_extract_at().alias("_ts"), op_rank().alias("_op"))
+    # Wide rows: a scan task may hold a large row group and would sort all its images for the
+    # limit per key. Spread by key and time they come in bounded tasks, a hot key's too.
+    rows = rows.hint("rebalance", SPREAD, *spec.keys, "_ts")
     return latest_per_key(rows, spec.keys, tiebreak=raw_tiebreak(table)).drop("_ts", "_op")
 
 
