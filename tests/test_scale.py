@@ -41,6 +41,27 @@ def _lines(spark, days: int):
     return hours.select(*[given.get(f.name, F.col("id") % 977).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
+def test_a_small_hour_is_one_file_however_large_the_table(spark, settings):
+    settings(shuffle_partitions="2", adaptive_advisoryPartitionSizeInBytes="150k")
+    root = scratch_dir(spark, "t-files")
+    B.land_hourly(_lines(spark, 10), root, "orderdetails")
+    files = Files(spark).walk(f"{root}/orderdetails", ".parquet")
+    assert len(files) == 240
+    landed = B.scan_bronze(spark, root, "orderdetails")
+    assert landed.count() == 10 * 24 * 60
+    assert landed.select(*PARTITION_COLS).distinct().count() == 240
+
+
+def test_whole_days_are_listed_by_their_directory(spark):
+    root = scratch_dir(spark, "t-days")
+    B.land_hourly(_lines(spark, 2), root, "orderdetails")
+    base = B.table_root(root, "orderdetails")
+    assert B.hours_glob(spark, base, None, "kv").endswith("/day_stream=*")
+    since = B.scan_bronze(spark, root, "orderdetails", since="2024-01-01 12:30:00.000000")
+    assert since.select(*PARTITION_COLS).distinct().count() == 48 - 10
+    assert {f.rpartition("hour_stream=")[2][:2] for f in since.inputFiles() if "day_stream=01" in f} == {f"{h:02d}" for h in range(8, 24)}
+
+
 def test_backfill_neither_sorts_nor_joins_its_rows(spark, bronze, monkeypatch):
     root, manifest = scratch_dir(spark, "t-fill"), scratch_dir(spark, "t-manifest")
     rows = bronze("products", [{"op": "I", "extract_at": f"2024-01-0{n} 00:00:00.000000", "productcode": n} for n in (1, 1, 2)])

@@ -22,13 +22,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BACKFILL_PARTITION, LOCAL_OFFSET_HOURS, PARTITION_COLS
-from tidemark.functions.time import parse_extract_at, partition_values
+from tidemark.functions.time import parse_extract_at, partition_values, shift_local
 from tidemark.sources.files import Files
 from tidemark.sources.schemas import bronze_schema, create_table_ddl
 from tidemark.sources.storage import spread_partitions
 
 LAYOUTS = {"kv": tuple(f"{c}=" for c in PARTITION_COLS), "slash": ("", "", "", "")}
 SLASH_RE = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
+#: Shuffle partitions of a landing before AQE packs them: so many that they need splitting only
+#: from some 10 GB on (a split writes each of its hours again), few enough for writers that sort nothing.
+WRITE_PARTITIONS = 200
 MANIFEST_SCHEMA = T.StructType([T.StructField("file_name", T.StringType(), False)])
 
 
@@ -51,12 +54,13 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     changes nothing; the fixed full-load partition, which full loads share, only
     gains the rows that it does not hold yet.
 
-    Default: ``REBALANCE`` on the hour columns. AQE then sizes writer tasks
-    from the real shuffle statistics: an hour holding a third of all rows is
-    split over as many tasks as its size needs, small hours are packed
-    together. ``num_tasks`` instead forces that many writers with each hour
-    salted over ``files_per_hour`` of them (useful to backfill a long history
-    of tiny hours in parallel). ``maxRecordsPerFile`` caps file size.
+    Default: ``REBALANCE`` on the day of the change. AQE then sizes writer tasks
+    from the real shuffle statistics: a day too large for one task is split over as
+    many as its size needs, small days are packed together. A day's hours mostly
+    come from one task, whose commit then moves the day at once, and an hour is one
+    file as long as its day fits a task. ``num_tasks`` instead forces that many
+    writers with each hour salted over ``files_per_hour`` of them.
+    ``maxRecordsPerFile`` caps file size.
     """
     schema = bronze_schema(table)
     rows = with_partition_values(df).select(*[f.name for f in schema.fields])
@@ -67,7 +71,10 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     if num_tasks:
         rows = spread_partitions(rows, PARTITION_COLS, files_per_hour, num_tasks)
     else:
-        rows = rows.hint("rebalance", *PARTITION_COLS)
+        # The hours are worked out behind the shuffle, which carries the payload alone.
+        day = shift_local(parse_extract_at("extract_at")).cast("date").alias("_day")
+        payload = bronze_schema(table, with_partitions=False).fieldNames()
+        rows = with_partition_values(rows.select(*payload, day).hint("rebalance", WRITE_PARTITIONS, "_day").drop("_day"))
     (
         rows.write.mode("overwrite" if replace else "append")
         .option("partitionOverwriteMode", "dynamic")
@@ -114,9 +121,11 @@ def first_hour(since: str) -> tuple[str, str, str, str]:
 
 def hours_glob(spark: SparkSession, base: str, since: str | None, layout: str) -> str:
     """One glob over the hours at or after ``since`` and the full-load partition,
-    whose rows may be of any time. Older hours are not listed at all."""
+    whose rows may be of any time. Older hours are not listed at all. Whole days are
+    named by their directory: the listing, a job over the paths of the glob, has a path
+    a day then, not one an hour."""
     py, pm, pd, ph = LAYOUTS[layout]
-    hour = lambda y="*", m="*", d="*", h="*": f"{py}{y}/{pm}{m}/{pd}{d}/{ph}{h}"
+    hour = lambda y="*", m="*", d="*", h=None: f"{py}{y}/{pm}{m}/{pd}{d}" + ("" if h is None else f"/{ph}{h}")
     if since is None:
         return f"{base}/{hour()}"
     y, m, d, h = first_hour(since)
