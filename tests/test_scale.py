@@ -52,6 +52,14 @@ def test_a_small_hour_is_one_file_however_large_the_table(spark, settings):
     assert landed.select(*PARTITION_COLS).distinct().count() == 240
 
 
+def test_first_landing_replaces_nothing_and_a_second_one_whole_hours(spark):
+    root = scratch_dir(spark, "t-twice")
+    rows = feed(spark, SF_SMALL, "offices")
+    for part in (rows, rows, rows.where("hour_stream = '21'")):
+        B.land_hourly(part, root, "offices", replace=True)
+        assert sorted(B.scan_bronze(spark, root, "offices").collect()) == sorted(rows.collect())
+
+
 def test_whole_days_are_listed_by_their_directory(spark):
     root = scratch_dir(spark, "t-days")
     B.land_hourly(_lines(spark, 2), root, "orderdetails")

@@ -66,8 +66,11 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     rows = with_partition_values(df).select(*[f.name for f in schema.fields])
     if replace:
         fixed = in_partition(BACKFILL_PARTITION)
-        append_missing(rows.where(fixed), root, table)
-        rows = rows.where(~fixed)
+        if Files(df.sparkSession).exists(table_root(root, table)):
+            append_missing(rows.where(fixed), root, table)
+            rows = rows.where(~fixed)
+        else:  # nothing to replace: no staging, no swap of every hour (rows without a time have no hour)
+            replace, rows = False, rows.where(fixed.isNotNull())
     if num_tasks:
         rows = spread_partitions(rows, PARTITION_COLS, files_per_hour, num_tasks)
     else:
