@@ -265,3 +265,37 @@ def test_quality_sees_words(spark):
     model = quality.learn(table, spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int"))
     out = [r for r in quality.score(table.where(quality.held_out(table.doc_id)), model, "s").collect()]
     assert len(out) > 50 and sum((r.s >= quality.THRESHOLD) == (r.doc_id % 2 == 1) for r in out) > 0.95 * len(out)
+
+
+def test_words_of_ascii_texts_are_those_of_the_pattern():
+    texts = ["".join(map(chr, range(128))), "A_b c-D\x1ce f", "Straße K9 x_1İ", "", "\t\n"]
+    for text in texts:
+        assert leaks.words_of(text) == leaks.WORD.findall(text.lower())
+
+
+def test_pairs_of_many_texts_at_once_are_those_of_each():
+    rng = random.Random(5)
+    texts = [[rng.choice("abcdefgh") for _ in range(n)] for n in (0, 1, 2, 40, 0, 3, 1, 25)]
+    known = np.zeros(leaks.BLOOM_BITS // 64, dtype=np.int64)
+    grams = leaks.gram_hashes(leaks.word_hashes(texts[3]), (0, 1))
+    for shift in (0, 24):
+        for at in (grams >> shift) % leaks.BLOOM_BITS:
+            known[at >> 6] |= np.int64(np.uint64(1) << np.uint64(at & 63))
+    for kinds in ([(0, 1), (0, 2)], [(0,), (0, 1), (0, 2)]):
+        owner, places, grams = leaks.known_pairs(texts, known, kinds)
+        got = sorted(zip(owner.tolist(), places.tolist(), grams.tolist(), strict=True))
+        want = []
+        for number, words in enumerate(texts):
+            for kind in kinds:
+                h = leaks.gram_hashes(leaks.word_hashes(words), kind)
+                want += [(number, int(p), int(h[p])) for p in np.flatnonzero(leaks.passes(known, h))]
+        assert got == sorted(want) and want
+
+
+def test_only_passages_to_align_have_their_words_shuffled(spark):
+    passages = spark.range(5000).selectExpr("id as doc_id", "cast(id % 3 as int) as passage", "'w' as words")
+    pairs = passages.where("doc_id % 100 = 7").select("doc_id", "passage")
+    left = {r.doc_id for r in leaks.among(passages, pairs).collect()}
+    named = {r.doc_id for r in pairs.collect()}
+    assert named <= left and len(left) < 100
+    assert leaks.among(passages, pairs.limit(0)).count() == 0

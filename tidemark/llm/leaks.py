@@ -23,7 +23,8 @@ of the score where that is less: three common words in a row are no leak.
 
 Nothing of the corpus is collected or broadcast; the Bloom filter is a bit map of
 ``BLOOM_BITS`` bits whatever the number of items, and more items only let more
-pairs pass it to the join.
+pairs pass it to the join. The words of a passage are shuffled only if a filter of the
+same size over the passages to align lets it pass.
 
 Defined results: null and empty texts have no words and leak nothing; an item of
 fewer words than ``GRAM`` leaks where it stands word for word; a null doc_id or
@@ -37,6 +38,7 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from itertools import chain
 from typing import NamedTuple
 
 import numpy as np
@@ -53,7 +55,11 @@ LEAST, SHORT_LEAST = 0.5, 0.8
 PASSAGE, FEW = 13, 5
 BLOOM_BITS = 1 << 24
 CACHED_WORDS, CACHED_ITEMS = 200_000, 1_000
+#: words of documents that are looked up at a time; a longer text is taken whole
+TOGETHER = 1 << 16
 WORD = re.compile(r"[^\W_]+")
+#: what ``WORD`` leaves out of ASCII text, as blanks
+BLANKS = "".join(c if WORD.match(c) else " " for c in map(chr, range(128)))
 
 #: an item row: its id and a hash of its words
 ITEM = ["item_id", "item_key"]
@@ -79,12 +85,12 @@ _hashes = WordHashes()
 
 
 def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+    text = text.lower()
+    return text.translate(BLANKS).split() if text.isascii() else WORD.findall(text)
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
-    lookup = _hashes
-    return np.array([lookup[w] for w in words], dtype=np.uint64)
+def word_hashes(words: Iterator[str] | list[str]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64)
 
 
 def gram_hashes(ids: np.ndarray, at: tuple[int, ...]) -> np.ndarray:
@@ -151,47 +157,86 @@ def bloom(grams: DataFrame) -> np.ndarray:
 def passes(bits: np.ndarray, grams: np.ndarray) -> np.ndarray:
     ok = np.ones(len(grams), dtype=bool)
     for shift in (0, 24):
-        at = (grams >> shift) % BLOOM_BITS
+        at = (grams >> shift) & (BLOOM_BITS - 1)
         ok &= (bits[at >> 6] >> (at & 63)) & 1 == 1
     return ok
 
 
+def known_pairs(texts: list[list[str]], known: np.ndarray, kinds: list[tuple[int, ...]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' pairs that pass the filter: number of the text, place in it (rising) and gram."""
+    starts = np.cumsum([0, *map(len, texts)])
+    ids = word_hashes(chain.from_iterable(texts))
+    owner = np.repeat(np.arange(len(texts)), np.diff(starts))
+    places, grams = [], []
+    for kind in kinds:
+        h = gram_hashes(ids, kind)
+        at = np.flatnonzero(passes(known, h))
+        at = at[owner[at] == owner[at + kind[-1]]]  # no pair reaches into the next text
+        places.append(at)
+        grams.append(h[at])
+    places, grams = np.concatenate(places), np.concatenate(grams)
+    order = np.argsort(places, kind="stable")
+    places, grams = places[order], grams[order]
+    return owner[places], places - starts[owner[places]], grams
+
+
 def passages(docs: DataFrame, bits: np.ndarray, kinds: list[tuple[int, ...]], reach: int) -> DataFrame:
     """Pairs of the documents that pass the filter, each once for every passage; a
     passage reaches ``reach`` words around them. No best alignment spans ``3 * reach``
     words without a pair: that costs more than the lesser side of it scores."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
+    schema = pa.schema([("doc_id", pa.int64()), ("passage", pa.int32()), ("words", pa.string()), ("grams", pa.list_(pa.int64()))])
+
+    def cut(doc_ids: list[int], texts: list[list[str]]) -> pa.RecordBatch:
+        owner, places, grams = known_pairs(texts, shared.value, kinds)
+        first = np.ones(len(owner), dtype=bool)  # pairs that begin a passage
+        first[1:] = (np.diff(owner) > 0) | (np.diff(places) > 3 * reach + 2)
+        begin = np.flatnonzero(first)
+        docs_of = owner[begin]
+        number = np.arange(len(begin)) - np.searchsorted(docs_of, docs_of)
+        last = np.append(begin[1:], len(owner))[: len(begin)] - 1
+        words = [" ".join(texts[d][max(0, p - reach) : q + reach + 2]) for d, p, q in zip(docs_of.tolist(), places[begin].tolist(), places[last].tolist(), strict=True)]
+        passage = np.cumsum(first) - 1
+        order = np.lexsort((grams, passage))
+        grams, passage = grams[order], passage[order]
+        once = np.ones(len(grams), dtype=bool)
+        once[1:] = (np.diff(passage) > 0) | (grams[1:] != grams[:-1])
+        grams, passage = grams[once], passage[once]
+        held = pa.ListArray.from_arrays(pa.array(np.searchsorted(passage, np.arange(len(begin) + 1)), pa.int32()), pa.array(grams, pa.int64()))
+        ids = pa.array(np.array(doc_ids, dtype=np.int64)[docs_of])
+        return pa.RecordBatch.from_arrays([ids, pa.array(number, pa.int32()), pa.array(words, pa.string()), held], schema=schema)
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("doc_id", pa.int64()), ("passage", pa.int32()), ("words", pa.string()), ("grams", pa.list_(pa.int64()))])
-        known = shared.value
-
-        def rows() -> Iterator[tuple]:
-            for batch in parts:
-                for doc_id, text in rows_of(batch):
-                    words = words_of(text)
-                    ids = word_hashes(words)
-                    places, grams = [], []
-                    for kind in kinds:
-                        h = gram_hashes(ids, kind)
-                        at = np.flatnonzero(passes(known, h))
-                        places.append(at)
-                        grams.append(h[at])
-                    places, grams = np.concatenate(places), np.concatenate(grams)
-                    if not len(places):
-                        continue
-                    order = np.argsort(places, kind="stable")
-                    places, grams = places[order], grams[order]
-                    cuts = np.flatnonzero(np.diff(places) > 3 * reach + 2) + 1
-                    for number, (p, g) in enumerate(zip(np.split(places, cuts), np.split(grams, cuts), strict=True)):
-                        yield doc_id, number, " ".join(words[max(0, int(p[0]) - reach) : int(p[-1]) + reach + 2]), np.unique(g)
-
-        yield from batches(rows(), schema, 256)
+        doc_ids, texts, total = [], [], 0
+        for batch in parts:
+            for doc_id, text in rows_of(batch):
+                words = words_of(text)
+                doc_ids.append(doc_id)
+                texts.append(words)
+                total += len(words)
+                if total >= TOGETHER:
+                    yield cut(doc_ids, texts)
+                    doc_ids, texts, total = [], [], 0
+        if texts:
+            yield cut(doc_ids, texts)
 
     rows = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return materialize(rows.mapInArrow(run, HITS), "leak-passages")
 
 
+def among(passages: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The passages that ``pairs`` may name: those that it names pass a filter of fixed
+    size, so the words of few others are shuffled."""
+    place = F.xxhash64("doc_id", "passage")
+    shared = passages.sparkSession.sparkContext.broadcast(bloom(pairs.select(place.alias("gram"))))
+
+    @F.arrow_udf("boolean")
+    def named(places: pa.Array) -> pa.Array:
+        return pa.array(passes(shared.value, places.to_numpy()))
+
+    return passages.where(named(place))
+
+
 def chosen_seeds(grams: DataFrame, frequency: DataFrame, least: float) -> DataFrame:
     """item_id, item_key, gram, place, least (places that a passage must hold) of the seeds."""
     counted = grams.select(*ITEM, "place", "gram", "n_words").join(frequency, "gram", "left")
@@ -286,8 +331,9 @@ def leaks(docs: DataFrame, items: DataFrame, least: float = LEAST) -> DataFrame:
     met = hits.join(seeds, "gram").groupBy("doc_id", "passage", *ITEM)
     pairs = met.agg(F.size(F.collect_set("place")).alias("held"), F.min("least").alias("least")).where("held >= least")
     texts = grams.where("words is not null").select(*ITEM, F.col("words").alias("item")).distinct()
-    pairs = materialize(pairs.select("doc_id", "passage", *ITEM), "leak-pairs").join(materialize(texts, "leak-items"), ITEM)
-    pairs = pairs.join(found.select("doc_id", "passage", "words"), ["doc_id", "passage"])
+    pairs = materialize(pairs.select("doc_id", "passage", *ITEM), "leak-pairs")
+    wanted = among(found.select("doc_id", "passage", "words"), pairs)
+    pairs = pairs.join(materialize(texts, "leak-items"), ITEM).join(wanted, ["doc_id", "passage"])
 
     def run(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
