@@ -209,3 +209,27 @@ def test_locator_that_knows_too_much_does_no_harm(spark, monkeypatch):
     house.locator("orders").forget()  # as in a table of an earlier version
     load(house, "orders", _orders(spark, ("U", "2024-01-04 05:00:00.000000", 1, "2024-04-10 12:00:00", 9)))
     assert house.stored("orders").partitions() == ["202404"]
+
+
+def test_a_merge_shuffles_no_constants_and_finds_lines_by_order(spark):
+    """Lineage literals are added after the shuffles; the locator of lines has a row per order and place."""
+    house = house_of(spark)
+    load(house, "orders", _orders(spark, ("I", "2024-01-01 05:00:00.000000", 1, "2024-01-10 12:00:00", 7)))
+    batch = house.batch("orderdetails", _lines(spark, *(_line(1, "2024-01-01 06:00:00.000000", product=p) for p in range(1, 4))))
+    shuffles = [s.split("\n\n")[0] for s in _explain(batch, "formatted").split(") Exchange\n")[1:]]
+    assert shuffles and not any("zone_area" in s for s in shuffles)
+    house.merge("orderdetails", batch)
+    held = house.locator("orderdetails")._read()
+    assert held.columns[0] == "ordernumber" and "productcode" not in held.columns and held.count() == 1
+    assert house.silver_table("orderdetails").select("zone_area", "dataset").distinct().collect() == [("silver", "orderdetails")]
+
+
+def test_partitions_that_a_merge_empties_are_seen_by_its_write(spark):
+    """Two orders leave their months, one of them to the null partition; the third stays."""
+    house = house_of(spark)
+    load(house, "orders", _orders(spark, *(("I", "2024-01-01 05:00:00.000000", i, f"2024-0{i}-10 12:00:00", 7) for i in (1, 2, 3))))
+    load(house, "orders", _orders(spark, ("U", "2024-01-02 05:00:00.000000", 1, "2024-05-10 12:00:00", 7), ("U", "2024-01-02 05:00:00.000000", 2, None, 7)))
+    assert set(house.stored("orders").partitions()) == {"202403", "202405", None}
+    load(house, "orders", _orders(spark, ("U", "2024-01-03 05:00:00.000000", 2, "2024-03-11 12:00:00", 7)))
+    assert set(house.stored("orders").partitions()) == {"202403", "202405"}
+    assert _keys(house.silver_table("orders"), "ordernumber") == [(1,), (2,), (3,)]

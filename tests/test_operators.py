@@ -303,3 +303,14 @@ def test_dst_gap_wall_clock_is_kept(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert r.t == "2024-03-10 05:30:00.000000" and r.hour_stream == "02"
+
+
+def test_newer_source_is_one_join_and_orders_nulls_last(spark):
+    """Full ties win, nulls lose to values, null keys match nothing."""
+    fields = "k long, t long, v double, w string"
+    target = spark.createDataFrame([(1, 5, 1.0, "a"), (2, 5, None, "a"), (3, None, 1.0, "a"), (4, 5, float("nan"), "a"), (5, 5, 1.0, "a"), (None, 9, 9.0, "a")], fields)
+    source = spark.createDataFrame([(1, 5, 1.0, "b"), (2, 5, 0.0, "b"), (3, None, None, "b"), (4, 5, 7.0, "b"), (5, 4, 9.0, "b"), (6, None, None, "b"), (None, 1, 1.0, "b")], fields)
+    newer = newer_source(target, source, ["k"], ["t", "v"])
+    assert sorted(newer.collect(), key=str) == sorted(source.where("k in (1, 2, 6) or k is null").collect(), key=str)
+    plan = newer._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and plan.count("Join ") == 1

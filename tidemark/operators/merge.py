@@ -26,7 +26,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def assert_unique_keys(df: DataFrame, keys: Sequence[str]) -> None:
-    """Fail when a merge key is ambiguous. One action; reads only the keys."""
+    """Fail when a merge key is ambiguous. One action; reads only the keys and shuffles
+    hashes of them. Keys are compared only if a hash repeats."""
+    hashes = df.select(F.xxhash64(*keys).alias("_key"))
+    if duplicate_keys(hashes, ["_key"]).isEmpty():
+        return
     dup = duplicate_keys(df.select(*keys), keys).limit(1).collect()
     if dup:
         raise DuplicateKeyError(f"merge key {list(keys)} not unique, e.g. {dup[0].asDict()}")
@@ -69,19 +73,19 @@ def upsert(
 
 def newer_source(target: DataFrame, source: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The source rows that beat the target's image of their key under ``order``
-    (newest first); on a full tie the source wins. Reads only the source's keys
-    of the target."""
-    cols = source.columns
-    held = target.select(*cols).join(source.select(*keys), list(keys), "left_semi").withColumn("_side", F.lit(0))
-    both = held.select(*cols, "_side").unionByName(source.withColumn("_side", F.lit(1)))
-    winners = latest_per_key(both, keys, ts=order[0], tiebreak=[*order[1:], "_side"], op_col=None)
-    return winners.where(F.col("_side") == 1).select(*cols)
+    (newest first, nulls last); on a full tie the source wins. Source keys are unique.
+    Reads only keys and order of the target; one join."""
+    s, t = source.alias("s"), target.select(*keys, *(c for c in order if c not in keys)).alias("t")
+    # Structs compare field by field, nulls below all values, as the order does.
+    beaten = F.struct(*(F.col(f"t.{c}") for c in order)) > F.struct(*(F.col(f"s.{c}") for c in order))
+    same = [F.col(f"s.{k}") == F.col(f"t.{k}") for k in keys]
+    return s.join(t, [*same, beaten], "left_anti").select(*source.columns)
 
 
 def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequence[str],
                       partition_col: str, movable: bool = True, places: set | None = None) -> tuple[DataFrame, list]:
-    """Merged content of the partitions that a merge touches, and the partitions
-    that it leaves without rows.
+    """Merged content of the partitions that a merge touches, and those of them that
+    it may leave without rows (see ``StoredTable.replace_partitions``).
 
     Touched are the partitions of the source rows and, where a key may move to
     another partition (``movable``), those where the target holds a key of the
@@ -102,12 +106,7 @@ def upsert_partitions(target: DataFrame | None, source: DataFrame, keys: Sequenc
         held = target.select(*keys, p)
         old = {r[0] for r in held.join(skeys, list(keys), "left_semi").select(p).distinct().collect()} - new
     affected = target.where(partition_in(p, new | old))
-    emptied = []
-    if old:
-        within = target.select(*keys, p).where(partition_in(p, old))
-        left = {r[0] for r in within.join(skeys, list(keys), "left_anti").select(p).distinct().collect()}
-        emptied = sorted(old - left, key=str)
-    return upsert(affected, source, keys), emptied
+    return upsert(affected, source, keys), sorted(old, key=str)
 
 
 def partition_in(col: str, values: set) -> Column:

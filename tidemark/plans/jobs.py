@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import ALL_OPS, GOLD_KEYS, LOCAL_OFFSET_HOURS, OP_DELETE, OP_RANK, SPECS
+from tidemark.config import ALL_OPS, GOLD_KEYS, LINEAGE_COLS, LOCAL_OFFSET_HOURS, OP_DELETE, OP_RANK, SPECS
+from tidemark.functions.scalar import lineage_constants
 from tidemark.functions.time import format_extract_at, time_key
 from tidemark.operators.merge import assert_unique_keys, newer_source, partition_in, upsert_partitions
 from tidemark.operators.watermark import shift_text
@@ -31,7 +32,7 @@ from tidemark.sources.feeds import feed
 from tidemark.sources.files import Files
 from tidemark.sources.locator import KeyLocator
 from tidemark.sources.schemas import GOLD_SCHEMA, create_table_ddl, silver_schema
-from tidemark.sources.storage import StoredTable, materialize, scratch_dir
+from tidemark.sources.storage import StoredTable, materialize, materialize_with, scratch_dir
 
 SILVER_TABLES = ("customers", "employees", "offices", "orders", "products", "orderdetails")
 GOLD_INPUTS = ("orderdetails", "orders", "customers", "employees", "offices")
@@ -85,12 +86,17 @@ class Lakehouse:
         col = spec.partition[0] if spec.partition else WHOLE
         schema = T.StructType(silver_schema(table).fields
                               + [T.StructField("_op", T.IntegerType()), T.StructField(col, T.StringType())])
-        return StoredTable(self.spark, f"{self.root}/silver/{table}", schema, col)
+        return StoredTable(self.spark, f"{self.root}/silver/{table}", schema, col,
+                           dict(zip(LINEAGE_COLS, lineage_constants(table), strict=True)))
 
     def locator(self, table: str) -> KeyLocator:
-        """Where the keys of a table that is partitioned by a date are."""
+        """Where the keys of a table that is partitioned by a date are. Both tables go by
+        the order number: the lines of an order lie together but for few, so its places
+        are theirs."""
         store = self.stored(table)
-        return KeyLocator(self.spark, f"{self.root}/silver/_keys/{table}", store.schema, SPECS[table].keys, store.partition_col)
+        path = f"{self.root}/silver/_keys/{table}" + ("" if table == "orders" else "-by-order")
+        return KeyLocator(self.spark, path, store.schema, SPECS[table].keys[:1], store.partition_col,
+                          repeated=len(SPECS[table].keys) > 1)
 
     # -- bronze -------------------------------------------------------------------
     def land(self, sf_dir: str, tables: Sequence[str] = SILVER_TABLES) -> None:
@@ -155,12 +161,14 @@ class Lakehouse:
         if full_refresh:
             store.forget()
         rows = with_partition(batch, spec, self.grain) if spec.partition else batch.withColumn(WHOLE, F.lit("all"))
-        rows = materialize(rows.select(*store.schema.fieldNames()), f"batch-{table}")
-        last = rows.agg(format_extract_at(F.max("extract_at")).alias("m")).first()["m"]
+        columns = [c for c in store.schema.fieldNames() if c not in store.constants]
+        rows, seen = materialize_with(rows.select(*columns), f"batch-{table}", format_extract_at(F.max("extract_at")).alias("last"))
+        last = seen["last"]
         if last is None and not full_refresh:
             return  # nothing new
         assert_unique_keys(rows, spec.keys)
         target, places, near = None if full_refresh else store.read(), None, None
+        target = None if target is None else target.select(*columns)
         locator = self.locator(table) if spec.partition else None
         if locator and target is None:
             locator.forget()
@@ -179,10 +187,10 @@ class Lakehouse:
             locator.add(rows)
         if full_refresh:
             present = {r[0] for r in rows.select(store.partition_col).distinct().collect()}
-            merged, emptied = rows, [v for v in store.partitions() if v not in present]
+            store.replace_partitions(rows, [v for v in store.partitions() if v not in present], last)
         else:
-            merged, emptied = upsert_partitions(target, rows, spec.keys, store.partition_col, spec.partition is not None, places)
-        store.replace_partitions(merged, emptied, last)
+            merged, covered = upsert_partitions(target, rows, spec.keys, store.partition_col, spec.partition is not None, places)
+            store.replace_partitions(merged, (), last, covered)
 
     # -- gold ---------------------------------------------------------------------
     def mart(self) -> DataFrame | None:

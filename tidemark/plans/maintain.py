@@ -111,6 +111,8 @@ def repair_lines(house: Lakehouse) -> None:
     if not entries or lines is None:
         log.clear(entries)
         return
+    columns = [c for c in store.schema.fieldNames() if c not in store.constants]
+    lines = lines.select(*columns)
     moved = materialize(log.read(entries).where("not (old_date <=> new_date)").distinct(), "moved-orders")
     held_in = partitions_of(moved.where("old_date is not null"), "old_date", house.grain) | {None}
     now_in = partitions_of(moved.where("new_date is not null"), "new_date", house.grain)
@@ -118,15 +120,14 @@ def repair_lines(house: Lakehouse) -> None:
     current = orders.read().where(partition_in(orders.partition_col, now_in)).select("ordernumber", F.col("orderdate").alias("_date"))
     current = current.join(moved.select("ordernumber").distinct(), "ordernumber", "left_semi")
     stale = lines.where(partition_in(p, held_in)).join(current, "ordernumber").where("not (orderdate <=> _date)")
-    fixed = with_partition(stale.withColumn("orderdate", F.col("_date")), spec, house.grain).select(*store.schema.fieldNames())
+    fixed = with_partition(stale.withColumn("orderdate", F.col("_date")), spec, house.grain).select(*columns)
     fixed = materialize(fixed, "repaired-lines")
     if not fixed.isEmpty():
         touched_log(house).append(fixed.select("orderdate").distinct())
         house.locator("orderdetails").add(fixed)
         into = {r[0] for r in fixed.select(p).distinct().collect()}
-        merged = materialize(upsert(lines.where(partition_in(p, held_in | into)), fixed, spec.keys), "repaired-partitions")
-        left = {r[0] for r in merged.select(p).distinct().collect()}
-        store.replace_partitions(merged, [v for v in store.partitions() if v in held_in and v not in left], store.high_watermark())
+        merged = upsert(lines.where(partition_in(p, held_in | into)), fixed, spec.keys)
+        store.replace_partitions(merged, (), store.high_watermark(), held_in)
     log.clear(entries)
 
 

@@ -18,7 +18,8 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import ALL_OPS, LOCAL_OFFSET_HOURS, ORDERDETAILS, ORDERS, TableSpec
+from tidemark.config import ALL_OPS, LINEAGE_COLS, LOCAL_OFFSET_HOURS, ORDERDETAILS, ORDERS, TableSpec
+from tidemark.functions.scalar import lineage_constants
 from tidemark.operators.cdc import cdc_filter, conform, latest_per_key
 from tidemark.operators.merge import upsert
 from tidemark.functions.time import time_key
@@ -43,7 +44,10 @@ def silver_batch(spec: TableSpec, bronze: DataFrame, target: DataFrame | None =
     rows = conform(incremental_rows(bronze, spec, target, high_watermark), spec)
     keep = [*spec.output_columns, *helpers]
     if spec.dedupe if dedupe is None else dedupe:
-        return latest_per_key(rows, spec.keys, tiebreak=spec.tiebreak, keep=keep)
+        # Constants need no shuffle, and the stored change time orders as ``_ts`` does.
+        rows = latest_per_key(rows.drop("_ts", *LINEAGE_COLS), spec.keys, ts="extract_at", tiebreak=spec.tiebreak)
+        constant = dict(zip(LINEAGE_COLS, lineage_constants(spec.name), strict=True))
+        return rows.select(*(constant.get(c, F.col(c)) for c in keep))
     return rows.select(*keep)
 
 

@@ -29,11 +29,11 @@ PLACE, BUCKET, GENERATION = "_place", "_bucket", "_generation"
 
 class KeyLocator:
     def __init__(self, spark: SparkSession, path: str, table: T.StructType, keys: Sequence[str], partition_col: str,
-                 buckets: int = BUCKETS):
-        """``buckets``: choose so that a bucket of keys is some files' worth; it must not
+                 buckets: int = BUCKETS, repeated: bool = False):
+        """``repeated``: rows given may repeat a key and place. ``buckets``: choose so that a bucket of keys is some files' worth; it must not
         change while the locator exists."""
         self.spark, self.path, self.keys, self.buckets = spark, path.rstrip("/"), list(keys), buckets
-        self.partition_col = partition_col
+        self.partition_col, self.repeated = partition_col, repeated
         self.files = Files(spark)
         self.schema = T.StructType([T.StructField(k, table[k].dataType) for k in keys] + [
             T.StructField(PLACE, T.StringType()), T.StructField(GENERATION, T.StringType()), T.StructField(BUCKET, T.IntegerType())])
@@ -78,17 +78,22 @@ class KeyLocator:
         """Record the partitions of ``rows`` beside those known. Call it before the rows
         are written to the table."""
         new, held = self._keyed(rows), self.near(rows)
+        if self.repeated:
+            new = new.distinct()
         if held is not None:
             same = [F.col(f"n.{k}") == F.col(f"h.{k}") for k in self.keys] + [F.col(f"n.{PLACE}").eqNullSafe(F.col(f"h.{PLACE}"))]
             new = new.alias("n").join(held.drop(BUCKET, GENERATION).alias("h"), same, "left_anti")
-        if held is not None and new.isEmpty():
+        name = self._write(new)
+        if held is not None and not any(n.startswith(f"{BUCKET}=") for n in self.files.names(f"{self.path}/{name}")):
+            self.files.delete(f"{self.path}/{name}")
             return
-        self._write(new)
         if len(self._generations()) >= GENERATIONS:
             self.compact()
 
-    def _write(self, rows: DataFrame) -> None:
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{GENERATION}={uuid.uuid4().hex}")
+    def _write(self, rows: DataFrame) -> str:
+        name = f"{GENERATION}={uuid.uuid4().hex}"
+        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")
+        return name
 
     def compact(self) -> None:
         """All generations as one; the old ones go once it is written."""

@@ -10,9 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -60,10 +60,17 @@ def materialize(df: DataFrame, label: str = "table") -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_dir(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_with(df: DataFrame, label: str, *measures: Column) -> tuple[DataFrame, dict]:
+    """``materialize``, and aggregates of the rows that the same pass has observed."""
+    seen = Observation()
+    written = materialize(df.observe(seen, *measures), label)
+    return written, seen.get
+
+
 class StoredTable:
     """A Parquet table partitioned by one column, rewritten partition by partition.
 
@@ -77,13 +84,16 @@ class StoredTable:
 
     The progress is one small file, replaced by a rename. A missing file means
     that no run has finished; a file that cannot be read or parsed is an error.
-    Tables without a natural partition use one constant partition.
+    Tables without a natural partition use one constant partition. ``constants`` are
+    columns with one value in the whole table: they are added after the shuffle.
     """
 
     MARK = "high_watermark="
 
-    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_col: str):
+    def __init__(self, spark: SparkSession, path: str, schema: T.StructType, partition_col: str,
+                 constants: dict[str, Column] | None = None):
         self.spark = spark
+        self.constants = constants or {}
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition_col = partition_col
@@ -114,20 +124,30 @@ class StoredTable:
         return [None if v == NULL_PARTITION else v for v in found]
 
     def replace_partitions(self, rows: DataFrame, emptied: Sequence[str | None] = (),
-                           high_watermark: str | None = None) -> None:
-        """Replace the partitions of ``rows``, remove ``emptied``, record progress.
+                           high_watermark: str | None = None, covered: Iterable[str | None] = ()) -> None:
+        """Replace the partitions of ``rows``, remove ``emptied`` and those of ``covered``
+        that have no rows (``rows`` is all that they hold now), record progress.
 
         ``rebalance`` clusters the rows by partition before they are written, so
         a partition gets about one file per advisory size, however many tasks
-        held its rows, and a partition with a third of all rows is split.
+        held its rows, and a partition with a third of all rows is split. The partitions that have rows
+        are observed after it, where a task holds few of them.
         """
+        p, seen = F.col(self.partition_col), Observation()
+        names = self.schema.fieldNames()
+        rows = rows.select(*(c for c in names if c not in self.constants)).hint("rebalance", self.partition_col)
+        if covered:
+            rows = rows.observe(seen, F.collect_set(p).alias("present"), F.count_if(p.isNull()).alias("nulls"))
         (
-            rows.select(*self.schema.fieldNames()).hint("rebalance", self.partition_col)
+            rows.select(*(self.constants[c].alias(c) if c in self.constants else F.col(c) for c in names))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(self.partition_col)
             .parquet(self.path)
         )
+        if covered:
+            there = set(seen.get["present"]) | ({None} if seen.get["nulls"] else set())
+            emptied = [*emptied, *(set(covered) - there)]
         for value in emptied:
             self.remove(value)
         known = [w for w in (self.high_watermark(), high_watermark) if w is not None]
