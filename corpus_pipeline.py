@@ -90,8 +90,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each on its predecessor's written rows."""
+    """All stages over ``documents``, each on its predecessor's written rows
+    (whole texts, three times: zstd, for the disk)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"))
+        docs = materialize(stage(spark, docs, sf_dir), "stage-" + name.replace(" ", "-"), "zstd")
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -299,3 +299,11 @@ def test_only_passages_to_align_have_their_words_shuffled(spark):
     named = {r.doc_id for r in pairs.collect()}
     assert named <= left and len(left) < 100
     assert leaks.among(passages, pairs.limit(0)).count() == 0
+
+
+def test_texts_between_stages_are_written_small(spark, monkeypatch):
+    """Each stage's whole texts are written once more: with zstd, not snappy."""
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [(n, lambda spark, docs, sf_dir: docs) for n in ("one", "two")])
+    out = corpus_pipeline.run(spark, SF)
+    assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert out.inputFiles() and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
