@@ -13,6 +13,8 @@ nothing. What else each stage defines stands in its own docstring.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -59,13 +61,25 @@ def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     texts = docs.select(near_dup.row_key().alias("doc_id"), "text")
     found = leaks.leaks(texts, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     gone = materialize(found.select(F.col("doc_id").alias(KEY)).distinct(), "pipeline-gone")
-    return docs.join(gone, near_dup.row_key() == gone[KEY], "left_anti")
+    far, near = parted(docs, gone)
+    return far.union(near.join(gone, near_dup.row_key() == gone[KEY], "left_anti"))
 
 
 def joined(docs: DataFrame, rows: DataFrame, how: str) -> DataFrame:
     """``docs`` semi or anti joined with rows (doc_id, row_key), null-safe."""
     rows = materialize(rows.select(F.col("doc_id").alias(ID), F.col("row_key").alias(KEY)), "pipeline-rows")
-    return docs.join(rows, same_row(docs, rows), how)
+    far, near = parted(docs, rows)
+    found = near.join(rows, same_row(near, rows), how)
+    return found if how == "left_semi" else far.union(found)
+
+
+def parted(docs: DataFrame, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs`` whose text has no hash of ``rows``, and all others. A Bloom
+    filter of fixed size parts them where they lie, so a join with ``rows`` shuffles the
+    others alone, not every whole text."""
+    bits = leaks.bloom(rows.select(F.col(KEY).alias("gram")))
+    may = F.pandas_udf(lambda keys: pd.Series(leaks.passes(bits, keys.to_numpy(dtype=np.int64))), "boolean")(near_dup.row_key())
+    return docs.where(~may), docs.where(may)
 
 
 def same_row(docs: DataFrame, rows: DataFrame) -> Column:

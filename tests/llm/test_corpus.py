@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import corpus_pipeline
 import duckdb
 import numpy as np
+from pyspark.sql import functions as F
 from tests.llm.helpers import components, docs, edited, empty, prose, shingle_set
-from tidemark.llm import leaks, packing, quality, tokens
+from tidemark.llm import leaks, near_dup, packing, quality, tokens
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -307,3 +309,25 @@ def test_texts_between_stages_are_written_small(spark, monkeypatch):
     out = corpus_pipeline.run(spark, SF)
     assert out.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
     assert out.inputFiles() and all(f.endswith(".zstd.parquet") for f in out.inputFiles())
+
+
+def test_joins_of_the_pipeline_leave_clean_texts_where_they_are(spark):
+    """Without broadcasts, only texts that a Bloom filter lets through come to the joins
+    that drop copies and leaks; no row is lost or added."""
+    copied, clean = prose(60, 901), [prose(60, 910 + i) for i in range(20)]
+    rows = [(1, copied), (2, copied), (None, copied), (None, None), (3, None), (3, None), *enumerate(clean, 10)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = docs(spark, rows)
+        kept = corpus_pipeline.drop_copies(spark, table, SF)
+        assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter([(1, copied), (None, None), (3, None), *enumerate(clean, 10)])
+        for out in (kept, corpus_pipeline.drop_leaks(spark, table, SF)):
+            plan = out._jdf.queryExecution().optimizedPlan().toString()
+            assert plan.startswith("Union") and "LeftAnti" in plan
+        far, near = corpus_pipeline.parted(table, table.where("doc_id = 2").select(near_dup.row_key().alias(corpus_pipeline.KEY)))
+        assert "Join" not in far._jdf.queryExecution().optimizedPlan().toString()
+        assert far.count() + near.count() == len(rows) and near.where(F.col("text") == copied).count() == 3
+        assert near.count() < 10
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
