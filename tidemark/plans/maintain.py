@@ -57,7 +57,7 @@ class ChangeLog:
 
     def append(self, rows: DataFrame) -> DataFrame:
         path = f"{self.path}/{uuid.uuid4().hex}"
-        rows.select(*self.schema.fieldNames()).write.parquet(path)
+        rows.select(*self.schema.fieldNames()).write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(self.schema).parquet(path)
 
     def entries(self) -> list[str]:

@@ -92,7 +92,7 @@ class KeyLocator:
 
     def _write(self, rows: DataFrame) -> str:
         name = f"{GENERATION}={uuid.uuid4().hex}"
-        rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.path}/{name}")
+        rows.hint("rebalance", BUCKET).write.option("compression", "zstd").partitionBy(BUCKET).parquet(f"{self.path}/{name}")
         return name
 
     def compact(self) -> None:

@@ -142,6 +142,7 @@ class StoredTable:
             rows.select(*(self.constants[c].alias(c) if c in self.constants else F.col(c) for c in names))
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
+            .option("compression", "zstd")
             .partitionBy(self.partition_col)
             .parquet(self.path)
         )
