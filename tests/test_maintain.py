@@ -233,3 +233,26 @@ def test_partitions_that_a_merge_empties_are_seen_by_its_write(spark):
     load(house, "orders", _orders(spark, ("U", "2024-01-03 05:00:00.000000", 2, "2024-03-11 12:00:00", 7)))
     assert set(house.stored("orders").partitions()) == {"202403", "202405"}
     assert _keys(house.silver_table("orders"), "ordernumber") == [(1,), (2,), (3,)]
+
+
+def test_stored_tables_locators_and_logs_are_written_with_zstd(spark, tmp_path):
+    import pyarrow.parquet as pq
+    from pyspark.sql import types as T
+
+    from tidemark.plans.maintain import TOUCHED, ChangeLog
+    from tidemark.sources.locator import KeyLocator
+    from tidemark.sources.storage import StoredTable
+
+    schema = T.StructType([T.StructField("k", T.LongType()), T.StructField("p", T.StringType())])
+    rows = spark.createDataFrame([(1, "a"), (2, None)], schema)
+    table = StoredTable(spark, f"{tmp_path}/table", schema, "p")
+    table.replace_partitions(rows)
+    KeyLocator(spark, f"{tmp_path}/keys", schema, ["k"], "p").add(rows)
+    ChangeLog(spark, f"{tmp_path}/log", TOUCHED).append(spark.sql("SELECT timestamp_ntz'2024-01-01 00:00:00' AS orderdate"))
+    assert {tuple(r) for r in table.read().collect()} == {(1, "a"), (2, None)}
+    for name in ("table", "keys", "log"):
+        files = list((tmp_path / name).rglob("*.parquet"))
+        assert files
+        for f in files:
+            part = pq.ParquetFile(f).metadata.row_group(0)
+            assert {part.column(i).compression for i in range(part.num_columns)} == {"ZSTD"}
