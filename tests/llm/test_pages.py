@@ -133,6 +133,74 @@ def test_repeated_runs_go_where_markup_decides_nothing(spark, monkeypatch, group
     assert got[91] == common
 
 
+@pytest.mark.parametrize("group", [4, 1000])
+def test_articles_are_in_the_streams(spark, monkeypatch, group):
+    """Blocks of articles go by their runs, however these are cut into blocks; and what
+    articles hold counts where markup decides nothing."""
+    monkeypatch.setattr(html_text, "GROUP_PAGES", group)
+    a, b, teaser = prose(12, 7), prose(14, 8), prose(15, 9)
+    rows = [(i, "http://news/", article(f"<h1>{prose(9, 100 + i)}</h1>" + (f"<p>{a}</p><div>{b}</div>" if i % 2 else f"<p>{a} {b}</p>") + f"<p>{b} last{i}</p>")) for i in range(8)]
+    rows.append((20, "http://front/", f"<body><div>{teaser}</div><div>{prose(9, 300)}</div></body>"))
+    rows += [(21 + i, "http://front/", article(f"<p>{prose(9, 400 + i)}</p>" + (f"<p>{teaser}</p>" if i < 1 else ""))) for i in range(9)]
+    got = texts(html_text.extract(pages(spark, rows)))
+    for i in range(8):
+        assert got[i] == f"{prose(9, 100 + i)}\n{b} last{i}"
+    assert got[20] == prose(9, 300)
+    assert got[21] == f"{prose(9, 400)}\n{teaser}"
+
+
+def texts_by_brute_force(rows: list[tuple]) -> dict[int, str]:
+    """Runs as tuples of words, each page's beside every other's."""
+    text, run = html_text.TEXT, html_text.RUN
+    cut = {i: (url, tuple(html_text.blocks(html))) for i, url, html in rows}
+
+    def places(some):
+        tokens, owner = [], []
+        for j, (k, t) in enumerate(some):
+            words = ([None] if j and (k == text) != (some[j - 1][0] == text) else []) + t.split(" ")
+            tokens, owner = tokens + words, owner + [j] * len(words)
+        return tokens, owner, {x: tuple(tokens[x : x + run]) for x in range(len(tokens) - run + 1) if None not in tokens[x : x + run]}
+
+    out = {}
+    for i, (url, some) in cut.items():
+        others = {y for u, y in cut.values() if u == url}
+        n = len(others)
+        needed, articles = max(-(-n // 10), 2), max(-(-n // 2), min(n, 5), 3)
+        tokens, owner, runs = places(some)
+        told = [(o, {r for x, r in p.items()}, {r for x, r in p.items() if y[o[x]][0] == text}) for y in others for _, o, p in [places(y)]]
+        gone = set()
+        for x, r in runs.items():
+            inside = some[owner[x]][0] == text
+            if sum(r in (c if inside else b) for _, b, c in told) >= (articles if inside else needed):
+                gone |= set(range(x, x + run))
+        lines = []
+        for j, (k, t) in enumerate(some):
+            mine = [x for x, o in enumerate(owner) if o == j and tokens[x] is not None]
+            left = [tokens[x] for x in mine if x not in gone]
+            if k == text and left and sum((text, t) in y for y in others) < articles:
+                lines.append(t)
+            if k == html_text.OPEN and left:
+                lines.append(" ".join(left))
+        out[i] = "\n".join(lines)
+    return out
+
+
+@pytest.mark.parametrize("group", [3, 1000])
+def test_texts_equal_brute_force(spark, monkeypatch, group):
+    monkeypatch.setattr(html_text, "GROUP_PAGES", group)
+    rng = np.random.default_rng(5)
+    said = [prose(int(n), 900 + i) for i, n in enumerate(rng.integers(1, 14, 12))]
+    rows = []
+    for i in range(60):
+        body = "".join(f"<{tag}>{' '.join(said[int(x) % 12] if x < 40 else prose(6, 1000 + 60 * i + int(x)) for x in rng.integers(0, 44, int(rng.integers(1, 4))))}</{tag}>" for tag in rng.choice(["p", "div", "li", "nav", "article", "article"], 6))
+        rows.append((i, f"http://h{i % 3 if i < 50 else i % 5 + 9}/", body))
+    rows += [(100 + i, url, html) for i, url, html in rows[:20]]
+    got = texts(html_text.extract(pages(spark, rows).repartition(3)))
+    want = texts_by_brute_force(rows)
+    assert got == want
+    assert sum(len(x) for x in got.values()) < 0.9 * sum(len(t) for _, _, html in rows for k, t in html_text.blocks(html) if k != html_text.REJECTED)
+
+
 def test_shared_runs_equal_brute_force():
     rng = np.random.default_rng(0)
     for _ in range(50):
