@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 from conftest import SF_SMALL
 from pyspark.sql import DataFrameWriter
@@ -9,11 +11,13 @@ from pyspark.sql import functions as F
 
 from tidemark.config import PARTITION_COLS
 from tidemark.plans import catalog as C
+from tidemark.plans.jobs import Lakehouse
 from tidemark.sources import bronze as B
 from tidemark.sources.feeds import feed
 from tidemark.sources.files import Files
 from tidemark.sources.schemas import bronze_schema
-from tidemark.sources.storage import scratch_dir
+from tidemark.sources.storage import scratch_dir, tiny_files
+from tidemark.streaming.stream import stream_silver
 
 
 def _conf(spark, stack, **values):
@@ -52,6 +56,50 @@ def test_a_small_hour_is_one_file_however_large_the_table(spark, settings):
     assert landed.select(*PARTITION_COLS).distinct().count() == 240
 
 
+def test_forced_writers_land_ranges_of_hours(spark):
+    root = scratch_dir(spark, "t-ranges")
+    B.land_hourly(_lines(spark, 20), root, "orderdetails", num_tasks=4, files_per_hour=1)
+    files = Files(spark).walk(f"{root}/orderdetails", ".parquet")
+    assert len(files) == 480
+    writers = {(name.rpartition("/hour_stream=")[0], re.search(r"/part-(\d+)-", name)[1]) for name in files}
+    assert len({w for _, w in writers}) == 4
+    assert len(writers) <= 20 + 3  # a day has two writers only where a range ends in it
+    B.land_hourly(_lines(spark, 2), root, "orderdetails", num_tasks=4, files_per_hour=2)
+    assert sorted(B.scan_bronze(spark, root, "orderdetails").collect()) == sorted(B.with_partition_values(_lines(spark, 20).union(_lines(spark, 2))).collect())
+
+
+def test_hours_of_paths_are_the_partitions(spark, bronze):
+    root = scratch_dir(spark, "t-paths")
+    rows = bronze("products", [{"op": "I", "extract_at": x, "productcode": n} for n, x in enumerate(("2024-01-01 00:00:00.000000", "2024-01-01 07:00:00.000000", None))])
+    B.land_hourly(rows, root, "products")
+    B.drop_full_load(rows.where("productcode = 0"), root, "products")
+    payload = bronze_schema("products", with_partitions=False)
+    got = B.hours_of_paths(spark.read.schema(payload).option("recursiveFileLookup", "true").parquet(B.table_root(root, "products")))
+    want = spark.read.schema(bronze_schema("products")).parquet(B.table_root(root, "products"))
+    order = ["productcode", "hour_stream"]
+    assert got.orderBy(*order).collect() == want.orderBy(*order).collect()
+    assert B.file_count(spark, root, "products") == len(want.inputFiles())
+
+
+def test_streams_read_the_landed_rows_with_their_hours(spark, monkeypatch):
+    """The hours come from the paths; settings for tiny files hold while batches run."""
+    house = Lakehouse(spark, scratch_dir(spark, "t-stream"))
+    B.land_hourly(_lines(spark, 2), house.bronze_root, "orderdetails", num_tasks=2, files_per_hour=1)
+    seen, batch, before = [], Lakehouse.batch, {k: spark.conf.get(k) for k in ("spark.sql.files.openCostInBytes", "spark.sql.sources.parallelPartitionDiscovery.parallelism")}
+
+    def watched(self, table, changes, *args):
+        seen.append((changes.collect(), spark.conf.get("spark.sql.files.openCostInBytes")))
+        return batch(self, table, changes, *args)
+
+    monkeypatch.setattr(Lakehouse, "batch", watched)
+    with tiny_files(spark):
+        stream_silver(house, "orderdetails", f"{house.root}/_checkpoint", files_per_trigger=20).awaitTermination()
+    assert [c for _, c in seen] == ["262144"] * 3
+    assert sorted(r for rows, _ in seen for r in rows) == sorted(B.scan_bronze(spark, house.bronze_root, "orderdetails").collect())
+    assert before == {k: spark.conf.get(k) for k in before}
+    assert house.silver_table("orderdetails").count() == 2 * 24 * 60
+
+
 def test_first_landing_replaces_nothing_and_a_second_one_whole_hours(spark):
     root = scratch_dir(spark, "t-twice")
     rows = feed(spark, SF_SMALL, "offices")

@@ -25,10 +25,11 @@ from tidemark.config import BACKFILL_PARTITION, LOCAL_OFFSET_HOURS, PARTITION_CO
 from tidemark.functions.time import parse_extract_at, partition_values, shift_local
 from tidemark.sources.files import Files
 from tidemark.sources.schemas import bronze_schema, create_table_ddl
-from tidemark.sources.storage import spread_partitions
+from tidemark.sources.storage import NULL_PARTITION, spread_partitions
 
 LAYOUTS = {"kv": tuple(f"{c}=" for c in PARTITION_COLS), "slash": ("", "", "", "")}
 SLASH_RE = r"/(\d{4})/(\d{2})/(\d{2})/(\d{2})/[^/]*$"
+PATH_RE = {"kv": "".join(f"/{c}=([^/]*)" for c in PARTITION_COLS) + "/[^/]*$", "slash": SLASH_RE}
 #: Shuffle partitions of a landing before AQE packs them: so many that they need splitting only
 #: from some 10 GB on (a split writes each of its hours again), few enough for writers that sort nothing.
 WRITE_PARTITIONS = 200
@@ -59,7 +60,7 @@ def land_hourly(df: DataFrame, root: str, table: str, num_tasks: int | None = No
     many as its size needs, small days are packed together. A day's hours mostly
     come from one task, whose commit then moves the day at once, and an hour is one
     file as long as its day fits a task. ``num_tasks`` instead forces that many
-    writers with each hour salted over ``files_per_hour`` of them.
+    writers of a range of hours each, with an hour salted over about ``files_per_hour`` of them.
     ``maxRecordsPerFile`` caps file size.
     """
     schema = bronze_schema(table)
@@ -174,6 +175,25 @@ def scan_bronze(spark: SparkSession, root: str, table: str, since: str | None =
     return df if since is None else df.where(F.col("extract_at") >= since)
 
 
+def hours_of_paths(rows: DataFrame, layout: str = "kv") -> DataFrame:
+    """Payload rows with the landing hour that their file's path names. As where partitions
+    are found by folder names, full-load files beside the hours are left out.
+
+    For readers with ``recursiveFileLookup``: a reader that finds partitions itself spends
+    most of a listing on the driver, parsing every folder, again for every micro-batch."""
+    at = F.col("_metadata.file_path")
+    hour = [F.regexp_extract(at, PATH_RE[layout], i + 1) for i in range(len(PARTITION_COLS))]
+    if layout == "kv":
+        rows = rows.where(at.contains(f"/{PARTITION_COLS[-1]}="))
+    return rows.select("*", *[F.when(~h.isin("", NULL_PARTITION), h).alias(c) for c, h in zip(PARTITION_COLS, hour)])
+
+
+def file_count(spark: SparkSession, root: str, table: str) -> int:
+    """How many files of a table have landed, full loads beside the hours included."""
+    reader = spark.read.schema(bronze_schema(table, with_partitions=False)).option("recursiveFileLookup", "true")
+    return len(reader.parquet(table_root(root, table))._jdf.inputFiles())
+
+
 def partition_inventory(df: DataFrame, table: str) -> DataFrame:
     """One row per landed (table, hour) with its row count and an active marker."""
     return df.groupBy(*PARTITION_COLS).agg(F.count(F.lit(1)).alias("row_count")).select(

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -40,15 +41,36 @@ def scratch_dir(spark: SparkSession, label: str = "run") -> str:
 
 def spread_partitions(df: DataFrame, partition_by: tuple[str, ...], files_per_partition: int,
                       num_tasks: int | None = None) -> DataFrame:
-    """Cluster rows by output partition, spread over ``files_per_partition`` tasks.
+    """Ranges of output partitions, a range a task, each partition spread over about
+    ``files_per_partition`` tasks.
 
-    The task count is explicit (default: the cluster's parallelism) because AQE
-    would otherwise coalesce a small shuffle into one task that writes every
-    partition directory alone.
+    Neighbouring partitions come from one task: it makes their common folders once, and
+    its commit moves whole folders of them. The task count is explicit (default: the
+    cluster's parallelism) because AQE would otherwise coalesce a small shuffle into one
+    task that writes every partition directory alone.
     """
     n = num_tasks or df.sparkSession.sparkContext.defaultParallelism
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))
-    return df.repartition(n, *[F.col(c) for c in partition_by], salt)
+    salt = [F.pmod(F.xxhash64(*df.columns), F.lit(files_per_partition))] if files_per_partition > 1 else []
+    return df.repartitionByRange(n, *[F.col(c) for c in partition_by], *salt)
+
+
+@contextmanager
+def tiny_files(spark: SparkSession) -> Iterator[None]:
+    """For the session settings of listings and scans of very many tiny files: a listing in
+    some tasks a core, from few folders on, not one a path; a read task takes more of them."""
+    wanted = {
+        "spark.sql.sources.parallelPartitionDiscovery.threshold": "4",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(4 * spark.sparkContext.defaultParallelism),
+        "spark.sql.files.openCostInBytes": "262144",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def materialize(df: DataFrame, label: str = "table") -> DataFrame:

@@ -30,7 +30,7 @@ from tidemark.sources import bronze as B
 from tidemark.sources.feeds import read_table
 from tidemark.sources.runs import RunTable
 from tidemark.sources.schemas import bronze_schema
-from tidemark.sources.storage import StoredTable, materialize, scratch_dir
+from tidemark.sources.storage import StoredTable, materialize, scratch_dir, tiny_files
 
 KEY_BUCKETS = 16
 
@@ -43,10 +43,10 @@ def stream_silver(house: Lakehouse, table: str, checkpoint: str,
     dates that the silver orders hold when the batch runs.
     """
     spark = house.spark
-    reader = spark.readStream.schema(bronze_schema(table))
+    reader = spark.readStream.schema(bronze_schema(table, with_partitions=False)).option("recursiveFileLookup", "true")
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    source = reader.parquet(B.table_root(house.bronze_root, table))
+    source = B.hours_of_paths(reader.parquet(B.table_root(house.bronze_root, table)), house.layout)
 
     def merge_batch(changes: DataFrame, epoch_id: int) -> None:
         house.merge(table, house.batch(table, changes), newer_only=True)
@@ -136,10 +136,11 @@ def _streamed(spark: SparkSession, d: str, tables: tuple[str, ...]) -> Lakehouse
     # Month partitions: the driver's orders are a few per hour over seven years.
     house = Lakehouse(spark, scratch_dir(spark, "stream"), partition_grain="month")
     house.land(d, tables)
-    for t in tables:
-        # Thousands of tiny hour files: a batch takes a third of them.
-        n = sum(1 for _ in B.scan_bronze(spark, house.bronze_root, t).inputFiles())
-        stream_silver(house, t, f"{house.root}/_checkpoint/{t}", files_per_trigger=n // 3 + 1).awaitTermination()
+    with tiny_files(spark):
+        for t in tables:
+            # Thousands of tiny hour files: a batch takes a third of them.
+            n = B.file_count(spark, house.bronze_root, t)
+            stream_silver(house, t, f"{house.root}/_checkpoint/{t}", files_per_trigger=n // 3 + 1).awaitTermination()
     return house
 
 
